@@ -34,6 +34,9 @@ CELL_BITS = 21
 #: Cells of the table that travel in one row.
 _PIECE = 1 << 14
 FRAGMENTS = 8
+#: Fine fragments in which only the number of n-grams is kept: the smaller numbers bound a pair's overlap.
+FINE_BITS = 7
+FINE = 1 << FINE_BITS
 #: Bits of the sieve that spares most documents the third scan's work (2 MB, whatever the size of the corpus).
 SIEVE_BITS = 24
 
@@ -78,16 +81,19 @@ def _scan(size: int, cell_bits: int):
                 grams, begin = sets_of(s, size)
                 np.add.at(cells, (grams >> U64(64 - cell_bits)).astype(np.int64), 1)
                 any_rows = True
+                fine = np.repeat(np.arange(len(s)), np.diff(begin)) * FINE + (grams >> U64(64 - FINE_BITS)).astype(np.int64)
+                fine = np.bincount(fine, minlength=len(s) * FINE).astype(np.int32)
                 yield pa.record_batch({
                     "doc_id": ids.slice(s.row, len(s)), "n": pa.array(np.diff(begin).astype(np.int64)),
                     "class": pa.array(class_of(grams, begin).view(np.int64)),
+                    "fine": pa.ListArray.from_arrays(pa.array(np.arange(0, len(fine) + 1, FINE, dtype=np.int32)), pa.array(fine)),
                     "piece": pa.nulls(len(s), pa.int32()), "cells": pa.nulls(len(s), pa.binary()),
                 })
         if any_rows:
             for i in range(0, len(cells), _PIECE):
                 yield pa.record_batch({
                     "doc_id": pa.nulls(1, pa.int64()), "n": pa.nulls(1, pa.int64()), "class": pa.nulls(1, pa.int64()),
-                    "piece": pa.array([i // _PIECE], pa.int32()), "cells": pa.array([pack(cells[i : i + _PIECE])], pa.binary()),
+                    "fine": pa.nulls(1, pa.list_(pa.int32())), "piece": pa.array([i // _PIECE], pa.int32()), "cells": pa.array([pack(cells[i : i + _PIECE])], pa.binary()),
                 })
 
     return run
@@ -144,8 +150,7 @@ def _prefixes(size: int, num: int, den: int, cell_bits: int, shared):
 
 def _sieve(nodes: DataFrame) -> np.ndarray:
     """Which cells of a table of fixed size (``2**SIEVE_BITS`` bits) the ids in column ``node`` fall into."""
-    cell = F.shiftright(F.xxhash64("node"), 64 - SIEVE_BITS) + F.lit(1 << (SIEVE_BITS - 1))
-    used = nodes.select(cell.alias("cell")).distinct()
+    used = nodes.select(_cell("node")).distinct()
     pieces = used.groupBy(F.shiftright("cell", 12).alias("piece")).agg(F.collect_list("cell").alias("cells"))
     out = np.zeros(1 << SIEVE_BITS, bool)
     for r in pieces.toLocalIterator():
@@ -153,6 +158,19 @@ def _sieve(nodes: DataFrame) -> np.ndarray:
     return np.packbits(out)
 
 
+def _let_through(batch: pa.RecordBatch, sieve: np.ndarray) -> pa.RecordBatch:
+    cell = batch.column("cell").to_numpy(zero_copy_only=False)
+    return batch.filter(pa.array((sieve[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1).astype(bool)))
+
+
+def _sifted(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _let_through(batch, shared.value)
+
+    return run
+
+
 def _segments(size: int, deal: Deal, shared):
     """The n-grams of documents that the sieve lets through, cut into the fragments of the order.  The sieve
     lets a few others through as well; no pair names them."""
@@ -160,8 +178,7 @@ def _segments(size: int, deal: Deal, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sieve = shared.value
         for batch in batches:
-            cell = batch.column("cell").to_numpy(zero_copy_only=False)
-            batch = batch.filter(pa.array((sieve[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1).astype(bool)))
+            batch = _let_through(batch, sieve)
             ids = batch.column("node").to_pylist()
             for s in slices(batch.column("text")):
                 grams, begin = sets_of(s, size)
@@ -193,11 +210,29 @@ def _may_match(num: int, den: int, a: str, b: str):
     return F.expr(f"{num + den}L * {left} >= {num}L * ({a}n + {b}n)")
 
 
+def _cell(column: str):
+    return (F.shiftright(F.xxhash64(column), 64 - SIEVE_BITS) + F.lit(1 << (SIEVE_BITS - 1))).alias("cell")
+
+
 class _Join:
-    def __init__(self, docs: DataFrame, reps: DataFrame, size: int, num: int, den: int, fragments: int) -> None:
-        self.docs, self.reps, self.size, self.num, self.den = docs, reps, size, num, den
+    def __init__(self, docs: DataFrame, sets: DataFrame, reps: DataFrame, size: int, num: int, den: int, fragments: int) -> None:
+        self.docs, self.sets, self.reps, self.size, self.num, self.den = docs, sets, reps, size, num, den
         self.deal = Deal(fragments, 64)
 
+    def sieve(self, pairs: DataFrame):
+        nodes = pairs.select(F.col("x").alias("node")).union(pairs.select("y"))
+        return self.docs.sparkSession.sparkContext.broadcast(_sieve(nodes))
+
+    def possible(self, pairs: DataFrame, name: str) -> DataFrame:
+        """Pairs whose overlap may be large enough: in no fine fragment can it exceed the smaller number."""
+        rows = self.sets.where("n > 0 and doc_id is not null").select("doc_id", _cell("doc_id"), "fine")
+        rows = rows.mapInArrow(_sifted(self.sieve(pairs)), rows.schema)
+        fine = stored(rows.select(F.col("doc_id").alias("node"), "fine"), f"{name}-fine")
+        most = F.aggregate(F.zip_with("xf", "yf", lambda a, b: F.least(a, b)), F.lit(0).cast("long"), lambda n, c: n + c)
+        both = pairs.join(fine.select(F.col("node").alias("x"), F.col("fine").alias("xf")), "x").join(fine.select(F.col("node").alias("y"), F.col("fine").alias("yf")), "y")
+        both = both.select("x", "y", "an", "bn", most.alias("shared")).where(_similar(self.num, self.den, "shared", "an", "bn"))
+        return stored(both.select("x", "y", "an", "bn").distinct(), f"{name}-possible")
+
     def verify(self, pairs: DataFrame, name: str) -> DataFrame:
         """``pairs``: classes ``a``, ``b`` with sizes.  Returns those that are similar, as nodes (the smallest
         id of each class)."""
@@ -208,11 +243,9 @@ class _Join:
             .select("x", "y", "an", "bn"),
             f"{name}-pairs",
         )
-        wanted = pairs.select(F.col("x").alias("node")).union(pairs.select("y"))
-        shared = self.docs.sparkSession.sparkContext.broadcast(_sieve(wanted))
-        cell = F.shiftright(F.xxhash64("doc_id"), 64 - SIEVE_BITS) + F.lit(1 << (SIEVE_BITS - 1))
-        texts = self.docs.where("doc_id is not null").select(F.col("doc_id").alias("node"), cell.alias("cell"), "text")
-        segments = texts.mapInArrow(_segments(self.size, self.deal, shared), "node long, fragment int, grams array<long>")
+        pairs = self.possible(pairs, name)
+        texts = self.docs.where("doc_id is not null").select(F.col("doc_id").alias("node"), _cell("doc_id"), "text")
+        segments = texts.mapInArrow(_segments(self.size, self.deal, self.sieve(pairs)), "node long, fragment int, grams array<long>")
         segments = stored(segments, f"{name}-segments")
         one = segments.select(F.col("node").alias("x"), "fragment", F.col("grams").alias("xg"))
         two = segments.select(F.col("node").alias("y"), "fragment", F.col("grams").alias("yg"))
@@ -235,8 +268,8 @@ def similar_components(
         raise ValueError("the threshold must be over one half")
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    scanned = stored(docs.mapInArrow(_scan(size, cell_bits), "doc_id long, n long, class long, piece int, cells binary"), "sets")
-    sets = scanned.where("piece is null").select("doc_id", "n", "class")
+    scanned = stored(docs.mapInArrow(_scan(size, cell_bits), "doc_id long, n long, class long, fine array<int>, piece int, cells binary"), "sets")
+    sets = scanned.where("piece is null").select("doc_id", "n", "class", "fine")
     reps = stored(sets.where("n > 0 and doc_id is not null").groupBy("class").agg(F.min("doc_id").alias("node")), "classes")
     shared = spark.sparkContext.broadcast(_cells(scanned, cell_bits))
     prefixes = docs.select("text").mapInArrow(_prefixes(size, numerator, denominator, cell_bits, shared), "gram long, class long, n int, place int")
@@ -248,7 +281,7 @@ def similar_components(
         .drop("m"),
         "buckets",
     )
-    join = _Join(docs, reps, size, numerator, denominator, fragments)
+    join = _Join(docs, sets, reps, size, numerator, denominator, fragments)
     flat = meeting.select("class", "n", "place", F.col("hub.class").alias("hub"), F.col("hub.n").alias("hn"), F.col("hub.place").alias("hplace"))
     star = (
         flat.where("class <> hub").where(_may_match(numerator, denominator, "", "h"))
