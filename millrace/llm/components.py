@@ -16,34 +16,27 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     group of any size shrinks to a star in a number of rounds that grows with the logarithm of its paths.
     Only minima by node are aggregated (map side first); no node's neighbours are gathered.  Each round is
     written to the shared folder, so a lost executor costs no more than that round."""
-    pairs = (
-        edges.where("a is not null and b is not null and a <> b")
-        .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .distinct()
-    )
+    pairs = edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     state = stored(pairs, "edges")
     for _ in range(max_rounds):
         # Large star: larger neighbours go to the least of the node and its neighbours.
         both = state.unionByName(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        # A node that is least among its own neighbours keeps them hanging on itself.
-        large = large.where("u <> v").distinct()
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # Small star: the node and its smaller neighbours go to the least of them.
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        nxt = stored(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        if _same(state, nxt):
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        state = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        if _stars(state):
             break
-        state = nxt
     else:
         raise RuntimeError("components did not settle")
     labels = state.select(F.col("u").alias("node"), F.col("v").alias("label"))
     return labels.unionByName(state.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
 
 
-def _same(x: DataFrame, y: DataFrame) -> bool:
-    def mark(df: DataFrame):
-        return df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-
-    return mark(x) == mark(y)
+def _stars(state: DataFrame) -> bool:
+    """Whether every node hangs on one other, which hangs on none."""
+    ends = state.select(F.col("u").alias("node"), F.col("v").alias("up")).unionByName(state.select(F.col("v").alias("node"), F.lit(None).cast("long").alias("up")))
+    seen = ends.groupBy("node").agg(F.min("up").alias("low"), F.max("up").alias("high"), F.max(F.col("up").isNull()).alias("holds"))
+    return seen.where("low <> high or (low is not null and holds)").isEmpty()

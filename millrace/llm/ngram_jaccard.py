@@ -115,7 +115,7 @@ def _cells(scanned: DataFrame, cell_bits: int) -> np.ndarray:
         if len(keys) == 2:
             parts = parts.withColumn("part", F.lit(0))
     out = np.zeros(1 << cell_bits, np.uint32)
-    for r in parts.select("piece", "cells").toLocalIterator():
+    for r in parts.select("piece", "cells").collect():
         out[r["piece"] * _PIECE : (r["piece"] + 1) * _PIECE] = np.minimum(unpack(bytes(r["cells"])), 0xFFFFFFFF)
     return out
 
@@ -134,33 +134,39 @@ def _prefixes(size: int, num: int, den: int, cell_bits: int, shared):
                 if not len(grams):
                     continue
                 classes, n = class_of(grams, begin), np.diff(begin)
-                _, one = np.unique(classes, return_index=True)
+                ids = batch.column("doc_id").slice(s.row, len(s)).to_numpy(zero_copy_only=False)
+                by = np.lexsort((ids, classes))  # of equal sets, the smallest id
+                one = by[np.concatenate([[True], np.diff(classes[by].view(np.int64)) != 0])]
                 one = one[n[one] > 0]
                 owner = np.repeat(np.arange(len(n)), n)
                 order = np.lexsort((grams, cells[(grams >> U64(64 - cell_bits)).astype(np.int64)], owner))
                 place = np.arange(len(grams)) - begin[owner]
                 use = (place < (n - least_overlap(n, num, den) + 1)[owner]) & np.isin(owner, one)
                 yield pa.record_batch({
-                    "gram": pa.array(grams[order][use].view(np.int64)), "class": pa.array(classes[owner[use]].view(np.int64)),
+                    "gram": pa.array(grams[order][use].view(np.int64)), "class": pa.array(classes[owner[use]].view(np.int64)), "node": pa.array(ids[owner[use]]),
                     "n": pa.array(n[owner[use]].astype(np.int32)), "place": pa.array(place[use].astype(np.int32)),
                 })
 
     return run
 
 
+def _cell(column: str):
+    return (F.shiftright(F.xxhash64(column), 64 - SIEVE_BITS) + F.lit(1 << (SIEVE_BITS - 1))).alias("cell")
+
+
 def _sieve(nodes: DataFrame) -> np.ndarray:
     """Which cells of a table of fixed size (``2**SIEVE_BITS`` bits) the ids in column ``node`` fall into."""
-    used = nodes.select(_cell("node")).distinct()
-    pieces = used.groupBy(F.shiftright("cell", 12).alias("piece")).agg(F.collect_list("cell").alias("cells"))
-    out = np.zeros(1 << SIEVE_BITS, bool)
-    for r in pieces.toLocalIterator():
-        out[r["cells"]] = True
-    return np.packbits(out)
+    cell = nodes.select((_cell("node") + 1).alias("cell"))
+    parts = cell.groupBy(F.bitmap_bucket_number("cell").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("bits"))
+    out = np.zeros((1 << SIEVE_BITS) >> 15, dtype="V4096")
+    for r in parts.collect():
+        out[r["part"] - 1] = bytes(r["bits"])
+    return out.view(np.uint8)
 
 
 def _let_through(batch: pa.RecordBatch, sieve: np.ndarray) -> pa.RecordBatch:
     cell = batch.column("cell").to_numpy(zero_copy_only=False)
-    return batch.filter(pa.array((sieve[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1).astype(bool)))
+    return batch.filter(pa.array((sieve[cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool)))
 
 
 def _sifted(shared):
@@ -210,13 +216,9 @@ def _may_match(num: int, den: int, a: str, b: str):
     return F.expr(f"{num + den}L * {left} >= {num}L * ({a}n + {b}n)")
 
 
-def _cell(column: str):
-    return (F.shiftright(F.xxhash64(column), 64 - SIEVE_BITS) + F.lit(1 << (SIEVE_BITS - 1))).alias("cell")
-
-
 class _Join:
-    def __init__(self, docs: DataFrame, sets: DataFrame, reps: DataFrame, size: int, num: int, den: int, fragments: int) -> None:
-        self.docs, self.sets, self.reps, self.size, self.num, self.den = docs, sets, reps, size, num, den
+    def __init__(self, docs: DataFrame, sets: DataFrame, size: int, num: int, den: int, fragments: int) -> None:
+        self.docs, self.sets, self.size, self.num, self.den = docs, sets, size, num, den
         self.deal = Deal(fragments, 64)
 
     def sieve(self, pairs: DataFrame):
@@ -231,30 +233,20 @@ class _Join:
         most = F.aggregate(F.zip_with("xf", "yf", lambda a, b: F.least(a, b)), F.lit(0).cast("long"), lambda n, c: n + c)
         both = pairs.join(fine.select(F.col("node").alias("x"), F.col("fine").alias("xf")), "x").join(fine.select(F.col("node").alias("y"), F.col("fine").alias("yf")), "y")
         both = both.select("x", "y", "an", "bn", most.alias("shared")).where(_similar(self.num, self.den, "shared", "an", "bn"))
-        return stored(both.select("x", "y", "an", "bn").distinct(), f"{name}-possible")
+        return stored(both.select("x", "y", "an", "bn"), f"{name}-possible")
 
     def verify(self, pairs: DataFrame, name: str) -> DataFrame:
-        """``pairs``: classes ``a``, ``b`` with sizes.  Returns those that are similar, as nodes (the smallest
-        id of each class)."""
-        node = self.reps.select(F.col("class"), F.col("node"))
-        pairs = stored(
-            pairs.join(node.select(F.col("class").alias("a"), F.col("node").alias("x")), "a")
-            .join(node.select(F.col("class").alias("b"), F.col("node").alias("y")), "b")
-            .select("x", "y", "an", "bn"),
-            f"{name}-pairs",
-        )
+        """``pairs``: nodes ``x``, ``y`` with sizes.  Returns those that are similar."""
         pairs = self.possible(pairs, name)
         texts = self.docs.where("doc_id is not null").select(F.col("doc_id").alias("node"), _cell("doc_id"), "text")
         segments = texts.mapInArrow(_segments(self.size, self.deal, self.sieve(pairs)), "node long, fragment int, grams array<long>")
         segments = stored(segments, f"{name}-segments")
         one = segments.select(F.col("node").alias("x"), "fragment", F.col("grams").alias("xg"))
         two = segments.select(F.col("node").alias("y"), "fragment", F.col("grams").alias("yg"))
-        overlap = (
-            pairs.join(one, "x").join(two, ["y", "fragment"])
-            .select("x", "y", "an", "bn", "fragment", F.size(F.array_intersect("xg", "yg")).alias("part"))
-            .groupBy("x", "y", "an", "bn", "fragment").agg(F.max("part").alias("part"))  # rows that repeat an id
-            .groupBy("x", "y", "an", "bn").agg(F.sum("part").alias("shared"))
-        )
+        parts = pairs.join(one, "x").join(two, ["y", "fragment"]).select("x", "y", "an", "bn", "fragment", F.size(F.array_intersect("xg", "yg")).alias("part"))
+        # Rows that repeat an id repeat its fragments: each counts once.
+        each = [F.coalesce(F.max(F.when(F.col("fragment") == f, F.col("part"))), F.lit(0)) for f in range(self.deal.n)]
+        overlap = parts.groupBy("x", "y", "an", "bn").agg(sum(each[1:], each[0]).cast("long").alias("shared"))
         return stored(overlap.where(_similar(self.num, self.den, "shared", "an", "bn")).select(F.col("x").alias("a"), F.col("y").alias("b")), f"{name}-links")
 
 
@@ -270,46 +262,50 @@ def similar_components(
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     scanned = stored(docs.mapInArrow(_scan(size, cell_bits), "doc_id long, n long, class long, fine array<int>, piece int, cells binary"), "sets")
     sets = scanned.where("piece is null").select("doc_id", "n", "class", "fine")
-    reps = stored(sets.where("n > 0 and doc_id is not null").groupBy("class").agg(F.min("doc_id").alias("node")), "classes")
     shared = spark.sparkContext.broadcast(_cells(scanned, cell_bits))
-    prefixes = docs.select("text").mapInArrow(_prefixes(size, numerator, denominator, cell_bits, shared), "gram long, class long, n int, place int")
+    prefixes = docs.where("doc_id is not null").mapInArrow(
+        _prefixes(size, numerator, denominator, cell_bits, shared), "gram long, class long, node long, n int, place int"
+    )
     bucket = Window.partitionBy("gram")
+    # A node stands for a class: the smallest id of its copies.
     meeting = stored(
-        prefixes.groupBy("gram", "class").agg(F.first("n").alias("n"), F.first("place").alias("place"))
+        prefixes.groupBy("gram", "class").agg(F.min("node").alias("node"), F.first("n").alias("n"), F.first("place").alias("place"))
         .withColumn("m", F.count("*").over(bucket)).where("m > 1")
-        .withColumn("hub", F.first(F.struct("class", "n", "place")).over(bucket.orderBy("place", "n", "class")))
-        .drop("m"),
+        .withColumn("hub", F.first(F.struct("node", "n", "place")).over(bucket.orderBy("place", "n", "node")))
+        .select("gram", "node", "n", "place", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hn"), F.col("hub.place").alias("hplace")),
         "buckets",
     )
-    join = _Join(docs, sets, reps, size, numerator, denominator, fragments)
-    flat = meeting.select("class", "n", "place", F.col("hub.class").alias("hub"), F.col("hub.n").alias("hn"), F.col("hub.place").alias("hplace"))
+    join = _Join(docs, sets, size, numerator, denominator, fragments)
     star = (
-        flat.where("class <> hub").where(_may_match(numerator, denominator, "", "h"))
-        .select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b"),
-                F.expr("if(class < hub, n, hn)").alias("an"), F.expr("if(class < hub, hn, n)").alias("bn"))
+        meeting.where("node <> hub").where(_may_match(numerator, denominator, "", "h"))
+        .select(F.least("node", "hub").alias("x"), F.greatest("node", "hub").alias("y"),
+                F.expr("if(node < hub, n, hn)").alias("an"), F.expr("if(node < hub, hn, n)").alias("bn"))
         .distinct()
     )
+    star = stored(star, "star")
     links = join.verify(star, "star")
     labels = stored(components(links), "labels")
 
     # What may still join two components: pairs of one bucket whose labels differ.
-    by_class = reps.join(labels, "node", "left").select("class", F.coalesce("label", "node").alias("label"))
-    left = meeting.select("gram", "class", "n", "place", F.col("hub.class").alias("hub")).join(by_class, "class")
-    mixed = left.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("gram")
-    left = left.join(mixed, "gram")
-    a = left.select("gram", *[F.col(c).alias(f"a{c}") for c in ("class", "n", "place", "label", "hub")])
-    b = left.select("gram", *[F.col(c).alias(f"b{c}") for c in ("class", "n", "place", "label")])
+    mixed = meeting.join(labels, "node", "left").select("gram", "node", "n", "place", "hub", F.coalesce("label", "node").alias("label"))
+    mixed = mixed.withColumn("low", F.min("label").over(bucket)).withColumn("high", F.max("label").over(bucket)).where("low < high")
+    a = mixed.select("gram", *[F.col(c).alias(f"a{c}") for c in ("node", "n", "place", "label", "hub")])
+    b = mixed.select("gram", *[F.col(c).alias(f"b{c}") for c in ("node", "n", "place", "label")])
     rest = (
-        a.join(b, "gram").where("aclass < bclass and alabel <> blabel and aclass <> ahub and bclass <> ahub")
+        a.join(b, "gram").where("anode < bnode and alabel <> blabel and anode <> ahub and bnode <> ahub")
         .where(_may_match(numerator, denominator, "a", "b"))
-        .select(F.col("aclass").alias("a"), F.col("bclass").alias("b"), "an", "bn").distinct()
-        .join(star.select("a", "b"), ["a", "b"], "left_anti")
+        .select(F.col("anode").alias("x"), F.col("bnode").alias("y"), "an", "bn").distinct()
+        .join(star.select("x", "y"), ["x", "y"], "left_anti")
     )
     rest = stored(rest, "rest")
     if not rest.isEmpty():
-        labels = components(links.unionByName(join.verify(rest, "rest")))
-    final = reps.join(labels, "node", "left").select("class", F.coalesce("label", "node").alias("label"))
-    linked = sets.where("n > 0 and doc_id is not null").join(final, "class").select("doc_id", F.col("n").alias("n_shingles"), F.col("label").alias("component_id"))
+        more = join.verify(rest, "rest")
+        if not more.isEmpty():
+            labels = components(links.unionByName(more))
+    own = sets.where("n > 0 and doc_id is not null")
+    reps = own.groupBy("class").agg(F.min("doc_id").alias("node"))
+    final = stored(reps.join(labels, "node", "left").select("class", F.coalesce("label", "node").alias("label")), "classes")
+    linked = own.join(final, "class").select("doc_id", F.col("n").alias("n_shingles"), F.col("label").alias("component_id"))
     alone = sets.where("n = 0 or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone)
 
