@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .core import stored
+from .core import discard, stored
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -26,7 +26,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         # Small star: the node and its smaller neighbours go to the least of them.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        state = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        last, state = state, stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        discard(last)
         if _stars(state):
             break
     else:

@@ -7,7 +7,9 @@ document is a slice of its own, so memory follows the longest single document, n
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -41,7 +43,34 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/millrace-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._millrace_path = path
+    made = getattr(_KEPT, "paths", None)
+    if made is not None:
+        made.append(path)
+    return out
+
+
+_KEPT = threading.local()
+
+
+def discard(*tables: DataFrame | str, spark: SparkSession | None = None) -> None:
+    """Deletes intermediate tables of ``stored`` that nothing will read again."""
+    for x in tables:
+        path = x if isinstance(x, str) else x._millrace_path
+        spark = spark or x.sparkSession
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextlib.contextmanager
+def noted() -> Iterator[list[str]]:
+    """Paths of the tables that ``stored`` writes inside, for a later ``discard``."""
+    before, _KEPT.paths = getattr(_KEPT, "paths", None), []
+    try:
+        yield _KEPT.paths
+    finally:
+        _KEPT.paths = before
 
 
 def buckets(spark: SparkSession, per_partition: int = 2) -> int:
@@ -375,3 +404,21 @@ class Asker:
             ]
             yield ask_rows(self.deal, block, keys, sums)
         self.held, self.size = {}, 0
+
+
+def without(docs: DataFrame, gone: DataFrame, size: int = 256) -> DataFrame:
+    """``docs`` (with ``doc_id``) less the ids in ``gone``.  Rows come out block by block, as the operators
+    that make keys distinct by block like them; rows without an id stay."""
+    keyed = docs.select(block_of(F.col("doc_id"), F.lit(None), size).alias("block"), F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
+    listed = gone.select(block_of(F.col("doc_id"), F.lit(None), size).alias("block"), F.col("doc_id").cast("string").alias("id"))
+    answers = listed.groupBy("block").agg(F.array_join(F.collect_set("id"), ",").cast("binary").alias("answer")).withColumn("bucket", F.lit(0))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, table, marks in by_block(batches):
+            if table is not None:
+                rows = table.column("row").combine_chunks()
+                ids = {int(x) for m in marks.values() for x in m.split(b",")}
+                keep = np.array([x not in ids for x in rows.field("doc_id").to_pylist()], bool)
+                yield pa.RecordBatch.from_struct_array(rows.filter(pa.array(keep)))
+
+    return together(keyed, answers).mapInArrow(run, docs.schema)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .core import LOWER, U64, Deal, mix, pack, slices, stored, unpack, windows, word_hashes, word_spans
+from .core import LOWER, U64, Deal, discard, mix, pack, slices, stored, unpack, windows, word_hashes, word_spans
 
 SIZE, NUMERATOR, DENOMINATOR = 3, 90, 100
 #: Cells of the occurrence table (4 bytes each), whatever the size of the corpus.
@@ -233,7 +233,9 @@ class _Join:
         most = F.aggregate(F.zip_with("xf", "yf", lambda a, b: F.least(a, b)), F.lit(0).cast("long"), lambda n, c: n + c)
         both = pairs.join(fine.select(F.col("node").alias("x"), F.col("fine").alias("xf")), "x").join(fine.select(F.col("node").alias("y"), F.col("fine").alias("yf")), "y")
         both = both.select("x", "y", "an", "bn", most.alias("shared")).where(_similar(self.num, self.den, "shared", "an", "bn"))
-        return stored(both.select("x", "y", "an", "bn"), f"{name}-possible")
+        out = stored(both.select("x", "y", "an", "bn"), f"{name}-possible")
+        discard(fine)
+        return out
 
     def verify(self, pairs: DataFrame, name: str) -> DataFrame:
         """``pairs``: nodes ``x``, ``y`` with sizes.  Returns those that are similar."""
@@ -247,7 +249,10 @@ class _Join:
         # Rows that repeat an id repeat its fragments: each counts once.
         each = [F.coalesce(F.max(F.when(F.col("fragment") == f, F.col("part"))), F.lit(0)) for f in range(self.deal.n)]
         overlap = parts.groupBy("x", "y", "an", "bn").agg(sum(each[1:], each[0]).cast("long").alias("shared"))
-        return stored(overlap.where(_similar(self.num, self.den, "shared", "an", "bn")).select(F.col("x").alias("a"), F.col("y").alias("b")), f"{name}-links")
+        links = overlap.where(_similar(self.num, self.den, "shared", "an", "bn")).select(F.col("x").alias("a"), F.col("y").alias("b"))
+        links = stored(links, f"{name}-links")
+        discard(pairs, segments)
+        return links
 
 
 def similar_components(
@@ -298,6 +303,7 @@ def similar_components(
         .join(star.select("x", "y"), ["x", "y"], "left_anti")
     )
     rest = stored(rest, "rest")
+    discard(meeting)
     if not rest.isEmpty():
         more = join.verify(rest, "rest")
         if not more.isEmpty():
