@@ -14,11 +14,14 @@ the shared folder and gives it to the next stage.  All but the last return the c
 
 from __future__ import annotations
 
+import functools
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import decontamination, language_id, ngram_jaccard, source_mixing, substring_dedup
-from millrace.llm.core import stored
+from millrace.llm.core import discard, noted, stored, without
 
 
 def _columns(found: DataFrame, **changed) -> DataFrame:
@@ -34,8 +37,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = ngram_jaccard.similar_components(docs)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return without(docs, groups.where("doc_id <> component_id").select("doc_id"))
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,12 +62,30 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     )
 
 
+_LEFT = threading.local()
+
+
+def _tidy(stage):
+    """Before a stage starts, what the stage before it stored on the way goes: its result has been written."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        discard(*getattr(_LEFT, "paths", []), spark=spark)
+        _LEFT.paths = []
+        with noted() as made:
+            out = stage(spark, docs, sf_dir)
+        _LEFT.paths = made
+        return out
+
+    return run
+
+
 STAGES = [
-    ("language_id", language_stage),
-    ("ngram_jaccard", jaccard_stage),
-    ("substring_dedup", substring_stage),
-    ("decontamination", decontamination_stage),
-    ("source_mixing", mixing_stage),
+    ("language_id", _tidy(language_stage)),
+    ("ngram_jaccard", _tidy(jaccard_stage)),
+    ("substring_dedup", _tidy(substring_stage)),
+    ("decontamination", _tidy(decontamination_stage)),
+    ("source_mixing", _tidy(mixing_stage)),
 ]
 
 
