@@ -85,11 +85,11 @@ def split_mod(doc_id: Column, modulus: int) -> Column:
 
 
 def block_of(doc_id: Column, text: Column, size: int) -> Column:
-    """Block of neighbouring documents: ids are dealt out in runs of ``size``; rows without an id by
-    their text and ``salt``, so that they do not meet in one block."""
+    """Block of neighbouring documents: ids are dealt out in runs of ``size``; rows without an id by a hash
+    of their text, so that they do not all meet in one block."""
     return F.coalesce(
         F.floor(doc_id.cast("long") / F.lit(size)).cast("long"),
-        -1 - F.pmod(F.xxhash64(text, F.monotonically_increasing_id()), F.lit(1 << 20)),
+        -1 - F.pmod(F.xxhash64(text), F.lit(1 << 20)),
     )
 
 
@@ -407,10 +407,10 @@ class Asker:
 
 
 def without(docs: DataFrame, gone: DataFrame, size: int = 256) -> DataFrame:
-    """``docs`` (with ``doc_id``) less the ids in ``gone``.  Rows come out block by block, as the operators
+    """``docs`` (with ``doc_id`` and ``text``) less the ids in ``gone``.  Rows come out block by block, as the operators
     that make keys distinct by block like them; rows without an id stay."""
-    keyed = docs.select(block_of(F.col("doc_id"), F.lit(None), size).alias("block"), F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
-    listed = gone.select(block_of(F.col("doc_id"), F.lit(None), size).alias("block"), F.col("doc_id").cast("string").alias("id"))
+    keyed = docs.select(block_of(F.col("doc_id"), F.col("text"), size).alias("block"), F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
+    listed = gone.select(F.floor(F.col("doc_id").cast("long") / F.lit(size)).cast("long").alias("block"), F.col("doc_id").cast("string").alias("id"))
     answers = listed.groupBy("block").agg(F.array_join(F.collect_set("id"), ",").cast("binary").alias("answer")).withColumn("bucket", F.lit(0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
