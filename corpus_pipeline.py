@@ -31,7 +31,10 @@ def _columns(found: DataFrame, **changed) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = language_id.identify(docs, *language_id.learn_prototypes(docs))
+    langs, prototypes = language_id.learn_prototypes(docs)
+    if not langs:  # nothing to compare with: only texts without a letter go
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = language_id.identify(docs, langs, prototypes)
     return _columns(found.where(F.col("lang_pred") != "und"))
 
 
