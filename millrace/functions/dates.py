@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 import pandas as pd
@@ -43,8 +44,21 @@ def iso(s: Column) -> Column:
     return F.coalesce(plain, basic, by_week, by_day)
 
 
+_SHAPES = {"yyyy": r"\d{4}", "MMMM": "[A-Za-z]+", "MMM": "[A-Za-z]+", "SSSSSS": r"\d{6}", "XXX": r"(?:Z|[+-]\d{2}:\d{2})", "'T'": "T"}
+
+
+def _shape(pattern: str) -> str:
+    """A regular expression for texts a format may read: failed parses cost far more than a look."""
+
+    def one(m: re.Match) -> str:
+        token = m[0]
+        return _SHAPES.get(token) or (r"\d{2}" if len(token) == 2 else r"\d{1,2}")
+
+    return "^" + re.sub(r"'T'|y+|M+|d+|H+|m+|s+|S+|X+", one, pattern) + "$"
+
+
 def common(s: Column) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in FORMATS])
+    return F.coalesce(*[F.when(s.rlike(_shape(f)), F.try_to_timestamp(s, F.lit(f))) for f in FORMATS])
 
 
 def relative(s: Column, as_of: Column) -> Column:
