@@ -8,8 +8,10 @@ document is a slice of its own, so memory follows the longest single document, n
 from __future__ import annotations
 
 import contextlib
+import gc
 import tempfile
 import threading
+import time
 import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -63,6 +65,15 @@ def discard(*tables: DataFrame | str, spark: SparkSession | None = None) -> None
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets the driver find what is no longer referred to, so that Spark deletes its shuffle files now and
+    not whenever the driver next runs out of memory."""
+    for _ in range(2):  # the first pass frees plans, the second what only they held
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.3)
+
+
 @contextlib.contextmanager
 def noted() -> Iterator[list[str]]:
     """Paths of the tables that ``stored`` writes inside, for a later ``discard``."""

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .core import (
-    ASK_SQL, LOWER, U64, Asker, Deal, block_of, buckets, by_block, merge_asked, mix, pack, slices, split_mod,
+    ASK_SQL, LOWER, U64, Asker, Deal, block_of, buckets, by_block, merge_asked, mix, pack, release, slices, split_mod,
     stored, text_bytes, together, unpack, word_hashes, word_spans,
 )
 
@@ -198,6 +198,11 @@ def _score(deal: Deal, n: int, v: int, weights: np.ndarray):
     return run
 
 
+def _counted(texts: DataFrame, deal: Deal) -> DataFrame:
+    asks = texts.mapInArrow(_ask(deal), ASK_SQL)
+    return stored(asks.groupBy("bucket").applyInArrow(_answer, "block long, bucket int, answer binary, sizes array<long>"), "counts")
+
+
 def score_documents(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """``train``: boolean column, whether a row's text may be learned from.  One row per input row:
     ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` (log10)."""
@@ -208,8 +213,8 @@ def score_documents(docs: DataFrame, train, id_col: str = "doc_id", text_col: st
         block_of(F.col(id_col), F.col(text_col), block).alias("block"),
     )
     deleted = F.pmod(F.xxhash64("block"), F.lit(DELETED)) == 0
-    asks = keyed.select("block", "text", "train", deleted.alias("deleted")).mapInArrow(_ask(deal), ASK_SQL)
-    ranges = stored(asks.groupBy("bucket").applyInArrow(_answer, "block long, bucket int, answer binary, sizes array<long>"), "counts")
+    ranges = _counted(keyed.select("block", "text", "train", deleted.alias("deleted")), deal)
+    release(spark)
     sums = ranges.where("block is null").agg(*[F.coalesce(F.sum(F.col("sizes")[i]), F.lit(0)).alias(str(i)) for i in range(3)]).first()
     n, v, n_deleted = (int(x) for x in sums)
     answers = ranges.where("block is not null")

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .core import (
-    ASK_SQL, PLAIN, Asker, Deal, ask_rows, block_of, buckets, by_block, merge_asked, pack_sorted, slices, stored, text_bytes,
+    ASK_SQL, PLAIN, Asker, Deal, ask_rows, block_of, buckets, by_block, merge_asked, pack_sorted, release, slices, stored, text_bytes,
     together, unpack_sorted, windows, word_hashes, word_spans,
 )
 
@@ -103,7 +103,8 @@ def _rows(kind: int, n: int, block: int, row: pa.Array, **have) -> pa.RecordBatc
 class _Block:
     """Words and keys of one block's documents."""
 
-    def __init__(self, table: pa.Table, text: str) -> None:
+    def __init__(self, table: pa.Table, text: str, original: bool) -> None:
+        self.text, self.original = text, original
         self.rows = table.column("row").combine_chunks()
         self.data, self.offsets = text_bytes(self.rows.field(text))
         self.starts, self.ends, self.first = word_spans(self.data, self.offsets, PLAIN)
@@ -112,6 +113,14 @@ class _Block:
     def __len__(self) -> int:
         return len(self.rows)
 
+    def given_back(self, part: np.ndarray) -> pa.Array:
+        """Input rows as results hold them: without the text, unless it is wanted beside ``kept``."""
+        rows = self.rows.take(pa.array(part))
+        if self.original:
+            return rows
+        fields = list(rows.type)
+        return pa.StructArray.from_arrays([pa.nulls(len(rows), f.type) if f.name == self.text else rows.field(f.name) for f in fields], fields=fields)
+
     def kept(self, i: int, gone: np.ndarray) -> str:
         a, z = int(self.first[i]), int(self.first[i + 1])
         drop = gone[a:z]
@@ -127,20 +136,20 @@ class _Block:
             if len(part):
                 removed = np.concatenate([[0], np.cumsum(gone)])[self.first]
                 yield _rows(
-                    0, len(part), block, self.rows.take(pa.array(part)),
+                    0, len(part), block, self.given_back(part),
                     n_words=pa.array(np.diff(self.first)[part]), n_removed=pa.array(np.diff(removed)[part]),
                     kept=pa.array([self.kept(int(i), gone) for i in part], pa.string()),
                 )
 
 
-def _extend(deal: Deal, deal2: Deal, text: str, window: int, anchor: int):
+def _extend(deal: Deal, deal2: Deal, text: str, window: int, anchor: int, original: bool):
     """Documents without a hit are done; of the others, the windows around hits are asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, table, answers in by_block(batches):
             if table is None:
                 continue
-            b = _Block(table, text)
+            b = _Block(table, text, original)
             near = _near(b, deal, window, anchor, answers)
             keys, docs = deal2.cut(near[0]), near[2]
             has = np.zeros(len(b), bool)
@@ -170,12 +179,12 @@ def _near(b: _Block, deal: Deal, window: int, anchor: int, answers: dict[int, by
     return value, begin, np.searchsorted(b.first, begin, "right") - 1
 
 
-def _finish(deal2: Deal, text: str, window: int):
+def _finish(deal2: Deal, text: str, window: int, original: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, table, answers in by_block(batches):
             if table is None:
                 continue
-            b = _Block(table, text)
+            b = _Block(table, text, original)
             value, begin = windows(b.h, b.first, window)
             keys = deal2.cut(value)
             repeated = np.zeros(len(keys), bool)
@@ -202,30 +211,35 @@ def _answer_keys(table: pa.Table) -> pa.Table:
     })
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, block: int = BLOCK) -> DataFrame:
+def _first_round(docs: DataFrame, id_col: str, text_col: str, block: int, ask, extend) -> DataFrame:
+    keyed = docs.select(
+        block_of(F.col(id_col), F.col(text_col), block).alias("block"), F.struct(*[F.col(c) for c in docs.columns]).alias("row")
+    )
+    schema = T.StructType([*T._parse_datatype_string(_DONE_SQL).fields, T.StructField("row", keyed.schema["row"].dataType)])
+    asks = keyed.select("block", F.col("row")[text_col].alias("text")).mapInArrow(ask, ASK_SQL)
+    answers = asks.groupBy("bucket").applyInArrow(_answer_anchors, ANSWER_SQL)
+    return stored(together(keyed, answers).mapInArrow(extend, schema), "repeats")
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, block: int = BLOCK, original: bool = True) -> DataFrame:
     """One row per input row: ``row`` (all input columns), ``n_words``, ``n_removed`` and ``kept``, the
-    words that no repeated window covers, joined by one space."""
+    words that no repeated window covers, joined by one space.  ``original=False`` leaves the text in ``row``
+    null, so that it is not stored twice."""
     if window < 1:
         raise ValueError("window must be at least one word")
     spark = docs.sparkSession
     anchor = (window + 1) // 2
     n = buckets(spark)
     deal, deal2 = Deal(n, ANCHOR_BITS), Deal(n, WINDOW_BITS)
-    keyed = docs.select(
-        block_of(F.col(id_col), F.col(text_col), block).alias("block"), F.struct(*[F.col(c) for c in docs.columns]).alias("row")
-    )
-    row_sql = keyed.schema["row"].dataType
-    texts = keyed.select("block", F.col("row")[text_col].alias("text"))
-    asks = texts.mapInArrow(_ask_anchors(deal, window, anchor), ASK_SQL)
-    answers = asks.groupBy("bucket").applyInArrow(_answer_anchors, ANSWER_SQL)
-    schema = T.StructType([*T._parse_datatype_string(_DONE_SQL).fields, T.StructField("row", row_sql)])
-    mid = stored(together(keyed, answers).mapInArrow(_extend(deal, deal2, text_col, window, anchor), schema), "repeats")
+    mid = _first_round(docs, id_col, text_col, block, _ask_anchors(deal, window, anchor), _extend(deal, deal2, text_col, window, anchor, original))
+    release(spark)
+    schema = mid.schema
     more = mid.where("kind = 2").select("bucket", "block", "keys", "values").groupBy("bucket").applyInArrow(_answer_keys, ANSWER_SQL)
-    rest = together(mid.where("kind = 1").select("block", "row"), more).mapInArrow(_finish(deal2, text_col, window), schema)
+    rest = together(mid.where("kind = 1").select("block", "row"), more).mapInArrow(_finish(deal2, text_col, window, original), schema)
     done = ["row", "n_words", "n_removed", "kept"]
     return mid.where("kind = 0").select(*done).unionByName(rest.select(*done))
 
 
 def op8_substring_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return remove_repeats(docs).select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    return remove_repeats(docs, original=False).select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
