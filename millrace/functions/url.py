@@ -110,3 +110,12 @@ def repo_urls(text: Column) -> Column:
 
 def arxiv_id(url: Column) -> Column:
     return F.nullif(F.regexp_extract(url, r"/(abs|pdf)/([0-9]+\.[0-9]+)", 2), F.lit(""))
+
+
+def joined(origin: Column, href: Column) -> Column:
+    """``href`` as an absolute address, seen from the top of ``origin``."""
+    top = base(origin)
+    return (
+        F.when(href.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), href).when(F.startswith(href, F.lit("//")), F.concat(scheme(origin), F.lit(":"), href))
+        .when(F.startswith(href, F.lit("/")), F.concat(top, href)).otherwise(F.concat(top, F.lit("/"), href))
+    )

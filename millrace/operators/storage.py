@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -40,3 +40,35 @@ def capped(rows: DataFrame, source: str, order: list[str], limit: int = 100) ->
     """The first ``limit`` rows of each source: a top-k, which Spark cuts down before the shuffle."""
     w = Window.partitionBy(source).orderBy(*order)
     return rows.withColumn("position", F.row_number().over(w)).where(F.col("position") <= limit)
+
+
+def create_tables(spark: SparkSession, tables: dict[str, str]) -> None:
+    """Makes the tables that are not there; ``tables`` gives their columns by name."""
+    for name, columns in tables.items():
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet")
+
+
+def drop_tables(spark: SparkSession, names: list[str]) -> None:
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def latest_version(spark: SparkSession, path: str) -> int:
+    """Number of the newest version that was written whole; 0 if there is none."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return 0
+    names = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith("v=")]
+    done = [int(p.getName()[2:]) for p in names if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return max(done, default=0)
+
+
+def export(table: DataFrame, path: str, kind: str = "csv") -> None:
+    """A copy for other programs.  CSV has no nested values: they are written as JSON text."""
+    nested = ("struct", "array", "map", "variant")
+    if kind == "csv":
+        table = table.select(*[F.to_json(c).alias(c) if t.startswith(nested) else F.col(c) for c, t in table.dtypes])
+        table.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    else:
+        table.write.mode("overwrite").format(kind).save(path)

@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,10 +14,11 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions import hashing as H
 from ..functions import html as P
+from ..functions import outline as O
 from ..functions import text as X
 from ..functions import url as U
-from ..operators import chunking, enrichment, extraction, freshness, metrics, resolution, storage
-from ..schemas import violations
+from ..operators import chunking, enrichment, extraction, freshness, metrics, queues, records, repositories, resolution, storage
+from ..schemas import RECORD_TYPES, violations
 from ..sources import web
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -289,23 +291,67 @@ def doc_validate(spark, d):
 
 @query()
 def news_from_pages(spark, d):
-    rows = _processed(spark, d)
-    author = F.coalesce(c("meta")["meta_author"], c("marked")["author"])
-    content = F.struct(c("title"), c("main").alias("body"), author.alias("author"), F.coalesce(c("meta")["og_image"], F.get("images", F.lit(0))).alias("image_url"))
-    return rows.select("page_id", F.lit("NEWS").alias("record_type"), content.alias("content"), H.content_hash(c("main")).alias("content_hash"))
+    got = {k: v.alias(k) for k, v in records.news_content(c("page")).items()}
+    return _read(spark, d).select("page_id", F.lit("NEWS").alias("record_type"), F.struct(*got.values()).alias("content"), H.content_hash(c("page.main")).alias("content_hash"))
 
 
 @query()
 def jobs_from_pages(spark, d):
-    ld = F.try_parse_json("json_ld")
-    get = lambda p: F.try_variant_get(ld, p, "string")
-    company = F.coalesce(get("$.hiringOrganization.name"), c("meta")["meta_company"], c("marked")["company"], F.lit("Unknown"))
-    place = F.coalesce(get("$.jobLocation.address.addressLocality"), c("meta")["meta_location"], c("marked")["location"])
-    apply = F.coalesce(F.get(F.filter("links", lambda u: u.contains("apply")), F.lit(0)), F.get(F.filter("links", lambda u: u.contains("application")), F.lit(0)), c("marked")["apply"])
-    return _processed(spark, d).select(
-        "page_id", F.lit("JOB").alias("record_type"), company.alias("company"), c("title").alias("role"), place.alias("location"), X.is_remote(c("main")).alias("is_remote"),
-        X.role_family(c("title"), c("main")).alias("role_family"), apply.alias("application_url"),
-    )
+    got = records.job_content(c("page"))
+    return _read(spark, d).select("page_id", F.lit("JOB").alias("record_type"), *[got[k].alias(k) for k in ("company", "role", "location", "is_remote", "role_family", "application_url")])
+
+
+def _listed(spark, d, before: Column) -> DataFrame:
+    """Pages with something put before them, as they are read for papers, products and companies."""
+    html = F.concat(before, F.coalesce("html", F.lit("")))
+    return table(spark, d, "pages").select(c("page_id").cast("string").alias("source_name"), F.concat(F.lit("https://arxiv.org/abs/2401."), c("page_id").cast("string")).alias("url"), F.lit(200).alias("status_code"), O.outline(html).alias("page"))
+
+
+def _tagged(*parts: str) -> Column:
+    """Markup in which ``{}`` stands for the page's id."""
+    return F.concat(*[c("page_id").cast("string") if x == "{}" else F.lit(x) for p in parts for x in re.split(r"(\{\})", p) if x])
+
+
+@query("SELECT page_id, 'https://arxiv.org/abs/2401.' || page_id AS source_url, 'Paper ' || page_id AS title, ['Ann ' || page_id, 'Bo'] AS authors, '2401.' || page_id AS external_id, TIMESTAMP '2026-08-15' AS published_date, 'https://arxiv.org/pdf/' || page_id AS pdf_url, 'cs.DB' AS category, 'Sum' AS abstract FROM pages")
+def papers_from_pages(spark, d):
+    before = _tagged("<h1 class='paper-title'>Paper {}</h1><div class='authors'>Ann {}; Bo</div><p class='date'>15 aug 2026</p><a href='/pdf/{}'>View PDF</a><i class='subject'>cs.DB</i><b class='abstract'>Sum</b>")
+    r = records.papers(_listed(spark, d, before))
+    k = c("content")
+    return r.select(c("source_name").cast("long").alias("page_id"), "source_url", k["title"].alias("title"), k["authors"].alias("authors"), k["external_id"].alias("external_id"), k["published_date"].cast("timestamp_ntz").alias("published_date"), k["pdf_url"].alias("pdf_url"), k["category"].alias("category"), k["abstract"].alias("abstract"))
+
+
+@query("SELECT page_id, 'Tool ' || page_id AS product_name, CASE WHEN page_id % 2 = 0 THEN 'https://p/' || page_id ELSE 'https://w/' || page_id END AS website, CASE WHEN page_id % 2 = 0 THEN 'PAID' ELSE 'FREEMIUM' END AS pricing_model, CASE WHEN page_id % 2 = 1 THEN CAST(page_id AS INTEGER) END AS upvotes FROM pages")
+def products_from_pages(spark, d):
+    """Even pages carry a data list, odd ones show the fields as elements."""
+    data = _tagged("<script type='application/ld+json'>[{\"@type\": \"Thing\"}, {\"@type\": \"Product\", \"name\": \"Tool {}\", \"url\": \"https://p/", "{}", "\", \"offers\": {\"price\": \"paid\"}}]</script>")
+    shown = _tagged("<h1>Tool {}</h1><span class='upvotes'>{} votes</span><a href='https://w/{}'>Visit</a><i>Pricing: freemium</i>")
+    k = c("content")
+    r = records.products(_listed(spark, d, F.when(c("page_id") % 2 == 0, data).otherwise(shown)))
+    return r.select(c("source_name").cast("long").alias("page_id"), *[k[x].alias(x) for x in ("product_name", "website", "pricing_model", "upvotes")])
+
+
+@query("SELECT page_id, 'Firm ' || page_id AS entity_name, 'Winter 2024' AS batch, 'https://f/' || page_id AS website, 'Makes things' AS description FROM pages")
+def startups_from_pages(spark, d):
+    before = _tagged("<h1>Firm {}</h1><div class='bio'>Makes things</div><a href='https://f/{}'>http://f</a><b> Winter 2024 </b>")
+    k = c("content")
+    return records.startups(_listed(spark, d, before)).select(c("source_name").cast("long").alias("page_id"), *[k[x].alias(x) for x in ("entity_name", "batch", "website", "description")])
+
+
+@query("SELECT page_id, ['https://arxiv.org/abs/' || page_id, 'https://x.example/pdf/1'] AS urls FROM pages")
+def links_discovered(spark, d):
+    before = _tagged("<a href='/abs/{}'>a</a><a href='/list/'>b</a><a href='//x.example/pdf/1'>c</a>")
+    return _listed(spark, d, before).select(c("source_name").cast("long").alias("page_id"), records.discovered(c("page"), "arxiv", "https://arxiv.org").alias("urls"))
+
+
+@query()
+def crawl_to_store(spark, d):
+    """Pages of five kinds read, filtered by freshness, routed and put into their tables; rows per table."""
+    from ..streaming.batch import shared_dir
+    from . import crawl
+
+    kind = F.element_at(F.array(*[F.lit(k) for k in RECORD_TYPES]), (c("page_id") % 5 + 1).cast("int"))
+    pages = table(spark, d, "pages").select("url", F.lower(kind).alias("source_name"), kind.alias("record_type"), F.when(c("page_id") % 10 == 9, 404).otherwise(200).alias("status_code"), "html")
+    return crawl.store(spark, pages, shared_dir(spark), as_of())
 
 
 # ------------------------------------------------------------------ dates
@@ -489,6 +535,18 @@ def queue_stats(spark, d):
     return _metrics(spark, d).select(c("domain").alias("queue"), state.alias("state")).groupBy("queue").pivot("state", ["completed", "failed"]).count().na.fill(0)
 
 
+JOBS = "(SELECT *, last_value(op) OVER (PARTITION BY queue, job_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS state, row_number() OVER (PARTITION BY queue, job_id ORDER BY seq) AS n FROM (SELECT 'd' || (user_id % 7) AS queue, user_id AS job_id, event_id AS seq, CASE event_type WHEN 'view' THEN 'enqueue' WHEN 'click' THEN 'dequeue' WHEN 'purchase' THEN 'complete' WHEN 'signup' THEN 'requeue' ELSE 'fail' END AS op FROM events))"
+
+
+@query(f"SELECT queue, count(*) FILTER (WHERE n = 1 AND state IN ('enqueue', 'requeue')) AS size, count(*) FILTER (WHERE n = 1 AND state = 'dequeue') AS in_flight, count(*) FILTER (WHERE op = 'complete') AS completed, count(*) FILTER (WHERE op = 'fail') AS failed FROM {JOBS} GROUP BY 1")
+def queue_states(spark, d):
+    op = F.lit(queues.FAIL)
+    for kind, name in (("view", queues.ENQUEUE), ("click", queues.DEQUEUE), ("purchase", queues.COMPLETE), ("signup", queues.REQUEUE)):
+        op = F.when(c("event_type") == kind, name).otherwise(op)
+    log = table(spark, d, "events").select(F.concat(F.lit("d"), (c("user_id") % 7).cast("string")).alias("queue"), c("user_id").alias("job_id"), c("event_id").alias("seq"), op.alias("op"))
+    return queues.stats(log)
+
+
 # ------------------------------------------------------------------ vectors
 _VEC = "embedding::DOUBLE[]"
 
@@ -691,6 +749,42 @@ def source_list(spark, d):
     return web.sources(spark)
 
 
+def _replies(spark, d) -> DataFrame:
+    """Replies of the repository service, one for every third part."""
+    made = F.to_json(F.struct(F.concat(F.lit("https://github.com/org/r"), c("p_partkey").cast("string")).alias("html_url"), F.concat(F.lit("r"), c("p_partkey").cast("string")).alias("name"), F.struct(F.lit("org").alias("login")).alias("owner"), c("p_size").alias("stargazers_count"), c("p_name").alias("description")))
+    return repositories.from_replies(table(spark, d, "part").where("p_partkey % 3 = 0").select(made.alias("body")), "body", as_of())
+
+
+@query("SELECT p_partkey, p_partkey % 3 = 0 AS verified, CASE WHEN p_partkey % 3 = 0 THEN p_size END AS stars, CASE WHEN p_partkey % 3 = 0 THEN p_name END AS description FROM part")
+def repo_lookup(spark, d):
+    asked = table(spark, d, "part").select("p_partkey", F.concat(F.lit("http://www.github.com/org/r"), c("p_partkey").cast("string"), F.lit(".git")).alias("url"))
+    return repositories.looked_up(asked, "url", _replies(spark, d)).select("p_partkey", "verified", "stars", "description")
+
+
+@query("SELECT 'https://github.com/org/r' || p_partkey AS repository_url, p_size AS stars FROM part WHERE p_partkey % 3 = 0 AND contains(lower(p_name), 'ring') ORDER BY p_size DESC, 1 LIMIT 10")
+def repo_search(spark, d):
+    """The ten most starred repositories that match: the limit is the feature."""
+    return repositories.search(_replies(spark, d), "ring").select("repository_url", "stars")
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_nationkey END AS startup_id FROM customer")
+def product_startup(spark, d):
+    """Products linked to the company that has their maker's canonical name."""
+    n = table(spark, d, "nation")
+    made = table(spark, d, "customer").join(n, c("c_nationkey") == c("n_nationkey"), "left").select("c_custkey", F.when(c("c_custkey") % 2 == 0, F.concat("n_name", F.lit(", Inc."))).otherwise(c("c_name")).alias("maker"))
+    return records.linked(made, n.select(c("n_nationkey").alias("id"), resolution.canonical_name(c("n_name")).alias("canonical_name")), "maker").select("c_custkey", "startup_id")
+
+
+@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN least(value, 60) ELSE least(power(2, event_id % 8), 60) END AS seconds FROM events")
+def retry_delay(spark, d):
+    return table(spark, d, "events").select("event_id", X.retry_delay(c("event_id") % 8, F.when(c("event_id") % 3 == 0, c("value"))).alias("seconds"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 20 <= 10 AND event_id % 50 > 25 THEN event_id % 50 - 25 + 1 ELSE 0 END::DOUBLE AS seconds FROM events")
+def quota_wait(spark, d):
+    return table(spark, d, "events").select("event_id", repositories.quota_wait(c("event_id") % 20, c("event_id") % 50, F.lit(25)).alias("seconds"))
+
+
 # ------------------------------------------------------------------ streams, run to the end of the table
 @query("SELECT sha256(text) AS content_hash FROM documents GROUP BY 1")
 def stream_first_seen(spark, d):

@@ -9,8 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parents[1]))
-from millrace.operators import extraction, freshness, metrics, resolution, storage  # noqa: E402
-from millrace.plans import catalogue  # noqa: E402
+from millrace.functions import outline  # noqa: E402
+from millrace.operators import extraction, freshness, metrics, queues, records, resolution, storage  # noqa: E402
+from millrace.plans import catalogue, crawl  # noqa: E402
+from millrace.schemas import TABLES  # noqa: E402
 from millrace.sources import web  # noqa: E402
 from verify import compare  # noqa: E402
 
@@ -113,3 +115,64 @@ def test_web_pages_retry_and_fail(spark):
 def test_web_pages_partitions_are_domains():
     reader = web.WebReader({"urls": "https://a/1\nhttps://b/1\nhttps://a/2"}, web.http_fetch)
     assert [p.urls for p in reader.partitions()] == [["https://a/1", "https://a/2"], ["https://b/1"]]
+
+
+def test_outline_reads_marks_anchors_strings_and_data():
+    got = outline.read("<h1 class='x title'> A <b>B</b></h1><script type='application/ld+json'>[1]</script><a href='/p'> Visit </a><p>One<!-- no --></p>")
+    assert got["h1"] == "AB" and got["marked"] == [{"tag": "h1", "cls": "x title", "text": "AB"}]
+    assert got["anchors"] == [{"href": "/p", "text": "Visit"}] and got["data"] == "[1]" and got["strings"] == ["A", "B", "Visit", "One"]
+    assert outline.read(None) == {"h1": None, "marked": [], "anchors": [], "strings": [], "data": None}
+
+
+def test_pages_without_name_or_answer_give_no_record(spark):
+    rows = [("https://a/1", "s", 404, "<h1>X</h1>"), ("https://a/2", "s", 200, "<p>no name</p>"), ("https://a/3", "s", 200, None), ("https://a/4", "s", 200, "<h1>Y</h1>")]
+    pages = spark.createDataFrame(rows, "url string, source_name string, status_code int, html string").withColumn("page", outline.outline(F.col("html")))
+    assert [r["content"]["entity_name"] for r in records.startups(pages).collect()] == ["Y"]
+    assert [r["content"]["product_name"] for r in records.products(pages).collect()] == ["Y"]
+    assert records.papers(pages).count() == 0
+
+
+def test_fallback_only_where_nothing_was_found(spark):
+    a, b = spark.range(2), spark.range(10, 13)
+    assert records.first_that_answers(a, b).count() == 2
+    assert sorted(r["id"] for r in records.first_that_answers(a.where("id < 0"), b).collect()) == [10, 11, 12]
+
+
+def test_crawl_stores_fresh_records_once_and_again(spark, tmp_path):
+    day = "<time datetime='2024-01-30T00:00:00Z'></time>"
+    old = "<time datetime='2023-01-30T00:00:00Z'></time>"
+    body = "<main>" + "word " * 40 + "</main>"
+    rows = [
+        ("https://n/1", "n", "NEWS", 200, f"<title>New</title>{day}{body}"), ("https://n/2", "n", "NEWS", 200, f"<title>Old</title>{old}{body}"),
+        ("https://n/3", "n", "NEWS", 500, "<title>Down</title>"), ("https://j/1", "j", "JOB", 200, f"<title>Engineer</title>{day}"),
+        ("https://s/1", "s", "STARTUP", 200, "<h1>Acme, Inc.</h1><p class='bio'>a</p>"), ("https://s/2", "s", "STARTUP", 200, "<h1>Acme</h1><p class='bio'>a</p>"),
+        ("https://x/1", "x", "OTHER", 200, "<h1>?</h1>"), (None, None, None, None, None),
+    ]
+    pages = spark.createDataFrame(rows, "url string, source_name string, record_type string, status_code int, html string")
+    want = {"raw_documents": 6, "startups": 1, "products": 0, "research_papers": 0, "jobs": 1, "news": 1, "failed": 2}
+    for _ in range(2):
+        got = {r["table"]: r["n"] for r in crawl.store(spark, pages, str(tmp_path), F.lit("2024-01-30 12:00:00").cast("timestamp")).collect()}
+        assert got == want
+    assert storage.latest_version(spark, str(tmp_path / "news")) == 2
+    assert [r["canonical_name"] for r in spark.read.parquet(str(tmp_path / "startups" / "v=0000000002")).collect()] == ["acme"]
+
+
+def test_queue_log(spark):
+    ops = [("q", 1, 1, "enqueue"), ("q", 1, 2, "dequeue"), ("q", 1, 3, "requeue"), ("q", 2, 1, "enqueue"), ("q", 2, 2, "dequeue"), ("q", 2, 3, "fail"), ("q", 3, 1, "enqueue"), ("q", 3, 2, "dequeue")]
+    log = spark.createDataFrame(ops, "queue string, job_id int, seq int, op string")
+    assert [tuple(r) for r in queues.stats(log).collect()] == [("q", 1, 1, 0, 1)]
+    assert queues.dead(log, 1).count() == 1 and queues.dead(log, 2).count() == 0
+
+
+def test_export_and_tables(spark, tmp_path):
+    storage.export(spark.createDataFrame([(1, ["a", 'b"'])], "k int, v array<string>"), str(tmp_path / "c"))
+    assert spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "c")).first()["v"] == '["a","b\\""]'
+    spark.sql(f"CREATE DATABASE millrace_test LOCATION '{tmp_path}/db'")
+    try:
+        names = {f"millrace_test.{k}": v for k, v in TABLES.items()}
+        storage.create_tables(spark, names)
+        assert spark.sql("SHOW TABLES IN millrace_test").count() == len(TABLES)
+        storage.drop_tables(spark, list(names))
+        assert spark.sql("SHOW TABLES IN millrace_test").count() == 0
+    finally:
+        spark.sql("DROP DATABASE millrace_test CASCADE")
