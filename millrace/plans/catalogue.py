@@ -232,7 +232,10 @@ def _read(spark, d) -> DataFrame:
 
 
 def _entities(x: str) -> str:
-    return f"replace(replace(replace(replace({x}, '&quot;', '\"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&')"
+    """The entities of the test pages as characters; like browsers, also those cut before their semicolon."""
+    for name, char in (("quot", '"'), ("middot", "·"), ("copy", "©"), ("amp", "&")):
+        x = f"regexp_replace({x}, '&{name};?', '{char}', 'g')"
+    return x
 
 
 @query(f"SELECT page_id, trim({_entities('regexp_extract(html, ' + chr(39) + '(?s)<title>(.*?)</title>' + chr(39) + ', 1)')}) AS title FROM pages")
@@ -250,7 +253,18 @@ def html_clean(spark, d):
     return _read(spark, d).select("page_id", "page.clean_text")
 
 
-@query()
+_BODY = "regexp_extract(html, '(?s)<article[^>]*>(.*?)</article>', 1)"
+
+
+def _bare(x: str) -> str:
+    return f"trim({_entities(f'regexp_replace({x}, {chr(39)}<[^>]+>{chr(39)}, {chr(39)}{chr(39)}, {chr(39)}g{chr(39)})')}, ' ' || chr(9) || chr(10) || chr(13))"
+
+
+#: The article's text; its paragraphs where that is short.
+MAIN = f"(SELECT page_id, html, CASE WHEN length({_bare(_BODY)}) > 100 THEN {_bare(_BODY)} ELSE array_to_string(list_filter(list_transform(string_split({_BODY}, '<p>')[2:], lambda x: {_bare('x')}), lambda x: x <> ''), chr(10) || chr(10)) END AS main, trim({_entities('regexp_extract(html, ' + chr(39) + '(?s)<title>(.*?)</title>' + chr(39) + ', 1)')}) AS title FROM pages)"
+
+
+@query(f"SELECT page_id, main FROM {MAIN}")
 def html_main(spark, d):
     return _read(spark, d).select("page_id", "page.main")
 
@@ -260,7 +274,7 @@ def html_meta(spark, d):
     return _read(spark, d).select("page_id", F.map_keys("page.meta").alias("keys"), "page.json_ld", F.size("page.links").alias("n_links"), F.size("page.images").alias("n_images"))
 
 
-@query()
+@query("SELECT page_id, make_timestamp(2024, 1, page_id % 28 + 1, 0, 0, 0.0) AS published FROM pages")
 def html_dates(spark, d):
     head = F.concat(F.lit('<html><time datetime="2024-01-'), F.lpad((c("page_id") % 28 + 1).cast("string"), 2, "0"), F.lit('"></time>'), c("html"))
     rows = table(spark, d, "pages").select("page_id", P.page(head).alias("page"))
@@ -289,13 +303,18 @@ def doc_validate(spark, d):
     return rows.agg(F.count("*").alias("valid"))
 
 
-@query()
+@query(f"SELECT page_id, 'NEWS' AS record_type, title, main AS body, CAST(NULL AS VARCHAR) AS author, CAST(NULL AS VARCHAR) AS image_url, sha256(main) AS content_hash FROM {MAIN}")
 def news_from_pages(spark, d):
-    got = {k: v.alias(k) for k, v in records.news_content(c("page")).items()}
-    return _read(spark, d).select("page_id", F.lit("NEWS").alias("record_type"), F.struct(*got.values()).alias("content"), H.content_hash(c("page.main")).alias("content_hash"))
+    got = records.news_content(c("page"))
+    return _read(spark, d).select("page_id", F.lit("NEWS").alias("record_type"), *[v.alias(k) for k, v in got.items()], H.content_hash(c("page.main")).alias("content_hash"))
 
 
-@query()
+_HREFS = "regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)"
+
+
+@query(f"SELECT page_id, 'JOB' AS record_type, 'Unknown' AS company, title AS role, CAST(NULL AS VARCHAR) AS location, CASE WHEN regexp_matches(lower(main), '{_R}') THEN true WHEN regexp_matches(lower(main), '{_O}') THEN false END AS is_remote, "
+       "CASE " + " ".join(f"WHEN regexp_matches(lower(title || chr(10) || main), '{'|'.join(w)}') THEN '{k}'" for k, w in X.ROLES.items())
+       + f" ELSE 'Other' END AS role_family, coalesce(list_filter({_HREFS}, lambda u: contains(u, 'apply'))[1], list_filter({_HREFS}, lambda u: contains(u, 'application'))[1]) AS application_url FROM {MAIN}")
 def jobs_from_pages(spark, d):
     got = records.job_content(c("page"))
     return _read(spark, d).select("page_id", F.lit("JOB").alias("record_type"), *[got[k].alias(k) for k in ("company", "role", "location", "is_remote", "role_family", "application_url")])
