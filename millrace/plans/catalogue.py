@@ -248,7 +248,11 @@ def html_headings(spark, d):
     return _read(spark, d).select("page_id", F.element_at("page.headings", 1).alias("first_heading"))
 
 
-@query()
+_GONE = "'(?s)<nav.*?</nav>|<footer.*?</footer>|<div class=.ad.>.*?</div>|<script.*?</script>|<style.*?</style>|<!--.*?-->|<![^>]*>|<[^>]+>'"
+CLEAN = f"trim(regexp_replace({_entities(f'regexp_replace(html, {_GONE}, {chr(39)}{chr(39)}, {chr(39)}g{chr(39)})')}, '[ ' || chr(9) || ']+', ' ', 'g'), ' ' || chr(9) || chr(10) || chr(13))"
+
+
+@query(f"SELECT page_id, {CLEAN} AS clean_text FROM pages")
 def html_clean(spark, d):
     return _read(spark, d).select("page_id", "page.clean_text")
 
@@ -279,7 +283,7 @@ def html_dates(spark, d):
     head = F.concat(F.lit('<html><time datetime="2024-01-'), F.lpad((c("page_id") % 28 + 1).cast("string"), 2, "0"), F.lit('"></time>'), c("html"))
     rows = table(spark, d, "pages").select("page_id", P.page(head).alias("page"))
     found = rows.select("page_id", F.posexplode("page.dates").alias("pos", "date")).withColumn("ts", D.cascade(c("date.value"), as_of())["ts"])
-    return found.groupBy("page_id").agg(F.min_by("ts", F.struct(-c("date.confidence"), c("pos"))).alias("published"))
+    return found.groupBy("page_id").agg(F.min_by("ts", F.struct(-c("date.confidence"), c("pos"))).cast("timestamp_ntz").alias("published"))
 
 
 def _processed(spark, d) -> DataFrame:
@@ -291,9 +295,13 @@ def _processed(spark, d) -> DataFrame:
     )
 
 
-@query()
+_PARTS = "list_transform(string_split(regexp_replace(html, '(?s)<script.*?</script>', '', 'g'), '<p>')[2:], lambda x: regexp_extract(x, '(?s)^(.*?)(?:</p>|</article>|$)', 1))"
+
+
+@query(f"SELECT page_id, value AS normalized_url, sha256(html) AS content_hash, trim({_entities('regexp_extract(html, ' + chr(39) + '(?s)<title>(.*?)</title>' + chr(39) + ', 1)')}) AS title, CAST(length({CLEAN}) AS INTEGER) AS n_chars, "
+       f"CAST(len(regexp_extract_all(html, '<h[1-6]>')) AS INTEGER) AS n_headings, CAST(len(list_filter({_PARTS}, lambda x: {_bare('x')} <> '')) AS INTEGER) AS n_paragraphs, TIMESTAMP '{AS_OF}' AS fetched_at FROM pages JOIN ({ORACLES['url_normalize']}) USING (page_id)")
 def process_documents(spark, d):
-    return _processed(spark, d).select("page_id", "normalized_url", "content_hash", "title", F.length("clean_text").alias("n_chars"), F.size("headings").alias("n_headings"), F.size("paragraphs").alias("n_paragraphs"), "fetched_at")
+    return _processed(spark, d).select("page_id", "normalized_url", "content_hash", "title", F.length("clean_text").alias("n_chars"), F.size("headings").alias("n_headings"), F.size("paragraphs").alias("n_paragraphs"), c("fetched_at").cast("timestamp_ntz").alias("fetched_at"))
 
 
 @query("SELECT count(*) AS valid FROM pages")
