@@ -5,7 +5,8 @@ the shared folder and gives it to the next stage.  All but the last return the c
 
 * ``language_id`` learns profiles from the documents that name a language and drops documents without any
   letter (``und``).
-* ``ngram_jaccard`` keeps the document of smallest id of each group of similar texts.
+* ``ngram_jaccard`` keeps the document of smallest id of each group of similar texts: five-word shingles,
+  similarity 0.8 or more (operator 3 has its own contract, three words and 0.9).
 * ``substring_dedup`` cuts passages that occur elsewhere, wherever they occur; a document that has nothing
   left goes, all others stay, and those without such a passage keep their text byte for byte.
 * ``decontamination`` drops documents that hold a window of a benchmark item.
@@ -24,6 +25,10 @@ from millrace.llm import decontamination, language_id, ngram_jaccard, source_mix
 from millrace.llm.core import discard, noted, stored, without
 
 
+# Words of a shingle and the similarity, in hundredths, from which two texts are near copies.
+SHINGLE, SIMILAR = 5, 80
+
+
 def _columns(found: DataFrame, **changed) -> DataFrame:
     """The columns of ``row``, some of them changed."""
     names = found.schema["row"].dataType.names
@@ -39,7 +44,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = ngram_jaccard.similar_components(docs)
+    groups = ngram_jaccard.similar_components(docs, size=SHINGLE, numerator=SIMILAR, denominator=100)
     return without(docs, groups.where("doc_id <> component_id").select("doc_id"))
 
 
