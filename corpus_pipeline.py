@@ -5,8 +5,10 @@ the shared folder and gives it to the next stage.  All but the last return the c
 
 * ``language_id`` learns profiles from the documents that name a language and drops documents without any
   letter (``und``).
-* ``ngram_jaccard`` keeps the document of smallest id of each group of similar texts: five-word shingles,
-  similarity 0.8 or more (operator 3 has its own contract, three words and 0.9).
+* ``ngram_jaccard`` keeps one row of each group of similar texts, that of the smallest id: five-word shingles,
+  similarity 0.8 or more (operator 3 has its own contract, three words and 0.9).  Rows are told apart by their
+  place, not by their id: of rows that repeat an id or have none, equal or similar texts leave one row, and
+  different texts all stay.  Texts without a word are similar to nothing and stay.
 * ``substring_dedup`` cuts passages that occur elsewhere, wherever they occur; a document that has nothing
   left goes, all others stay, and those without such a passage keep their text byte for byte.
 * ``decontamination`` drops documents that hold a window of a benchmark item.
@@ -22,11 +24,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import decontamination, language_id, ngram_jaccard, source_mixing, substring_dedup
-from millrace.llm.core import discard, noted, stored, without
+from millrace.llm.core import block_of, discard, noted, stored, without
 
 
 # Words of a shingle and the similarity, in hundredths, from which two texts are near copies.
 SHINGLE, SIMILAR = 5, 80
+#: Ids of a block in which the near-duplicate stage hands on rows.
+BLOCK = 256
 
 
 def _columns(found: DataFrame, **changed) -> DataFrame:
@@ -44,8 +48,17 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = ngram_jaccard.similar_components(docs, size=SHINGLE, numerator=SIMILAR, denominator=100)
-    return without(docs, groups.where("doc_id <> component_id").select("doc_id"))
+    # Each row gets a number of its own; it is written down, so that every scan sees the same one.
+    mark = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("hash"))
+    rows = docs.select(F.monotonically_increasing_id().alias("number"), block_of(F.col("doc_id"), F.col("text"), BLOCK).alias("block"), mark.alias("mark"), F.struct(*docs.columns).alias("row"))
+    rows = stored(rows, "rows")
+    found = ngram_jaccard.similar_components(rows.select("number", F.col("row.text").alias("text")), id_col="number", size=SHINGLE, numerator=SIMILAR, denominator=100)
+    others = found.where("doc_id <> component_id").select(F.col("doc_id").alias("number"), "component_id")
+    heads = others.select(F.col("component_id").alias("number"), "component_id").distinct()
+    members = stored(others.unionByName(heads).join(rows.select("number", "block", "mark"), "number"), "members")
+    first = members.groupBy("component_id").agg(F.min(F.struct("mark", "number")).alias("first"))
+    gone = members.join(first, "component_id").where("number <> first.number").select("block", "number")
+    return without(rows, gone)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

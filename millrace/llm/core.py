@@ -417,19 +417,18 @@ class Asker:
         self.held, self.size = {}, 0
 
 
-def without(docs: DataFrame, gone: DataFrame, size: int = 256) -> DataFrame:
-    """``docs`` (with ``doc_id`` and ``text``) less the ids in ``gone``.  Rows come out block by block, as the operators
-    that make keys distinct by block like them; rows without an id stay."""
-    keyed = docs.select(block_of(F.col("doc_id"), F.col("text"), size).alias("block"), F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
-    listed = gone.select(F.floor(F.col("doc_id").cast("long") / F.lit(size)).cast("long").alias("block"), F.col("doc_id").cast("string").alias("id"))
-    answers = listed.groupBy("block").agg(F.array_join(F.collect_set("id"), ",").cast("binary").alias("answer")).withColumn("bucket", F.lit(0))
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """``rows`` (``number``, ``block`` and the struct ``row``) less the numbers in ``gone`` (``block``, ``number``), as
+    the columns of ``row``.  Rows come out block by block, as the operators that make keys distinct by block like them."""
+    keyed = rows.select("block", F.struct("number", "row").alias("row"))
+    answers = gone.groupBy("block").agg(F.array_join(F.collect_set(F.col("number").cast("string")), ",").cast("binary").alias("answer")).withColumn("bucket", F.lit(0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, table, marks in by_block(batches):
             if table is not None:
-                rows = table.column("row").combine_chunks()
-                ids = {int(x) for m in marks.values() for x in m.split(b",")}
-                keep = np.array([x not in ids for x in rows.field("doc_id").to_pylist()], bool)
-                yield pa.RecordBatch.from_struct_array(rows.filter(pa.array(keep)))
+                found = table.column("row").combine_chunks()
+                numbers = {int(x) for m in marks.values() for x in m.split(b",")}
+                keep = np.array([x not in numbers for x in found.field("number").to_pylist()], bool)
+                yield pa.RecordBatch.from_struct_array(found.field("row").filter(pa.array(keep)))
 
-    return together(keyed, answers).mapInArrow(run, docs.schema)
+    return together(keyed, answers).mapInArrow(run, rows.schema["row"].dataType)
