@@ -93,6 +93,30 @@ def _fuzzy(default: str):
     return fuzzy
 
 
+@F.pandas_udf(T.ArrayType(T.TimestampType()))
+def _lenient(texts: pd.Series, base: pd.Series) -> pd.Series:
+    from dateutil import parser
+
+    def one(x, day):
+        try:
+            t = pd.Timestamp(parser.parse(x, fuzzy=True, default=day))
+            return (t.tz_convert("UTC").tz_localize(None) if t.tzinfo else t).to_pydatetime()
+        except Exception:  # whatever the parser makes of a page's text, it is no date
+            return None
+
+    days = [pd.Timestamp(b).to_pydatetime().replace(hour=0, minute=0, second=0, microsecond=0, tzinfo=None) for b in base]
+    return pd.Series([None if xs is None else [None if x is None else one(x, day) for x in xs] for xs, day in zip(texts, days, strict=True)], dtype=object)
+
+
+def read_all(texts: Column, as_of: Column) -> Column:
+    """``ts`` of the whole cascade for each text of an array; the lenient parser takes missing parts from the day of
+    ``as_of`` and sees only what the other steps leave null."""
+    early = F.transform(texts, lambda x: cascade(x, as_of)["ts"])
+    rest = F.zip_with(texts, early, lambda x, t: F.when(t.isNull() & (F.trim(x) != ""), F.trim(x)))
+    late = _lenient(F.when(F.exists(rest, lambda x: x.isNotNull()), rest), as_of)
+    return F.when(late.isNull(), early).otherwise(F.zip_with(early, late, lambda a, b: F.coalesce(a, b)))
+
+
 def cascade(s: Column, as_of: Column, fuzzy_default: str | None = None) -> Column:
     """Struct of ``ts`` and ``confidence``: ISO, then the formats, then relative, then (if a default date is
     given) whatever a lenient parser reads; null and 0.0 if nothing fits."""

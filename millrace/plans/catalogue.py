@@ -282,7 +282,7 @@ def html_meta(spark, d):
 def html_dates(spark, d):
     head = F.concat(F.lit('<html><time datetime="2024-01-'), F.lpad((c("page_id") % 28 + 1).cast("string"), 2, "0"), F.lit('"></time>'), c("html"))
     rows = table(spark, d, "pages").select("page_id", P.page(head).alias("page"))
-    found = rows.select("page_id", F.posexplode("page.dates").alias("pos", "date")).withColumn("ts", D.cascade(c("date.value"), as_of())["ts"])
+    found = rows.select("page_id", F.posexplode("page.dates").alias("pos", "date")).withColumn("ts", D.cascade(c("date.value"), as_of(), AS_OF[:10])["ts"])
     return found.groupBy("page_id").agg(F.min_by("ts", F.struct(-c("date.confidence"), c("pos"))).cast("timestamp_ntz").alias("published"))
 
 
@@ -405,7 +405,7 @@ def date_relative(spark, d):
 def date_cascade(spark, d):
     k, day = c("o_orderkey") % 4, c("o_orderdate").cast("date")
     said = F.when(k == 0, F.date_format(day, "yyyy-MM-dd")).when(k == 1, F.date_format(day, "MMMM d, yyyy")).when(k == 2, "3 days ago").otherwise("soon")
-    rows = table(spark, d, "orders").select("o_orderkey", D.cascade(said, as_of()).alias("x"))
+    rows = table(spark, d, "orders").select("o_orderkey", D.cascade(said, as_of(), AS_OF[:10]).alias("x"))
     return rows.select("o_orderkey", c("x.ts").cast("timestamp_ntz").alias("ts"), c("x.confidence").cast("double").alias("confidence"))
 
 
