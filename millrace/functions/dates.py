@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import calendar
 import re
-from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -19,14 +19,35 @@ FORMATS = [
 # Confidence of each step.
 ISO, COMMON, RELATIVE, FUZZY = 0.99, 0.95, 0.85, 0.70
 _SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800, "month": 30 * 86400, "year": 365 * 86400}
-_SHORT = {"h": "hour", "d": "day", "w": "week", "m": "month", "y": "year"}
+#: How an amount of time is said before "ago", and its seconds: a unit's name, alone or as a plural, after a gap; or
+#: its first letter right behind the number; ``m`` is a month.
+_AGO = {f" {name}{end}": n for name, n in _SECONDS.items() for end in ("", "s")} | {name[0]: n for name, n in _SECONDS.items() if name not in ("second", "minute")}
 _ISO = r"^\d{4}(-\d{2}(-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d{1,6})?)?)?(Z|[+-]\d{2}:?\d{2})?)?)?)?$"
-_MONTHS = "Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec"
-IN_TEXT = [
-    r"\b\d{4}-\d{2}-\d{2}(?:T\d{2}:\d{2}:\d{2})?(?:\.\d+)?(?:Z|[+-]\d{2}:\d{2})?\b",
-    rf"\b(?:{_MONTHS})[a-z]* \d{{1,2}},? \d{{4}}\b",
-    r"\b\d{1,2}/\d{1,2}/\d{4}\b|\b\d{4}/\d{1,2}/\d{1,2}\b",
-]
+_SHAPES = {"yyyy": r"\d{4}", "MMMM": "[A-Za-z]+", "MMM": "[A-Za-z]+", "SSSSSS": r"\d{6}", "XXX": r"(?:Z|[+-]\d{2}:\d{2})", "'T'": "T"}
+
+
+def _shape(pattern: str) -> str:
+    """A regular expression for texts a format may read: failed parses cost far more than a look."""
+
+    def one(m: re.Match) -> str:
+        token = m[0]
+        return _SHAPES.get(token) or (r"\d{2}" if len(token) == 2 else r"\d{1,2}")
+
+    return re.sub(r"'T'|y+|M+|d+|H+|m+|s+|S+|X+", one, pattern)
+
+
+def _in_prose() -> list[str]:
+    """Patterns of dates inside a text, made from the formats: ISO dates with or without their time, dates with the name
+    of a month (cut short or not), and dates of numbers with strokes, year last or first."""
+    time = rf"{_shape('HH:mm:ss')}(?:\.\d+)?(?:{_shape('XXX')})?"
+    iso = rf"{_shape('yyyy-MM-dd')}(?:T{time})?"
+    names = "|".join(calendar.month_abbr[1:])
+    named = [_shape(f).replace("[A-Za-z]+", rf"(?:{names})[a-z]*") for f in FORMATS if f.startswith("MMMM") and "H" not in f]
+    strokes = [_shape(f) for f in ("M/d/yyyy", "yyyy/M/d")]
+    return [r"\b(?:" + "|".join(each) + r")\b" for each in ([iso], named, strokes)]
+
+
+IN_TEXT = _in_prose()
 
 
 def iso(s: Column) -> Column:
@@ -44,55 +65,22 @@ def iso(s: Column) -> Column:
     return F.coalesce(plain, basic, by_week, by_day)
 
 
-_SHAPES = {"yyyy": r"\d{4}", "MMMM": "[A-Za-z]+", "MMM": "[A-Za-z]+", "SSSSSS": r"\d{6}", "XXX": r"(?:Z|[+-]\d{2}:\d{2})", "'T'": "T"}
-
-
-def _shape(pattern: str) -> str:
-    """A regular expression for texts a format may read: failed parses cost far more than a look."""
-
-    def one(m: re.Match) -> str:
-        token = m[0]
-        return _SHAPES.get(token) or (r"\d{2}" if len(token) == 2 else r"\d{1,2}")
-
-    return "^" + re.sub(r"'T'|y+|M+|d+|H+|m+|s+|S+|X+", one, pattern) + "$"
-
-
 def common(s: Column) -> Column:
-    return F.coalesce(*[F.when(s.rlike(_shape(f)), F.try_to_timestamp(s, F.lit(f))) for f in FORMATS])
+    return F.coalesce(*[F.when(s.rlike(f"^{_shape(f)}$"), F.try_to_timestamp(s, F.lit(f))) for f in FORMATS])
 
 
 def relative(s: Column, as_of: Column) -> Column:
     """``3 days ago``, ``2h ago``, ``yesterday``; months have 30 days and years 365."""
     s = F.trim(F.lower(s))
-    pattern, short = r"^(\d+)\s+(second|minute|hour|day|week|month|year)s?\s+ago$", r"^(\d+)([hmdwy])\s+ago$"
-    n = F.coalesce(F.nullif(F.regexp_extract(s, pattern, 1), F.lit("")), F.regexp_extract(s, short, 1)).try_cast("long")
-    unit, letter = F.regexp_extract(s, pattern, 2), F.regexp_extract(s, short, 2)
-    each = reduce(lambda c, kv: F.when(unit == kv[0], kv[1]).otherwise(c), _SECONDS.items(), F.lit(None).cast("long"))
-    brief = reduce(lambda c, kv: F.when(letter == kv[0], _SECONDS[kv[1]]).otherwise(c), _SHORT.items(), each)
+    parts = r"^(\d+)(\s*)([a-z]+)\s+ago$"
+    gap = F.when(F.regexp_extract(s, parts, 2) != "", " ").otherwise("")
+    said = F.create_map(*[F.lit(x) for kv in _AGO.items() for x in kv])
+    each = F.try_element_at(said, F.concat(gap, F.regexp_extract(s, parts, 3)))
     named = F.when(s == "yesterday", 86400).when(s == "today", 0).when(s == "tomorrow", -86400)
-    seconds = F.coalesce(named.cast("long"), n * brief)
+    seconds = F.coalesce(named.cast("long"), F.regexp_extract(s, parts, 1).try_cast("long") * each)
     return F.timestamp_micros(F.unix_micros(as_of) - seconds * F.lit(1_000_000))
 
 
-def _fuzzy(default: str):
-    @F.pandas_udf(T.TimestampType())
-    def fuzzy(s: pd.Series) -> pd.Series:
-        from dateutil import parser
-
-        base = pd.Timestamp(default).to_pydatetime()
-
-        def one(x):
-            try:
-                t = pd.Timestamp(parser.parse(x, fuzzy=True, default=base))
-                return t.tz_convert("UTC").tz_localize(None) if t.tzinfo else t
-            except (ValueError, OverflowError, TypeError, AttributeError):
-                return pd.NaT
-
-        return pd.to_datetime(s.map(one)).astype("datetime64[us]")
-
-    return fuzzy
-
-
 @F.pandas_udf(T.ArrayType(T.TimestampType()))
 def _lenient(texts: pd.Series, base: pd.Series) -> pd.Series:
     from dateutil import parser
@@ -109,24 +97,25 @@ def _lenient(texts: pd.Series, base: pd.Series) -> pd.Series:
 
 
 def read_all(texts: Column, as_of: Column) -> Column:
-    """``ts`` of the whole cascade for each text of an array; the lenient parser takes missing parts from the day of
-    ``as_of`` and sees only what the other steps leave null."""
-    early = F.transform(texts, lambda x: cascade(x, as_of)["ts"])
-    rest = F.zip_with(texts, early, lambda x, t: F.when(t.isNull() & (F.trim(x) != ""), F.trim(x)))
+    """The whole cascade for each text of an array, as structs of ``ts`` and ``confidence``; the lenient parser takes
+    missing parts from the day of ``as_of`` and sees only what the other steps leave null."""
+    early = F.transform(texts, lambda x: cascade(x, as_of))
+    rest = F.zip_with(texts, early, lambda x, e: F.when(e["ts"].isNull() & (F.trim(x) != ""), F.trim(x)))
     late = _lenient(F.when(F.exists(rest, lambda x: x.isNotNull()), rest), as_of)
-    return F.when(late.isNull(), early).otherwise(F.zip_with(early, late, lambda a, b: F.coalesce(a, b)))
+    read = F.zip_with(early, late, lambda e, t: F.when(t.isNull(), e).otherwise(_found(t, FUZZY)))
+    return F.when(late.isNull(), early).otherwise(read)
+
+
+def _found(ts: Column, confidence: float) -> Column:
+    return F.struct(ts.alias("ts"), F.lit(confidence).alias("confidence"))
 
 
-def cascade(s: Column, as_of: Column, fuzzy_default: str | None = None) -> Column:
-    """Struct of ``ts`` and ``confidence``: ISO, then the formats, then relative, then (if a default date is
-    given) whatever a lenient parser reads; null and 0.0 if nothing fits."""
+def cascade(s: Column, as_of: Column) -> Column:
+    """Struct of ``ts`` and ``confidence`` of the steps that need no Python: ISO, then the formats, then relative; null
+    and 0.0 if nothing fits."""
     s = F.trim(s)
     steps = [(iso(s), ISO), (common(s), COMMON), (relative(s, as_of), RELATIVE)]
-    if fuzzy_default:
-        rest = F.when(F.coalesce(*[c for c, _ in steps]).isNull() & (s != ""), s)
-        steps.append((_fuzzy(fuzzy_default)(rest), FUZZY))
-    found = [F.when(c.isNotNull(), F.struct(c.alias("ts"), F.lit(p).alias("confidence"))) for c, p in steps]
-    return F.coalesce(*found, F.struct(F.lit(None).cast("timestamp").alias("ts"), F.lit(0.0).alias("confidence")))
+    return F.coalesce(*[F.when(c.isNotNull(), _found(c, p)) for c, p in steps], _found(F.lit(None).cast("timestamp"), 0.0))
 
 
 def in_text(x: Column) -> Column:

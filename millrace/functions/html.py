@@ -10,15 +10,18 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SCHEMA = (
-    "title string, headings array<string>, paragraphs array<string>, clean_text string, main string, meta map<string,string>, "
-    "json_ld string, dates array<struct<value:string,confidence:double,source:string>>, links array<string>, images array<string>, marked map<string,string>"
-)
+from .text import BLANKS
+
+FIELDS = {
+    "title": "string", "headings": "array<string>", "paragraphs": "array<string>", "clean_text": "string", "main": "string", "meta": "map<string,string>",
+    "json_ld": "string", "dates": "array<struct<value:string,confidence:double,source:string>>", "links": "array<string>", "images": "array<string>", "marked": "map<string,string>",
+}
 VOID = {"meta", "link", "br", "img", "hr", "input", "area", "base", "col", "embed", "source", "track", "wbr"}
 #: Tags whose start ends an open paragraph.
 BLOCKS = {"p", "div", "article", "section", "main", "nav", "header", "footer", "aside", "ul", "ol", "li", "table", "form", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "figure"}
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
-# Elements without readable text, class and id words of page furniture, where the main text is.
+# Elements without readable text, class and id words of page furniture, where the main text is, names of
+# dates in the head, classes that mark what news and job pages say of themselves.
 UNREAD = {"script", "style", "noscript", "iframe", "svg"}
 CLASS_WORDS = {"ad", "ads", "advertisement", "analytics", "tracking", "banner", "sidebar", "navbar", "nav"}
 ID_WORDS = {"ad", "ads", "advertisement", "analytics", "tracking"}
@@ -105,7 +108,7 @@ class Tree(HTMLParser):
 
 
 def blanks(x: str) -> str:
-    for pattern, to in ((r"\n{3,}", "\n\n"), (r"[ \t]+", " "), (r"\n \n", "\n\n"), (r"\n ", "\n"), (r" \n", "\n")):
+    for pattern, to in BLANKS:
         x = re.sub(pattern, to, x)
     return x.strip()
 
@@ -115,39 +118,69 @@ def _words(x: str, known: set[str], whole: bool) -> bool:
     return any(p in known for p in parts) if whole else any(w in x.lower() for w in known)
 
 
-def read(html: str | None, whole_words: bool = True) -> dict:
-    """``whole_words``: furniture is told by whole words of classes and ids; otherwise by parts of words."""
+_TITLE_ENDS = re.compile(r"</title\s*>", re.I)
+
+
+def read(html: str | None, whole_words: bool = True, fields: frozenset[str] = frozenset(FIELDS)) -> dict:
+    """The wanted ``fields`` of a page.  ``whole_words``: furniture is told by whole words of classes and ids;
+    otherwise by parts of words.  For the title alone no more is parsed than what leads to its end."""
+    html = html or ""
+    if fields == {"title"} and (end := _TITLE_ENDS.search(html)):
+        name = _title_element(_parsed(html[: end.end()])[1])
+        if name:
+            return {"title": name}
+    tree, body = _parsed(html)
+    made = {}
+
+    def furniture() -> set[int]:
+        return {
+            id(n) for n in body
+            if n.tag in ("nav", "footer", "header") or _words(n.attrs.get("class", ""), CLASS_WORDS, whole_words) or _words(n.attrs.get("id", ""), ID_WORDS, whole_words)
+        }
+
+    if fields & {"clean_text", "main"}:
+        skip = furniture()
+        made["clean_text"] = blanks(tree.root.text(skip))
+    if fields & {"paragraphs", "main"}:
+        made["paragraphs"] = [t for n in body if n.tag == "p" for t in [n.text().strip()] if t]
+    if "main" in fields:
+        main = next((t for s in MAIN for n in body if n.fits(s) for t in [n.text(skip - {id(n)}).strip()] if len(t) > 100), None)
+        made["main"] = main or "\n\n".join(made["paragraphs"]) or made["clean_text"]
+    if "title" in fields:
+        made["title"] = _title(html, body)
+    if "headings" in fields:
+        made["headings"] = [n.text().strip() for n in body if n.tag in HEADINGS]
+    if fields & {"meta", "json_ld", "dates"}:
+        made["meta"], made["json_ld"], made["dates"] = _metadata(body)
+    if "links" in fields:
+        made["links"] = [n.attrs["href"] for n in body if n.tag == "a" and n.attrs.get("href")]
+    if "images" in fields:
+        made["images"] = [n.attrs["src"] for n in body if n.tag == "img" and n.attrs.get("src")]
+    if "marked" in fields:
+        found = {k: next((n for s in v for n in body if n.fits(s)), None) for k, v in MARKED.items()}
+        made["marked"] = {k: n.text().strip() or n.attrs.get("href", "") for k, n in found.items() if n is not None}
+    return {k: made[k] for k in fields}
+
+
+def _parsed(html: str) -> tuple[Tree, list[Node]]:
     tree = Tree()
-    tree.feed(html or "")
+    tree.feed(html)
     tree.close()
-    nodes = list(tree.root.walk())[1:]
-    body = [n for n in nodes]
+    return tree, list(tree.root.walk())[1:]
 
-    def first(*selectors: str) -> Node | None:
-        return next((n for s in selectors for n in body if n.fits(s)), None)
 
-    skip = {
-        id(n) for n in body
-        if n.tag in ("nav", "footer", "header") or _words(n.attrs.get("class", ""), CLASS_WORDS, whole_words) or _words(n.attrs.get("id", ""), ID_WORDS, whole_words)
-    }
-    clean = blanks(tree.root.text(skip))
+def _title_element(body: list[Node]) -> str:
     title = next((n for n in body if n.tag == "title"), None)
-    heads = [n.text().strip() for n in body if n.tag in HEADINGS]
-    name = title.text().strip() if title is not None and not any(isinstance(p, Node) for p in title.parts) else ""
+    return title.text().strip() if title is not None and not any(isinstance(p, Node) for p in title.parts) else ""
+
+
+def _title(html: str, body: list[Node]) -> str:
+    """The title's text; without one that of the first heading, then the first text of some length."""
+    name = _title_element(body)
     name = name or next((x for t in (("h1",), ("h1", "h2", "h3")) for x in [n.text().strip() for n in body if n.tag in t][:1] if x), "")
-    if not name and (html or "").strip():
+    if not name and html.strip():
         name = next((p.strip()[:200] for n in body if n.tag not in UNREAD for p in n.parts if isinstance(p, str) and len(p.strip()) > 10), "Untitled")
-    meta, ld, dates = _metadata(body)
-    main = next((t for s in MAIN for n in body if n.fits(s) for t in [n.text(skip - {id(n)}).strip()] if len(t) > 100), None)
-    paragraphs = [t for n in body if n.tag == "p" for t in [n.text().strip()] if t]
-    found = {k: first(*v) for k, v in MARKED.items()}
-    links = [n.attrs["href"] for n in body if n.tag == "a" and n.attrs.get("href")]
-    marked = {k: n.text().strip() or n.attrs.get("href", "") for k, n in found.items() if n is not None}
-    return {
-        "title": name, "headings": heads, "paragraphs": paragraphs, "clean_text": clean, "main": main or "\n\n".join(paragraphs) or clean,
-        "meta": meta, "json_ld": ld, "dates": dates, "links": links, "images": [n.attrs["src"] for n in body if n.tag == "img" and n.attrs.get("src")],
-        "marked": marked,
-    }
+    return name
 
 
 def _metadata(body: list[Node]) -> tuple[dict, str | None, list]:
@@ -183,16 +216,14 @@ def _metadata(body: list[Node]) -> tuple[dict, str | None, list]:
     return meta, ld, dates + ld_dates + meta_dates
 
 
-_FIELDS = ["title", "headings", "paragraphs", "clean_text", "main", "meta", "json_ld", "dates", "links", "images", "marked"]
-
-
-def _page(html: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([read(x) for x in html], columns=_FIELDS)
-
-
-_page.__annotations__ = {"html": pd.Series, "return": pd.DataFrame}
+def page(html: Column, *fields: str) -> Column:
+    """Struct of the named fields of a page, all of them if none is named.  Marked nondeterministic so that no plan
+    reads a page twice."""
+    names = list(fields or FIELDS)
+    wanted = frozenset(names)
 
+    def run(html: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([read(x, fields=wanted) for x in html], columns=names)
 
-def page(html: Column) -> Column:
-    """Struct of everything read from a page.  Marked nondeterministic so that no plan reads a page twice."""
-    return F.pandas_udf(_page, SCHEMA).asNondeterministic()(html)
+    run.__annotations__ = {"html": pd.Series, "return": pd.DataFrame}
+    return F.pandas_udf(run, ", ".join(f"{k} {FIELDS[k]}" for k in names)).asNondeterministic()(html)

@@ -19,6 +19,8 @@ ROLES = {
     "Product": ["product manager", "product owner", "pm"],
 }
 CHARS_PER_TOKEN = 4
+# Runs of blanks and what they become, in this order.
+BLANKS = [(r"\n{3,}", "\n\n"), (r"[ \t]+", " "), (r"\n \n", "\n\n"), (r"\n ", "\n"), (r" \n", "\n")]
 
 
 def stripped(x: Column) -> Column:
@@ -27,11 +29,9 @@ def stripped(x: Column) -> Column:
 
 def blanks_normalized(x: Column) -> Column:
     """At most one empty line and one blank in a row; no blanks around line ends or the whole."""
-    x = F.regexp_replace(x, r"\n{3,}", "\n\n")
-    x = F.regexp_replace(x, r"[ \t]+", " ")
-    x = F.regexp_replace(x, r"\n \n", "\n\n")
-    x = F.regexp_replace(x, r"\n ", "\n")
-    return stripped(F.regexp_replace(x, r" \n", "\n"))
+    for pattern, to in BLANKS:
+        x = F.regexp_replace(x, pattern, to)
+    return stripped(x)
 
 
 def name_normalized(x: Column, legal: list[str] = LEGAL) -> Column:

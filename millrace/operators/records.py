@@ -43,7 +43,7 @@ def paper_date(x: Column) -> Column:
 def best_date(dates: Column, as_of: Column) -> Column:
     """Struct of ``ts``, ``confidence`` and ``source``: of the dates that can be read the surest, then the first."""
     said = D.read_all(F.transform(dates, lambda d: d["value"]), as_of)
-    read = F.transform(F.arrays_zip(dates.alias("date"), said.alias("ts")), lambda x, i: F.struct((-x["date"]["confidence"]).alias("order"), i.alias("i"), x["ts"].alias("ts"), x["date"]["confidence"].alias("confidence"), x["date"]["source"].alias("source")))
+    read = F.transform(F.arrays_zip(dates.alias("date"), said.alias("said")), lambda x, i: F.struct((-x["date"]["confidence"]).alias("order"), i.alias("i"), x["said"]["ts"].alias("ts"), x["date"]["confidence"].alias("confidence"), x["date"]["source"].alias("source")))
     return F.array_min(F.filter(read, lambda d: d["ts"].isNotNull()))
 
 
