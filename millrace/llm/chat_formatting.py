@@ -4,8 +4,8 @@ A preferred and a rejected conversation share their first turns.  The longest co
 and text equal) is rendered once, as the prompt; what follows in either is a completion of its own, with a
 mask that says which characters are learned from: the assistant's words and the mark that ends its turn.
 
-Only the turns of one pair meet.  Pairs are keyed by number, so a first turn that a third of all
-conversations share puts no more than its own pair into a group.
+Only the turns of one pair meet, gathered once, with partial lists map side.  Pairs are keyed by number, so a
+first turn that a third of all conversations share puts no more than its own pair into a group.
 
 Defined results: turns are ordered by number, then role, then text; null roles and texts are empty; rows
 without a conversation number belong to no pair; a pair with one side has a null completion on the other
@@ -40,21 +40,29 @@ def _mask(turns: Column, learned: str) -> Column:
     return F.array_join(F.transform(turns, runs), ",")
 
 
+def _turn() -> Column:
+    return F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+
+
 def preference_pairs(turns: DataFrame, pair: Column, chosen: Column, learned: str = "assistant") -> DataFrame:
     """``turns``: columns ``turn``, ``role`` and ``text``; ``pair`` names a row's pair and ``chosen`` its side.
     One row per pair: ``pair_id, n_prefix, prompt, chosen, chosen_mask, rejected, rejected_mask``."""
-    turn = F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = turns.select(pair.alias("pair_id"), chosen.alias("side"), turn.alias("t")).where("pair_id is not null and side is not null")
+    rows = turns.select(pair.alias("pair_id"), chosen.alias("side"), _turn().alias("t")).where("pair_id is not null and side is not null")
     both = rows.groupBy("pair_id").agg(
         F.sort_array(F.collect_list(F.when(F.col("side"), F.col("t")))).alias("c"),
         F.sort_array(F.collect_list(F.when(~F.col("side"), F.col("t")))).alias("r"),
     )
+    return formatted(both, learned)
+
+
+def formatted(pairs: DataFrame, learned: str = "assistant") -> DataFrame:
+    """``pairs``: ``pair_id`` and the ordered turns of either side, ``c`` and ``r``."""
     n = F.least(F.size("c"), F.size("r"))
     differs = F.filter(
         F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
         lambda i: (F.get("c", i - 1)["role"] != F.get("r", i - 1)["role"]) | (F.get("c", i - 1)["text"] != F.get("r", i - 1)["text"]),
     )
-    both = both.withColumn("n_prefix", F.when(n == 0, F.lit(0)).otherwise(F.coalesce(F.array_min(differs) - 1, n)))
+    both = pairs.withColumn("n_prefix", F.when(n == 0, F.lit(0)).otherwise(F.coalesce(F.array_min(differs) - 1, n)))
 
     def rest(x: str) -> Column:
         return F.slice(x, F.col("n_prefix") + 1, F.greatest(F.size(x), F.lit(1)))
@@ -70,30 +78,29 @@ def preference_pairs(turns: DataFrame, pair: Column, chosen: Column, learned: st
 
 
 def with_other_ending(turns: DataFrame) -> DataFrame:
-    """A rejected conversation for each ``conv_id``: its own turns, but the last has the text of the last
-    turn of the conversation numbered one higher (empty if there is none)."""
-    last = turns.where("conv_id is not null").groupBy("conv_id").agg(F.max(F.struct("turn", "role", "text")).alias("last"))
-    other = last.select((F.col("conv_id") - 1).alias("conv_id"), F.col("last.text").alias("other"))
-    ends = last.join(other, "conv_id", "left")
-    earlier = turns.join(last.select("conv_id", F.col("last.turn").alias("end")), "conv_id").where("turn < end").select("conv_id", "turn", "role", "text")
-    return earlier.unionByName(ends.select("conv_id", F.col("last.turn").alias("turn"), F.col("last.role").alias("role"), F.col("other").alias("text")))
+    """Every conversation (``conv_id``, ``turn``, ``role``, ``text``) as a pair: ``c`` has its turns in order, ``r`` the
+    same turns, every one of them, but for the text of the very last: that is the text of the last turn of the
+    conversation numbered one higher (empty if there is none).  Each conversation is gathered once; only last texts
+    are moved to their neighbours."""
+    whole = turns.where("conv_id is not null").groupBy(F.col("conv_id").alias("pair_id")).agg(F.sort_array(F.collect_list(_turn())).alias("c"))
+    other = whole.select((F.col("pair_id") - 1).alias("pair_id"), F.element_at("c", -1)["text"].alias("other"))
+    last = F.element_at("c", -1)
+    ending = F.struct(last["turn"].alias("turn"), last["role"].alias("role"), F.coalesce("other", F.lit("")).alias("text"))
+    both = whole.join(other, "pair_id", "left")
+    return both.select("pair_id", "c", F.concat(F.slice("c", F.lit(1), F.size("c") - 1), F.array(ending)).alias("r"))
 
 
 def op6_chat_formatting(spark, sf_dir: str) -> DataFrame:
     """Every conversation is preferred to itself with the next conversation's ending."""
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
-    both = turns.withColumn("side", F.lit(True)).unionByName(with_other_ending(turns).withColumn("side", F.lit(False)))
-    return preference_pairs(both, F.col("conv_id"), F.col("side"))
+    return formatted(with_other_ending(turns))
 
 
 ORACLE = r"""
-WITH l AS (SELECT conv_id, max({'turn': turn, 'role': role, 'text': text}) AS l FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
-u AS (SELECT conv_id, turn, role, text, true AS side FROM conversations WHERE conv_id IS NOT NULL
-      UNION ALL SELECT c.conv_id, c.turn, c.role, c.text, false FROM conversations c JOIN l USING (conv_id) WHERE c.turn < l.l.turn
-      UNION ALL SELECT l.conv_id, l.l.turn, l.l.role, o.l.text, false FROM l LEFT JOIN l o ON o.conv_id = l.conv_id + 1),
-t AS (SELECT conv_id AS pair_id, side, {'turn': turn, 'role': coalesce(role, ''), 'text': coalesce(text, '')} AS t FROM u),
-g AS (SELECT pair_id, coalesce(list(t ORDER BY t.turn NULLS FIRST, t.role, t.text) FILTER (WHERE side), []) AS c,
-             coalesce(list(t ORDER BY t.turn NULLS FIRST, t.role, t.text) FILTER (WHERE NOT side), []) AS r FROM t GROUP BY pair_id),
+WITH w AS (SELECT conv_id AS pair_id, list({'turn': turn, 'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS c
+           FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+g AS (SELECT w.pair_id, w.c, list_append(w.c[1:len(w.c) - 1], {'turn': w.c[-1].turn, 'role': w.c[-1].role, 'text': coalesce(o.c[-1].text, '')}) AS r
+      FROM w LEFT JOIN w o ON o.pair_id = w.pair_id + 1),
 n AS (SELECT *, least(len(c), len(r)) AS n FROM g),
 p AS (SELECT *, coalesce(list_min(list_filter(range(1, n + 1), lambda i: c[i].role <> r[i].role OR c[i].text <> r[i].text)) - 1, n) AS n_prefix FROM n),
 h AS (SELECT pair_id, CAST(n_prefix AS BIGINT) AS n_prefix, c[1:n_prefix] AS p, c, r, c[n_prefix + 1:] AS cc, r[n_prefix + 1:] AS rr FROM p)

@@ -8,10 +8,8 @@ document is a slice of its own, so memory follows the longest single document, n
 from __future__ import annotations
 
 import contextlib
-import gc
 import tempfile
 import threading
-import time
 import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -20,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SLICE_BYTES = 1 << 20
 U64 = np.uint64
@@ -27,24 +26,38 @@ U64 = np.uint64
 
 # ---------------------------------------------------------------- shared folder
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session.  Only where that is
-    unset (tests on one machine) a temporary folder is made and set as the checkpoint folder."""
+    """The folder all executors share: ``spark.checkpoint.dir`` of the session, or the context's checkpoint folder.  Only
+    a session on one machine (master ``local``) may do without: a temporary folder becomes its checkpoint folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext._jsc.sc().getCheckpointDir()
         base = base.get() if base.isDefined() else None
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="millrace-")
         spark.sparkContext.setCheckpointDir(base)
     return str(base).rstrip("/")
 
 
+#: Spark's own setting to delete the shuffle files of a statement when it is over.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it back: cuts the lineage with a table that
-    outlives any executor."""
+    """Writes ``df`` to the shared folder and reads it back: cuts the lineage with a table that outlives any executor.
+    The shuffle files of the writing go as soon as the table is there."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/millrace-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEAN_UP, None)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEAN_UP)
+        else:
+            spark.conf.set(_CLEAN_UP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._millrace_path = path
     made = getattr(_KEPT, "paths", None)
@@ -65,15 +78,6 @@ def discard(*tables: DataFrame | str, spark: SparkSession | None = None) -> None
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Lets the driver find what is no longer referred to, so that Spark deletes its shuffle files now and
-    not whenever the driver next runs out of memory."""
-    for _ in range(2):  # the first pass frees plans, the second what only they held
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(0.3)
-
-
 @contextlib.contextmanager
 def noted() -> Iterator[list[str]]:
     """Paths of the tables that ``stored`` writes inside, for a later ``discard``."""
@@ -95,13 +99,28 @@ def split_mod(doc_id: Column, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
 
 
-def block_of(doc_id: Column, text: Column, size: int) -> Column:
-    """Block of neighbouring documents: ids are dealt out in runs of ``size``; rows without an id by a hash
-    of their text, so that they do not all meet in one block."""
-    return F.coalesce(
-        F.floor(doc_id.cast("long") / F.lit(size)).cast("long"),
-        -1 - F.pmod(F.xxhash64(text), F.lit(1 << 20)),
-    )
+def blocked(docs: DataFrame, text_col: str, name: str, apart: Column | None = None, size: int = SLICE_BYTES) -> DataFrame:
+    """Rows dealt into blocks of about ``size`` bytes of text in the order they are read, a longer text alone: columns
+    ``block`` and the struct ``row`` (all columns).  Blocks follow bytes and not ids, so neither an id with a third of
+    all rows nor a run of long texts makes a large one.  Rows that ``apart`` is true of get blocks of their own, with odd
+    numbers.  Written to the shared folder, so that every later reading sees the same blocks."""
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.coalesce(F.lit(False) if apart is None else apart, F.lit(False)).alias("apart"))
+    schema = T.StructType([T.StructField("block", T.LongType()), rows.schema["row"]])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        block = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            odd = batch.column("apart").to_numpy(zero_copy_only=False)
+            for side in np.unique(odd):
+                rows = batch.column("row").filter(pa.array(odd == side))
+                for s in slices(rows.field(text_col), size):
+                    numbers = pa.array(np.full(len(s), block + int(side), np.int64))
+                    yield pa.RecordBatch.from_arrays([numbers, rows.slice(s.row, len(s))], names=["block", "row"])
+                    block += 2
+
+    return stored(rows.mapInArrow(run, schema), name)
 
 
 # ---------------------------------------------------------------- words
@@ -415,20 +434,3 @@ class Asker:
             ]
             yield ask_rows(self.deal, block, keys, sums)
         self.held, self.size = {}, 0
-
-
-def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
-    """``rows`` (``number``, ``block`` and the struct ``row``) less the numbers in ``gone`` (``block``, ``number``), as
-    the columns of ``row``.  Rows come out block by block, as the operators that make keys distinct by block like them."""
-    keyed = rows.select("block", F.struct("number", "row").alias("row"))
-    answers = gone.groupBy("block").agg(F.array_join(F.collect_set(F.col("number").cast("string")), ",").cast("binary").alias("answer")).withColumn("bucket", F.lit(0))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, table, marks in by_block(batches):
-            if table is not None:
-                found = table.column("row").combine_chunks()
-                numbers = {int(x) for m in marks.values() for x in m.split(b",")}
-                keep = np.array([x not in numbers for x in found.field("number").to_pylist()], bool)
-                yield pa.RecordBatch.from_struct_array(found.field("row").filter(pa.array(keep)))
-
-    return together(keyed, answers).mapInArrow(run, rows.schema["row"].dataType)

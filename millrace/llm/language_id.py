@@ -5,13 +5,18 @@ vectors, each rotated by its place (permute and bind); a text is the sum of its
 over a language's training texts is its prototype, and a text goes to the prototype of largest cosine.
 
 Letters come from a fixed alphabet of 64: a to z, the break between words, and 37 codes into which all
-other letters are hashed; breaks in a row are one.  Each task bundles the training
-texts it reads into one vector per language, so a few numbers per language are summed and collected,
-whatever the size of the corpus.  Prototypes are centred on their mean before they are compared, as are
-the texts: what all languages share does not count.
+other letters are hashed; breaks in a row are one, and every text begins and ends with one.  A long text is read
+in pieces that hand on their last two letters, so it gives the n-grams it would give as a whole.
+
+The n-grams of a slice of texts are counted at once, and one matrix product bundles all of them.  Each task
+bundles the training texts it reads into one vector per language, so a few numbers per language are summed and
+collected, whatever the size of the corpus; more than ``LANGUAGES`` distinct values are refused, as they are no
+languages.  Prototypes are centred on their mean before they are compared, as are the texts: what all languages
+share does not count.
 
 Defined results: ``und`` with score 0 for null text and text without letters; ties go to the language that
-sorts first; without training texts every text is ``und``; repeated rows count as often as they occur.
+sorts first; without training texts every text is ``und``; repeated rows count as often as they occur; bytes
+that are not UTF-8 are breaks or letters of their own, and never an error.
 """
 
 from __future__ import annotations
@@ -24,15 +29,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .core import SLICE_BYTES, split_mod
+from .core import SLICE_BYTES, slices, split_mod
 
 DIMENSIONS = 512
 GRAM = 3
 LETTERS = 64
+GRAMS = LETTERS**GRAM
+#: Most distinct values of the language column.
+LANGUAGES = 4096
+#: Texts whose n-gram counts are one matrix.
+_TOGETHER = 128
 _BREAK = 26
 _SEED = 7919
 
 
+def _hashed(c):
+    return _BREAK + 1 + (c * 2654435761 >> 7) % (LETTERS - _BREAK - 1)
+
+
 def _alphabet() -> np.ndarray:
     """Code of each character of the basic plane: a letter's, or the break."""
     codes = np.full(1 << 16, _BREAK, np.uint8)
@@ -44,12 +58,23 @@ def _alphabet() -> np.ndarray:
     return codes
 
 
-def _hashed(c):
-    return _BREAK + 1 + (c * 2654435761 >> 7) % (LETTERS - _BREAK - 1)
+def characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of UTF-8 bytes, and the byte at which each begins."""
+    at = np.flatnonzero((data & 0xC0) != 0x80)
+    lead = data[at].astype(np.uint32)
+    points = lead.copy()
+    for size, low, high in ((2, 0xC0, 0xE0), (3, 0xE0, 0xF0), (4, 0xF0, 0x100)):
+        which = np.flatnonzero((lead >= low) & (lead < high))
+        if len(which):
+            value = lead[which] & (0x7F >> size)
+            for k in range(1, size):
+                value = value << 6 | (data[np.minimum(at[which] + k, len(data) - 1)] & 0x3F)
+            points[which] = value
+    return points, at
 
 
 class Space:
-    """The vectors of letters at each place of an n-gram, and texts as vectors."""
+    """The vectors of letters at each place of an n-gram, and texts as counts of n-grams and as vectors."""
 
     _made: "Space | None" = None
 
@@ -64,53 +89,94 @@ class Space:
         cls._made = cls._made or cls()
         return cls._made
 
-    def grams(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        """The distinct n-grams of a text and their counts; None if it has no letter.  Long texts are
-        read in pieces that overlap."""
-        if len(text) <= SLICE_BYTES:
-            return self._grams(text)
-        total: dict[int, int] = {}
-        for i in range(0, len(text), SLICE_BYTES):
-            part = self._grams(text[max(0, i - GRAM + 1) : i + SLICE_BYTES], edge=False)
-            for k, n in zip(*(x.tolist() for x in part), strict=True) if part else ():
-                total[k] = total.get(k, 0) + n
-        keys = np.array(sorted(total), np.int64)
-        return (keys, np.array([total[k] for k in keys.tolist()], np.int64)) if len(keys) else None
-
-    def _grams(self, text: str, edge: bool = True) -> tuple[np.ndarray, np.ndarray] | None:
-        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    def letters(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of some bytes' characters, and where each begins."""
+        points, at = characters(data)
         codes = self.codes[np.minimum(points, 0xFFFF)]
         for i in np.flatnonzero(points > 0xFFFF):
-            codes[i] = _hashed(int(points[i])) if chr(points[i]).isalpha() else _BREAK
-        if edge:
-            codes = np.concatenate([[_BREAK], codes, [_BREAK]])
-        is_break = codes == _BREAK
-        if is_break.all():
-            return None
-        codes = codes[~(is_break & np.concatenate([[False], is_break[:-1]]))].astype(np.int64)
-        if len(codes) < GRAM:
-            return None
-        key = codes[: len(codes) - GRAM + 1].copy()
+            codes[i] = _hashed(int(points[i])) if points[i] < 0x110000 and chr(points[i]).isalpha() else _BREAK
+        return codes, at
+
+    def grams(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """N-grams of a slice's texts in order, and the text of each."""
+        codes, at = self.letters(data)
+        owner = np.searchsorted(offsets, at, "right") - 1
+        # A break in front of every text and one behind it.
+        n = len(offsets) - 1
+        place = np.arange(len(codes)) + 2 * owner + 1
+        whole, text = np.full(len(codes) + 2 * n, _BREAK, np.int64), np.zeros(len(codes) + 2 * n, np.int64)
+        whole[place] = codes
+        text[1:] = np.cumsum(self._begins(owner, n, len(whole)))[1:]
+        again = np.zeros(len(whole), bool)
+        again[1:] = (whole[1:] == _BREAK) & (whole[:-1] == _BREAK) & (text[1:] == text[:-1])
+        return self._keys(whole[~again], text[~again])
+
+    @staticmethod
+    def _begins(owner: np.ndarray, n: int, size: int) -> np.ndarray:
+        out = np.zeros(size, np.int64)
+        length = np.bincount(owner, minlength=n) + 2 if n else np.zeros(0, np.int64)
+        out[np.cumsum(length)[:-1]] = 1
+        return out
+
+    @staticmethod
+    def _keys(codes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = len(codes) - GRAM + 1
+        if n <= 0:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        key = codes[:n].copy()
         for i in range(1, GRAM):
-            key = key * LETTERS + codes[i : len(codes) - GRAM + 1 + i]
-        keys, counts = np.unique(key, return_counts=True)
-        return (keys, counts) if len(keys) else None
+            key = key * LETTERS + codes[i : n + i]
+        inside = text[:n] == text[GRAM - 1 :]
+        return key[inside], text[:n][inside]
+
+    def counts_of_long(self, data: np.ndarray, piece: int = SLICE_BYTES) -> np.ndarray:
+        """How often each n-gram occurs in one text of any length (``piece``: 4 bytes or more)."""
+        total, carry, at = np.zeros(GRAMS, np.int64), np.array([_BREAK]), 0
+        while at <= len(data):
+            end = min(at + piece, len(data))
+            while end < len(data) and data[end] & 0xC0 == 0x80 and end > at + 1:
+                end -= 1
+            codes = np.concatenate([carry, self.letters(data[at:end])[0], [_BREAK] if end == len(data) else []]).astype(np.int64)
+            is_break = codes == _BREAK
+            codes = codes[~(is_break & np.concatenate([[False], is_break[:-1]]))]
+            total += np.bincount(self._keys(codes, np.zeros(len(codes), np.int64))[0], minlength=GRAMS)
+            carry, at = codes[-(GRAM - 1) :], end if end < len(data) else end + 1
+        return total
+
+    def vectors(self, keys: np.ndarray) -> np.ndarray:
+        """The bound vector of each n-gram."""
+        bound = None
+        for i, place in enumerate(self.places):
+            letter = place[keys // LETTERS ** (GRAM - 1 - i) % LETTERS]
+            bound = letter if bound is None else bound * letter
+        return bound.astype(np.float32)
 
     def bundle(self, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        out = np.zeros(self.dimensions, np.float64)
+        """Sum of the vectors of ``keys``, each ``counts`` times; a row per row of ``counts``."""
+        out = np.zeros((*counts.shape[:-1], self.dimensions), np.float64)
         for a in range(0, len(keys), 4096):
-            k = keys[a : a + 4096]
-            bound = None
-            for i, place in enumerate(self.places):
-                letter = place[k // LETTERS ** (GRAM - 1 - i) % LETTERS]
-                bound = letter if bound is None else bound * letter
-            out += counts[a : a + 4096].astype(np.float32) @ bound.astype(np.float32)
+            out += counts[..., a : a + 4096].astype(np.float32) @ self.vectors(keys[a : a + 4096])
         return out
 
-
-def _texts(column: pa.Array) -> Iterator[str | None]:
-    for x in column:
-        yield x.as_py()
+    def texts(self, s) -> np.ndarray:
+        """The vector of each text of a slice; zero where there is no letter."""
+        out = np.zeros((len(s), self.dimensions))
+        if len(s) == 1 and len(s.data) > SLICE_BYTES:
+            total = self.counts_of_long(s.data)
+            keys = np.flatnonzero(total)
+            out[0] = self.bundle(keys, total[keys])
+            return out
+        grams, text = self.grams(s.data, s.offsets)
+        used = np.flatnonzero(np.bincount(grams, minlength=1))
+        column = np.zeros(GRAMS, np.int32)
+        column[used] = np.arange(len(used))
+        column = column[grams]
+        cut = np.searchsorted(text, np.arange(0, len(s) + _TOGETHER, _TOGETHER))
+        for k, (a, z) in enumerate(zip(cut, cut[1:], strict=False)):
+            rows = min(_TOGETHER, len(s) - k * _TOGETHER)
+            counts = np.bincount((text[a:z] - k * _TOGETHER) * len(used) + column[a:z], minlength=rows * len(used))
+            out[k * _TOGETHER : k * _TOGETHER + rows] = self.bundle(used, counts.reshape(rows, len(used)))
+        return out
 
 
 def _bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,12 +184,17 @@ def _bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[str, np.ndarray] = {}
     count: dict[str, np.ndarray] = {}
     for batch in batches:
-        for text, lang in zip(_texts(batch.column("text")), _texts(batch.column("lang")), strict=True):
-            found = space.grams(text or "")
-            if found:
-                if lang not in count:
-                    count[lang] = np.zeros(LETTERS**GRAM, np.int64)
-                count[lang][found[0]] += found[1]
+        for s in slices(batch.column("text")):
+            langs = batch.column("lang").slice(s.row, len(s)).dictionary_encode()
+            index = langs.indices.to_numpy(zero_copy_only=False)
+            if len(s) == 1:
+                of_lang = [space.counts_of_long(s.data)]
+            else:
+                grams, text = space.grams(s.data, s.offsets)
+                of_lang = [np.bincount(grams[index[text] == i], minlength=GRAMS) for i in range(len(langs.dictionary))]
+            for lang, n in zip(langs.dictionary.to_pylist(), of_lang, strict=True):
+                if n.any():
+                    count[lang] = count[lang] + n if lang in count else n
             if len(count) > 32:  # bounded: fold the counts of many languages into their vectors
                 _fold(space, total, count)
     _fold(space, total, count)
@@ -138,10 +209,13 @@ def _fold(space: Space, total: dict[str, np.ndarray], count: dict[str, np.ndarra
     count.clear()
 
 
-def learn_prototypes(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
+def learn_prototypes(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", most: int = LANGUAGES) -> tuple[list[str], np.ndarray]:
     """Languages in order, and their unit prototypes (one row each)."""
     train = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text is not null and lang is not null")
-    sums = train.mapInArrow(_bundle, "lang string, place int, value double").groupBy("lang", "place").agg(F.sum("value").alias("value")).toPandas()
+    sums = train.mapInArrow(_bundle, "lang string, place int, value double").groupBy("lang", "place").agg(F.sum("value").alias("value"))
+    sums = sums.limit(most * DIMENSIONS + 1).toPandas()
+    if len(sums) > most * DIMENSIONS:
+        raise ValueError(f"column {lang_col} holds more than {most} values: these are no languages")
     langs = sorted(sums["lang"].unique())
     out = np.zeros((len(langs), DIMENSIONS))
     at = {x: i for i, x in enumerate(langs)}
@@ -149,29 +223,35 @@ def learn_prototypes(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     return langs, out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
 
 
-def _predict(langs: list[str], prototypes: np.ndarray):
-    middle = prototypes.mean(axis=0) if len(langs) > 1 else np.zeros(DIMENSIONS)
-    centred = prototypes - middle
-    centred = centred / np.maximum(np.linalg.norm(centred, axis=1, keepdims=True), 1e-12)
-
-    def judge(space: Space, text: str | None) -> tuple[str, float]:
-        found = space.grams(text) if text and langs else None
-        if not found:
-            return "und", 0.0
-        v = space.bundle(*found)
-        v = v / max(np.linalg.norm(v), 1e-12) - middle
-        cosine = centred @ (v / max(np.linalg.norm(v), 1e-12))
-        best = int(np.argmax(np.round(cosine, 12)))
-        return langs[best], float(np.clip((1 + cosine[best]) / 2, 0, 1))
+class Judge:
+    """Compares vectors of texts with the prototypes."""
 
+    def __init__(self, langs: list[str], prototypes: np.ndarray) -> None:
+        self.langs = np.array([*langs, "und"], object)
+        self.middle = prototypes.mean(axis=0) if len(langs) > 1 else np.zeros(DIMENSIONS)
+        centred = prototypes - self.middle
+        self.centred = centred / np.maximum(np.linalg.norm(centred, axis=1, keepdims=True), 1e-12)
+
+    def __call__(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Language and score of each row; ``und`` and 0 for a zero vector."""
+        size = np.linalg.norm(vectors, axis=1, keepdims=True)
+        known = (size[:, 0] > 0) & (len(self.langs) > 1)
+        best, score = np.full(len(vectors), len(self.langs) - 1), np.zeros(len(vectors))
+        if known.any():
+            v = vectors[known] / size[known] - self.middle
+            cosine = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12) @ self.centred.T
+            best[known] = np.argmax(np.round(cosine, 12), axis=1)
+            score[known] = np.clip((1 + cosine.max(axis=1)) / 2, 0, 1)
+        return self.langs[best], score
+
+
+def _predict(langs: list[str], prototypes: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        space = Space.get()
+        space, judge = Space.get(), Judge(langs, prototypes)
         for batch in batches:
-            found = [judge(space, x) for x in _texts(batch.column("text"))]
-            yield pa.record_batch({
-                "row": batch.column("row"), "lang_pred": pa.array([x for x, _ in found], pa.string()),
-                "score": pa.array([x for _, x in found], pa.float64()),
-            })
+            for s in slices(batch.column("text")):
+                lang, score = judge(space.texts(s))
+                yield pa.record_batch({"row": batch.column("row").slice(s.row, len(s)), "lang_pred": pa.array(lang, pa.string()), "score": pa.array(score)})
 
     return run
 

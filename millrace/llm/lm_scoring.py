@@ -2,16 +2,18 @@
 
 A token's probability mixes three estimates: how often it followed the token before it, how often it
 occurs at all, and a uniform floor.  The weights depend on how often the context occurred (a bucket for
-each power of two).  They are learned by expectation-maximisation on deleted counts: the training
-documents of every eighth block are taken out of all counts, and their tokens are predicted from the rest.
+each power of two).  They are learned by expectation-maximisation on deleted counts: every eighth training document, by a hash of id and
+text, is taken out of all counts, and its tokens are predicted from the rest.
 
-Counts of words and word pairs come from every training document.  Each block of neighbouring documents
-asks for its own distinct keys, so frequent words are summed before they travel, and gets the totals back
-in the order it asked; no vocabulary is broadcast or collected.  Text is shuffled once.
+Counts of words and word pairs come from every training document.  Documents are dealt into blocks of some
+1 MB of text as they are read (those that are deleted into blocks of their own).  Each block asks for its own
+distinct keys, so frequent words are summed before they travel, and gets the totals back in the order it
+asked; no vocabulary is broadcast or collected.  Text is shuffled once, and a block is all that a task holds:
+ids that repeat, are null or far apart, and runs of long texts, make no difference to it.
 
 Defined results: null or blank text has one token, the end of the text; an id that is null counts as the
 empty text when documents are split; repeated rows are documents of their own; without training documents
-every probability comes from the floor.
+every probability comes from the floor; where no document is deleted (tables of a few) the weights are equal.
 """
 
 from __future__ import annotations
@@ -25,13 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .core import (
-    ASK_SQL, LOWER, U64, Asker, Deal, block_of, buckets, by_block, merge_asked, mix, pack, release, slices, split_mod,
+    ASK_SQL, LOWER, SLICE_BYTES, U64, Asker, Deal, blocked, buckets, by_block, merge_asked, mix, pack, slices, split_mod,
     stored, text_bytes, together, unpack, word_hashes, word_spans,
 )
 
-BLOCK = 256
 KEY_BITS = 56
-#: Every so many blocks, the training documents are deleted from the counts to learn the weights.
+#: One in so many training documents is deleted from the counts to learn the weights.
 DELETED = 8
 CONTEXTS = 32
 #: Steps of an estimate's logarithm per factor of two, and the cells so made, when the weights are learned.
@@ -68,9 +69,10 @@ def _ask(deal: Deal):
         asker = Asker(deal, 3)
         for batch in batches:
             blocks = batch.column("block").to_numpy(zero_copy_only=False)
-            train = batch.column("train").to_numpy(zero_copy_only=False).astype(float)
-            deleted = train * batch.column("deleted").to_numpy(zero_copy_only=False)
-            for s in slices(batch.column("text")):
+            rows = batch.column("row")
+            train = rows.field("train").to_numpy(zero_copy_only=False).astype(float)
+            deleted = train * (blocks & 1)
+            for s in slices(rows.field("text")):
                 t = Tokens(s.data, s.offsets, deal)
                 mine = slice(s.row, s.row + len(s))
                 begin, docs = np.repeat(t.begin, len(s)), np.arange(len(s))
@@ -198,28 +200,19 @@ def _score(deal: Deal, n: int, v: int, weights: np.ndarray):
     return run
 
 
-def _counted(texts: DataFrame, deal: Deal) -> DataFrame:
-    asks = texts.mapInArrow(_ask(deal), ASK_SQL)
-    return stored(asks.groupBy("bucket").applyInArrow(_answer, "block long, bucket int, answer binary, sizes array<long>"), "counts")
-
-
-def score_documents(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
+def score_documents(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = SLICE_BYTES) -> DataFrame:
     """``train``: boolean column, whether a row's text may be learned from.  One row per input row:
     ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` (log10)."""
-    spark = docs.sparkSession
-    deal = Deal(buckets(spark), KEY_BITS)
-    keyed = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(train, F.lit(False)).alias("train"),
-        block_of(F.col(id_col), F.col(text_col), block).alias("block"),
-    )
-    deleted = F.pmod(F.xxhash64("block"), F.lit(DELETED)) == 0
-    ranges = _counted(keyed.select("block", "text", "train", deleted.alias("deleted")), deal)
-    release(spark)
+    deal = Deal(buckets(docs.sparkSession), KEY_BITS)
+    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
+    rows = blocked(keyed, "text", "texts", F.col("train") & (F.pmod(F.xxhash64("doc_id", "text"), F.lit(DELETED)) == 0), block_bytes)
+    asks = rows.mapInArrow(_ask(deal), ASK_SQL)
+    ranges = stored(asks.groupBy("bucket").applyInArrow(_answer, "block long, bucket int, answer binary, sizes array<long>"), "counts")
     sums = ranges.where("block is null").agg(*[F.coalesce(F.sum(F.col("sizes")[i]), F.lit(0)).alias(str(i)) for i in range(3)]).first()
     n, v, n_deleted = (int(x) for x in sums)
     answers = ranges.where("block is not null")
-    rows = keyed.select("block", F.struct("doc_id", "text", "train").alias("row"))
-    events = together(rows.where(deleted), answers.where(deleted)).mapInArrow(_events(deal, float(n - n_deleted)), "code long, n long")
+    odd = "block % 2 = 1"
+    events = together(rows.where(odd), answers.where(odd)).mapInArrow(_events(deal, float(n - n_deleted)), "code long, n long")
     found = events.groupBy("code").agg(F.sum("n").alias("n")).toPandas()
     code, count = found["code"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
     bucket, pair, single = code // (CELLS * CELLS), code // CELLS % CELLS, code % CELLS

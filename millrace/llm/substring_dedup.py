@@ -5,9 +5,13 @@ window of ``window`` words holds one whole block.  All rolling windows of that l
 the whole corpus.  Where a probe meets a block that is not itself, the hit is extended: the windows around
 it are compared in full, and windows that occur twice join up to maximal repeats, whose words go.
 
-Probes travel as sorted, distinct key differences for each block of neighbouring documents (about three
-bytes a word), so a passage that a third of all documents hold is sent once per block.  The answer is a
-bit per key.  Text is shuffled once, and once more only for documents with hits.  Nothing is broadcast.
+Documents are dealt into blocks of some 1 MB of text as they are read; a block is all that a task holds.
+Probes travel as sorted, distinct key differences for each block (about three bytes a word), so a passage that
+a third of all documents hold is sent once per block.  The answer is a bit per key.  Text is shuffled once,
+and once more only for documents with hits.  Nothing is broadcast.
+
+``keep_first`` leaves each window where it occurs first (blocks in the order they were read, then the documents
+of a block in theirs) and removes it elsewhere: no passage is lost to a corpus that way.
 
 Defined results: null or blank text has no words and an empty ``kept``; a text shorter than the window
 is kept; equal windows inside one document count, overlapping ones too; repeated rows are documents of
@@ -25,13 +29,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .core import (
-    ASK_SQL, PLAIN, Asker, Deal, ask_rows, block_of, buckets, by_block, merge_asked, pack_sorted, release, slices, stored, text_bytes,
+    ASK_SQL, PLAIN, SLICE_BYTES, Asker, Deal, ask_rows, blocked, buckets, by_block, discard, merge_asked, pack_sorted, slices, stored, text_bytes,
     together, unpack_sorted, windows, word_hashes, word_spans,
 )
 
 WINDOW = 35
-#: Neighbouring documents whose keys are made distinct before they are sent.
-BLOCK = 256
 #: Bits of an anchor's key, which only proposes, and of a window's, which decides.
 ANCHOR_BITS, WINDOW_BITS = 40, 64
 ANSWER_SQL = "block long, bucket int, answer binary"
@@ -54,12 +56,12 @@ def _anchors(deal: Deal, window: int, anchor: int, h: np.ndarray, first: np.ndar
     return deal.cut(value), at, owner, (at - first[owner]) % anchor == 0
 
 
-def _ask_anchors(deal: Deal, window: int, anchor: int):
+def _ask_anchors(deal: Deal, text: str, window: int, anchor: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asker = Asker(deal, 2)
         for batch in batches:
             blocks = batch.column("block").to_numpy(zero_copy_only=False)
-            for s in slices(batch.column("text")):
+            for s in slices(batch.column("row").field(text)):
                 starts, ends, first = word_spans(s.data, s.offsets, PLAIN)
                 keys, _, owner, is_block = _anchors(deal, window, anchor, word_hashes(s.data, starts, ends, PLAIN), first)
                 asker.add_docs(blocks[s.row :], owner, keys, [np.ones(len(keys)), is_block.astype(float)])
@@ -179,7 +181,7 @@ def _near(b: _Block, deal: Deal, window: int, anchor: int, answers: dict[int, by
     return value, begin, np.searchsorted(b.first, begin, "right") - 1
 
 
-def _finish(deal2: Deal, text: str, window: int, original: bool):
+def _finish(deal2: Deal, text: str, window: int, original: bool, keep_first: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, table, answers in by_block(batches):
             if table is None:
@@ -189,7 +191,12 @@ def _finish(deal2: Deal, text: str, window: int, original: bool):
             keys = deal2.cut(value)
             repeated = np.zeros(len(keys), bool)
             if answers:
-                repeated = np.isin(keys, np.concatenate([unpack_sorted(answers[k]) for k in sorted(answers)]))
+                found = [_split_answer(answers[k]) for k in sorted(answers)]
+                repeated = np.isin(keys, np.concatenate([k for k, _ in found]))
+                if keep_first:  # of the windows that occur first in this block, the first one stays
+                    first_here = np.concatenate([k[here] for k, here in found])
+                    at = np.flatnonzero(repeated & np.isin(keys, first_here))
+                    repeated[at[np.unique(keys[at], return_index=True)[1]]] = False
             step = np.zeros(len(b.h) + 1, np.int64)
             np.add.at(step, begin[repeated], 1)
             np.add.at(step, begin[repeated] + window, -1)
@@ -199,43 +206,43 @@ def _finish(deal2: Deal, text: str, window: int, original: bool):
 
 
 def _answer_keys(table: pa.Table) -> pa.Table:
-    """Windows that occur twice, for each block that asked."""
+    """Windows that occur twice, for each block that asked, and a bit for each: no earlier block has it."""
     bucket = table.column("bucket")[0].as_py()
     distinct, totals, own = merge_asked(table, 1)
-    twice = {block: p[totals[0][p] >= 2] for block, p in own.items()}
+    earliest = np.full(len(distinct), np.iinfo(np.int64).max)
+    for block, p in own.items():
+        np.minimum.at(earliest, p, block)
+    twice = {block: np.sort(p[totals[0][p] >= 2]) for block, p in own.items()}
     twice = {block: p for block, p in twice.items() if len(p)}
     return pa.table({
         "block": pa.array(list(twice), pa.int64()),
         "bucket": pa.array([bucket] * len(twice), pa.int32()),
-        "answer": pa.array([pack_sorted(distinct[np.sort(p)]) for p in twice.values()], pa.binary()),
+        "answer": pa.array([_bits(earliest[p] == block) + pack_sorted(distinct[p]) for block, p in twice.items()], pa.binary()),
     })
 
 
-def _first_round(docs: DataFrame, id_col: str, text_col: str, block: int, ask, extend) -> DataFrame:
-    keyed = docs.select(
-        block_of(F.col(id_col), F.col(text_col), block).alias("block"), F.struct(*[F.col(c) for c in docs.columns]).alias("row")
-    )
-    schema = T.StructType([*T._parse_datatype_string(_DONE_SQL).fields, T.StructField("row", keyed.schema["row"].dataType)])
-    asks = keyed.select("block", F.col("row")[text_col].alias("text")).mapInArrow(ask, ASK_SQL)
-    answers = asks.groupBy("bucket").applyInArrow(_answer_anchors, ANSWER_SQL)
-    return stored(together(keyed, answers).mapInArrow(extend, schema), "repeats")
+def _split_answer(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = 4 + -(-int.from_bytes(blob[:4], "little") // 8)
+    return unpack_sorted(blob[n:]), _unbits(blob[:n])
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, block: int = BLOCK, original: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = WINDOW, original: bool = True, keep_first: bool = False, block_bytes: int = SLICE_BYTES) -> DataFrame:
     """One row per input row: ``row`` (all input columns), ``n_words``, ``n_removed`` and ``kept``, the
     words that no repeated window covers, joined by one space.  ``original=False`` leaves the text in ``row``
-    null, so that it is not stored twice."""
+    null, so that it is not stored twice; ``keep_first``: see above."""
     if window < 1:
         raise ValueError("window must be at least one word")
-    spark = docs.sparkSession
     anchor = (window + 1) // 2
-    n = buckets(spark)
+    n = buckets(docs.sparkSession)
     deal, deal2 = Deal(n, ANCHOR_BITS), Deal(n, WINDOW_BITS)
-    mid = _first_round(docs, id_col, text_col, block, _ask_anchors(deal, window, anchor), _extend(deal, deal2, text_col, window, anchor, original))
-    release(spark)
-    schema = mid.schema
+    rows = blocked(docs, text_col, "texts", size=block_bytes)
+    schema = T.StructType([*T._parse_datatype_string(_DONE_SQL).fields, T.StructField("row", rows.schema["row"].dataType)])
+    asks = rows.mapInArrow(_ask_anchors(deal, text_col, window, anchor), ASK_SQL)
+    answers = asks.groupBy("bucket").applyInArrow(_answer_anchors, ANSWER_SQL)
+    mid = stored(together(rows, answers).mapInArrow(_extend(deal, deal2, text_col, window, anchor, original), schema), "repeats")
+    discard(rows)
     more = mid.where("kind = 2").select("bucket", "block", "keys", "values").groupBy("bucket").applyInArrow(_answer_keys, ANSWER_SQL)
-    rest = together(mid.where("kind = 1").select("block", "row"), more).mapInArrow(_finish(deal2, text_col, window, original), schema)
+    rest = together(mid.where("kind = 1").select("block", "row"), more).mapInArrow(_finish(deal2, text_col, window, original, keep_first), schema)
     done = ["row", "n_words", "n_removed", "kept"]
     return mid.where("kind = 0").select(*done).unionByName(rest.select(*done))
 

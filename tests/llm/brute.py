@@ -67,8 +67,9 @@ def base_scores(docs, learn):
     return [(i, not learn(i), len(ts), sum(c[w] > 0 for w in ts), n, sum(math.log10((c[w] + 1) / (n + v + 1)) for w in ts)) for i, ts in tokens]
 
 
-def without_repeats(docs, window=35):
-    seen = Counter()
+def without_repeats(docs, window=35, keep_first=False):
+    """``keep_first``: a window stays where it occurs first, in the order of ``docs``."""
+    seen, met = Counter(), set()
     texts = [(i, words(t)) for i, t in docs]
     for _, w in texts:
         for j in range(len(w) - window + 1):
@@ -77,8 +78,10 @@ def without_repeats(docs, window=35):
     for i, w in texts:
         gone = [False] * len(w)
         for j in range(len(w) - window + 1):
-            if seen[tuple(w[j : j + window])] > 1:
+            key = tuple(w[j : j + window])
+            if seen[key] > 1 and not (keep_first and key not in met):
                 gone[j : j + window] = [True] * window
+            met.add(key)
         kept = b" ".join(x for x, g in zip(w, gone, strict=True) if not g)
         out.append((i, len(w), sum(gone), kept.decode()))
     return out

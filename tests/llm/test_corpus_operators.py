@@ -70,11 +70,25 @@ PAIRS = [(r[0], r[1]) for r in some_docs()]
 # ---------------------------------------------------------------- substring dedup
 @pytest.mark.parametrize("window", [35, 5, 1])
 def test_substring_dedup(docs, window):
-    out = substring_dedup.remove_repeats(docs, window=window, block=8)
+    out = substring_dedup.remove_repeats(docs, window=window, block_bytes=2000)
     assert out.schema["row"].dataType.names == docs.columns
     same([tuple(r) for r in out.select("row.doc_id", "n_words", "n_removed", "kept").collect()], brute.without_repeats(PAIRS, window))
 
 
+@pytest.mark.parametrize("window,size", [(35, 3000), (5, 1 << 20)])
+def test_substring_dedup_that_keeps_the_first(docs, window, size):
+    """What goes is repeated, and every word sequence of the window's length that was there before still is, somewhere,
+    unless a longer repeat went across it."""
+    out = [tuple(r) for r in substring_dedup.remove_repeats(docs, window=window, keep_first=True, block_bytes=size).select("row.doc_id", "row.text", "n_removed", "kept").collect()]
+    every = {repr((i, t)): n for (i, t), (_, _, n, _) in zip(PAIRS, brute.without_repeats(PAIRS, window), strict=True)}
+    assert all(n <= every[repr((i, t))] for i, t, n, _ in out)
+    assert sum(n for *_, n, _ in out) < sum(every.values())
+    passage = prose(1, 60)
+    assert sum(passage in k for *_, k in out) == 1
+    for i in (0, 1, 4):
+        assert sum(k.encode() == b" ".join(brute.words(PAIRS[i][1])) for *_, k in out) == (1 if len(brute.words(PAIRS[i][1])) >= window else sum(t == PAIRS[i][1] for _, t in PAIRS))
+
+
 def test_substring_dedup_empty(empty):
     assert substring_dedup.remove_repeats(empty).count() == 0
 
@@ -91,6 +105,55 @@ def test_ngram_jaccard_other_thresholds(docs, size, num, den):
     same([tuple(r) for r in out.collect()], brute.components(PAIRS, size, num, den))
 
 
+@pytest.mark.parametrize("hot,cell_bits", [(2, 21), (3, 14)])
+def test_ngram_jaccard_with_split_buckets(docs, hot, cell_bits):
+    out = ngram_jaccard.similar_components(docs, hot=hot, cell_bits=cell_bits, fragments=5)
+    same([tuple(r) for r in out.collect()], brute.components(PAIRS))
+
+
+def proposed(spark, rows, **how):
+    """Results, and how many pairs each round proposed."""
+    seen, real = [], ngram_jaccard._Join.verify
+    ngram_jaccard._Join.verify = lambda self, pairs, name: (seen.append((name, pairs.count())), real(self, pairs, name))[1]
+    try:
+        return [tuple(r) for r in ngram_jaccard.similar_components(frame(spark, rows), **how).collect()], dict(seen)
+    finally:
+        ngram_jaccard._Join.verify = real
+
+
+@pytest.mark.parametrize("shared", [91, 93, 94])
+def test_documents_that_share_a_common_text_and_stay_apart_propose_no_square(spark, shared):
+    """200 documents of 102 words share most n-grams, which all fall into their prefixes' reach, and none is similar."""
+    core, m = prose(11, shared), 200
+    rows = [(i, f"{prose(5000 + i, 102 - shared)} {core}", None, None) for i in range(m)]
+    got, pairs = proposed(spark, rows, hot=16)
+    same(got, brute.components([(r[0], r[1]) for r in rows]))
+    assert len({r[2] for r in got}) == m
+    assert pairs.get("star", 0) <= m and pairs.get("rest", 0) <= m
+
+
+def test_two_groups_behind_one_common_ngram(spark):
+    """Members of the second group are not like the hub, only like each other: the second round finds them."""
+    clause, one, two = prose(21, 12), prose(22, 90), prose(23, 90)
+    rows = [(i, f"{clause} {one if i % 2 else two} tail{i}", None, None) for i in range(60)]
+    got, pairs = proposed(spark, rows, hot=8)
+    same(got, brute.components([(r[0], r[1]) for r in rows]))
+    assert len({r[2] for r in got}) == 2 and pairs["star"] <= 6 * 60
+
+
+def test_order_is_cut_into_fragments_of_equal_weight():
+    import numpy as np
+
+    cells = np.array([5, 0, 1, 100, 1, 7, 3, 11], np.uint32)
+    order = ngram_jaccard.Order(cells, 3, 16)
+    by = np.lexsort((np.arange(8), cells))
+    assert (np.diff(order.fragment[by].astype(int)) >= 0).all() and order.fragment[by][0] == 0
+    grams = (np.arange(8, dtype=np.uint64) << np.uint64(61)) + np.uint64(9)
+    assert (np.diff(order.fragment[order.cell(grams[order.sort(grams, np.zeros(8, int))])].astype(int)) >= 0).all()
+    even = ngram_jaccard.Order(np.full(1 << 10, 4, np.uint32), 10, 16)
+    assert set(np.bincount(even.fragment)) == {8}
+
+
 def test_ngram_jaccard_empty(empty):
     assert ngram_jaccard.similar_components(empty).count() == 0
 
@@ -244,11 +307,55 @@ def test_chat_formatting(spark):
             assert text is None or sum(int(x.split(":")[0]) for x in mask.split(",") if x) == len(text)
 
 
-def test_chat_formatting_empty_and_native(spark):
+def conversations(spark, path, rows):
+    spark.createDataFrame([(*r, "z") for r in rows], "conv_id long, turn long, role string, text string, c string").write.parquet(f"{path}/conversations.parquet")
+    return chat_formatting.op6_chat_formatting(spark, str(path))
+
+
+def with_endings(rows):
+    own = {}
+    for i, *turn in rows:
+        if i is not None:
+            own.setdefault(i, []).append((turn[0], turn[1] or "", turn[2] or ""))
+    for x in own.values():
+        x.sort(key=lambda t: (t[0] is not None, t[0] or 0, t[1], t[2]))
+    out = []
+    for i, c in own.items():
+        r = [*c[:-1], (*c[-1][:2], own[i + 1][-1][2] if i + 1 in own else "")]
+        n = next((k for k, (a, b) in enumerate(zip(c, r)) if a[1:] != b[1:]), len(c))
+        out.append((i, n, rendered(c[:n])[0], *rendered(c[n:]), *rendered(r[n:])))
+    return out
+
+
+def test_chat_query_loses_no_turn(spark, tmp_path):
+    """Null, tied and repeated turns stay on both sides; only the very last turn's text is another."""
+    rows = [*TURNS, (20, None, "system", "s"), (20, 0, "user", "q"), (20, 1, "assistant", "A"), (20, 1, "assistant", "B"), (21, 0, "user", "t"), (21, 0, "user", "t"), (22, 0, "user", "t")]
+    out = conversations(spark, tmp_path, rows)
+    got = {r["pair_id"]: r for r in out.collect()}
+    same([tuple(r) for r in got.values()], with_endings(rows))
+    assert got[20]["n_prefix"] == 3 and got[20]["prompt"].count("<|end|>") == 3 and (got[20]["chosen"].count("<|end|>"), got[20]["rejected"].count("<|end|>")) == (1, 1)
+    assert got[21]["n_prefix"] == 2 and got[21]["chosen"] == got[21]["rejected"] == ""
+    assert "Python" not in out._jdf.queryExecution().toString() and "Arrow" not in out._jdf.queryExecution().toString()
+
+
+def test_chat_query_and_its_sql_agree_on_odd_turns(spark, tmp_path):
+    import duckdb
+
+    rows = [t for t in TURNS if t[0] != 4] + [(20, None, None, "s"), (20, 1, "assistant", "A"), (20, 1, "assistant", "B"), (21, 0, "user", None), (21, 0, "user", None)]
+    out = conversations(spark, tmp_path, rows)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    found = con.execute(chat_formatting.ORACLE)
+    names = [c[0] for c in found.description]
+    same([tuple(r) for r in out.select(*names).collect()], found.fetchall())
+
+
+def test_chat_formatting_empty_and_native(spark, tmp_path):
     none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     out = chat_formatting.preference_pairs(none, F.col("conv_id"), F.lit(True))
     assert out.count() == 0
     assert "Python" not in out._jdf.queryExecution().toString() and "Arrow" not in out._jdf.queryExecution().toString()
+    assert conversations(spark, tmp_path, []).count() == 0
 
 
 # ---------------------------------------------------------------- LM scoring
@@ -256,7 +363,7 @@ def test_lm_scoring_counts_and_base(docs):
     def learn(i):
         return not brute.held_out(i, 7, 2)
 
-    out = lm_scoring.score_documents(docs, core.split_mod(F.col("doc_id"), 7) != 2, block=4).collect()
+    out = lm_scoring.score_documents(docs, core.split_mod(F.col("doc_id"), 7) != 2, block_bytes=2000).collect()
     want = brute.base_scores(PAIRS, learn)
     same([(r[0], r[1], r[2], r[3], r[4], round(r[5], 6)) for r in out], [(*w[:5], round(w[5], 6)) for w in want])
     assert all(r["score"] < 0 for r in out)
@@ -272,7 +379,7 @@ def test_lm_scoring_is_the_stated_mixture(spark):
     real = lm_scoring.learn_weights
     lm_scoring.learn_weights = lambda *a, **k: seen.setdefault("w", real(*a, **k))
     try:
-        got = {r["doc_id"]: r["score"] for r in lm_scoring.score_documents(df, F.lit(True), block=4).collect()}
+        got = {r["doc_id"]: r["score"] for r in lm_scoring.score_documents(df, F.lit(True), block_bytes=50).collect()}
     finally:
         lm_scoring.learn_weights = real
     toks = [[*t.split(), "</s>"] for _, t in rows]
@@ -332,16 +439,84 @@ def test_language_id_empty(empty, docs):
     assert {r["lang_pred"] for r in language_id.identify(docs, langs, prototypes).collect()} == {"und"}
 
 
-def test_bundle_is_the_sum_of_bound_letters():
+def plain_grams(text):
+    """N-grams of one text, letter by letter."""
+    alphabet = language_id._alphabet()
+    codes = [26]
+    for ch in [*(text or ""), " "]:
+        code = int(alphabet[ord(ch)]) if ord(ch) < 65536 else language_id._hashed(ord(ch)) if ch.isalpha() else 26
+        if code != 26 or codes[-1] != 26:
+            codes.append(code)
+    return [tuple(codes[i : i + 3]) for i in range(len(codes) - 2)]
+
+
+def plain_vector(text):
+    import numpy as np
+
+    places = language_id.Space.get().places
+    total = np.zeros(language_id.DIMENSIONS)
+    for x, y, z in plain_grams(text):
+        total += places[0][x].astype(int) * places[1][y] * places[2][z]
+    return total
+
+
+ODD_TEXTS = ["abab", "", "a", " a", "a ", "12 34", "né né é", "\U00010400\U00010401x", None, "x" * 50, "Où-\u00a0là?", "  \n", prose(77, 300)]
+
+
+def test_vectors_are_sums_of_bound_letters():
     import numpy as np
+    import pyarrow as pa
 
     s = language_id.Space.get()
-    keys, counts = s.grams("abab")
-    total = np.zeros(s.dimensions)
-    for k, n in zip(keys, counts):
-        letters = [k // 64**2, k // 64 % 64, k % 64]
-        total += n * s.places[0][letters[0]].astype(int) * s.places[1][letters[1]] * s.places[2][letters[2]]
-    assert np.array_equal(total, s.bundle(keys, counts)) and counts.sum() == 4
+    (one,) = core.slices(pa.array(ODD_TEXTS, pa.string()))
+    got = s.texts(one)
+    for v, text in zip(got, ODD_TEXTS, strict=True):
+        assert np.array_equal(v, plain_vector(text)), text
+    for piece in (4, 5, 7, 64):
+        for text in ODD_TEXTS:
+            raw = np.frombuffer((text or "").encode(), np.uint8)
+            counts = s.counts_of_long(raw, piece)
+            assert counts.sum() == len(plain_grams(text)), (piece, text)
+            keys = np.flatnonzero(counts)
+            assert np.array_equal(s.bundle(keys, counts[keys]), plain_vector(text))
+
+
+def test_long_text_with_one_letter_is_no_other_than_a_short_one(spark):
+    docs = frame(spark, [(1, " " * 1_048_576 + "a", "en", None), (2, " " * 10 + "a", "en", None), (3, "a" + "7" * 2_000_000, "en", None), (4, prose(1, 9), "en", None), (5, "éé", "fr", None)])
+    got = {r["row"]["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.identify(docs, *language_id.learn_prototypes(docs)).collect()}
+    assert got[1] == got[2] == got[3] and got[1][0] == "en"
+
+
+def test_language_query_against_plain_arithmetic(spark, tmp_path):
+    """The registered query: prototypes from the training part alone, centred cosine, largest wins."""
+    import numpy as np
+
+    rows = [(d[0], d[1], d[2]) for d in some_docs()] + [(1000 + i, t, "xx" if i % 2 else None) for i, t in enumerate(ODD_TEXTS)]
+    frame(spark, [(*r, None) for r in rows]).write.parquet(f"{tmp_path}/documents.parquet")
+    vectors = [plain_vector(t) for _, t, _ in rows]
+    sums = {}
+    for (i, t, lang), v in zip(rows, vectors, strict=True):
+        if t is not None and lang is not None and not brute.held_out(i, 3, 1) and v.any():
+            sums[lang] = sums.get(lang, 0) + v
+    langs = sorted(sums)
+    unit = {k: v / np.linalg.norm(v) for k, v in sums.items()}
+    middle = sum(unit.values()) / len(unit)
+    want = []
+    for (i, _, _), v in zip(rows, vectors, strict=True):
+        best, score = "und", 0.0
+        if v.any():
+            u = v / np.linalg.norm(v) - middle
+            cosines = [float(u @ (unit[k] - middle) / np.linalg.norm(u) / np.linalg.norm(unit[k] - middle)) for k in langs]
+            best, score = langs[int(np.argmax(np.round(cosines, 12)))], (1 + max(cosines)) / 2
+        want.append((i, brute.held_out(i, 3, 1), best, round(score, 6)))
+    got = language_id.op9_language_id(spark, str(tmp_path)).collect()
+    same([(r["doc_id"], r["held_out"], r["lang_pred"], round(r["score"], 6)) for r in got], want)
+
+
+def test_language_column_that_is_none(spark):
+    docs = spark.createDataFrame([(i, "abc", f"l{i}") for i in range(9)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError):
+        language_id.learn_prototypes(docs, most=8)
 
 
 # ---------------------------------------------------------------- media columns
