@@ -1,20 +1,24 @@
 """Benchmark decontamination with one Aho-Corasick automaton.
 
-Windows of ``WINDOW`` words of every test item (or the whole item, where it is shorter) form one automaton
-over normalised text: A-Z lower-cased, everything but letters, digits and non-ASCII bytes a break, one blank
-between words.  Each document is scanned once; matches are mapped to words and to byte spans of the original.
-
-The automaton is broadcast.  Its size is checked: ``AUTOMATON_BYTES`` of item text at most.  A larger
-benchmark is dealt into several automata of that size, which read each row one after another.
-
-Defined results: null text, or text without words, has no hits; items without words count nowhere; items
-that repeat an id are one item with all their windows; repeated rows are judged each by itself; columns
-other than the id and the text are ignored.
+Windows of ``WINDOW`` words of every test item (or the whole item, where it is shorter) form one automaton over
+normalised text: A-Z lower-cased, everything but letters, digits and non-ASCII bytes a break between words.  Its letters
+are whole words, numbered by the vocabulary of the items, so a window is a path of ten nodes and not of sixty.  Each
+document is scanned once; matches are word ranges, which are mapped to byte spans of the original.
+
+A worker builds an automaton once and keeps it for its later tasks.  Its size is bounded: items are cut into pieces (that
+overlap, so that no window is lost), and pieces of at most ``AUTOMATON_WORDS`` words in all go into one automaton, which
+makes ``WINDOW`` nodes of some 60 bytes for each.  A larger benchmark takes several passes, one automaton at a time; each
+writes the rows with the hits so far to the shared folder for the next.  The driver holds the pieces of one pass.
+
+Defined results: null text, or text without words, has no hits; items without words count nowhere; items that repeat an
+id are one item with all their windows; windows of items without an id are hits, but no item is named for them; repeated
+rows are judged each by itself; columns other than the id and the text are ignored.  Words are told apart by 64-bit
+hashes.
 """
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -24,49 +28,91 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .core import ALNUM, ALNUM_TABLE, slices, word_spans
+from .core import ALNUM, discard, slices, stored, word_hashes, word_spans
 
 WINDOW = 10
-#: Most item text in one automaton (a node takes some 30 bytes in each Python worker).
-AUTOMATON_BYTES = 4 << 20
+#: Most words of items in one automaton.
+AUTOMATON_WORDS = 400_000
+#: Most words of a piece of an item.
+PIECE = 20_000
 
 
-def normal_words(text: bytes) -> list[bytes]:
-    return text.translate(ALNUM_TABLE).split()
+def _pieces(window: int, most: int):
+    """Hashes of the words of each item, in pieces that overlap by a window less a word."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s in slices(batch.column("text")):
+                starts, ends, first = word_spans(s.data, s.offsets, ALNUM)
+                h = word_hashes(s.data, starts, ends, ALNUM).view(np.int64)
+                names, parts = [], []
+                for i, name in enumerate(batch.column("item").slice(s.row, len(s)).to_pylist()):
+                    a, z = int(first[i]), int(first[i + 1])
+                    step = most - window + 1
+                    for b in range(a, max(z - window + 1, a + 1), step) if z > a else ():
+                        names.append(name)
+                        parts.append(h[b : min(b + most, z)])
+                yield pa.record_batch({"item": pa.array(names, pa.string()), "words": pa.array(parts, pa.list_(pa.int64()))})
 
-def item_windows(text: str | None, window: int = WINDOW) -> set[tuple[bytes, ...]]:
-    words = normal_words((text or "").encode())
-    return {tuple(words[i : i + window]) for i in range(max(1, len(words) - window + 1))} if words else set()
+    return run
 
 
 class Automaton:
-    """Finds windows in a normalised text.  Bytes are read as Latin-1, so offsets are byte offsets."""
-
-    def __init__(self, items: list[tuple[object, str | None]], window: int = WINDOW) -> None:
-        owners: dict[tuple[bytes, ...], set[str]] = {}
-        for item, text in items:
-            for w in item_windows(text, window):
-                owners.setdefault(w, set()).add(str(item))
-        self.words = ahocorasick.Automaton()
-        for w, ids in owners.items():
-            self.words.add_word(" " + b" ".join(w).decode("latin-1") + " ", (len(w), frozenset(ids)))
-        self.empty = not owners
-        if owners:
-            self.words.make_automaton()
-
-    def scan(self, text: bytes) -> tuple[list[tuple[int, int]], set[str]]:
-        """Word ranges that windows cover, and the items they belong to."""
-        if self.empty:
-            return [], set()
-        flat = " " + b" ".join(text.translate(ALNUM_TABLE).split()).decode("latin-1") + " "
-        found = list(self.words.iter(flat))
-        if not found:
-            return [], set()
-        blanks = np.flatnonzero(np.frombuffer(flat.encode("latin-1"), np.uint8) == 32)
-        last = np.searchsorted(blanks, [end for end, _ in found])
-        spans = sorted({(int(z) - n, int(z)) for z, (_, (n, _)) in zip(last, found, strict=True)})
-        return spans, set().union(*(ids for _, (_, ids) in found))
+    """Finds windows among numbered words."""
+
+    _made: "tuple[str, Automaton] | None" = None
+
+    def __init__(self, pieces: list[tuple[str | None, np.ndarray]], window: int = WINDOW) -> None:
+        every = np.concatenate([w for _, w in pieces]) if pieces else np.zeros(0, np.int64)
+        self.vocabulary = np.unique(every)
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+        place: dict[tuple[int, ...], int] = {}
+        owners: list[set[str]] = []
+        for item, words in pieces:
+            own = (np.searchsorted(self.vocabulary, words) + 1).tolist()
+            for i in range(max(1, len(own) - window + 1)):
+                key = tuple(own[i : i + window])
+                at = place.setdefault(key, len(place))
+                if at == len(owners):
+                    owners.append(set())
+                    self.automaton.add_word(key, at)
+                if item is not None:
+                    owners[at].add(item)
+        self.length = np.array([len(k) for k in place], np.int64)
+        shared: dict[frozenset, frozenset] = {}
+        self.owners = [shared.setdefault(f, f) for f in map(frozenset, owners)]
+        if place:
+            self.automaton.make_automaton()
+
+    @classmethod
+    def of(cls, shared) -> "Automaton":
+        """The automaton of a broadcast value, made once by each worker."""
+        token = shared.value[0]
+        if cls._made is None or cls._made[0] != token:
+            cls._made = None  # the last one goes before the next is built
+            cls._made = (token, cls(*shared.value[1:]))
+        return cls._made[1]
+
+    def numbers(self, h: np.ndarray) -> np.ndarray:
+        """Numbers of words by their hashes; 0 for words that no item has."""
+        if not len(self.vocabulary):
+            return np.zeros(len(h), np.int64)
+        at = np.minimum(np.searchsorted(self.vocabulary, h), len(self.vocabulary) - 1)
+        return np.where(self.vocabulary[at] == h, at + 1, 0)
+
+    def scan(self, h: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int, frozenset[str]]]:
+        """Every window in the texts of a slice: its text, first word, word after the last, and items."""
+        if not len(self.length):
+            return
+        # A break after each text: no window goes on in the next.
+        texts = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        letters = np.zeros(len(h) + len(first), np.int64)
+        letters[np.arange(len(h)) + texts] = self.numbers(h)
+        text_of = np.searchsorted(first[1:] + np.arange(len(first) - 1), np.arange(len(letters)))
+        for end, at in self.automaton.iter(tuple(letters.tolist())):
+            i = int(text_of[end])
+            last = end - i + 1
+            yield i, int(last - self.length[at]), last, self.owners[at]
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -80,58 +126,73 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 _HITS = "n_words long, spans array<struct<first:long,last:long,start:long,end:long>>, items array<string>"
+_SPANS = pa.list_(pa.struct([(k, pa.int64()) for k in ("first", "last", "start", "end")]))
 
 
-def _scan(shared, more: bool = False):
-    """``more``: the rows have hits of an earlier automaton, which are kept."""
+def _scan(shared, text: str, more: bool):
+    """``more``: the rows have hits of an earlier pass, which are kept."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Automaton(*shared.value)
+        automaton = Automaton.of(shared)
         for batch in batches:
-            for s in slices(batch.column("text")):
-                n_words, spans, items = [], [], []
+            rows = batch.column("row")
+            for s in slices(rows.field(text)):
                 starts, ends, first = word_spans(s.data, s.offsets, ALNUM)
-                for i in range(len(s)):
-                    covered, ids = automaton.scan(s.doc(i))
-                    a = int(first[i])
-                    if more:
-                        covered += [(x["first"], x["last"]) for x in batch.column("spans")[s.row + i].as_py()]
-                        ids |= set(batch.column("items")[s.row + i].as_py())
-                    n_words.append(int(first[i + 1]) - a)
-                    spans.append([
-                        {"first": b, "last": e, "start": int(starts[a + b] - s.offsets[i]), "end": int(ends[a + e - 1] - s.offsets[i])}
-                        for b, e in merged(covered)
-                    ])
-                    items.append(sorted(ids))
+                covered: dict[int, list[tuple[int, int]]] = {}
+                ids: dict[int, set[str]] = {}
+                if more:
+                    for i, (spans, items) in enumerate(zip(*(batch.column(c).slice(s.row, len(s)).to_pylist() for c in ("spans", "items")), strict=True)):
+                        if spans:
+                            covered[i], ids[i] = [(int(first[i]) + x["first"], int(first[i]) + x["last"]) for x in spans], set(items)
+                for i, a, z, owners in automaton.scan(word_hashes(s.data, starts, ends, ALNUM).view(np.int64), first):
+                    covered.setdefault(i, []).append((a, z))
+                    ids.setdefault(i, set()).update(owners)
+                spans = [
+                    [{"first": a - int(first[i]), "last": z - int(first[i]), "start": int(starts[a] - s.offsets[i]), "end": int(ends[z - 1] - s.offsets[i])} for a, z in merged(covered.get(i, []))]
+                    for i in range(len(s))
+                ]
                 yield pa.record_batch({
-                    "row": batch.column("row").slice(s.row, len(s)), "n_words": pa.array(n_words, pa.int64()),
-                    "spans": pa.array(spans, pa.list_(pa.struct([(k, pa.int64()) for k in ("first", "last", "start", "end")]))),
-                    "items": pa.array(items, pa.list_(pa.string())),
+                    "row": rows.slice(s.row, len(s)), "n_words": pa.array(np.diff(first)), "spans": pa.array(spans, _SPANS),
+                    "items": pa.array([sorted(ids.get(i, ())) for i in range(len(s))], pa.list_(pa.string())),
                 })
 
     return run
 
 
+def _passes(pieces: DataFrame, limit: int) -> Iterator[list[tuple[str | None, np.ndarray]]]:
+    """Pieces for one automaton after another: as many as ``limit`` words allow.  At least one pass."""
+    held: list[tuple[str | None, np.ndarray]] = []
+    size = 0
+    for r in pieces.toLocalIterator():
+        if held and size + len(r["words"]) > limit:
+            yield held
+            held, size = [], 0
+        held.append((r["item"], np.array(r["words"], np.int64)))
+        size += len(r["words"])
+    yield held
+
+
 def find_leaks(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-    item_text_col: str = "text", window: int = WINDOW, limit: int = AUTOMATON_BYTES,
+    item_text_col: str = "text", window: int = WINDOW, limit: int = AUTOMATON_WORDS,
 ) -> DataFrame:
     """One row per document row: ``row`` (all its columns), ``n_words``, ``spans`` (disjoint ranges of hit
     words ``first`` to before ``last``, and their bytes ``start`` to before ``end`` in the original UTF-8 text)
     and ``items`` (ids of the items met, as sorted strings)."""
     spark = docs.sparkSession
-    items = items.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text")).where("item is not null and text is not null")
-    parts = max(1, -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // limit))
-    docs = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
-    schema = T.StructType([docs.schema["row"], *T._parse_datatype_string(_HITS).fields])
-    out = None
-    for k in range(parts):
-        chosen = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == k)
-        shared = spark.sparkContext.broadcast(([(r["item"], r["text"]) for r in chosen.collect()], window))
-        if out is None:
-            out = docs.mapInArrow(_scan(shared), schema)
-        else:  # the next automaton reads the same rows in the same task; only its hits are added
-            out = out.withColumn("text", F.col("row")[text_col]).mapInArrow(_scan(shared, more=True), schema)
+    items = items.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text")).where("text is not null")
+    pieces = items.mapInArrow(_pieces(window, max(window, min(PIECE, limit))), "item string, words array<long>")
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
+    schema = T.StructType([rows.schema["row"], *T._parse_datatype_string(_HITS).fields])
+    out = before = None
+    for chosen in _passes(pieces, limit):
+        if out is not None:  # the rows with the hits so far, for one more pass
+            before, last = stored(out, "leaks"), before
+            rows = before
+            if last is not None:
+                discard(last)
+        shared = spark.sparkContext.broadcast((uuid.uuid4().hex, chosen, window))
+        out = rows.mapInArrow(_scan(shared, text_col, before is not None), schema)
     return out
 
 

@@ -1,17 +1,21 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Only confirmed toxic documents count as labelled; every other text, whatever its label says, is unlabelled
-and holds an unknown part of toxic ones.  With the class prior ``p`` the risk of a linear classifier is
-``p * E_pos[loss(+)] + max(0, E_unl[loss(-)] - p * E_pos[loss(-)])``: the second part estimates the risk on
-the clean documents and is kept from falling below zero, where it would only fit noise.
-
-The model is a numpy logistic one over hashed words.  It is fitted at the driver on a sample of bounded
-size: ``POSITIVES`` confirmed toxic and ``UNLABELLED`` other documents, those with the smallest hashes of
-their ids, whole texts.  Scoring reads every document once and moves nothing.
+Only confirmed toxic documents count as positive.  Unlabelled text is that of every labelled document whose label
+is left unread: a mixture that holds the toxic ones in their natural share.  With the class prior ``p`` the risk of a
+linear classifier is ``p * E_pos[loss(+)] + max(0, E_unl[loss(-)] - p * E_pos[loss(-)])``: the second part estimates
+the risk on the clean documents and is kept from falling below zero, where it would only fit noise.  The prior is the
+toxic share of all labels, raised by two standard errors: too low a prior calls toxic text clean, too high a one is
+what the second part is made for.
+
+The model is a numpy logistic one over hashed words and beginnings of words.  It is fitted at the driver on a sample
+of labelled documents, ``POSITIVES`` toxic ones and ``UNLABELLED`` of all, those with the smallest hashes of their ids,
+whole texts.  Their features are made and counted by the executors; the driver gets how many hold each feature, and of
+each document those of the ``LARGEST`` features that tell most.  Scoring reads every document once and moves nothing.
 
 Defined results: null and wordless texts get the score of a document without words; labels that are null
-are no labels; an id that is labelled twice is toxic if any label says so; without confirmed examples every
-score is the class prior; repeated rows are scored alike; columns other than id, text and label are ignored.
+are no labels; an id that is labelled twice is toxic if any label says so; of labelled rows that repeat an id one is
+learned from; without confirmed examples every score is the class prior; repeated rows are scored alike; columns other
+than id, text and label are ignored.
 """
 
 from __future__ import annotations
@@ -24,24 +28,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .core import ALNUM, U64, slices, split_mod, word_hashes, word_spans
+from .core import ALNUM, U64, discard, mix, slices, split_mod, stored, word_hashes, word_spans
 
-#: Largest training sample, in documents.
+#: Largest training sample, in labelled documents.
 POSITIVES, UNLABELLED = 3000, 9000
 FEATURE_BITS = 18
-#: A word is a feature if so many sampled positives hold it, and if its rates among positives and unlabelled
-#: documents differ by so many standard errors.
-LEAST_DOCUMENTS, ERRORS = 3, 3.0
-ROUNDS, RATE, DECAY = 300, 0.05, 3e-4
+FEATURES = 1 << FEATURE_BITS
+#: Bytes of a beginning; words that are no longer have none.
+BEGINNING = 6
+#: A feature is used if so many sampled positives have it, if its rates among positives and unlabelled documents differ
+#: by so many standard errors, and if it is among so many that differ most.
+LEAST_DOCUMENTS, ERRORS, LARGEST = 3, 3.0, 4096
+ROUNDS, RATE, DECAY = 300, 0.05, 1e-4
 
 
 def features(s) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed distinct words of each document, and where each document begins."""
+    """Hashed distinct words and beginnings of each document, and where each document's begin."""
     starts, ends, first = word_spans(s.data, s.offsets, ALNUM)
-    h = (word_hashes(s.data, starts, ends, ALNUM) >> U64(64 - FEATURE_BITS)).astype(np.int64)
     owner = np.repeat(np.arange(len(s)), np.diff(first))
-    key = np.unique((owner << FEATURE_BITS) | h)
-    return key & ((1 << FEATURE_BITS) - 1), np.searchsorted(key >> FEATURE_BITS, np.arange(len(s) + 1))
+    long = ends - starts > BEGINNING
+    whole = word_hashes(s.data, starts, ends, ALNUM)
+    begins = mix(word_hashes(s.data, starts[long], starts[long] + BEGINNING, ALNUM) ^ U64(0x6A09E667F3BCC909))
+    key = np.concatenate([owner, owner[long]]) << FEATURE_BITS | (np.concatenate([whole, begins]) >> U64(64 - FEATURE_BITS)).astype(np.int64)
+    key = np.unique(key)
+    return key & (FEATURES - 1), np.searchsorted(key, np.arange(len(s) + 1) << FEATURE_BITS)
 
 
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -50,7 +60,7 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words, begin = features(s)
             yield pa.record_batch({
                 "doc_id": batch.column("doc_id").slice(s.row, len(s)),
-                "words": pa.array([words[a:z].astype(np.int32) for a, z in zip(begin, begin[1:], strict=False)], pa.list_(pa.int32())),
+                "words": pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(words.astype(np.int32))),
             })
 
 
@@ -64,25 +74,18 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.bias + total[begin[1:]] - total[begin[:-1]], -40, 40)))
 
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, rounds: int = ROUNDS) -> Model:
-    """Minimises the non-negative risk with Adam over the whole sample."""
-    prior = float(np.clip(prior, 1e-4, 1 - 1e-4))
-    empty = Model(np.zeros(1 << FEATURE_BITS), float(np.log(prior / (1 - prior))))
-    if not positive or not unlabelled:
-        return empty
-    held, seen = (np.bincount(np.concatenate(x), minlength=1 << FEATURE_BITS) for x in (positive, unlabelled))
-    both = (held + seen + 1) / (len(positive) + len(unlabelled) + 2)
-    error = np.sqrt(both * (1 - both) * (1 / len(positive) + 1 / len(unlabelled)))
-    names = np.flatnonzero((held >= min(LEAST_DOCUMENTS, len(positive))) & (np.abs(held / len(positive) - seen / len(unlabelled)) >= ERRORS * error))
-    place = np.full(1 << FEATURE_BITS, -1)
-    place[names] = np.arange(len(names))
-    sides = []
-    for docs in (positive, unlabelled):
-        idx = [place[d][place[d] >= 0] for d in docs]
-        sides.append((np.concatenate(idx), np.repeat(np.arange(len(idx)), [len(x) for x in idx]), len(idx)))
-    w = np.zeros(len(names) + 1)
-    w[-1] = empty.bias
-    m, v = np.zeros_like(w), np.zeros_like(w)
+def telling(held: np.ndarray, seen: np.ndarray, n_positive: int, n_unlabelled: int) -> np.ndarray:
+    """Features worth a weight, ascending, by how many positives hold and how many unlabelled documents show each."""
+    both = (held + seen + 1) / (n_positive + n_unlabelled + 2)
+    error = np.sqrt(both * (1 - both) * (1 / n_positive + 1 / n_unlabelled))
+    apart = np.abs(held / n_positive - seen / n_unlabelled) / error
+    use = np.flatnonzero((held >= min(LEAST_DOCUMENTS, n_positive)) & (apart >= ERRORS))
+    return np.sort(use[np.lexsort((use, -apart[use]))[:LARGEST]])
+
+
+def risk(w: np.ndarray, sides, prior: float) -> tuple[float, np.ndarray]:
+    """The non-negative risk of weights (the bias last) without decay, and the direction to step against.  A side is
+    (feature of each entry, document of each entry, documents)."""
 
     def margin(side):
         idx, owner, n = side
@@ -90,40 +93,68 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
 
     def gradient(side, each):
         idx, owner, _ = side
-        return np.append(np.bincount(idx, weights=each[owner], minlength=len(names)), each.sum())
+        return np.append(np.bincount(idx, weights=each[owner], minlength=len(w) - 1), each.sum())
+
+    zp, zu = margin(sides[0]), margin(sides[1])
+    sp, su = 1 / (1 + np.exp(-np.clip(zp, -40, 40))), 1 / (1 + np.exp(-np.clip(zu, -40, 40)))
+    clean = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+    # The part that estimates the clean documents' risk: where it is negative, only it is stepped back from.
+    rest = gradient(sides[1], su / len(su)) - prior * gradient(sides[0], sp / len(sp))
+    toxic = prior * np.logaddexp(0, -zp).mean()
+    return toxic + max(0.0, clean), prior * gradient(sides[0], (sp - 1) / len(sp)) + rest if clean >= 0 else -rest
 
+
+def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, rounds: int = ROUNDS) -> Model:
+    """Minimises the non-negative risk over features of whole documents with Adam."""
+    prior = float(np.clip(prior, 1e-4, 1 - 1e-4))
+    model = Model(np.zeros(FEATURES), float(np.log(prior / (1 - prior))))
+    if not positive or not unlabelled:
+        return model
+    names = np.unique(np.concatenate([*positive, *unlabelled]))
+    sides = [(np.searchsorted(names, np.concatenate(x)), np.repeat(np.arange(len(x)), [len(d) for d in x]), len(x)) for x in (positive, unlabelled)]
+    w = np.zeros(len(names) + 1)
+    w[-1] = model.bias
+    m, v = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, rounds + 1):
-        zp, zu = margin(sides[0]), margin(sides[1])
-        sp, su = 1 / (1 + np.exp(-np.clip(zp, -40, 40))), 1 / (1 + np.exp(-np.clip(zu, -40, 40)))
-        clean = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        # The part that estimates the clean documents' risk.
-        rest = gradient(sides[1], su / len(su)) - prior * gradient(sides[0], sp / len(sp))
-        g = prior * gradient(sides[0], (sp - 1) / len(sp)) + rest if clean >= 0 else -rest
+        _, g = risk(w, sides, prior)
         g[:-1] += DECAY * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    empty.weights[names] = w[:-1]
-    empty.bias = float(w[-1])
-    return empty
+    model.weights[names] = w[:-1]
+    model.bias = float(w[-1])
+    return model
 
 
 def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
-    """``docs`` (doc_id, text) and ``labels`` (doc_id, toxic) that may be learned from.  The prior is the
-    toxic share of all labels."""
-    known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    n, toxic = known.agg(F.count("*"), F.sum((F.col("toxic") > 0).cast("long"))).first()
-    by_hash = [F.xxhash64("doc_id", F.lit(17)), F.col("doc_id")]
-    pos_ids = [r[0] for r in known.where("toxic > 0").select("doc_id").orderBy(*by_hash).limit(positives).collect()]
-    ids = docs.where("doc_id is not null").select("doc_id").orderBy(*by_hash).limit(positives + unlabelled).collect()
-    chosen = set(pos_ids)
-    unl_ids = [r[0] for r in ids if r[0] not in chosen][:unlabelled]
+    """``docs`` (doc_id, text) and ``labels`` (doc_id, toxic) that may be learned from."""
     spark = docs.sparkSession
-    wanted = spark.createDataFrame([(int(i),) for i in {*pos_ids, *unl_ids}], "doc_id long")
-    rows = docs.join(F.broadcast(wanted), "doc_id").select("doc_id", "text").mapInArrow(_featurise, "doc_id long, words array<int>")
-    words = {r["doc_id"]: np.array(r["words"], np.int64) for r in rows.toLocalIterator()}
-    pos = [words[i] for i in pos_ids if i in words]
-    unl = [words[i] for i in unl_ids if i in words]
-    return fit(pos, unl, (toxic or 0) / n if n else 0.5)
+    known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
+    n, toxic = known.agg(F.count("*"), F.coalesce(F.sum((F.col("toxic") > 0).cast("long")), F.lit(0))).first()
+    share = toxic / n if n else 0.5
+    prior = share + 2 * (share * (1 - share) / n) ** 0.5 if n else share
+    by_hash = [F.xxhash64("doc_id", F.lit(17)), F.col("doc_id")]
+    pos_ids = {r[0] for r in known.where("toxic > 0").select("doc_id").orderBy(*by_hash).limit(positives).collect()}
+    unl_ids = {r[0] for r in known.select("doc_id").orderBy(*by_hash).limit(unlabelled).collect()}
+    if not pos_ids:
+        return fit([], [], prior)
+    wanted = spark.createDataFrame([(i, i in pos_ids, i in unl_ids) for i in sorted(pos_ids | unl_ids)], "doc_id long, pos boolean, unl boolean")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(wanted.select("doc_id")), "doc_id")
+    words = rows.mapInArrow(_featurise, "doc_id long, words array<int>").groupBy("doc_id").agg(F.min("words").alias("words"))
+    words = stored(words.join(F.broadcast(wanted), "doc_id"), "sample")
+    flags = [F.col(c).cast("long") for c in ("pos", "unl")]
+    n_pos, n_unl = words.agg(*[F.coalesce(F.sum(f), F.lit(0)) for f in flags]).first()
+    counts = words.select(F.explode("words").alias("word"), "pos", "unl").groupBy("word").agg(*[F.sum(f).alias(str(i)) for i, f in enumerate(flags)]).toPandas()
+    held, seen = np.zeros(FEATURES), np.zeros(FEATURES)
+    held[counts["word"]], seen[counts["word"]] = counts["0"], counts["1"]
+    names = telling(held, seen, n_pos, n_unl) if n_pos and n_unl else np.zeros(0, np.int64)
+    used = F.array_intersect("words", F.array(*[F.lit(int(x)) for x in names]).cast("array<int>"))
+    pos, unl = [], []
+    for r in words.select(used.alias("words"), "pos", "unl").orderBy("doc_id").toLocalIterator():
+        for side, there in ((pos, r["pos"]), (unl, r["unl"])):
+            if there:
+                side.append(np.array(r["words"], np.int64))
+    discard(words)
+    return fit(pos, unl, prior)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

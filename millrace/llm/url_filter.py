@@ -5,12 +5,13 @@ A host is written backwards, label by label, with a comma after each: ``m.exampl
 of nested hosts nest.  Addresses and rules are sorted together by key and path; one sweep keeps a stack of
 the rules whose interval it is in, and an address takes the longest rule on the stack whose path begins its own.
 
-The sort is split over tasks at keys drawn from a bounded sample, with a hash of the row as a tie-break, so
-one host or one address with a third of all rows is split like any other.  A rule goes to every task its
-interval reaches.  The sample only places rows; results do not depend on it.  Nothing is broadcast.
+The sort is split over tasks at some keys, with a hash of the row as a tie-break, so one host or one address with
+a third of all rows is split like any other.  The keys are drawn from all rows by hash, ``DRAWN`` for each task and
+of ``CUT`` characters at most, which is all that the driver gets.  A rule goes to every task its interval reaches.
+The draw only places rows; results do not depend on it.  Nothing is broadcast.
 
-Defined results: an address that is null or has no ``://`` has an empty host and path, which only a rule
-with an empty host fits; where rules of equal length fit, the one with the longer host wins, then a block
+Defined results: an address that is null or has no ``://`` has an empty host and path; a rule with an empty host
+fits every address whose path begins with its own, those too; where rules of equal length fit, the one with the longer host wins, then a block
 before an allow; rules repeated are one; an address no rule fits gets ``default``; repeated rows are judged
 each by itself; columns other than the id and the address are ignored.
 """
@@ -23,12 +24,13 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Rules as verdict, host and path.
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 DEFAULT = "allow"
-#: Keys drawn to place the cuts, for each cut.
-DRAWN = 64
+#: Keys drawn to place the cuts, for each cut, and their longest length.
+DRAWN, CUT = 16, 200
 
 
 def host_of(url: Column) -> Column:
@@ -59,6 +61,22 @@ def _place(cuts: list[tuple[str, int]]):
     return run
 
 
+def _reach(low: list[str]):
+    """Each rule once for every task that its host's interval reaches; ``low``: the keys at which tasks begin."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("hkey").to_pylist()
+            reached = [range(bisect_left(low, k), bisect_right(low, k + "\U0010ffff") + 1) for k in keys]
+            row = pa.array([i for i, r in enumerate(reached) for _ in r], pa.int64())
+            parts = pa.array([p for r in reached for p in r], pa.int32())
+            for a in range(0, len(row), 65_536):
+                out = batch.take(row.slice(a, 65_536))
+                yield out.append_column("part", parts.slice(a, 65_536))
+
+    return run
+
+
 class _Stack:
     """The nested hosts that the sweep is in, each with its rules by path."""
 
@@ -128,22 +146,19 @@ def judge(pages: DataFrame, rules: DataFrame | Iterable[tuple[str, str, str]] =
         F.xxhash64(F.monotonically_increasing_id()).alias("tie"), F.lit(0).alias("part"),
     )
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    # Some keys from everywhere: those whose tie-break is smallest.
-    drawn = rows.select("key", "tie").orderBy(F.xxhash64("tie", "key")).limit(tasks * DRAWN).collect()
-    drawn = sorted((r["key"], r["tie"]) for r in drawn)
+    # Some keys from everywhere: those whose hash is among the smallest, by the share that is wanted.
+    share = min(1.0, DRAWN * tasks / max(1, rows.count()))
+    drawn = rows.where(F.abs(F.xxhash64("tie", "key") % F.lit(1 << 30)) < int(share * (1 << 30)) + 1).select(F.substring("key", 1, CUT).alias("key"), "tie")
+    drawn = sorted((r["key"], r["tie"]) for r in drawn.collect())
     cuts = [drawn[i * len(drawn) // tasks] for i in range(1, tasks)] if len(drawn) >= tasks else []
-    placed = rows.select("part", "hkey", "key", "tie", "id", "host", "path").mapInArrow(_place(cuts), rows.select("part", "hkey", "key", "tie", "id", "host", "path").schema)
-    low = [k for k, _ in cuts]
-    reach = F.udf(lambda k: list(range(bisect_left(low, k), bisect_right(low, k + "\U0010ffff") + 1)), "array<int>")
-    active = (
-        rules.where("host is not null and path is not null and verdict is not null")
-        .select(_lower(F.col("host")).alias("host"), "path", "verdict").distinct()
-        .withColumn("hkey", host_key(F.col("host"))).withColumn("part", F.explode(reach("hkey")))
-    )
-    both = placed.select("part", "hkey", F.lit(1).alias("kind"), "key", "id", "host", "path", F.lit(None).cast("string").alias("verdict")).unionByName(
-        active.select("part", "hkey", F.lit(0).alias("kind"), F.col("hkey").alias("key"), F.lit(None).cast(rows.schema["id"].dataType).alias("id"), "host", "path", "verdict")
-    )
-    swept = both.repartition(F.col("part")).sortWithinPartitions("part", "hkey", "kind", "path").drop("key")
+    names = ["part", "hkey", "kind", "id", "host", "path", "verdict"]
+    placed = rows.select("part", "key", "tie", "hkey", F.lit(1).alias("kind"), "id", "host", "path", F.lit(None).cast("string").alias("verdict"))
+    placed = placed.mapInArrow(_place(cuts), placed.schema).select(*names)
+    active = rules.where("host is not null and path is not null and verdict is not null").select(_lower(F.col("host")).alias("host"), "path", "verdict").distinct()
+    active = active.select(host_key(F.col("host")).alias("hkey"), F.lit(0).alias("kind"), F.lit(None).cast(rows.schema["id"].dataType).alias("id"), "host", "path", "verdict")
+    active = active.mapInArrow(_reach([k for k, _ in cuts]), T.StructType([*active.schema.fields, T.StructField("part", T.IntegerType())])).select(*names)
+    # A part is a task: dealt by its number, not by a hash of it.
+    swept = placed.unionByName(active).repartitionById(tasks, F.col("part")).sortWithinPartitions("part", "hkey", "kind", "path")
     schema = f"id {rows.schema['id'].dataType.simpleString()}, host string, path string, rule string, verdict string"
     return swept.mapInArrow(_sweep(default), schema).withColumnRenamed("id", id_col)
 

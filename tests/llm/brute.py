@@ -26,7 +26,7 @@ def leaks(docs, items, n=10):
         w = ALNUM.findall((text or "").encode().lower())
         for j in range(max(1, len(w) - n + 1)):
             if w:
-                own[tuple(w[j : j + n])].add(str(item))
+                own[tuple(w[j : j + n])] |= set() if item is None else {str(item)}
     lengths, out = {len(k) for k in own}, []
     for i, text in docs:
         w = ALNUM.findall((text or "").encode().lower())

@@ -171,14 +171,32 @@ def test_ngram_jaccard_group_of_near_copies_is_not_expanded(spark):
 
 
 # ---------------------------------------------------------------- decontamination
-ITEMS = [(1, prose(1, 60)), (2, "two words"), (10, prose(500, 12)), (3, None), (4, "?!"), (2, prose(102, 9)), (None, prose(3, 20)), (5, "né né né")]
+ITEMS = [(1, prose(1, 60)), (2, "two words"), (10, prose(500, 12)), (3, None), (4, "?!"), (2, prose(102, 9)), (None, prose(102, 3)), (5, "né né né")]
 
 
-@pytest.mark.parametrize("limit", [decontamination.AUTOMATON_BYTES, 200])
+@pytest.mark.parametrize("limit", [decontamination.AUTOMATON_WORDS, 40, 15])
 def test_decontamination(spark, docs, limit):
+    """One automaton, or several passes with items cut into pieces."""
     items = spark.createDataFrame([(*x, 0) for x in ITEMS], "item_id long, text string, row int")
     out = decontamination.digest(decontamination.find_leaks(docs, items, limit=limit))
-    same([tuple(r) for r in out.collect()], brute.leaks(PAIRS, [x for x in ITEMS if x[0] is not None]))
+    same([tuple(r) for r in out.collect()], brute.leaks(PAIRS, ITEMS))
+
+
+def test_decontamination_query(spark, docs, tmp_path):
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(*x, 0) for x in ITEMS], "item_id long, text string, row int").write.parquet(f"{tmp_path}/benchmark.parquet")
+    same([tuple(r) for r in decontamination.op1_decontamination(spark, str(tmp_path)).collect()], brute.leaks(PAIRS, ITEMS))
+
+
+def test_an_automaton_holds_no_more_words_than_allowed(spark):
+    items = spark.createDataFrame([(1, prose(1, 500)), (2, prose(2, 30))], "item_id long, text string").coalesce(1)
+    sizes = []
+    real = decontamination.Automaton
+    pieces = items.selectExpr("string(item_id) as item", "text").mapInArrow(decontamination._pieces(10, 60), "item string, words array<long>")
+    for held in decontamination._passes(pieces, 60):
+        sizes.append(sum(len(w) for _, w in held))
+        assert sum(len(k) for k in real(held).automaton) <= 10 * sizes[-1]
+    assert max(sizes) <= 60 and len(sizes) >= 9
 
 
 def test_decontamination_spans_point_into_the_original(spark):
@@ -206,12 +224,12 @@ def judged(url, rules):
     m = re.search(r"://([^/?#]*)([^?#]*)", url or "", re.S)
     host = "".join(chr(ord(x) + 32) if "A" <= x <= "Z" else x for x in m[1]) if m else ""
     path = m[2] if m else ""
-    fits = [r for r in rules if (host == r[1] or host.endswith("." + r[1])) and path.startswith(r[2])]
+    fits = [r for r in rules if (not r[1] or host == r[1] or host.endswith("." + r[1])) and path.startswith(r[2])]
     best = max(fits, key=lambda r: (len(r[1] + r[2]), len(r[1]), r[0] == "block"), default=None)
     return host, path, best and best[1] + best[2], best[0] if best else "allow"
 
 
-@pytest.mark.parametrize("rules", [url_filter.RULES, [*url_filter.RULES, ("block", "a.b.example.org", "/en/"), ("allow", "example.org", "/en/10"), ("block", "com", "/"), ("block", "org", "/")], []])
+@pytest.mark.parametrize("rules", [url_filter.RULES, [*url_filter.RULES, ("block", "a.b.example.org", "/en/"), ("allow", "example.org", "/en/10"), ("block", "com", "/"), ("block", "org", "/")], [("block", "", "/e"), ("allow", "", ""), ("block", "org", "/es/")], []])
 def test_url_filter(spark, rules):
     rows = [(i, u, "x") for i, u in enumerate(URLS * 30)] + [(3, URLS[3], "x"), (None, URLS[4], "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, host string")
@@ -219,6 +237,13 @@ def test_url_filter(spark, rules):
     same(got, [(i, *judged(u, rules)) for i, u, _ in rows])
 
 
+def test_url_query(spark, tmp_path):
+    rows = [(i, u, "x") for i, u in enumerate(URLS)] * 2 + [(i, "http://hot.example.org/es/1", "x") for i in range(400)] + [(None, "http://x.org/" + "long" * 100_000, "x")]
+    spark.createDataFrame(rows, "page_id long, url string, path string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = [tuple(r) for r in url_filter.op2_url_filter(spark, str(tmp_path)).select("page_id", "host", "path", "rule", "verdict").collect()]
+    same(got, [(i, *judged(u, url_filter.RULES)) for i, u, _ in rows])
+
+
 def test_url_filter_empty(spark):
     assert url_filter.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
@@ -239,6 +264,78 @@ def test_toxicity_finds_planted_words_and_reads_no_clean_labels(spark):
     assert min(other[i] for i in range(400, 600) if i % 8 == 0) > max(sorted(other[i] for i in range(400, 600) if i % 8)[:-4])
 
 
+def plain_features(text):
+    """Word by word, without the slices."""
+    import numpy as np
+    import pyarrow as pa
+
+    out = set()
+    for w in brute.ALNUM.findall((text or "").encode().lower()):
+        (s,) = core.slices(pa.array([w], pa.binary()).cast(pa.string(), safe=False))
+        out |= set(toxicity.features(s)[0].tolist())
+    return np.array(sorted(out), np.int64)
+
+
+def test_toxicity_query_against_plain_arithmetic(spark, tmp_path):
+    """The registered query: its split, its sample, the features of each document one by one, the sum of weights."""
+    import numpy as np
+
+    r = random.Random(8)
+    rows = [(i, prose(3000 + i, 25) + (" vilelylong" + r.choice("abc") + " bad" if i % 6 == 0 else "")) for i in range(180)]
+    docs = [*rows, (180, None), (181, ""), (182, "?!"), (None, "vilelylonga"), (3, rows[3][1]), (183, "vilelylongd " * 50)]
+    labels = [(i, int(i % 6 == 0)) for i in range(170)] + [(1, None), (None, 1), (1, 0)]
+    spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, score string").write.parquet(f"{tmp_path}/documents.parquet")
+    seen, real = {}, toxicity.fit
+    toxicity.fit = lambda pos, unl, prior, **k: seen.setdefault("m", (pos, unl, prior, real(pos, unl, prior, **k)))[3]
+    try:
+        got = []
+        for name in ("one", "two"):
+            flip = [(i, t if t is None or not brute.held_out(i, 5, 0) else 1 - t) for i, t in labels] if name == "two" else labels
+            spark.createDataFrame(flip, "doc_id long, toxic int").write.mode("overwrite").parquet(f"{tmp_path}/labels.parquet")
+            got.append(sorted(map(repr, toxicity.op4_toxicity(spark, str(tmp_path)).collect())))
+        rows_out = toxicity.op4_toxicity(spark, str(tmp_path)).collect()
+    finally:
+        toxicity.fit = real
+    assert got[0] == got[1]  # held-out labels are not read
+    pos, unl, prior, model = seen["m"]
+    train = {i: t for i, t in labels if i is not None and t is not None and not brute.held_out(i, 5, 0)}
+    texts = dict(d for d in docs if d[0] is not None)
+    share = sum(train.values()) / len(train)
+    assert prior == pytest.approx(share + 2 * (share * (1 - share) / len(train)) ** 0.5)
+    held, shown = np.zeros(toxicity.FEATURES), np.zeros(toxicity.FEATURES)
+    for i, t in train.items():
+        f = plain_features(texts[i])
+        shown[f] += 1
+        held[f] += t
+    names = toxicity.telling(held, shown, sum(train.values()), len(train))
+    assert [x.tolist() for x in unl] == [np.intersect1d(plain_features(texts[i]), names).tolist() for i in sorted(train)]
+    assert len(pos) == sum(train.values())
+    want = []
+    for i, text in docs:
+        score = 1 / (1 + np.exp(-(model.bias + model.weights[plain_features(text)].sum())))
+        want.append((i, brute.held_out(i, 5, 0), round(float(score), 9), int(score >= 0.5)))
+    same([(x["doc_id"], x["held_out"], round(x["score"], 9), x["predicted"]) for x in rows_out], want)
+    assert all(x["predicted"] == 1 for x in rows_out if x["doc_id"] == 183 or x["doc_id"] in range(0, 180, 6))
+
+
+def test_toxicity_steps_against_the_risk():
+    """The gradient against differences of the risk where the clean part is positive; where it is not, it is that part's."""
+    import numpy as np
+
+    r = np.random.default_rng(2)
+    sides = [(r.integers(0, 6, 40), np.sort(r.integers(0, 10, 40)), 10), (r.integers(0, 6, 90), np.sort(r.integers(0, 30, 90)), 30)]
+    w, e = r.normal(size=7) * 0.1, 1e-6
+    _, g = toxicity.risk(w, sides, 0.2)
+    for k in range(7):
+        up, down = w.copy(), w.copy()
+        up[k], down[k] = up[k] + e, down[k] - e
+        assert g[k] == pytest.approx((toxicity.risk(up, sides, 0.2)[0] - toxicity.risk(down, sides, 0.2)[0]) / (2 * e), abs=1e-6)
+    low = np.append(np.zeros(6), -9.0)
+    assert toxicity.risk(low, [sides[0], sides[0]], 0.99)[0] > 0
+    flat = toxicity.risk(np.append(np.zeros(6), 3.0), [sides[0], (sides[1][0], sides[1][1], 30)], 0.9999)
+    assert np.isfinite(flat[1]).all()
+
+
 def test_toxicity_without_examples(spark, docs, empty):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     for d in (docs, empty):
