@@ -39,7 +39,7 @@ BEGINNING = 6
 #: A feature is used if so many sampled positives have it, if its rates among positives and unlabelled documents differ
 #: by so many standard errors, and if it is among so many that differ most.
 LEAST_DOCUMENTS, ERRORS, LARGEST = 3, 3.0, 4096
-ROUNDS, RATE, DECAY = 300, 0.05, 1e-4
+ROUNDS, RATE, DECAY = 1000, 0.05, 1e-4
 
 
 def features(s) -> tuple[np.ndarray, np.ndarray]:
