@@ -238,9 +238,10 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = WINDOW
     rows = blocked(docs, text_col, "texts", size=block_bytes)
     schema = T.StructType([*T._parse_datatype_string(_DONE_SQL).fields, T.StructField("row", rows.schema["row"].dataType)])
     asks = rows.mapInArrow(_ask_anchors(deal, text_col, window, anchor), ASK_SQL)
-    answers = asks.groupBy("bucket").applyInArrow(_answer_anchors, ANSWER_SQL)
+    # Written, so that the keys that were sent are gone before the texts are.
+    answers = stored(asks.groupBy("bucket").applyInArrow(_answer_anchors, ANSWER_SQL), "answers")
     mid = stored(together(rows, answers).mapInArrow(_extend(deal, deal2, text_col, window, anchor, original), schema), "repeats")
-    discard(rows)
+    discard(rows, answers)
     more = mid.where("kind = 2").select("bucket", "block", "keys", "values").groupBy("bucket").applyInArrow(_answer_keys, ANSWER_SQL)
     rest = together(mid.where("kind = 1").select("block", "row"), more).mapInArrow(_finish(deal2, text_col, window, original, keep_first), schema)
     done = ["row", "n_words", "n_removed", "kept"]
