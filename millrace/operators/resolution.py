@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.hashing import cosine
 from ..functions.text import LEGAL_MORE, name_normalized
 
 # Scores from which a match is taken, reviewed or, among embeddings, taken; and the fallback's confidence.
@@ -130,16 +129,37 @@ def _dealt(rows: DataFrame, column: str, own: str, other: str) -> DataFrame:
     return rows.select(column).where(F.col(column) != "").distinct().select(column, F.pmod(F.xxhash64(column), F.lit(PARTS)).cast("int").alias(own), parts.alias(other))
 
 
+#: Names that one task meets under a token that many have.
+SHARE = 4096
+
+
+def _by_token(rows: DataFrame, column: str, known: DataFrame, spread: Column) -> DataFrame:
+    """Each text with its tokens, rarest first, and a row for each of them and each of its ``salt``s."""
+    each = rows.select(column).where(F.col(column) != "").distinct().withColumn("token", F.explode(F.array_distinct(F.split(column, r"\s+"))))
+    each = each.join(known, "token")
+    tokens = each.groupBy(column).agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("tokens"))
+    return each.join(tokens, column).select(column, "token", "tokens", F.explode(spread).alias("salt"))
+
+
+def _meeting(names: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Pairs of texts with a common token, each once: under the rarest token that both have.  The names of a common
+    token are split over salts, to each of which its candidates go."""
+    both = names.select(F.col("norm").alias("x")).distinct().unionAll(candidates.select("cnorm").distinct())
+    counts = both.where("x <> ''").select(F.explode(F.array_distinct(F.split("x", r"\s+"))).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    known = counts.withColumn("salts", (1 + F.col("n") / SHARE).cast("int"))
+    left = _by_token(names, "norm", known, F.array(F.pmod(F.xxhash64("norm"), F.col("salts")).cast("int"))).withColumnRenamed("tokens", "mine")
+    right = _by_token(candidates, "cnorm", known, F.sequence(F.lit(0), F.col("salts") - 1))
+    met = left.join(right, ["token", "salt"])
+    return met.where(F.col("token") == F.get(F.array_intersect("mine", "tokens"), F.lit(0))["token"]).select("norm", "cnorm")
+
+
 def fuzzy_pairs(names: DataFrame, candidates: DataFrame, cutoff: float = 80.0) -> DataFrame:
     """``names`` (name_id, norm) against ``candidates`` (candidate_id, candidate, cnorm): all pairs that score at
     least ``cutoff``.
 
-    Pairs that share a token meet under it; all others are looked at part by part, behind bounds that lose
-    none.  Scores are computed once per pair of distinct names."""
-    left = names.select(F.col("norm")).where("norm <> ''").distinct().withColumn("token", F.explode(F.array_distinct(F.split("norm", r"\s+"))))
-    right = candidates.select("cnorm").where("cnorm <> ''").distinct().withColumn("token", F.explode(F.array_distinct(F.split("cnorm", r"\s+"))))
-    met = left.join(right, "token").select("norm", "cnorm").distinct()
-    scored = met.withColumn("score", score(F.col("norm"), F.col("cnorm"))).where(F.col("score") >= cutoff)
+    Pairs that share a token meet once, under the rarest token they share; all others are looked at part by part,
+    behind bounds that lose none.  Scores are computed once per pair of distinct names."""
+    scored = _meeting(names, candidates).withColumn("score", score(F.col("norm"), F.col("cnorm"))).where(F.col("score") >= cutoff)
     one, two = _dealt(names, "norm", "i", "j"), _dealt(candidates, "cnorm", "j", "i")
     apart = one.groupBy("i", "j").cogroup(two.groupBy("i", "j")).applyInArrow(_apart(cutoff), "norm string, cnorm string, score double")
     # The second path tells tokens apart as Python does: what both find counts once.
@@ -158,17 +178,67 @@ def alias_table(pairs: DataFrame) -> DataFrame:
     return named.groupBy("norm").agg(F.max_by("target", "seq").alias("target"))
 
 
-def nearest(queries: DataFrame, store: DataFrame, k: int = 5) -> DataFrame:
-    """``queries`` (query_id, qvec) against ``store`` (vec_id, vec): the ``k`` of largest cosine each.
+#: Most bytes of query vectors that are broadcast at once.
+QUERY_BYTES = 64 << 20
+
+
+def _unit(rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors as unit rows, and the places of those that have a direction and the usual length."""
+    lists = rows.to_pylist()
+    size = max((len(x) for x in lists if x), default=0)
+    good = np.array([x is not None and len(x) == size > 0 and None not in x for x in lists], bool)
+    v = np.array([lists[i] for i in np.flatnonzero(good)], np.float64).reshape(int(good.sum()), size)
+    norm = np.linalg.norm(v, axis=1)
+    some = norm > 0
+    return v[some] / norm[some, None], np.flatnonzero(good)[some]
+
+
+def _best(shared, k: int):
+    """For every query the ``k`` best rows of a task: of equal ones those with the smallest ids."""
+
+    def run(batches):
+        ids, vectors = shared.value
+        top_id, top = np.zeros((len(ids), 0), np.int64), np.zeros((len(ids), 0))
+        for batch in batches:
+            for start in range(0, batch.num_rows, 4096):
+                part = batch.slice(start, 4096)
+                v, at = _unit(part.column("vec"))
+                if not len(v) or v.shape[1] != vectors.shape[1]:
+                    continue
+                own = part.column("vec_id").to_numpy(zero_copy_only=False)[at].astype(np.int64)
+                top = np.hstack([top, vectors @ v.T])
+                top_id = np.hstack([top_id, np.broadcast_to(own, (len(ids), len(own)))])
+                keep = np.lexsort((top_id, -top), axis=1)[:, :k]
+                top, top_id = np.take_along_axis(top, keep, 1), np.take_along_axis(top_id, keep, 1)
+        yield pa.record_batch({"query_id": pa.array(np.repeat(ids, top.shape[1])), "vec_id": pa.array(top_id.ravel()), "cosine": pa.array(top.ravel())})
+
+    return run
+
 
-    The stated query set meets every row once.  The queries travel in blocks that are joined to the rows
-    by a key every row carries, and each block keeps its best before anything is shuffled by query."""
-    blocks = queries.groupBy(F.pmod(F.xxhash64("query_id"), F.lit(16)).alias("b")).agg(F.collect_list(F.struct("query_id", "qvec")).alias("qs"))
-    rows = store.withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(15).cast("long"))))
-    pairs = rows.join(blocks, "b").select("vec_id", "vec", F.explode("qs").alias("q"))
-    scored = pairs.select(F.col("q.query_id").alias("query_id"), "vec_id", cosine(F.col("q.qvec"), F.col("vec")).alias("cosine")).where("cosine is not null")
+def nearest(queries: DataFrame, store: DataFrame, k: int = 5, most: int = QUERY_BYTES) -> DataFrame:
+    """``queries`` (query_id, qvec) against ``store`` (vec_id, vec): the ``k`` of largest cosine each, with ``rank``.
+    Vectors that are null, zero or of another length have no cosine.
+
+    The stated query set meets every row: it is broadcast in blocks of at most ``most`` bytes, and each task keeps the
+    ``k`` best of its rows for each query, so no more than that is shuffled."""
+    spark = queries.sparkSession
+    out, held, size = None, [], 0
+
+    def block() -> DataFrame:
+        v, at = _unit(pa.array([r["qvec"] for r in held], pa.list_(pa.float64())))
+        shared = spark.sparkContext.broadcast((np.array([held[i]["query_id"] for i in at], np.int64), v))
+        return store.select(F.col("vec_id").cast("long").alias("vec_id"), "vec").mapInArrow(_best(shared, k), "query_id long, vec_id long, cosine double")
+
+    for r in queries.select("query_id", "qvec").toLocalIterator():
+        held.append(r)
+        size += 8 * len(r["qvec"] or ())
+        if size >= most:
+            out = block() if out is None else out.unionByName(block())
+            held, size = [], 0
+    if held or out is None:
+        out = block() if out is None else out.unionByName(block())
     w = Window.partitionBy("query_id").orderBy(F.col("cosine").desc(), "vec_id")
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 def resolved(names: DataFrame, aliases: DataFrame, candidates: DataFrame, embedded: DataFrame | None = None) -> DataFrame:

@@ -19,6 +19,7 @@ from ..functions import text as X
 from ..functions import url as U
 from ..operators import chunking, enrichment, extraction, freshness, metrics, queues, records, repositories, resolution, storage
 from ..schemas import RECORD_TYPES, violations
+from ..shared import numbered
 from ..sources import web
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,7 +81,7 @@ def pages_by_domain(spark, d):
 
 @query(f"SELECT page_id, CAST(floor((row_number() OVER (PARTITION BY h ORDER BY page_id) - 1) / 5.0) AS BIGINT) AS slot FROM ({SPLIT})")
 def rate_limit_slots(spark, d):
-    return web.rate_slots(table(spark, d, "pages"), "url", ["page_id"]).select("page_id", c("slot").cast("long").alias("slot"))
+    return web.rate_slots(table(spark, d, "pages").select("page_id", "url"), "url", ["page_id"]).select("page_id", c("slot").cast("long").alias("slot"))
 
 
 @query("SELECT event_id, status, status IN (408,429,500,502,503,504) AS retry, least(pow(2, event_id % 8), 60.0) AS delay FROM (SELECT event_id, CAST([200,404,408,429,500,502,503,504][event_id % 8 + 1] AS INTEGER) AS status FROM events)")
@@ -506,10 +507,8 @@ def count_by_type(spark, d):
 
 @query("SELECT doc_id, s.id AS source_id FROM documents d LEFT JOIN (SELECT source, row_number() OVER (ORDER BY source) AS id FROM (SELECT DISTINCT source FROM documents WHERE doc_id % 2 = 0)) s ON d.source = s.source")
 def source_join(spark, d):
-    from pyspark.sql import Window
-
     docs = table(spark, d, "documents").select("doc_id", "source")
-    known = docs.where("doc_id % 2 = 0").select("source").distinct().withColumn("source_id", F.row_number().over(Window.orderBy("source")).cast("long"))
+    known = numbered(docs.where("doc_id % 2 = 0").select("source").distinct(), "source_id", [c("source")])
     return docs.join(known, "source", "left").select("doc_id", "source_id")
 
 

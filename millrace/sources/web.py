@@ -7,11 +7,12 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from urllib.parse import urlsplit
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions import url as U
+from ..shared import numbered
 
 SCHEMA = "url string, source_name string, status_code int, content_type string, body binary, headers map<string,string>, fetch_duration double, attempt int, error_class string, retry_after double"
 RETRYABLE = {408, 429, 500, 502, 503, 504}
@@ -113,7 +114,8 @@ def sources(spark: SparkSession) -> DataFrame:
 
 
 def rate_slots(requests: DataFrame, url: str, order: list[str], per_second: int = 5) -> DataFrame:
-    """The second in which each request may go, counted from its domain's first."""
-    w = Window.partitionBy("limiter_domain").orderBy(*order)
+    """The second in which each request may go, counted from its domain's first.  A domain of any size is numbered in
+    ranges."""
     rows = requests.withColumn("limiter_domain", U.limiter_domain(F.col(url)))
-    return rows.withColumn("slot", F.floor((F.row_number().over(w) - 1) / per_second))
+    rows = numbered(rows, "__n", [F.col(c) for c in order], F.col("limiter_domain"))
+    return rows.withColumn("slot", F.floor((F.col("__n") - 1) / per_second)).drop("__n")
