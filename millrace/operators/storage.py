@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def upsert(existing: DataFrame, new: DataFrame, keys: list[str], version: list[str]) -> DataFrame:
@@ -13,21 +16,80 @@ def upsert(existing: DataFrame, new: DataFrame, keys: list[str], version: list[s
     return both.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n", "__new")
 
 
-def write_version(table: DataFrame, path: str, version: int) -> str:
-    """Writes a table beside its older versions; readers move on when the new one is whole."""
-    target = f"{path}/v={version:010d}"
-    table.write.mode("overwrite").parquet(target)
-    return target
+@dataclass(frozen=True)
+class Table:
+    """A stored table that is put into by key.  Rows lie in parts by a hash of their key, and a version (``v=N``) holds
+    only the parts that its rows fell into; of each part the newest version that was written whole counts.  So an upsert
+    reads and writes the parts it touches, a run that ends early leaves the table as it was, and whoever opens the
+    folder later finds everything that was put there."""
+
+    spark: SparkSession
+    path: str
+    schema: T.StructType
+    keys: list[str]
+    version: list[str]
+    parts: int = 32
+
+    def _places(self, below: int | None = None) -> dict[int, list[str]]:
+        """Folders of each part, newest first."""
+        jvm = self.spark._jvm.org.apache.hadoop.fs
+        root = jvm.Path(self.path)
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        out: dict[int, list[str]] = {}
+        for number in sorted(_versions(fs, jvm, root), reverse=True):
+            if below is None or number < below:
+                for s in fs.listStatus(jvm.Path(root, f"v={number:010d}")):
+                    if s.getPath().getName().startswith("part="):
+                        out.setdefault(int(s.getPath().getName()[5:]), []).append(s.getPath().toString())
+        return out
+
+    def _load(self, places: list[str]) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(*places) if places else self.spark.createDataFrame([], self.schema)
+
+    def read(self) -> DataFrame:
+        return self._load([x[0] for x in self._places().values()])
+
+    def part_of(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.parts)).cast("int")
+
+    def put(self, rows: DataFrame, number: int | None = None) -> DataFrame:
+        """Puts rows in as version ``number`` (the next one if none is given) and returns the table.  A number that is put
+        again is made from the versions before it and replaces what it had."""
+        number = latest_version(self.spark, self.path) + 1 if number is None else number
+        rows = rows.select(*self.schema.names).withColumn("part", self.part_of())
+        touched = sorted(r["part"] for r in rows.select("part").distinct().collect())
+        places = self._places(number)
+        old = self._load([places[p][0] for p in touched if p in places])
+        new = upsert(old.withColumn("part", self.part_of()), rows, self.keys, self.version)
+        new.hint("rebalance", "part").write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/v={number:010d}")
+        return self.read()
+
+    def get(self, **key) -> DataFrame:
+        """Rows of a key, from the one part it can be in if the key is whole."""
+        places = self._places()
+        if set(key) == set(self.keys):
+            typed = [F.lit(key[k]).cast(self.schema[k].dataType) for k in self.keys]
+            part = self.spark.range(1).select(F.pmod(F.xxhash64(*typed), F.lit(self.parts)).cast("int")).first()[0]
+            places = {part: places[part]} if part in places else {}
+        rows = self._load([x[0] for x in places.values()])
+        for k, v in key.items():
+            rows = rows.where(F.col(k).eqNullSafe(F.lit(v)))
+        return rows
+
+    def tidy(self, keep: int = 1) -> int:
+        """Deletes what newer versions of a part have replaced, all but the last ``keep`` such; returns how many went."""
+        jvm, gone = self.spark._jvm.org.apache.hadoop.fs, 0
+        for places in self._places().values():
+            for place in places[1 + keep :]:
+                at = jvm.Path(place)
+                gone += bool(at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True))
+        return gone
 
 
 def page(table: DataFrame, order: list[Column], limit: int = 100, offset: int = 0) -> DataFrame:
     return table.orderBy(*order).offset(offset).limit(limit)
 
 
-def by_id(table: DataFrame, key: str, value) -> DataFrame:
-    return table.where(F.col(key) == F.lit(value))
-
-
 def record_id(kind: str, url: Column) -> Column:
     return F.sha2(F.concat(F.lit(f"{kind.lower()}:"), url), 256)
 
@@ -53,15 +115,18 @@ def drop_tables(spark: SparkSession, names: list[str]) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def _versions(fs, jvm, root) -> list[int]:
+    if not fs.exists(root):
+        return []
+    found = [x.getPath() for x in fs.listStatus(root) if x.getPath().getName().startswith("v=")]
+    return [int(p.getName()[2:]) for p in found if fs.exists(jvm.Path(p, "_SUCCESS"))]
+
+
 def latest_version(spark: SparkSession, path: str) -> int:
     """Number of the newest version that was written whole; 0 if there is none."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return 0
-    names = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith("v=")]
-    done = [int(p.getName()[2:]) for p in names if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-    return max(done, default=0)
+    jvm = spark._jvm.org.apache.hadoop.fs
+    root = jvm.Path(path)
+    return max(_versions(root.getFileSystem(spark._jsc.hadoopConfiguration()), jvm, root), default=0)
 
 
 def export(table: DataFrame, path: str, kind: str = "csv") -> None:

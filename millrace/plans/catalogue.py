@@ -19,7 +19,7 @@ from ..functions import text as X
 from ..functions import url as U
 from ..operators import chunking, enrichment, extraction, freshness, metrics, queues, records, repositories, resolution, storage
 from ..schemas import RECORD_TYPES, violations
-from ..shared import numbered
+from ..shared import numbered, shared_dir
 from ..sources import web
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -374,12 +374,11 @@ def links_discovered(spark, d):
 @query()
 def crawl_to_store(spark, d):
     """Pages of five kinds read, filtered by freshness, routed and put into their tables; rows per table."""
-    from ..streaming.batch import shared_dir
     from . import crawl
 
     kind = F.element_at(F.array(*[F.lit(k) for k in RECORD_TYPES]), (c("page_id") % 5 + 1).cast("int"))
     pages = table(spark, d, "pages").select("url", F.lower(kind).alias("source_name"), kind.alias("record_type"), F.when(c("page_id") % 10 == 9, 404).otherwise(200).alias("status_code"), "html")
-    return crawl.store(spark, pages, shared_dir(spark), as_of())
+    return crawl.store(spark, pages, shared_dir(spark, "crawl"), as_of())
 
 
 # ------------------------------------------------------------------ dates
@@ -495,6 +494,15 @@ def upsert_latest(spark, d):
     return storage.upsert(o.where("o_orderkey % 2 = 0"), o.where("o_orderkey % 2 <> 0"), ["o_custkey"], ["o_orderdate", "o_orderkey"]).select("o_custkey", "o_orderkey")
 
 
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey = (SELECT max(o_orderkey) FROM orders)")
+def get_record(spark, d):
+    """A stored record by its key, read from the one part it can be in."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    t = storage.Table(spark, shared_dir(spark, "orders"), o.schema, ["o_orderkey"], ["o_custkey"], 4)
+    t.put(o)
+    return t.get(o_orderkey=o.agg(F.max("o_orderkey")).first()[0])
+
+
 @query("SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 100 OFFSET 200")
 def list_page(spark, d):
     return storage.page(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), [c("o_orderdate").desc(), c("o_orderkey")], 100, 200)
@@ -813,11 +821,25 @@ def quota_wait(spark, d):
 
 
 # ------------------------------------------------------------------ streams, run to the end of the table
-@query("SELECT sha256(text) AS content_hash FROM documents GROUP BY 1")
+@query("SELECT sha256(props) AS content_hash FROM events GROUP BY 1")
 def stream_first_seen(spark, d):
-    from ..streaming.batch import first_seen_documents
+    from ..streaming.batch import first_seen_events
+
+    return first_seen_events(spark, d)
+
+
+@query("SELECT event_id, row_number() OVER (PARTITION BY props ORDER BY event_id) = 1 AS is_first FROM events")
+def stream_first_marked(spark, d):
+    from ..streaming.batch import marked_events
+
+    return marked_events(spark, d)
+
+
+@query("SELECT date_trunc('hour', ts) AS hour, event_type AS source_name, count(*) AS total, count(*) FILTER (WHERE event_type = 'error') AS failed FROM events GROUP BY 1, 2")
+def stream_hourly(spark, d):
+    from ..streaming.batch import hourly_events
 
-    return first_seen_documents(spark, d)
+    return hourly_events(spark, d).select(c("hour").cast("timestamp_ntz").alias("hour"), "source_name", "total", "failed")
 
 
 @query(f"SELECT event_id FROM events WHERE TIMESTAMP '{AS_OF}' - ts <= INTERVAL 24 HOUR")

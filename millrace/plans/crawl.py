@@ -42,17 +42,15 @@ def fresh(found: DataFrame, record_type: str, as_of: Column, hours: int = 24) ->
 
 
 def _put(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], version: list[str]) -> DataFrame:
-    """The table with the rows put in, as its next version."""
-    last = storage.latest_version(spark, path)
-    old = spark.read.parquet(f"{path}/v={last:010d}") if last else rows.limit(0)
-    return spark.read.schema(rows.schema).parquet(storage.write_version(storage.upsert(old, rows, keys, version), path, last + 1))
+    """The table with the rows put in."""
+    return storage.Table(spark, path, rows.schema, keys, version).put(rows)
 
 
 def store(spark: SparkSession, pages: DataFrame, out: str, as_of: Column, hours: int = 24, max_pages: int | None = None) -> DataFrame:
     """``pages`` (url, source_name, record_type, status_code, html) into the tables under ``out``; returns
     ``table, n``: rows of each table, and ``failed``: pages that were not answered with 200.
 
-    Every table is written as a version of its own, so a run that ends early leaves the older ones whole.
+    Every table is put into part by part, so a run that ends early leaves the older versions whole.
     ``max_pages`` keeps the first pages of each source, as a crawl's page budget does; None keeps all."""
     if max_pages is not None:
         pages = storage.capped(pages, "source_name", ["url"], max_pages).drop("position")

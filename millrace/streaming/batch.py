@@ -2,23 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.hashing import content_hash
+from ..operators.storage import Table
+from ..shared import shared_dir
 from . import operators
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder that all executors share: under ``spark.checkpoint.dir``, or, where that is unset (one
-    machine), a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="millrace-")
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
-
-
 def _source(spark: SparkSession, d: str, name: str) -> DataFrame:
     path = f"{d}/{name}.parquet"
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
@@ -35,28 +26,39 @@ def _run(stream: DataFrame, out: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{out}/rows")
 
 
-def first_seen_documents(spark: SparkSession, d: str) -> DataFrame:
-    rows = _source(spark, d, "documents").select("text", F.lit("2024-01-01").cast("timestamp").alias("ts"))
-    return _run(operators.first_seen(rows, F.col("text"), "ts").select("content_hash"), shared_dir(spark))
+def first_seen_events(spark: SparkSession, d: str) -> DataFrame:
+    """Each body once within a day of the events' own time."""
+    rows = _source(spark, d, "events").select(F.col("props").alias("body"), F.col("ts").cast("timestamp").alias("ts"))
+    return _run(operators.first_seen(rows, F.col("body"), "ts").select("content_hash"), shared_dir(spark, "stream"))
+
+
+def marked_events(spark: SparkSession, d: str) -> DataFrame:
+    rows = _source(spark, d, "events").select("event_id", F.col("props").alias("body"), F.col("ts").cast("timestamp").alias("ts"))
+    return _run(operators.marked(rows, F.col("body"), "ts", ["event_id"]).select("event_id", "is_first"), shared_dir(spark, "stream"))
 
 
 def fresh_events(spark: SparkSession, d: str, as_of: Column) -> DataFrame:
     rows = _source(spark, d, "events").withColumn("at", F.col("ts").cast("timestamp"))
-    return _run(operators.fresh(rows, "at", as_of).select("event_id"), shared_dir(spark))
-
+    return _run(operators.fresh(rows, "at", as_of).select("event_id"), shared_dir(spark, "stream"))
 
-def upserted_orders(spark: SparkSession, d: str) -> DataFrame:
-    out = shared_dir(spark)
-    versions: list[int] = []
 
-    def read() -> DataFrame | None:
-        return spark.read.parquet(f"{out}/v={versions[-1]}") if versions else None
+def hourly_events(spark: SparkSession, d: str) -> DataFrame:
+    """Counts of each hour and kind.  The stream ends with its last hours still open, so it is told to give what it has
+    after every batch, and the last of that counts."""
+    out = shared_dir(spark, "stream")
+    rows = _source(spark, d, "events").select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("source_name"), (F.col("event_type") != "error").alias("success"))
+    counts = operators.hourly(rows, "ts").select(F.col("window.start").alias("hour"), "source_name", "total", "failed")
+    table = Table(spark, f"{out}/hours", counts.schema, ["hour", "source_name"], ["total"])
+    step = operators.upsert_each_batch(table)
+    counts.writeStream.outputMode("update").foreachBatch(step).option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start().awaitTermination()
+    return table.read()
 
-    def write(table: DataFrame, number: int) -> None:
-        table.write.mode("overwrite").parquet(f"{out}/v={number}")
-        versions.append(number)
 
+def upserted_orders(spark: SparkSession, d: str, out: str | None = None) -> DataFrame:
+    """The latest order of each customer.  With the same ``out``, a later run reads only what is new and keeps the rest."""
+    out = out or shared_dir(spark, "stream")
     rows = _source(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
-    step = operators.upsert_each_batch(read, write, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    table = Table(spark, f"{out}/orders", rows.schema, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    step = operators.upsert_each_batch(table)
     rows.writeStream.foreachBatch(step).option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start().awaitTermination()
-    return read().select("o_custkey", "o_orderkey")
+    return table.read().select("o_custkey", "o_orderkey")

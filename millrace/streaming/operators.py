@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..functions.dates import is_fresh
-from ..operators.storage import upsert
+from ..operators.storage import Table
 
 
 def first_seen(rows: DataFrame, value: Column, ts: str, bound: str = "24 hours") -> DataFrame:
@@ -17,17 +20,40 @@ def first_seen(rows: DataFrame, value: Column, ts: str, bound: str = "24 hours")
     return keyed.dropDuplicatesWithinWatermark(["content_hash"])
 
 
+def marked(rows: DataFrame, value: Column, ts: str, order: list[str], hours: int = 24) -> DataFrame:
+    """All rows, with ``content_hash`` and ``is_first``: whether the value did not occur within ``hours`` before (in a
+    batch the row that ``order`` puts first).  The state of a value is that it was seen, and goes with the watermark."""
+    keyed = rows.withColumn("content_hash", F.sha2(value, 256)).withWatermark(ts, f"{hours} hours")
+    out = T.StructType([*keyed.schema.fields, T.StructField("is_first", T.BooleanType())])
+
+    def mark(key, frames, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        found = pd.concat(list(frames)).sort_values(order)
+        found["is_first"] = False
+        if not state.exists:
+            found.iloc[0, found.columns.get_loc("is_first")] = True
+        last = int(pd.to_datetime(found[ts]).max().timestamp() * 1000)
+        state.update((True,))
+        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + hours * 3_600_000)
+        yield found
+
+    grouped = keyed.groupBy("content_hash")
+    return grouped.applyInPandasWithState(mark, out, T.StructType([T.StructField("seen", T.BooleanType())]), "append", GroupStateTimeout.EventTimeTimeout)
+
+
 def fresh(rows: DataFrame, ts: str, as_of: Column | None = None, hours: int = 24) -> DataFrame:
     return rows.where(is_fresh(F.col(ts), F.current_timestamp() if as_of is None else as_of, hours))
 
 
-def upsert_each_batch(read: Callable[[], DataFrame | None], write: Callable[[DataFrame, int], None], keys: list[str], version: list[str]) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function: the stored table with the batch's rows put in, written as a version of
-    the batch's number, so that a batch that is run again writes the same version."""
+def upsert_each_batch(table: Table) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function: the batch's rows put into the stored table as the version after the batch's number,
+    made from the versions before it.  A batch that is run again writes the same version, and a stream that starts again
+    goes on with what is stored."""
 
     def run(batch: DataFrame, number: int) -> None:
-        stored = read()
-        write(upsert(stored if stored is not None else batch.limit(0), batch, keys, version), number)
+        table.put(batch, number + 1)
 
     return run
 

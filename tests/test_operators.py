@@ -40,9 +40,33 @@ def test_upsert_is_idempotent(spark):
     assert sorted(map(tuple, storage.upsert(one, new, ["k"], ["t"]).collect())) == sorted(map(tuple, one.collect()))
 
 
-def test_versions(spark, tmp_path):
-    df = spark.createDataFrame([(1,)], "k int")
-    assert spark.read.parquet(storage.write_version(df, str(tmp_path), 3)).count() == 1
+def test_stored_table_keeps_what_it_does_not_touch(spark, tmp_path):
+    rows = spark.createDataFrame([(i, "a", 1) for i in range(200)], "k long, v string, t int")
+    t = storage.Table(spark, str(tmp_path / "t"), rows.schema, ["k"], ["t"], 16)
+    assert t.read().count() == 0 and t.get(k=3).count() == 0
+    t.put(rows)
+    t.put(spark.createDataFrame([(7, "b", 2), (300, "c", 1), (None, "n", 1)], rows.schema))
+    t.put(spark.createDataFrame([(7, "old", 1)], rows.schema))
+    again = storage.Table(spark, str(tmp_path / "t"), rows.schema, ["k"], ["t"], 16)
+    assert again.read().count() == 202 and again.get(k=7).first()["v"] == "b" and again.get(k=None).first()["v"] == "n" and again.get(v="c").first()["k"] == 300
+    assert len([x for x in (tmp_path / "t" / "v=0000000003").iterdir() if x.name.startswith("part=")]) == 1
+    again.put(spark.createDataFrame([(7, "z", 3)], rows.schema), 3)  # the same number again
+    assert storage.latest_version(spark, str(tmp_path / "t")) == 3 and again.get(k=7).first()["v"] == "z"
+    (tmp_path / "t" / "v=0000000009" / "part=0").mkdir(parents=True)  # not written whole
+    assert again.read().count() == 202
+    assert again.tidy(0) >= 1 and again.tidy(0) == 0 and again.read().count() == 202
+
+
+def test_stream_upsert_goes_on_after_a_restart(spark, tmp_path):
+    from millrace.streaming import batch
+
+    schema = "o_custkey long, o_orderkey long, o_orderdate date"
+    out, day = str(tmp_path / "out"), __import__("datetime").date
+    for i, rows in enumerate([[(1, 10, day(2024, 1, 1)), (2, 11, day(2024, 1, 1))], [(1, 12, day(2024, 1, 2)), (3, 13, day(2024, 1, 1))], []]):
+        if rows:
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in" / "orders.parquet"))
+        got = sorted(tuple(r) for r in batch.upserted_orders(spark, str(tmp_path / "in"), out).collect())
+        assert got == ([(1, 10), (2, 11)] if i == 0 else [(1, 12), (2, 11), (3, 13)])
 
 
 def test_freshness_splits_everything_once(spark):
@@ -154,7 +178,7 @@ def test_crawl_stores_fresh_records_once_and_again(spark, tmp_path):
         got = {r["table"]: r["n"] for r in crawl.store(spark, pages, str(tmp_path), F.lit("2024-01-30 12:00:00").cast("timestamp")).collect()}
         assert got == want
     assert storage.latest_version(spark, str(tmp_path / "news")) == 2
-    assert [r["canonical_name"] for r in spark.read.parquet(str(tmp_path / "startups" / "v=0000000002")).collect()] == ["acme"]
+    assert [r["canonical_name"] for r in spark.read.parquet(str(tmp_path / "startups" / "v=0000000002" / "part=*")).collect()] == ["acme"]
 
 
 def test_queue_log(spark):
