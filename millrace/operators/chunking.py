@@ -55,6 +55,22 @@ def chunks(text: Column, limit: int = 6000, overlap: int = 300) -> Column:
     return F.pandas_udf(run, T.ArrayType(T.StringType()))(text)
 
 
+def reduced(pieces: Column, limit: int, overlap: int = 300) -> Column:
+    """An array of chunks in which those over the limit are cut again as texts of their own; the others stay."""
+
+    def run(x: pd.Series) -> pd.Series:
+        def one(chunk: str) -> list[str]:
+            if _tokens(chunk) <= limit:
+                return [chunk]
+            own = split_text(chunk, max(1, limit - overlap))
+            return [(own[i - 1][-overlap * CHARS_PER_TOKEN :] if i and overlap else "") + c for i, c in enumerate(own)]
+
+        return x.map(lambda cs: None if cs is None else [c for chunk in cs for c in one(chunk)])
+
+    run.__annotations__ = {"x": pd.Series, "return": pd.Series}
+    return F.pandas_udf(run, T.ArrayType(T.StringType()))(pieces)
+
+
 def chunked(docs: DataFrame, key: str, text: str, limit: int = 6000, overlap: int = 300) -> DataFrame:
     """One row per chunk: key, ``chunk_no`` and ``chunk``, which begins with the end of the chunk before."""
     arrays = docs.select(key, chunks(F.col(text), limit, overlap).alias("cs"))

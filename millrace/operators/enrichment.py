@@ -25,10 +25,28 @@ def confidence(repo: Column, title: Column, authors: Column) -> Column:
     return F.round(F.least(F.lit(BASE) + named + F.lit(AUTHOR) * F.greatest(n, F.lit(0)), F.lit(1.0)), 4)
 
 
+#: Columns of papers in which repositories are looked for, where they are there.
+TEXTS = ["title", "abstract", "description", "body", "content"]
+
+
+def named_in_metadata(metadata: Column) -> Column:
+    """Repositories in metadata: the field ``github_url`` of a JSON object, else whatever a text names."""
+    given = F.try_variant_get(F.try_parse_json(metadata), "$.github_url", "string")
+    return F.when(given.isNotNull(), F.array(given)).otherwise(F.coalesce(repo_urls(metadata), F.array().cast("array<string>")))
+
+
+def all_candidates(papers: DataFrame) -> Column:
+    """Candidates from everything that the papers have: ``github_url``, the columns in ``TEXTS``, and ``metadata``."""
+    found = candidates(F.col("github_url") if "github_url" in papers.columns else F.lit(None).cast("string"), *[F.col(t) for t in TEXTS if t in papers.columns])
+    if "metadata" not in papers.columns:
+        return found
+    return F.array_distinct(F.concat(found, F.transform(named_in_metadata(F.col("metadata")), repo_url)))
+
+
 def enriched(papers: DataFrame, repos: DataFrame) -> DataFrame:
-    """``papers`` (paper_id, title, authors, github_url, abstract) with the known repository of highest
+    """``papers`` (paper_id, title, authors and what ``all_candidates`` reads) with the known repository of highest
     confidence, the address that sorts last among equals; nulls if none is known."""
-    pairs = papers.select("paper_id", "title", "authors", F.explode(candidates(F.col("github_url"), F.col("title"), F.col("abstract"))).alias("repository_url"))
+    pairs = papers.select("paper_id", "title", "authors", F.explode(all_candidates(papers)).alias("repository_url"))
     scored = pairs.join(repos, "repository_url").withColumn("confidence", confidence(F.col("repository_url"), F.col("title"), F.col("authors")))
     best = scored.groupBy("paper_id").agg(F.max_by(F.struct("repository_url", "stars", "confidence"), F.struct("confidence", "repository_url")).alias("b"))
     return papers.select("paper_id").join(best, "paper_id", "left").select(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+from dataclasses import dataclass
 from typing import Protocol
 
 import pandas as pd
@@ -9,7 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import CONTENT
+from ..functions.hashing import parsed_reply
+from ..functions.text import CHARS_PER_TOKEN
+from ..retry import HTTP, Retry
+from ..schemas import CONTENT, violations
 
 ASK = {
     "STARTUP": "Name the company and say what it does, where, since when and with how many people.",
@@ -20,10 +26,49 @@ ASK = {
 }
 
 
-def prompt(record_type: Column, text: Column) -> Column:
-    """The request for a text: what to find, the fields to answer with, the text.  Unknown types ask as news."""
-    asks = F.create_map(*[F.lit(x) for k, v in ASK.items() for x in (k, f"{v}\nAnswer with one JSON object of the fields: {CONTENT[k]}.\nUse null for what is not there.\n\nText:\n")])
-    return F.concat(F.coalesce(F.try_element_at(asks, record_type), F.try_element_at(asks, F.lit("NEWS"))), text)
+_ANSWER = "Answer with one JSON object of the fields: {schema}.\nUse null for what is not there.\n\nText:\n{text}"
+#: Requests with the places ``{schema}``, ``{text}``, ``{name}``, ``{candidates}``, ``{number}`` and ``{of}``.
+TEMPLATES = {
+    **{k: f"{v}\n{_ANSWER}" for k, v in ASK.items()},
+    "GENERAL": f"Take from the text what the fields below ask for, and nothing that it does not say.\n{_ANSWER}",
+    "CHUNK": f"This is part {{number}} of {{of}} of a long text; other parts are read by others. Take only what this part says.\n{_ANSWER}",
+    "RESOLVE": "Which of the known names is meant by the name below? Legal forms, case and punctuation make no difference; if none fits, "
+    "repeat the name with a low confidence.\nAnswer with one JSON object of the fields: canonical_name string, confidence double, reason string.\n\nName:\n{name}\nKnown names:\n{candidates}",
+}
+
+
+def filled(template: Column | str, **values: Column) -> Column:
+    """A template with its places filled, each once, in one go: what is filled in is not looked at again."""
+    out = F.lit(template) if isinstance(template, str) else template
+    parts = F.split(out, r"(?=\{(?:schema|text|name|candidates|number|of)\})")
+    known = F.create_map(*[x for k, v in values.items() for x in (F.lit(k), F.coalesce(v.cast("string"), F.lit("")))])
+
+    def fill(part: Column) -> Column:
+        name = F.regexp_extract(part, r"^\{([a-z]+)\}", 1)
+        value = F.try_element_at(known, name)
+        return F.when(value.isNull(), part).otherwise(F.concat(value, F.substr(part, F.length(name) + 3)))
+
+    return F.array_join(F.transform(parts, fill), "")
+
+
+def prompt(record_type: Column, text: Column, template: str | None = None) -> Column:
+    """The request for a text: what to find, the fields to answer with, the text.  Unknown types ask as news; a
+    ``template`` of one's own takes the place of the type's."""
+    schemas = F.create_map(*[F.lit(x) for kv in CONTENT.items() for x in kv])
+    schema = F.coalesce(F.try_element_at(schemas, record_type), F.try_element_at(schemas, F.lit("NEWS")))
+    asks = F.create_map(*[F.lit(x) for k in ASK for x in (k, TEMPLATES[k])])
+    own = F.lit(template) if template else F.coalesce(F.try_element_at(asks, record_type), F.try_element_at(asks, F.lit("NEWS")))
+    return filled(own, schema=schema, text=text)
+
+
+def chunk_prompt(record_type: Column, text: Column, number: Column, of: Column) -> Column:
+    schemas = F.create_map(*[F.lit(x) for kv in CONTENT.items() for x in kv])
+    return filled(TEMPLATES["CHUNK"], schema=F.try_element_at(schemas, record_type), text=text, number=number, of=of)
+
+
+def resolution_prompt(name: Column, candidates: Column) -> Column:
+    """``candidates``: an array of known names, listed one a line."""
+    return filled(TEMPLATES["RESOLVE"], name=name, candidates=F.array_join(candidates, "\n"))
 
 
 class Provider(Protocol):
@@ -45,6 +90,80 @@ class Echo:
         return [json.dumps({"title": (p.split("Text:\n", 1)[-1].strip().splitlines() or [""])[0][:80], "body": p.split("Text:\n", 1)[-1]}) for p in prompts]
 
 
+class ProviderError(Exception):
+    """An error with the name that is reported for it."""
+
+    retry_after: float | None = None
+
+
+class RateLimitError(ProviderError):
+    pass
+
+
+class PayloadTooLargeError(ProviderError):
+    pass
+
+
+class ProviderUnavailableError(ProviderError):
+    pass
+
+
+def http_post(url: str, headers: dict[str, str], body: dict, timeout: float) -> tuple[int, dict[str, str], str]:
+    import json
+    import urllib.error
+    import urllib.request
+
+    asked = urllib.request.Request(url, json.dumps(body).encode(), {"Content-Type": "application/json", **headers})
+    try:
+        with urllib.request.urlopen(asked, timeout=timeout) as r:
+            return r.status, dict(r.headers), r.read().decode()
+    except urllib.error.HTTPError as e:
+        return e.code, dict(e.headers), e.read().decode(errors="replace")
+
+
+@dataclass
+class ChatService:
+    """A model behind the usual chat-completions interface.  ``post`` is how requests are sent."""
+
+    url: str
+    model: str
+    key: str = ""
+    name: str = "chat"
+    timeout: float = 120.0
+    input_tokens: int = 32_000
+    output_tokens: int = 4_096
+    retry: Retry = HTTP
+    post: Callable[[str, dict[str, str], dict, float], tuple[int, dict[str, str], str]] = http_post
+    wait: Callable[[float], None] = time.sleep
+
+    def chat(self, messages: list[dict[str, str]], temperature: float = 0.0) -> str:
+        """The reply to a conversation; an error of its own name after the last attempt."""
+        import json
+
+        body = {"model": self.model, "messages": messages, "temperature": temperature, "max_tokens": self.output_tokens}
+        status, headers, text = self.post(f"{self.url}/chat/completions", {"Authorization": f"Bearer {self.key}"}, body, self.timeout)
+        if status == 429:
+            error = RateLimitError("too many requests")
+            error.retry_after = float(headers.get("Retry-After", 60))
+            raise error
+        if status == 413:
+            raise PayloadTooLargeError(f"too large for {self.model}")
+        if status != 200:
+            raise ProviderUnavailableError(f"status {status}")
+        return json.loads(text)["choices"][0]["message"]["content"]
+
+    def one(self, prompt: str) -> str:
+        try:
+            if len(prompt) // CHARS_PER_TOKEN > self.input_tokens:
+                raise PayloadTooLargeError(f"more than {self.input_tokens} tokens")
+            return self.retry.call(self.chat, [{"role": "user", "content": prompt}], wait=self.wait, fatal=(PayloadTooLargeError,))
+        except Exception as e:  # noqa: BLE001  the chain goes on with the next provider
+            return f"!{type(e).__name__}: {e}"
+
+    def answer(self, prompts: list[str]) -> list[str | None]:
+        return [self.one(p) for p in prompts]
+
+
 def answers(rows: DataFrame, prompts: str, providers: list[Provider]) -> DataFrame:
     """Adds ``provider``, ``reply`` and ``error``: the first provider of the chain that answers; the last
     error if none does."""
@@ -65,3 +184,28 @@ def answers(rows: DataFrame, prompts: str, providers: list[Provider]) -> DataFra
     run.__annotations__ = {"x": pd.Series, "return": pd.DataFrame}
     schema = T.StructType([T.StructField(c, T.StringType()) for c in ("provider", "reply", "error")])
     return rows.withColumn("a", F.pandas_udf(run, schema).asNondeterministic()(F.col(prompts))).select("*", "a.*").drop("a")
+
+
+def validated(rows: DataFrame, reply: str, record_type: str) -> DataFrame:
+    """Adds ``content``, the reply as the record type's struct (fields of another kind are null), and ``violations``,
+    the fields that break a rule; ``["reply"]`` where there is no JSON object in it."""
+    fields = [f.strip().split(" ") for f in CONTENT[record_type].split(", ")]
+    packed = rows.select(F.struct("*").alias("__row"), parsed_reply(F.col(reply)).alias("__v"))
+
+    def value(name: str, kind: str) -> Column:
+        got = F.try_variant_get("__v", f"$.{name}", kind)
+        if kind != "string":
+            return got
+        return F.when(F.schema_of_variant(F.try_variant_get("__v", f"$.{name}", "variant")) == "STRING", got)  # an array or object is no text
+
+    content = F.struct(*[value(name, kind).alias(name) for name, kind in fields])
+    found = packed.select("__row", F.when(F.startswith(F.schema_of_variant("__v"), F.lit("OBJECT")), content).alias("content"))
+    wrong = F.when(F.col("content").isNull(), F.array(F.lit("reply"))).otherwise(violations(record_type))
+    return found.select("__row", "content", "content.*").select("__row.*", "content", wrong.alias("violations"))
+
+
+def settled(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What ``answers`` and ``validated`` made, as good rows and dead letters; those say why, in ``reason``."""
+    bad = F.col("reply").isNull() | (F.size("violations") > 0)
+    reason = F.when(F.col("reply").isNull(), F.coalesce("error", F.lit("no answer"))).otherwise(F.concat(F.lit("invalid: "), F.array_join("violations", ", ")))
+    return found.where(~bad), found.where(bad).withColumn("reason", reason)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import is_fresh
+from ..functions.dates import is_fresh, read_all
 
 # Sources that add to a date's confidence, and the confidence of undated records.
 RELIABLE = ["json_ld", "meta", "time_element"]
@@ -17,17 +17,36 @@ def confidence(date_confidence: Column, source: Column) -> Column:
     return F.round(F.when(source.isin(RELIABLE), raised).otherwise(date_confidence), 4)
 
 
-def annotated(records: DataFrame, published: Column, body: Column, date_confidence: Column, date_source: Column, as_of: Column, order: list[str], hours: int = 24) -> DataFrame:
+def published_date(content: Column, provenance: Column, as_of: Column) -> Column:
+    """When a record was published: by its content, else by its provenance.  Dates may be timestamps or texts."""
+
+    def read(x: Column) -> Column:
+        text = x.cast("string")
+        return F.get(read_all(F.array(text), as_of), F.lit(0))["ts"]
+
+    return F.coalesce(read(content), read(provenance))
+
+
+def body_hash(body: Column) -> Column:
+    return F.sha2(F.coalesce(body, F.lit("")), 256)
+
+
+def annotated(
+    records: DataFrame, published: Column, body: Column, date_confidence: Column, date_source: Column, as_of: Column, order: list[str], hours: int = 24, seen: DataFrame | None = None
+) -> DataFrame:
     """Adds ``is_fresh``, ``freshness_confidence`` and ``freshness_source``.  Undated records are fresh the
-    first time their body occurs, in the order of the columns ``order``.
+    first time their body occurs, in the order of the columns ``order``.  ``seen`` (column ``hash``, see ``body_hash``)
+    holds bodies of earlier runs: they are not new; without it every run begins anew.
 
     First sightings are found by a minimum per hash, summed up map side first, so a body that many records
     share never gathers in one task; dated records take no part in that shuffle's result."""
     order_key = F.struct(*order)
-    rows = records.withColumn("__ts", published).withColumn("__hash", F.sha2(F.coalesce(body, F.lit("")), 256)).withColumn("__key", order_key)
+    rows = records.withColumn("__ts", published).withColumn("__hash", body_hash(body)).withColumn("__key", order_key)
     first = rows.where("__ts is null").groupBy("__hash").agg(F.min("__key").alias("__first"))
+    if seen is not None:
+        first = first.join(seen.select(F.col("hash").alias("__hash")).distinct(), "__hash", "left_anti")
     rows = rows.join(first, "__hash", "left")
-    dated, new = F.col("__ts").isNotNull(), F.col("__key") == F.col("__first")
+    dated, new = F.col("__ts").isNotNull(), F.coalesce(F.col("__key") == F.col("__first"), F.lit(False))
     source = F.coalesce(date_source, F.lit("unknown"))
     return rows.select(
         *records.columns,
@@ -42,6 +61,12 @@ def split(annotated_records: DataFrame) -> tuple[DataFrame, DataFrame]:
     return annotated_records.where("is_fresh"), annotated_records.where("not is_fresh")
 
 
+def fresh_only(annotated_records: DataFrame, record_type: str | None = None) -> DataFrame:
+    """Fresh records, of one kind (column ``record_type``) if one is named."""
+    fresh = annotated_records.where("is_fresh")
+    return fresh if record_type is None else fresh.where(F.col("record_type") == record_type)
+
+
 def first_seen(rows: DataFrame, value: Column, order: list[str]) -> DataFrame:
     """The first row of each value."""
     w = Window.partitionBy(value).orderBy(*order)

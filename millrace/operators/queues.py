@@ -2,13 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..schemas import QUEUES
+
 #: Operations of the log.
 ENQUEUE, DEQUEUE, COMPLETE, FAIL, REQUEUE = "enqueue", "dequeue", "complete", "fail", "requeue"
 
 
+# The word that the crawl queue of each record type ends with.
+CRAWL = {"STARTUP": "startup", "PRODUCT": "product", "RESEARCH_PAPER": "paper", "NEWS": "news", "JOB": "job"}
+
+
+def queue_of(step: Column, record_type: Column) -> Column:
+    """The queue a job goes to: a crawl by its record type, other steps by their name; what fits none is a dead letter."""
+    words = F.create_map(*[F.lit(x) for kv in CRAWL.items() for x in kv])
+    crawl = F.concat(F.lit("crawl:"), F.try_element_at(words, record_type))
+    named = F.when(step == "crawl", crawl).otherwise(step)
+    return F.when(named.isin(QUEUES), named).otherwise(F.lit("deadletter"))
+
+
+def queues_of(jobs: DataFrame, step: Column, record_type: Column) -> dict[str, DataFrame]:
+    """Every queue by name, each with its jobs."""
+    rows = jobs.withColumn("queue", queue_of(step, record_type))
+    return {q: rows.where(F.col("queue") == q) for q in QUEUES}
+
+
 def jobs(log: DataFrame) -> DataFrame:
     """``log`` (queue, job_id, seq, op) as one row per job: last operation, attempts so far, completions and
     failures.  Sums and maxima only, so a job with many operations is combined before it is sent."""

@@ -18,7 +18,7 @@ from ..functions import outline as O
 from ..functions import text as X
 from ..functions import url as U
 from ..operators import chunking, enrichment, extraction, freshness, metrics, queues, records, repositories, resolution, storage
-from ..schemas import RECORD_TYPES, violations
+from ..schemas import CONTENT, RECORD_TYPES, violations
 from ..shared import numbered, shared_dir
 from ..sources import web
 
@@ -114,9 +114,11 @@ def entity_ids(spark, d):
     return table(spark, d, "pages").select("page_id", storage.record_id("NEWS", c("url")).alias("id"))
 
 
-@query()
+@query("SELECT event_id, sha256('{\"a\": ' || event_id || ', \"k\": ' || CAST(json_extract(props, '$.k') AS VARCHAR) || ', \"z\": \"' || event_type || '\"}') AS hash FROM events")
 def dict_hash(spark, d):
-    return table(spark, d, "events").select("event_id", H.dict_hash("props").alias("hash"))
+    """Objects whose fields come in another order than that of their names."""
+    made = F.concat(F.lit('{"z":"'), "event_type", F.lit('",'), F.substr("props", F.lit(2), F.length("props") - 2), F.lit(',   "a":'), c("event_id").cast("string"), F.lit("}"))
+    return table(spark, d, "events").select("event_id", H.dict_hash(made).alias("hash"))
 
 
 # ------------------------------------------------------------------ text
@@ -165,24 +167,25 @@ def too_large(spark, d):
     return table(spark, d, "documents").select("doc_id", X.too_large(c("text"), 500).alias("too_large"))
 
 
-@query("SELECT doc_id, CAST(len(string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1))) AS INTEGER) AS n FROM documents")
+@query("SELECT doc_id, string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)) AS parts FROM documents")
 def split_sentences(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.size(X.sentences(c("text"))).alias("n"))
+    return table(spark, d, "documents").select("doc_id", X.sentences(c("text")).alias("parts"))
 
 
 _MARKED = "regexp_replace(text, '\\n', E'\\n\\n# ', 'g')"
 
 
-@query(f"SELECT doc_id, CAST(len(list_filter(string_split_regex({_MARKED}, '\\n{{2,}}'), lambda p: trim(p, E' \\n\\t\\r') <> '')) AS INTEGER) AS n FROM documents")
+@query(f"SELECT doc_id, list_filter(list_transform(string_split_regex({_MARKED}, '\\n{{2,}}'), lambda p: trim(p, E' \\n\\t\\r')), lambda p: p <> '') AS parts FROM documents")
 def split_paragraphs(spark, d):
     marked = F.regexp_replace("text", "\n", "\n\n# ")
-    return table(spark, d, "documents").select("doc_id", F.size(X.paragraphs(marked)).alias("n"))
+    return table(spark, d, "documents").select("doc_id", X.paragraphs(marked).alias("parts"))
 
 
-@query("SELECT doc_id, CAST(1 + len(regexp_extract_all(text, '\\n\\s*\\S')) AS INTEGER) AS n FROM documents")
+@query("SELECT doc_id, list_transform(list_transform(string_split_regex(text, '\\n\\s*'), lambda p, i: CASE WHEN i > 1 THEN '## ' ELSE '' END || p), lambda p: trim(p, E' \\n\\t\\r')) AS parts FROM documents WHERE NOT regexp_matches(text, '^\\s|\\s$')")
 def split_headings(spark, d):
     marked = F.regexp_replace("text", r"\n\s*(?=\S)", "\n## ")
-    return table(spark, d, "documents").select("doc_id", F.size(X.heading_sections(marked)).alias("n"))
+    whole = table(spark, d, "documents").where(~c("text").rlike(r"^\s|\s$"))  # what blanks at either end make of the first or last heading is a test's business
+    return whole.select("doc_id", X.heading_sections(marked).alias("parts"))
 
 
 # ------------------------------------------------------------------ classifiers
@@ -244,9 +247,9 @@ def html_title(spark, d):
     return _read(spark, d, "title").select("page_id", "page.title")
 
 
-@query(f"SELECT page_id, trim({_entities('regexp_extract(html, ' + chr(39) + '(?s)<h1>(.*?)</h1>' + chr(39) + ', 1)')}) AS first_heading FROM pages")
+@query(f"SELECT page_id, list_transform(regexp_extract_all(html, '(?s)<h[1-6]>(.*?)</h[1-6]>', 1), lambda x: trim({_entities('x')})) AS headings FROM pages")
 def html_headings(spark, d):
-    return _read(spark, d).select("page_id", F.element_at("page.headings", 1).alias("first_heading"))
+    return _read(spark, d, "headings").select("page_id", "page.headings")
 
 
 _GONE = "'(?s)<nav.*?</nav>|<footer.*?</footer>|<div class=.ad.>.*?</div>|<script.*?</script>|<style.*?</style>|<!--.*?-->|<![^>]*>|<[^>]+>'"
@@ -274,9 +277,21 @@ def html_main(spark, d):
     return _read(spark, d, "main").select("page_id", "page.main")
 
 
-@query()
+def _headed(spark, d, *parts: str) -> DataFrame:
+    """Pages with something put into a head of their own before them, read whole."""
+    rows = table(spark, d, "pages")
+    return rows.select("page_id", "url", "html", P.page(F.concat(_tagged(*parts), "html")).alias("page"))
+
+
+@query("SELECT page_id, ['canonical_url=https://c/' || page_id, 'meta_author=Ann ' || page_id, 'meta_refresh=5', 'og_image=https://i/' || page_id || '.png', 'published_date=2024-01-02'] AS meta, "
+       "'{\"name\": \"N' || page_id || '\", \"datePublished\": \"2024-01-02\"}' AS json_ld, regexp_extract_all(html, '<a href=\"([^\"]+)\"', 1) AS links, ['/one.png', '/' || page_id || '.png'] AS images FROM pages")
 def html_meta(spark, d):
-    return _read(spark, d).select("page_id", F.map_keys("page.meta").alias("keys"), "page.json_ld", F.size("page.links").alias("n_links"), F.size("page.images").alias("n_images"))
+    rows = _headed(
+        spark, d, '<meta name="Author" content="Ann {}"><meta http-equiv="refresh" content="5"><meta property="og:image" content="https://i/{}.png"><link rel="canonical" href="https://c/{}">',
+        '<script type="application/ld+json">[{"name": "N{}", "datePublished": "2024-01-02"}]</script><img src="/one.png"><img><img src="/{}.png">',
+    )
+    named = F.transform(F.array_sort(F.map_entries("page.meta")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return rows.select("page_id", named.alias("meta"), "page.json_ld", "page.links", "page.images")
 
 
 @query("SELECT page_id, make_timestamp(2024, 1, page_id % 28 + 1, 0, 0, 0.0) AS published FROM pages")
@@ -299,34 +314,46 @@ def _processed(spark, d) -> DataFrame:
 _PARTS = "list_transform(string_split(regexp_replace(html, '(?s)<script.*?</script>', '', 'g'), '<p>')[2:], lambda x: regexp_extract(x, '(?s)^(.*?)(?:</p>|</article>|$)', 1))"
 
 
-@query(f"SELECT page_id, value AS normalized_url, sha256(html) AS content_hash, trim({_entities('regexp_extract(html, ' + chr(39) + '(?s)<title>(.*?)</title>' + chr(39) + ', 1)')}) AS title, CAST(length({CLEAN}) AS INTEGER) AS n_chars, "
-       f"CAST(len(regexp_extract_all(html, '<h[1-6]>')) AS INTEGER) AS n_headings, CAST(len(list_filter({_PARTS}, lambda x: {_bare('x')} <> '')) AS INTEGER) AS n_paragraphs, TIMESTAMP '{AS_OF}' AS fetched_at FROM pages JOIN ({ORACLES['url_normalize']}) USING (page_id)")
+@query(f"SELECT page_id, value AS normalized_url, sha256(html) AS content_hash, trim({_entities('regexp_extract(html, ' + chr(39) + '(?s)<title>(.*?)</title>' + chr(39) + ', 1)')}) AS title, {CLEAN} AS clean_text, "
+       f"list_transform(regexp_extract_all(html, '(?s)<h[1-6]>(.*?)</h[1-6]>', 1), lambda x: trim({_entities('x')})) AS headings, list_filter(list_transform({_PARTS}, lambda x: {_bare('x')}), lambda x: x <> '') AS paragraphs, TIMESTAMP '{AS_OF}' AS fetched_at FROM pages JOIN ({ORACLES['url_normalize']}) USING (page_id)")
 def process_documents(spark, d):
-    return _processed(spark, d).select("page_id", "normalized_url", "content_hash", "title", F.length("clean_text").alias("n_chars"), F.size("headings").alias("n_headings"), F.size("paragraphs").alias("n_paragraphs"), c("fetched_at").cast("timestamp_ntz").alias("fetched_at"))
+    return _processed(spark, d).select("page_id", "normalized_url", "content_hash", "title", "clean_text", "headings", "paragraphs", c("fetched_at").cast("timestamp_ntz").alias("fetched_at"))
 
 
-@query("SELECT count(*) AS valid FROM pages")
+@query("SELECT page_id, page_id % 3 > 0 AND page_id % 4 > 0 AS valid FROM pages")
 def doc_validate(spark, d):
+    """Every third page has lost its text, every fourth its address."""
     needed = ["url", "normalized_url", "content_hash", "title", "clean_text"]
-    rows = _processed(spark, d).where(" and ".join(f"{x} <> ''" for x in needed) + " and status_code <> 0 and fetched_at is not null")
-    return rows.agg(F.count("*").alias("valid"))
+    rows = _processed(spark, d).withColumn("clean_text", F.when(c("page_id") % 3 > 0, c("clean_text")).otherwise("")).withColumn("url", F.when(c("page_id") % 4 > 0, c("url")))
+    return rows.select("page_id", F.expr("coalesce(" + " and ".join(f"{x} <> ''" for x in needed) + " and status_code <> 0 and fetched_at is not null, false)").alias("valid"))
+
 
+_WHO = '<meta name="author" content="Ann {}"><meta property="og:image" content="https://i/{}.png">', '<span class="byline"> Bo {} </span><img src="/b{}.png">'
 
-@query(f"SELECT page_id, 'NEWS' AS record_type, title, main AS body, CAST(NULL AS VARCHAR) AS author, CAST(NULL AS VARCHAR) AS image_url, sha256(main) AS content_hash FROM {MAIN}")
+
+@query(f"SELECT page_id, 'NEWS' AS record_type, title, main AS body, CASE page_id % 3 WHEN 0 THEN 'Ann ' || page_id WHEN 1 THEN 'Bo ' || page_id END AS author, CASE page_id % 3 WHEN 0 THEN 'https://i/' || page_id || '.png' WHEN 1 THEN '/b' || page_id || '.png' END AS image_url, sha256(main) AS content_hash FROM {MAIN}")
 def news_from_pages(spark, d):
+    """A third of the pages names author and image in its head, a third shows them, a third does not say."""
     got = records.news_content(c("page"))
-    return _read(spark, d).select("page_id", F.lit("NEWS").alias("record_type"), *[v.alias(k) for k, v in got.items()], H.content_hash(c("page.main")).alias("content_hash"))
+    before = F.when(c("page_id") % 3 == 0, _tagged(_WHO[0])).when(c("page_id") % 3 == 1, _tagged(_WHO[1])).otherwise("")
+    pages = table(spark, d, "pages").select("page_id", P.page(F.concat(before, "html")).alias("page"))
+    return pages.select("page_id", F.lit("NEWS").alias("record_type"), *[v.alias(k) for k, v in got.items()], H.content_hash(c("page.main")).alias("content_hash"))
 
 
 _HREFS = "regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)"
 
 
-@query(f"SELECT page_id, 'JOB' AS record_type, 'Unknown' AS company, title AS role, CAST(NULL AS VARCHAR) AS location, CASE WHEN regexp_matches(lower(main), '{_R}') THEN true WHEN regexp_matches(lower(main), '{_O}') THEN false END AS is_remote, "
+@query(f"SELECT page_id, 'JOB' AS record_type, CASE page_id % 4 WHEN 0 THEN 'Org ' || page_id WHEN 1 THEN 'Firm ' || page_id WHEN 2 THEN 'Co ' || page_id ELSE 'Unknown' END AS company, title AS role, CASE page_id % 4 WHEN 0 THEN 'Town ' || page_id WHEN 1 THEN 'City ' || page_id WHEN 2 THEN 'Hall ' || page_id END AS location, CASE WHEN regexp_matches(lower(main), '{_R}') THEN true WHEN regexp_matches(lower(main), '{_O}') THEN false END AS is_remote, "
        "CASE " + " ".join(f"WHEN regexp_matches(lower(title || chr(10) || main), '{'|'.join(w)}') THEN '{k}'" for k, w in X.ROLES.items())
        + f" ELSE 'Other' END AS role_family, coalesce(list_filter({_HREFS}, lambda u: contains(u, 'apply'))[1], list_filter({_HREFS}, lambda u: contains(u, 'application'))[1]) AS application_url FROM {MAIN}")
 def jobs_from_pages(spark, d):
-    got = records.job_content(c("page"))
-    return _read(spark, d).select("page_id", F.lit("JOB").alias("record_type"), *[got[k].alias(k) for k in ("company", "role", "location", "is_remote", "role_family", "application_url")])
+    """Employer and place from the page's data, from its head, from its elements, or nowhere."""
+    got, k = records.job_content(c("page")), c("page_id") % 4
+    data = _tagged('<script type="application/ld+json">{"hiringOrganization": {"name": "Org ', "{}", '"}, "jobLocation": {"address": {"addressLocality": "Town ', "{}", '"}}}</script>')
+    head = _tagged('<meta name="company" content="Firm {}"><meta name="location" content="City {}">')
+    shown = _tagged("<span class='employer'>Co {}</span><span class='job-location'>Hall {}</span>")
+    before = F.when(k == 0, data).when(k == 1, head).when(k == 2, shown).otherwise("")
+    return table(spark, d, "pages").select("page_id", P.page(F.concat(before, "html")).alias("page")).select("page_id", F.lit("JOB").alias("record_type"), *[got[k].alias(k) for k in ("company", "role", "location", "is_remote", "role_family", "application_url")])
 
 
 def _listed(spark, d, before: Column) -> DataFrame:
@@ -465,21 +492,70 @@ def freshness_heuristic(spark, d):
 _KIND = {"click": "NEWS", "view": "JOB", "purchase": "PRODUCT", "signup": "STARTUP"}
 
 
-@query("SELECT CASE event_type WHEN 'click' THEN 'NEWS' WHEN 'view' THEN 'JOB' WHEN 'purchase' THEN 'PRODUCT' WHEN 'signup' THEN 'STARTUP' ELSE 'dead_letter' END AS route, count(*) AS n, count(*) FILTER (WHERE is_fresh) AS fresh "
-       f"FROM ({FRESH}) GROUP BY 1")
+_STEPS = ["crawl", "extract", "enrich:github", "resolve:entity", "export:sheets", "other"]
+
+
+@query(f"SELECT event_id, CASE WHEN event_id % 6 = 0 THEN CASE event_type WHEN 'click' THEN 'crawl:news' WHEN 'view' THEN 'crawl:job' WHEN 'purchase' THEN 'crawl:product' WHEN 'signup' THEN 'crawl:startup' ELSE 'deadletter' END WHEN event_id % 6 = 5 THEN 'deadletter' ELSE {_STEPS}[event_id % 6 + 1] END AS queue, is_fresh FROM ({FRESH})")
 def route_records(spark, d):
-    route = F.lit("dead_letter")
+    """Every record with the queue of its next step."""
+    kind = F.lit(None).cast("string")
     for k, v in _KIND.items():
-        route = F.when(c("event_type") == k, v).otherwise(route)
-    return _annotated(spark, d).groupBy(route.alias("route")).agg(F.count("*").alias("n"), F.count_if("is_fresh").alias("fresh"))
+        kind = F.when(c("event_type") == k, v).otherwise(kind)
+    step = F.element_at(F.array(*[F.lit(x) for x in _STEPS]), (c("event_id") % 6 + 1).cast("int"))
+    return _annotated(spark, d).select("event_id", queues.queue_of(step, kind).alias("queue"), "is_fresh")
 
 
-@query("SELECT p_partkey, list_filter([CASE WHEN p_size % 7 = 0 THEN 'product_name' END, CASE WHEN p_size % 5 = 0 THEN 'pricing_model' END, CASE WHEN 20 - p_size < 0 THEN 'upvotes' END], lambda x: x IS NOT NULL) AS violations FROM part")
+@query("SELECT count(*) FILTER (WHERE queue LIKE 'crawl:%') AS crawls, count(*) FILTER (WHERE queue = 'deadletter') AS dead, count(*) AS n FROM (SELECT CASE event_type WHEN 'click' THEN 'crawl:news' WHEN 'view' THEN 'crawl:job' WHEN 'purchase' THEN 'crawl:product' WHEN 'signup' THEN 'crawl:startup' ELSE 'deadletter' END AS queue FROM events)")
+def queue_split(spark, d):
+    """Jobs dealt into all ten queues and counted again."""
+    kind = F.lit(None).cast("string")
+    for k, v in _KIND.items():
+        kind = F.when(c("event_type") == k, v).otherwise(kind)
+    dealt = queues.queues_of(table(spark, d, "events").select("event_id", "event_type"), F.lit("crawl"), kind)
+    out = None
+    for name, rows in dealt.items():
+        one = rows.agg(F.lit(name).alias("queue"), F.count("*").alias("n"))
+        out = one if out is None else out.unionByName(one)
+    n = F.sum("n")
+    return out.agg(F.sum(F.when(F.startswith("queue", F.lit("crawl:")), c("n")).otherwise(0)).alias("crawls"), F.sum(F.when(c("queue") == "deadletter", c("n")).otherwise(0)).alias("dead"), n.alias("n"))
+
+
+@query(f"SELECT event_id, event_type FROM ({FRESH}) WHERE is_fresh AND event_type = 'click'")
+def fresh_news(spark, d):
+    rows = _annotated(spark, d).withColumn("record_type", F.when(c("event_type") == "click", "NEWS"))
+    return freshness.fresh_only(rows, "NEWS").select("event_id", "event_type")
+
+
+@query(f"SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN o WHEN 1 THEN o - INTERVAL 1 DAY END AS published FROM (SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS o FROM orders)")
+def published_date(spark, d):
+    """A third says the date itself, a third only in its provenance, a third nowhere."""
+    day, k = c("o_orderdate").cast("date"), c("o_orderkey") % 3
+    mine = F.when(k == 0, F.date_format(day, "MMMM d, yyyy"))
+    prov = F.when(k == 0, "1999-01-01").when(k == 1, F.date_format(F.date_sub(day, 1), "yyyy-MM-dd"))
+    return table(spark, d, "orders").select("o_orderkey", freshness.published_date(mine, prov, as_of()).cast("timestamp_ntz").alias("published"))
+
+
+#: For each record type its fields in order, when each breaks a rule, and a value that does and one that does not.
+_BROKEN = {
+    "STARTUP": [("entity_name", 7, "null", "'x'"), ("employee_count", 5, "-1", "null"), ("founded_year", 3, "1850", "1990")],
+    "PRODUCT": [("product_name", 7, "null", "'x'"), ("pricing_model", 5, "'CHEAP'", "'PAID'"), ("upvotes", 3, "-5", "5")],
+    "RESEARCH_PAPER": [("title", 7, "null", "'x'"), ("paper_url", 5, "null", "'u'"), ("github_stars", 3, "-1", "0")],
+    "JOB": [("company", 7, "null", "'x'"), ("role", 5, "null", "'r'"), ("salary_min", 3, "-1d", "null"), ("salary_max", 2, "-1d", "1d")],
+    "NEWS": [("title", 7, "null", "'x'"), ("body", 5, "null", "'b'")],
+}
+
+
+@query(" UNION ALL ".join(
+    f"SELECT p_partkey, '{kind}' AS record_type, list_filter([" + ", ".join(f"CASE WHEN p_size % {n} = 0 THEN '{f}' END" for f, n, _, _ in fields) + "], lambda x: x IS NOT NULL) AS violations FROM part"
+    for kind, fields in _BROKEN.items()))
 def schema_validate(spark, d):
-    rows = table(spark, d, "part").select(
-        "p_partkey", F.when(c("p_size") % 7 != 0, c("p_name")).alias("product_name"), F.when(c("p_size") % 5 == 0, "CHEAP").otherwise("PAID").alias("pricing_model"), (20 - c("p_size")).alias("upvotes"),
-    )
-    return rows.select("p_partkey", violations("PRODUCT").alias("violations"))
+    """The rules of all five record types."""
+    out = None
+    for kind, fields in _BROKEN.items():
+        rows = table(spark, d, "part").select("p_partkey", *[F.expr(f"if(p_size % {n} = 0, {bad}, {good})").alias(f) for f, n, bad, good in fields])
+        rows = rows.select("p_partkey", F.lit(kind).alias("record_type"), violations(kind).alias("violations"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 @query("SELECT doc_id, source, CAST(n AS INTEGER) AS position FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n FROM documents) WHERE n <= 20")
@@ -626,10 +702,32 @@ def json_repair(spark, d):
     return table(spark, d, "events").select("event_id", H.json_repaired(broken).alias("repaired"))
 
 
-@query("SELECT doc_id, length(text) AS n, true AS has_text, true AS has_fields FROM documents")
+def _filled(kind: str, text: str) -> str:
+    """A request as an SQL expression."""
+    before, after = (extraction.TEMPLATES[kind].replace("{schema}", CONTENT[kind]).split("{text}"))
+    return " || ".join(["'" + before.replace("'", "''").replace("\n", "' || chr(10) || '") + "'", text, "'" + after + "'"])
+
+
+@query("SELECT doc_id, CASE doc_id % 5 " + " ".join(f"WHEN {i} THEN {_filled(k, 'text')}" for i, k in enumerate(RECORD_TYPES)) + " END AS prompt FROM documents")
 def prompt_build(spark, d):
-    p = extraction.prompt(F.lit("NEWS"), c("text"))
-    return table(spark, d, "documents").select("doc_id", F.length("text").cast("long").alias("n"), F.endswith(p, c("text")).alias("has_text"), p.contains("title string").alias("has_fields"))
+    kind = F.element_at(F.array(*[F.lit(k) for k in RECORD_TYPES]), (c("doc_id") % 5 + 1).cast("int"))
+    return table(spark, d, "documents").select("doc_id", extraction.prompt(kind, c("text")).alias("prompt"))
+
+
+@query("SELECT doc_id, 'Find ' || 'title string, body string, published_date timestamp, author string, summary string, image_url string' || ' in <' || text || '>' AS own, 'Part ' || (doc_id % 7) AS part FROM documents")
+def prompt_custom(spark, d):
+    own = extraction.prompt(F.lit("NEWS"), c("text"), "Find {schema} in <{text}>")
+    part = extraction.chunk_prompt(F.lit("NEWS"), c("text"), c("doc_id") % 7, F.lit(7))
+    return table(spark, d, "documents").select("doc_id", own.alias("own"), F.initcap(F.regexp_extract(part, r"(part \d+) of 7", 1)).alias("part"))
+
+
+@query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'T' || event_id WHEN 1 THEN 'T' END AS title, CASE event_id % 4 WHEN 1 THEN ['body'] WHEN 2 THEN ['reply'] WHEN 3 THEN ['title', 'body'] ELSE CAST([] AS VARCHAR[]) END AS violations FROM events")
+def reply_validate(spark, d):
+    """Replies that are whole, that lack a field, that are no JSON, and whose fields are of other kinds."""
+    k, i = c("event_id") % 4, c("event_id").cast("string")
+    reply = F.when(k == 0, F.concat(F.lit('```json\n{"title": "T'), i, F.lit('", "body": "B", "author": null}\n```'))).when(k == 1, '{title: \'T\',}').when(k == 2, "no idea").otherwise('{"title": ["x"], "body": {"y": 1}}')
+    rows = table(spark, d, "events").select("event_id", reply.alias("reply"))
+    return extraction.validated(rows, "reply", "NEWS").select("event_id", c("content.title").alias("title"), "violations")
 
 
 @query()
@@ -642,10 +740,10 @@ def extract_records(spark, d):
     return chunking.merged(fields, "doc_id", "chunk_no", ["title"], ["body_chars"])
 
 
-@query("SELECT conv_id, list(role ORDER BY turn) AS roles, CAST(count(*) AS INTEGER) AS n FROM conversations GROUP BY 1")
+@query("SELECT conv_id, list(role ORDER BY turn) AS roles, list(text ORDER BY turn) AS texts FROM conversations GROUP BY 1")
 def chat_messages(spark, d):
     rows = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("m"))
-    return rows.select("conv_id", F.transform("m", lambda t: t["role"]).alias("roles"), F.size("m").alias("n"))
+    return rows.select("conv_id", c("m.role").alias("roles"), c("m.text").alias("texts"))
 
 
 @query("SELECT conv_id, arg_max(text, {'l': length(text), 't': -turn}) AS text, arg_max(role, turn) AS role FROM conversations GROUP BY 1")
@@ -749,6 +847,18 @@ def repo_extract(spark, d):
     return _papers(spark, d).select("paper_id", U.repo_urls(c("abstract")).alias("urls"))
 
 
+@query("SELECT p_partkey AS paper_id, list_sort(list_distinct(['https://github.com/a/a' || (p_partkey % 4), 'https://github.com/b/b', 'https://github.com/d/d' || p_partkey, 'https://github.com/m/m' || (p_partkey % 2)])) AS urls FROM part")
+def repo_candidates(spark, d):
+    """From the explicit field, the body, the content and the metadata, as an object or as text."""
+    i = c("p_partkey").cast("string")
+    meta = F.when(c("p_partkey") % 2 == 0, '{"github_url": "https://github.com/m/m0"}').otherwise("see github.com/m/m1.git.")
+    rows = table(spark, d, "part").select(
+        c("p_partkey").alias("paper_id"), F.concat(F.lit("http://www.github.com/a/a"), (c("p_partkey") % 4).cast("string"), F.lit("/")).alias("github_url"),
+        F.lit("at github.com/b/b and github.com/b/b").alias("body"), F.concat(F.lit("https://github.com/d/d"), i).alias("content"), meta.alias("metadata"),
+    )
+    return rows.select("paper_id", F.array_sort(enrichment.all_candidates(rows)).alias("urls"))
+
+
 @query("SELECT p_partkey, 'https://github.com/Org/' || replace(p_brand, '#', '-') AS url FROM part")
 def repo_url_norm(spark, d):
     made = F.concat(F.element_at(F.array(F.lit("http://www.GitHub.com/Org/"), F.lit("github.com/Org/")), (c("p_partkey") % 2 + 1).cast("int")), F.regexp_replace("p_brand", "#", "-"), F.lit(".git/"))
@@ -779,11 +889,27 @@ def graphql_posts(spark, d):
     return table(spark, d, "pages").select("page_id", enrichment.reply_urls(reply, "https://ph.example").alias("urls"))
 
 
-@query()
+def _values(rows: list[tuple]) -> str:
+    return ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in r) + ")" for r in rows)
+
+
+@query(f"SELECT CAST(id AS BIGINT) AS id, name, base_url, source_type, enabled FROM (VALUES {_values([(i, *s[:3], True) for i, s in enumerate(web.SOURCES, 1)])}) t(id, name, base_url, source_type, enabled)")
 def source_list(spark, d):
     return web.sources(spark)
 
 
+@query("SELECT source_name, record_type, url FROM (VALUES " + _values([(s[0], s[2], s[1] + x) for s in web.SOURCES for x in s[3]]) + ") t(source_name, record_type, url) UNION ALL SELECT 'arxiv', 'RESEARCH_PAPER', "
+       "'http://export.arxiv.org/api/query?search_query=cat%3Acs.AI+OR+cat%3Acs.LG+OR+cat%3Acs.CL+OR+cat%3Acs.CV+OR+cat%3Acs.NE+OR+cat%3Astat.ML&start=0&max_results=100&sortBy=submittedDate&sortOrder=descending'")
+def source_listings(spark, d):
+    return web.listings(spark).select("source_name", "record_type", "url")
+
+
+@query("SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'https://api.github.com/repos/Org/' || replace(p_brand, '#', '-') END AS url FROM part")
+def repo_api_address(spark, d):
+    made = F.concat(F.when(c("p_partkey") % 2 == 0, "https://github.com/Org/").otherwise("https://gitlab.com/Org/"), F.regexp_replace("p_brand", "#", "-"))
+    return table(spark, d, "part").select("p_partkey", U.repo_api_url(made).alias("url"))
+
+
 def _replies(spark, d) -> DataFrame:
     """Replies of the repository service, one for every third part."""
     made = F.to_json(F.struct(F.concat(F.lit("https://github.com/org/r"), c("p_partkey").cast("string")).alias("html_url"), F.concat(F.lit("r"), c("p_partkey").cast("string")).alias("name"), F.struct(F.lit("org").alias("login")).alias("owner"), c("p_size").alias("stargazers_count"), c("p_name").alias("description")))

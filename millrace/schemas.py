@@ -5,13 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Record types, enumerations and the key of each stored table.
+# Record types, their fields, the rules of their values, and the queues.
 RECORD_TYPES = ["STARTUP", "PRODUCT", "RESEARCH_PAPER", "JOB", "NEWS"]
-PRICING_MODELS = ["FREE", "FREEMIUM", "PAID", "ENTERPRISE"]
-ROLE_FAMILIES = ["Engineering", "Research", "Design", "Product", "Marketing", "Sales", "Operations", "Other"]
-ENTITY_TYPES = ["STARTUP", "PRODUCT", "PERSON", "RESEARCH_PAPER"]
-METHODS = ["exact", "alias", "fuzzy", "embedding", "llm"]
-SCHEMA_VERSION = "1.0"
 CONTENT = {
     "STARTUP": "entity_name string, description string, employee_count int, website string, founded_year int, location string, batch string",
     "PRODUCT": "product_name string, startup_name string, pricing_model string, website string, description string, tagline string, tags array<string>, upvotes int",
@@ -26,8 +21,7 @@ RULES = {
     "JOB": {"company": "company is not null", "role": "role is not null", "salary_min": "coalesce(salary_min >= 0, true)", "salary_max": "coalesce(salary_max >= 0, true)"},
     "NEWS": {"title": "title is not null", "body": "body is not null"},
 }
-KEYS = {"raw_documents": ["normalized_url", "content_hash"], "RESEARCH_PAPER": ["paper_url"], "STARTUP": ["source_url"], "PRODUCT": ["source_url"], "JOB": ["source_url"], "NEWS": ["source_url"]}
-QUEUES = ["crawl", "raw_document", "extraction", "normalization", "resolution", "storage", "enrichment", "export", "retry", "dead_letter"]
+QUEUES = ["crawl:startup", "crawl:product", "crawl:paper", "crawl:news", "crawl:job", "extract", "enrich:github", "resolve:entity", "export:sheets", "deadletter"]
 
 
 def violations(record_type: str) -> Column:

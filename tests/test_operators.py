@@ -200,3 +200,208 @@ def test_export_and_tables(spark, tmp_path):
         assert spark.sql("SHOW TABLES IN millrace_test").count() == 0
     finally:
         spark.sql("DROP DATABASE millrace_test CASCADE")
+
+
+# ---------------------------------------------------------------- sources, providers and the steps of a run
+def test_fetcher_limits_redirects_headers_and_bodies():
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    seen = []
+
+    class Site(BaseHTTPRequestHandler):
+        def do_GET(self):
+            seen.append(dict(self.headers))
+            if self.path == "/loop":
+                self.send_response(302)
+                self.send_header("Location", f"/loop?{len(seen)}")
+                self.end_headers()
+            elif self.path.startswith("/loop?"):
+                self.path = "/loop"
+                return self.do_GET()
+            else:
+                self.send_response(404 if self.path == "/none" else 200)
+                self.end_headers()
+                self.wfile.write(b"x" * 50)
+
+        def log_message(self, *a):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Site)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{server.server_port}"
+    try:
+        fetch = web.HttpFetcher("reader/1", {"X-Own": "y"}, redirects=3)
+        assert fetch(f"{base}/a", 5, 50).body == b"x" * 50 and seen[-1]["User-Agent"] == "reader/1" and seen[-1]["X-Own"] == "y"
+        assert fetch.opener() is fetch.opener()
+        assert fetch(f"{base}/none", 5, 50).status == 404
+        reader = web.WebReader({"base_delay": "0"}, fetch)
+        assert [reader.one(f"{base}{p}")[8] for p in ("/a", "/none", "/loop")] == [None, "HTTPError", "TooManyRedirectsError"]
+        small = web.WebReader({"base_delay": "0", "max_bytes": "49"}, fetch)
+        assert small.one(f"{base}/a")[7:9] == (0, "PayloadTooLargeError")
+    finally:
+        server.shutdown()
+
+
+def test_retry_waits_and_gives_up():
+    from millrace.retry import HTTP, RATE_LIMIT, Retry
+
+    assert [HTTP.delay(i, draw=lambda: 0.5) for i in range(8)] == [1.5, 2.5, 4.5, 8.5, 16.5, 32.5, 60, 60] and HTTP.delay(0, 90) == 60
+    assert (RATE_LIMIT.max_attempts, RATE_LIMIT.delay(0, draw=lambda: 0), RATE_LIMIT.delay(9)) == (5, 2, 300)
+    waits, calls = [], []
+
+    def fails(x):
+        calls.append(x)
+        raise KeyError("no")
+
+    with pytest.raises(KeyError):
+        Retry(3, jitter=False).call(fails, 1, wait=waits.append)
+    assert (waits, calls) == ([1, 2], [1, 1, 1])
+    with pytest.raises(KeyError):
+        Retry().call(fails, 2, wait=waits.append, fatal=(KeyError,))
+    assert calls == [1, 1, 1, 2]
+
+
+def test_chat_service_tries_again_and_names_its_errors():
+    import json
+
+    from millrace.retry import Retry
+
+    good = (200, {}, json.dumps({"choices": [{"message": {"content": "{}"}}]}))
+    replies, sent, waits = [], [], []
+
+    def post(url, headers, body, timeout):
+        sent.append((url, headers["Authorization"], body["messages"][-1]["content"], timeout))
+        return replies.pop(0)
+
+    p = extraction.ChatService("http://s/v1", "m", "key", post=post, wait=waits.append, input_tokens=10, retry=Retry(3, jitter=False))
+    replies[:] = [(429, {"Retry-After": "7"}, ""), (500, {}, "oops"), good]
+    assert p.answer(["hi"]) == ["{}"] and waits == [7, 2] and sent[0] == ("http://s/v1/chat/completions", "Bearer key", "hi", 120.0)
+    replies[:] = [(413, {}, "")]
+    assert p.one("hi").startswith("!PayloadTooLargeError") and not replies
+    assert p.one("x" * 44).startswith("!PayloadTooLargeError: more than 10 tokens")
+    replies[:] = [(500, {}, "")] * 3
+    assert p.one("hi").startswith("!ProviderUnavailableError: status 500")
+    replies[:] = [(429, {}, "")] * 3
+    assert p.one("hi").startswith("!RateLimitError")
+
+
+def test_templates_are_filled_once(spark):
+    df = spark.createDataFrame([("see {schema} and {text}", "acme")], "t string, n string")
+    row = df.select(
+        extraction.prompt(F.lit("JOB"), F.col("t")).alias("a"), extraction.prompt(F.lit("?"), F.col("t"), "<{text}>{schema}{other}").alias("b"),
+        extraction.resolution_prompt(F.col("n"), F.array(F.lit("Acme Inc"), F.lit("Ace"))).alias("c"), extraction.chunk_prompt(F.lit("NEWS"), F.col("t"), F.lit(2), F.lit(3)).alias("d"),
+        extraction.filled(extraction.TEMPLATES["GENERAL"], schema=F.lit("s"), text=F.lit(None)).alias("e"),
+    ).first()
+    assert row["a"].endswith("Text:\nsee {schema} and {text}") and "company string" in row["a"]
+    assert row["b"].startswith("<see {schema} and {text}>title string") and row["b"].endswith("{other}")
+    assert "Name:\nacme\n" in row["c"] and row["c"].endswith("Acme Inc\nAce") and "part 2 of 3" in row["d"] and row["e"].endswith("Text:\n")
+    assert set(extraction.TEMPLATES) == {*extraction.ASK, "GENERAL", "CHUNK", "RESOLVE"}
+
+
+def test_reduced_chunks(spark):
+    from millrace.operators import chunking
+
+    long = " ".join(f"Word{i} is here." for i in range(100))
+    df = spark.createDataFrame([(["short", long, ""],), ([],), (None,)], "cs array<string>")
+    got = [r[0] for r in df.select(chunking.reduced(F.col("cs"), 60, 10)).collect()]
+    assert got[0][0] == "short" and got[0][-1] == "" and got[1] == [] and got[2] is None
+    inner = got[0][1:-1]
+    assert len(inner) > 5 and all(len(c) // 4 <= 60 for c in inner) and all(b.startswith(a[-40:]) for a, b in zip(inner, inner[1:]))
+
+
+def test_freshness_knows_earlier_runs(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "id int, body string")
+    seen = spark.createDataFrame([("b",), ("b",)], "x string").select(freshness.body_hash(F.col("x")).alias("hash"))
+    none = F.lit(None)
+    for known, fresh in ((None, {1, 3}), (seen, {1})):
+        out = freshness.annotated(df, none.cast("timestamp"), F.col("body"), none.cast("double"), none.cast("string"), F.lit("2024-01-30").cast("timestamp"), ["id"], seen=known)
+        assert {r["id"] for r in out.where("is_fresh").collect()} == fresh
+
+
+def test_steps_of_a_run(spark, tmp_path):
+    from millrace.plans import run
+
+    body = "<main>" + "word " * 40 + "</main><time datetime='2024-01-30T00:00:00Z'></time>"
+    rows = [
+        ("https://n/1", "n", "NEWS", 200, f"<title>New</title>{body}"), ("https://s/1", "s", "STARTUP", 200, "<h1>Acme Robotics</h1>"),
+        ("https://p/1", "p", "PRODUCT", 200, "<h1>Acme Robotics, Inc.</h1><p class='tagline'>a</p>"), ("https://p/2", "p", "PRODUCT", 200, "<h1>Other thing</h1><p class='tagline'>b</p>"),
+    ]
+    pages = spark.createDataFrame(rows, "url string, source_name string, record_type string, status_code int, html string")
+    out, now = str(tmp_path / "out"), F.lit("2024-01-30 12:00:00").cast("timestamp")
+    for _ in range(2):
+        got = {r["table"]: r["n"] for r in run.full(spark, pages, out, now).collect()}
+        assert (got["raw_documents"], got["startups"], got["products"], got["news"], got["extracted"], got["dead_letters"], got["entity_mapping_logs"]) == (4, 1, 2, 1, 4, 0, 2)
+    log = {r["raw_name"]: (r["canonical_name"], r["method"]) for r in run.table(spark, out, "entity_mapping_logs").collect()}
+    assert log == {"Acme Robotics, Inc.": ("acme robotics", "exact"), "Other thing": ("other thing", "exact")}
+    assert run.table(spark, out, "entity_aliases").count() == 1
+
+    class Half:
+        name = "half"
+
+        def answer(self, prompts):
+            return ['{"title": "t"}' if "New" in p else "!PayloadTooLargeError: big" for p in prompts]
+
+    counts = {r["table"]: r["n"] for r in run.extract(spark, str(tmp_path / "two"), "NEWS", [Half()]).collect()}
+    assert counts == {"extracted": 0, "dead_letters": 0}
+    crawl.store(spark, pages, str(tmp_path / "two"), now)
+    counts = {r["table"]: r["n"] for r in run.extract(spark, str(tmp_path / "two"), "NEWS", [Half()]).collect()}
+    dead = {r["reason"] for r in spark.read.parquet(str(tmp_path / "two" / "dead_letters" / "v=*" / "part=*")).collect()}
+    assert counts == {"extracted": 0, "dead_letters": 4} and dead == {"PayloadTooLargeError: big", "invalid: body"}
+
+
+def test_command_line(spark, tmp_path, capsys, monkeypatch):
+    import json
+    import logging
+
+    from millrace import __main__ as cli
+    from millrace import log
+
+    monkeypatch.setattr(cli, "session", lambda: spark)
+    assert cli.main(["queries"]) == 0 and "url_normalize" in capsys.readouterr().out
+    spark.createDataFrame([("https://s/1", "s", "STARTUP", 200, "<h1>Acme</h1>")], "url string, source_name string, record_type string, status_code int, html string").write.parquet(str(tmp_path / "pages"))
+    assert cli.main(["full", str(tmp_path / "pages"), str(tmp_path / "out"), "--as-of", "2024-01-30"]) == 0
+    assert cli.main(["extract", str(tmp_path / "out"), "--type", "STARTUP", "--template", "{schema} {text}"]) == 0
+    assert cli.main(["--debug", "resolve", str(tmp_path / "out")]) == 0
+    line = log.Structured().format(logging.makeLogRecord({"msg": "crawled %s", "args": ("a",), "name": "x", "levelname": "INFO", "pages": 3}))
+    assert {k: json.loads(line)[k] for k in ("event", "pages", "level")} == {"event": "crawled a", "pages": 3, "level": "info"}
+    assert "pages=3" in log.Structured(True).format(logging.makeLogRecord({"msg": "m", "pages": 3}))
+    log.configure("WARNING")
+
+
+def test_settings_from_the_environment(monkeypatch):
+    from millrace.session import Settings
+
+    monkeypatch.setenv("CHUNK_TOKENS", "12")
+    monkeypatch.setenv("DEBUG", "yes")
+    monkeypatch.setenv("PROVIDER_URL", "http://s")
+    got = Settings.from_env()
+    assert (got.chunk_tokens, got.debug, got.provider_url, got.max_attempts) == (12, True, "http://s", 3)
+
+
+def test_nearest_against_all_pairs(spark):
+    import numpy as np
+
+    r = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in r.integers(-2, 3, 4)]) for i in range(60)] + [(60, None), (61, [0.0] * 4), (62, [1.0]), (63, [None, 1.0, 1.0, 1.0])]
+    store = spark.createDataFrame(rows, "vec_id long, vec array<double>").repartition(3)
+    queries = store.where("vec_id % 7 = 0").selectExpr("vec_id as query_id", "vec as qvec")
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v in rows[:60] if np.linalg.norm(v)}
+    want = set()
+    for q in [i for i in unit if i % 7 == 0]:
+        best = sorted(unit, key=lambda i: (-round(float(unit[q] @ unit[i]), 12), i))[:3]
+        want |= {(q, round(float(unit[q] @ unit[i]), 9)) for i in best}
+    for most in (1 << 20, 40):  # one block, and a block for every query
+        assert {(x["query_id"], round(x["cosine"], 9)) for x in resolution.nearest(queries, store, 3, most).collect()} == want
+
+
+def test_rows_are_numbered_without_one_task(spark):
+    from millrace.shared import numbered
+
+    rows = spark.range(1000).selectExpr("id", "if(id % 3 = 0, null, if(id % 5 = 0, 'b', 'a')) as k").repartition(7)
+    got = {r["id"]: r["n"] for r in numbered(rows, "n", [F.col("id").desc()], F.col("k")).collect()}
+    own = {}
+    for r in sorted(rows.collect(), key=lambda r: -r["id"]):
+        own.setdefault(r["k"], []).append(r["id"])
+    assert got == {i: n for ids in own.values() for n, i in enumerate(ids, 1)}
+    assert sorted(r["n"] for r in numbered(rows, "n", [F.col("id")]).collect()) == list(range(1, 1001))
