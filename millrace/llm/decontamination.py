@@ -108,10 +108,16 @@ class Automaton:
         texts = np.repeat(np.arange(len(first) - 1), np.diff(first))
         letters = np.zeros(len(h) + len(first), np.int64)
         letters[np.arange(len(h)) + texts] = self.numbers(h)
-        text_of = np.searchsorted(first[1:] + np.arange(len(first) - 1), np.arange(len(letters)))
-        for end, at in self.automaton.iter(tuple(letters.tolist())):
-            i = int(text_of[end])
-            last = end - i + 1
+        # Runs of words that items have; one that is shorter than every window leads the automaton nowhere.
+        edge = np.diff((letters > 0).astype(np.int8), prepend=0)
+        begin, end = np.flatnonzero(edge > 0), np.flatnonzero(edge < 0)
+        long = end - begin >= self.length.min()
+        size = (end - begin)[long] + 1  # with the break behind it
+        place = np.repeat(begin[long] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        breaks = first[1:] + np.arange(len(first) - 1)
+        for e, at in self.automaton.iter(tuple(letters[place].tolist())):
+            i = int(np.searchsorted(breaks, place[e]))
+            last = int(place[e]) - i + 1
             yield i, int(last - self.length[at]), last, self.owners[at]
 
 
