@@ -820,7 +820,7 @@ def fuzzy_best(spark, d):
 
 def _resolved(spark, d) -> DataFrame:
     known = table(spark, d, "supplier").select(c("s_suppkey").alias("candidate_id"), c("s_name").alias("candidate"))
-    names = _mentions(spark, d).unionByName(table(spark, d, "supplier").select((-c("s_suppkey")).alias("name_id"), F.concat(c("s_name"), F.lit(" LLC")).alias("raw")))
+    names = _mentions(spark, d).unionByName(table(spark, d, "supplier").select((-1 - c("s_suppkey")).alias("name_id"), F.concat(c("s_name"), F.lit(" LLC")).alias("raw")))
     return resolution.resolved(names, resolution.alias_table(_aliases(spark, d)), known)
 
 
