@@ -241,24 +241,27 @@ def nearest(queries: DataFrame, store: DataFrame, k: int = 5, most: int = QUERY_
     return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def resolved(names: DataFrame, aliases: DataFrame, candidates: DataFrame, embedded: DataFrame | None = None) -> DataFrame:
+def resolved(
+    names: DataFrame, aliases: DataFrame, candidates: DataFrame, embedded: DataFrame | None = None,
+    accept: float = ACCEPT, review: float = REVIEW, embedding: float = EMBEDDING, fallback: float = FALLBACK,
+) -> DataFrame:
     """``names`` (name_id, raw): one row each with ``canonical``, ``method``, ``confidence`` and
     ``needs_review``.  Aliases come first, then equal names, close ones, embeddings (name_id, name, cosine),
-    and last the normalized name itself."""
+    and last the normalized name itself.  Scores from which each step takes or flags a name can be given."""
     rows = names.withColumn("norm", canonical_name(F.col("raw")))
     cands = candidates.withColumn("cnorm", canonical_name(F.col("candidate")))
     exact = cands.groupBy("cnorm").agg(F.min_by("candidate", "candidate_id").alias("same"))
     left = rows.join(aliases, "norm", "left").join(exact.withColumnRenamed("cnorm", "norm"), "norm", "left")
     open_names = left.where("target is null and same is null and norm <> ''").select("name_id", "norm")
-    best = fuzzy_pairs(open_names, cands, 100 * REVIEW).groupBy("name_id").agg(F.max_by(F.struct("candidate", "score"), F.struct("score", -F.col("candidate_id"))).alias("best"))
+    best = fuzzy_pairs(open_names, cands, 100 * review).groupBy("name_id").agg(F.max_by(F.struct("candidate", "score"), F.struct("score", -F.col("candidate_id"))).alias("best"))
     out = left.join(best, "name_id", "left")
     near = F.lit(None).cast("struct<name:string,cosine:double>")
     if embedded is not None:
         top = embedded.groupBy("name_id").agg(F.max_by(F.struct("name", "cosine"), "cosine").alias("near"))
         out, near = out.join(top, "name_id", "left"), F.col("near")
     blank = F.coalesce(F.trim("raw"), F.lit("")) == ""
-    close = F.col("best.score") / 100 >= ACCEPT
-    by_vector = near["cosine"] >= EMBEDDING
+    close = F.col("best.score") / 100 >= accept
+    by_vector = near["cosine"] >= embedding
 
     def step(canonical: Column, method: str, confidence: Column, review: Column = F.lit(False)) -> Column:
         return F.struct(canonical.alias("canonical"), F.lit(method).alias("method"), F.round(confidence.cast("double"), 4).alias("confidence"), review.alias("needs_review"))
@@ -270,7 +273,7 @@ def resolved(names: DataFrame, aliases: DataFrame, candidates: DataFrame, embedd
         .when(F.col("same").isNotNull(), step(F.col("same"), "exact", one))
         .when(close, step(F.col("best.candidate"), "fuzzy", F.col("best.score") / 100))
         .when(by_vector, step(near["name"], "embedding", near["cosine"]))
-        .otherwise(step(F.col("norm"), "exact", F.lit(FALLBACK), F.col("best").isNotNull()))
+        .otherwise(step(F.col("norm"), "exact", F.lit(fallback), F.col("best").isNotNull()))
     )
     return out.select("name_id", "raw", found.alias("f")).select("name_id", "raw", "f.*")
 

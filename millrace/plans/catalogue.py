@@ -20,7 +20,7 @@ from ..functions import url as U
 from ..operators import chunking, enrichment, extraction, freshness, metrics, queues, records, repositories, resolution, storage
 from ..schemas import CONTENT, RECORD_TYPES, violations
 from ..shared import numbered, shared_dir
-from ..sources import web
+from ..sources import crawlers, web
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -367,22 +367,26 @@ def _tagged(*parts: str) -> Column:
     return F.concat(*[c("page_id").cast("string") if x == "{}" else F.lit(x) for p in parts for x in re.split(r"(\{\})", p) if x])
 
 
-@query("SELECT page_id, 'https://arxiv.org/abs/2401.' || page_id AS source_url, 'Paper ' || page_id AS title, ['Ann ' || page_id, 'Bo'] AS authors, '2401.' || page_id AS external_id, TIMESTAMP '2026-08-15' AS published_date, 'https://arxiv.org/pdf/' || page_id AS pdf_url, 'cs.DB' AS category, 'Sum' AS abstract FROM pages")
+@query("SELECT page_id, 'https://arxiv.org/abs/2401.' || page_id AS source_url, 'Paper ' || page_id AS title, ['Ann ' || page_id, 'Bo'] AS authors, '2401.' || page_id AS external_id, CASE WHEN page_id % 5 < 4 THEN CAST(DATE '2024-01-01' + CAST(page_id % 300 AS INTEGER) AS TIMESTAMP) END AS published_date, 'https://arxiv.org/pdf/' || page_id AS pdf_url, 'cs.DB' AS category, 'Sum' AS abstract FROM pages")
 def papers_from_pages(spark, d):
-    before = _tagged("<h1 class='paper-title'>Paper {}</h1><div class='authors'>Ann {}; Bo</div><p class='date'>15 aug 2026</p><a href='/pdf/{}'>View PDF</a><i class='subject'>cs.DB</i><b class='abstract'>Sum</b>")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (c("page_id") % 300).cast("int"))
+    said = F.lit("some day")
+    for i, f in enumerate(records.PAPER_DATES):
+        said = F.when(c("page_id") % 5 == i, F.lower(F.date_format(day, f))).otherwise(said)
+    before = F.concat(_tagged("<h1 class='paper-title'>Paper {}</h1><div class='authors'>Ann {}; Bo</div><p class='date'>"), said, _tagged("</p><a href='/pdf/{}'>View PDF</a><i class='subject'>cs.DB</i><b class='abstract'>Sum</b>"))
     r = records.papers(_listed(spark, d, before))
     k = c("content")
     return r.select(c("source_name").cast("long").alias("page_id"), "source_url", k["title"].alias("title"), k["authors"].alias("authors"), k["external_id"].alias("external_id"), k["published_date"].cast("timestamp_ntz").alias("published_date"), k["pdf_url"].alias("pdf_url"), k["category"].alias("category"), k["abstract"].alias("abstract"))
 
 
-@query("SELECT page_id, 'Tool ' || page_id AS product_name, CASE WHEN page_id % 2 = 0 THEN 'https://p/' || page_id ELSE 'https://w/' || page_id END AS website, CASE WHEN page_id % 2 = 0 THEN 'PAID' ELSE 'FREEMIUM' END AS pricing_model, CASE WHEN page_id % 2 = 1 THEN CAST(page_id AS INTEGER) END AS upvotes FROM pages")
+@query("SELECT page_id, 'Tool ' || page_id AS product_name, CASE WHEN page_id % 2 = 0 THEN 'https://p/' || page_id ELSE 'https://w/' || page_id END AS website, CASE WHEN page_id % 2 = 0 THEN 'PAID' ELSE 'FREEMIUM' END AS pricing_model, CASE WHEN page_id % 2 = 1 THEN CAST(page_id AS INTEGER) END AS upvotes, CASE WHEN page_id % 2 = 0 THEN 'For ' || page_id ELSE 'Does ' || page_id END AS description, CASE WHEN page_id % 2 = 1 THEN ['AI', 't' || page_id] END AS tags FROM pages")
 def products_from_pages(spark, d):
     """Even pages carry a data list, odd ones show the fields as elements."""
-    data = _tagged("<script type='application/ld+json'>[{\"@type\": \"Thing\"}, {\"@type\": \"Product\", \"name\": \"Tool {}\", \"url\": \"https://p/", "{}", "\", \"offers\": {\"price\": \"paid\"}}]</script>")
-    shown = _tagged("<h1>Tool {}</h1><span class='upvotes'>{} votes</span><a href='https://w/{}'>Visit</a><i>Pricing: freemium</i>")
+    data = _tagged("<script type='application/ld+json'>[{\"@type\": \"Thing\"}, {\"@type\": \"Product\", \"name\": \"Tool {}\", \"description\": \"For ", "{}", "\", \"url\": \"https://p/", "{}", "\", \"offers\": {\"price\": \"paid\"}}]</script>")
+    shown = _tagged("<h1>Tool {}</h1><span class='upvotes'>{} votes</span><a href='https://w/{}'>Visit</a><i>Pricing: freemium</i><p class='description'>Does {}</p><b class='tag'>AI</b><b class='tag'>t{}</b>")
     k = c("content")
     r = records.products(_listed(spark, d, F.when(c("page_id") % 2 == 0, data).otherwise(shown)))
-    return r.select(c("source_name").cast("long").alias("page_id"), *[k[x].alias(x) for x in ("product_name", "website", "pricing_model", "upvotes")])
+    return r.select(c("source_name").cast("long").alias("page_id"), *[k[x].alias(x) for x in ("product_name", "website", "pricing_model", "upvotes", "description", "tags")])
 
 
 @query("SELECT page_id, 'Firm ' || page_id AS entity_name, 'Winter 2024' AS batch, 'https://f/' || page_id AS website, 'Makes things' AS description FROM pages")
@@ -398,6 +402,51 @@ def links_discovered(spark, d):
     return _listed(spark, d, before).select(c("source_name").cast("long").alias("page_id"), records.discovered(c("page"), "arxiv", "https://arxiv.org").alias("urls"))
 
 
+@query("SELECT page_id, ['https://www.producthunt.com/posts/p' || page_id] AS products, ['https://www.ycombinator.com/companies?company=c' || page_id] AS companies FROM pages")
+def records_discovered(spark, d):
+    """Record links of a product and of a company listing."""
+    before = _tagged("<a href='/posts/p{}'>a</a><a href='/topics/x'>b</a><a href='/companies?company=c{}'>c</a><a href='/about'>d</a>")
+    found = [records.discovered(c("page"), name, crawlers.CRAWLERS[name].base) for name in ("producthunt", "ycombinator")]
+    return _listed(spark, d, before).select(c("source_name").cast("long").alias("page_id"), found[0].alias("products"), found[1].alias("companies"))
+
+
+class _Answers(web.WebPages):
+    """Answers without a network: a page that names its address, in Latin-1 or broken UTF-8, or an error."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "answers"
+
+    @staticmethod
+    def fetcher(url: str, timeout: float, limit: int) -> web.Fetched:
+        n = int(url.rsplit("/", 1)[1])
+        if n % 10 == 9:
+            return web.Fetched(404, b"", {})
+        if n % 10 == 8:
+            raise web.PayloadTooLargeError
+        latin = n % 2 == 0
+        body = f"<h1>é {n}</h1>".encode("latin-1" if latin else "utf-8") + (b"" if latin else b"\xff")
+        return web.Fetched(200, body, {"Content-Type": "text/html; charset=ISO-8859-1" if latin else "text/html"})
+
+
+def _answers(spark) -> DataFrame:
+    spark.dataSource.register(_Answers)
+    urls = "\n".join(f"https://s{n % 3}.example/{n}" for n in range(40))
+    return spark.read.format("answers").option("urls", urls).option("source", "github").option("max_per_second", 1_000_000).option("base_delay", 0).load()
+
+
+@query("SELECT 'https://s' || (n % 3) || '.example/' || n AS url, CASE WHEN n % 10 = 9 THEN 404 WHEN n % 10 <> 8 THEN 200 END AS status_code, CASE WHEN n % 10 = 9 THEN '' WHEN n % 10 = 8 THEN NULL ELSE '<h1>é ' || n || '</h1>' || CASE WHEN n % 2 = 1 THEN chr(65533) ELSE '' END END AS html, "
+       "CASE n % 10 WHEN 9 THEN 'HTTPError' WHEN 8 THEN 'PayloadTooLargeError' END AS error_class, CAST(14 AS BIGINT) AS source_id FROM (SELECT unnest(range(40)) AS n)")
+def web_read(spark, d):
+    """Pages through the data source, decoded and joined to their source."""
+    return crawlers.decoded(_answers(spark), web.sources(spark)).select("url", "status_code", "html", "error_class", "source_id")
+
+
+@query("SELECT 's' || (n % 3) || '.example' AS domain, count(*) FILTER (WHERE n % 10 < 8) AS succeeded, count(*) FILTER (WHERE n % 10 >= 8) AS failed, list_sort(list_filter(list_distinct(list(CASE n % 10 WHEN 9 THEN 'HTTPError' WHEN 8 THEN 'PayloadTooLargeError' END)), lambda x: x IS NOT NULL)) AS errors FROM (SELECT unnest(range(40)) AS n) GROUP BY 1")
+def web_summary(spark, d):
+    return crawlers.summary(_answers(spark))
+
+
 @query()
 def crawl_to_store(spark, d):
     """Pages of five kinds read, filtered by freshness, routed and put into their tables; rows per table."""
@@ -409,12 +458,12 @@ def crawl_to_store(spark, d):
 
 
 # ------------------------------------------------------------------ dates
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 1 AND day(o) <= 12 THEN make_timestamp(year(o), day(o), month(o), 0, 0, 0.0) ELSE o END AS ts FROM (SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS o FROM orders)")
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 17 IN (7, 8) AND day(o) <= 12 THEN make_timestamp(year(o), day(o), month(o), 0, 0, 0.0) ELSE o END AS ts FROM (SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS o FROM orders)")
 def date_formats(spark, d):
     day = c("o_orderdate").cast("date")
     text = F.lit(None).cast("string")
-    for i, f in enumerate(["M/d/yyyy", "d/M/yyyy", "MMMM d, yyyy", "MMM d yyyy", "yyyy-M-d H:m:s", "M-d-yyyy"]):
-        text = F.when(c("o_orderkey") % 6 == i, F.date_format(day, f)).otherwise(text)
+    for i, f in enumerate(D.FORMATS):
+        text = F.when(c("o_orderkey") % 17 == i, F.date_format(day.cast("timestamp"), f)).otherwise(text)
     return table(spark, d, "orders").select("o_orderkey", D.common(text).cast("timestamp_ntz").alias("ts"))
 
 

@@ -405,3 +405,19 @@ def test_rows_are_numbered_without_one_task(spark):
         own.setdefault(r["k"], []).append(r["id"])
     assert got == {i: n for ids in own.values() for n, i in enumerate(ids, 1)}
     assert sorted(r["n"] for r in numbered(rows, "n", [F.col("id")]).collect()) == list(range(1, 1001))
+
+
+def test_crawlers_discover_and_read(spark):
+    from millrace.sources.crawlers import CRAWLERS, Crawler
+
+    assert {x.kind for x in CRAWLERS.values()} == {"NEWS", "JOB", "RESEARCH_PAPER", "PRODUCT", "STARTUP"} and CRAWLERS["arxiv"].listings[0].startswith("http://export")
+    now = F.lit("2024-01-30").cast("timestamp")
+    pages = spark.createDataFrame([("https://l/1", "producthunt", 200, "<a href='/posts/a'>x</a><a href='/posts/a'>x</a><a href='https://other.example/posts/b'>y</a><h1>Tool</h1>")], "url string, source_name string, status_code int, html string")
+    ph = CRAWLERS["producthunt"]
+    assert sorted(r["url"] for r in ph.discover(pages).collect()) == ["https://other.example/posts/b", "https://www.producthunt.com/posts/a"]
+    assert [r["content"]["product_name"] for r in ph.read(pages, now).collect()] == ["Tool"]
+    own = Crawler(ph.name, ph.base, ph.kind, ph.listings, ph.parse, ph.links, ["www.producthunt.com"])
+    assert [r["url"] for r in own.discover(pages).collect()] == ["https://www.producthunt.com/posts/a"]
+    assert [r["url"] for r in CRAWLERS["remoteok"].discover(pages).collect()] == ["https://l/1"]
+    for x in CRAWLERS.values():
+        assert x.read(pages, now).count() in (0, 1)
