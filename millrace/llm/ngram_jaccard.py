@@ -302,8 +302,8 @@ def _buckets(sets: DataFrame) -> DataFrame:
     agreed = agreed.select("gram", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "hub", "m")
     split = rows.where("salts > 1").drop("hub", "m").join(agreed, ["gram", "salt"])
     names = ["gram", "salt", "salts", "node", "n", "place", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hn"), F.col("hub.place").alias("hplace")]
-    out = stored(whole.select(*names).unionByName(split.select(*names)), "buckets")
-    discard(rows)
+    out = whole.select(*names).unionByName(split.select(*names))
+    out._millrace_path = rows._millrace_path
     return out
 
 
@@ -366,7 +366,9 @@ def similar_components(
     discard(labels)
     linked = own.join(final, "class").select("doc_id", F.col("n").alias("n_shingles"), F.col("label").alias("component_id"))
     alone = sets.where("n = 0 or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return linked.unionByName(alone)
+    out = stored(linked.unionByName(alone), "components")
+    discard(sets, final)
+    return out
 
 
 def op3_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
