@@ -655,3 +655,26 @@ def test_media_empty(spark, tmp_path, empty):
     path = str(tmp_path)
     empty.write.parquet(f"{path}/documents.parquet")
     assert media_columns.op10_media_columns(spark, path).count() == 0
+
+
+# ---------------------------------------------------------------- components
+@pytest.mark.parametrize("share", [256, 3])
+def test_components_of_hubs_and_paths(spark, monkeypatch, share):
+    from millrace.llm import components
+
+    monkeypatch.setattr(components, "SHARE", share)
+    r = random.Random(6)
+    edges = [(500, i) for i in range(100, 160)] + [(i, i + 1) for i in range(1000, 1040)] + [(r.randint(0, 90), r.randint(0, 90)) for _ in range(60)] + [(None, 3), (7, 7), (160, 100)] * 2
+    up = {x: x for e in edges if None not in e and e[0] != e[1] for x in e}
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        if a is not None and b is not None and a != b:
+            x, y = sorted((top(a), top(b)))
+            up[y] = x
+    got = components.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert {x["node"]: x["label"] for x in got} == {x: top(x) for x in up} and len(got) == len(up)
