@@ -64,6 +64,36 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             })
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many positive and how many unlabelled documents of a task have each feature."""
+    counts = np.zeros((2, FEATURES), np.int64)
+    for batch in batches:
+        words = batch.column("words")
+        own = words.flatten().to_numpy()
+        size = np.diff(words.offsets.to_numpy())
+        for row, side in enumerate(("pos", "unl")):
+            counts[row] += np.bincount(own[np.repeat(batch.column(side).to_numpy(zero_copy_only=False), size)], minlength=FEATURES)
+    used = np.flatnonzero(counts.any(axis=0))
+    yield pa.record_batch({"word": pa.array(used), "pos": pa.array(counts[0, used]), "unl": pa.array(counts[1, used])})
+
+
+def _of(names: np.ndarray):
+    """The features of each document that are among ``names``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column("words")
+            own = words.flatten().to_numpy()
+            use = np.isin(own, names)
+            ends = np.concatenate([[0], np.cumsum(use)])[np.concatenate([[0], np.cumsum(np.diff(words.offsets.to_numpy()))])]
+            yield pa.record_batch({
+                "doc_id": batch.column("doc_id"), "words": pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(own[use])),
+                "pos": batch.column("pos"), "unl": batch.column("unl"),
+            })
+
+    return run
+
+
 @dataclass
 class Model:
     weights: np.ndarray
@@ -143,13 +173,12 @@ def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     words = stored(words.join(F.broadcast(wanted), "doc_id"), "sample")
     flags = [F.col(c).cast("long") for c in ("pos", "unl")]
     n_pos, n_unl = words.agg(*[F.coalesce(F.sum(f), F.lit(0)) for f in flags]).first()
-    counts = words.select(F.explode("words").alias("word"), "pos", "unl").groupBy("word").agg(*[F.sum(f).alias(str(i)) for i, f in enumerate(flags)]).toPandas()
+    counts = words.select("words", "pos", "unl").mapInArrow(_counted, "word long, pos long, unl long").groupBy("word").agg(F.sum("pos").alias("pos"), F.sum("unl").alias("unl")).toPandas()
     held, seen = np.zeros(FEATURES), np.zeros(FEATURES)
-    held[counts["word"]], seen[counts["word"]] = counts["0"], counts["1"]
+    held[counts["word"]], seen[counts["word"]] = counts["pos"], counts["unl"]
     names = telling(held, seen, n_pos, n_unl) if n_pos and n_unl else np.zeros(0, np.int64)
-    used = F.array_intersect("words", F.array(*[F.lit(int(x)) for x in names]).cast("array<int>"))
     pos, unl = [], []
-    for r in words.select(used.alias("words"), "pos", "unl").orderBy("doc_id").toLocalIterator():
+    for r in words.select("doc_id", "words", "pos", "unl").mapInArrow(_of(names), "doc_id long, words array<int>, pos boolean, unl boolean").orderBy("doc_id").toLocalIterator():
         for side, there in ((pos, r["pos"]), (unl, r["unl"])):
             if there:
                 side.append(np.array(r["words"], np.int64))
