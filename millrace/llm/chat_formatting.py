@@ -82,8 +82,9 @@ def with_other_ending(turns: DataFrame) -> DataFrame:
     same turns, every one of them, but for the text of the very last: that is the text of the last turn of the
     conversation numbered one higher (empty if there is none).  Each conversation is gathered once; only last texts
     are moved to their neighbours."""
-    whole = turns.where("conv_id is not null").groupBy(F.col("conv_id").alias("pair_id")).agg(F.sort_array(F.collect_list(_turn())).alias("c"))
-    other = whole.select((F.col("pair_id") - 1).alias("pair_id"), F.element_at("c", -1)["text"].alias("other"))
+    of_pair = turns.where("conv_id is not null").select(F.col("conv_id").alias("pair_id"), _turn().alias("t"))
+    whole = of_pair.groupBy("pair_id").agg(F.sort_array(F.collect_list("t")).alias("c"))
+    other = of_pair.groupBy((F.col("pair_id") - 1).alias("pair_id")).agg(F.max("t")["text"].alias("other"))
     last = F.element_at("c", -1)
     ending = F.struct(last["turn"].alias("turn"), last["role"].alias("role"), F.coalesce("other", F.lit("")).alias("text"))
     both = whole.join(other, "pair_id", "left")

@@ -151,8 +151,6 @@ LOWER = Words(~_BLANK, _CODE[_LOWER])
 _ALNUM = np.zeros(256, bool)
 _ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 ALNUM = Words(_ALNUM, _CODE[_LOWER])
-#: Bytes of a text so normalised: anything else is a blank.
-ALNUM_TABLE = bytes(int(_LOWER[b]) if _ALNUM[b] else 32 for b in range(256))
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 

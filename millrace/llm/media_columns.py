@@ -234,12 +234,8 @@ def op10_media_columns(spark, sf_dir: str) -> DataFrame:
     rows = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), payload_of(F.col("text")).alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
     known = measured(store(rows.select("digest", "payload")))
-    # Each document is a page with its text as one image; the caption carries the size of the text.
-    page = F.concat(
-        F.lit("<p>Document</p><figure><img src=\"sha256:"), F.col("digest"), F.lit("\"><figcaption>"), F.col("n_bytes").cast("string"), F.lit("</figcaption></figure>")
-    )
-    parts = resolve(sequences(rows.select("doc_id", page.alias("html")), "doc_id", "html"), known).where("kind = 'media'")
-    return parts.select(
-        F.col("key").alias("doc_id"), F.col("caption").cast("long").alias("n_bytes"), "payload_bytes", "payload_sha256", "tail_crc32",
-        "media_bytes", "media_sha256", "feature",
-    )
+    # Each document is a page: a heading, its text as one image with a caption, and a closing line.
+    page = F.concat(F.lit("<h1>Document</h1><figure><img src=\"sha256:"), F.col("digest"), F.lit("\"><figcaption>text</figcaption></figure><p>end</p>"))
+    pages = sequences(rows.select(F.struct("doc_id", "n_bytes").alias("key"), page.alias("html")), "key", "html")
+    parts = resolve(pages, known).where("position = 1 and kind = 'media' and caption = 'text'")
+    return parts.select("key.doc_id", "key.n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
