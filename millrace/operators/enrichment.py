@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,6 +62,12 @@ def feed_urls(xml: Column) -> Column:
     return F.transform(entries, lambda e: F.concat(F.lit("https://arxiv.org/abs/"), F.regexp_extract(e["id"], r"/abs/([0-9]+\.[0-9]+)", 1)))
 
 
+def posts_request(first: int = 20, order: str = "VOTES") -> dict[str, str]:
+    """Options of the page source that ask a GraphQL service for posts; ``reply_urls`` reads what it answers."""
+    asked = f"query {{ posts(first: {first}, order: {order}) {{ edges {{ node {{ id name url slug }} }} }} }}"
+    return {"data": json.dumps({"query": asked}), "header.Content-Type": "application/json"}
+
+
 def reply_urls(reply: Column, base: str) -> Column:
     """Addresses of the posts in a GraphQL reply."""
     schema = "data struct<posts:struct<edges:array<struct<node:struct<id:string,name:string,url:string,slug:string>>>>>"

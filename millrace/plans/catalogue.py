@@ -673,6 +673,13 @@ def status_distribution(spark, d):
     return _metrics(spark, d).groupBy("status_code").agg(F.count("*").alias("n"))
 
 
+@query(f"SELECT source_name, list_sort(list(status_code || ':' || n)) AS codes FROM (SELECT source_name, status_code, count(*) AS n FROM {METRICS} GROUP BY 1, 2) GROUP BY 1")
+def status_histogram(spark, d):
+    rows = metrics.histogram(_metrics(spark, d), "source_name", "status_code")
+    said = F.transform(F.map_entries("histogram"), lambda e: F.concat(e["key"].cast("string"), F.lit(":"), e["value"].cast("string")))
+    return rows.select("source_name", F.array_sort(said).alias("codes"))
+
+
 @query(f"SELECT source_name, domain, CAST(grouping_id(source_name, domain) AS BIGINT) AS level, {TOTALS} FROM {METRICS} GROUP BY GROUPING SETS ((source_name), (domain), ())")
 def metrics_summary(spark, d):
     return metrics.summary(_metrics(spark, d))

@@ -60,12 +60,13 @@ class TooManyRedirectsError(Exception):
 
 @dataclass
 class HttpFetcher:
-    """GETs through one opener for each worker process: its headers, at most ``redirects`` redirects, and bodies of at
+    """GETs (POSTs where there is ``data``) through one opener for each worker process: its headers, at most ``redirects`` redirects, and bodies of at
     most the limit that each call gives (a longer one is an error, as half a page is no page)."""
 
     user_agent: str = "millrace/0.2"
     headers: dict[str, str] = field(default_factory=dict)
     redirects: int = 10
+    data: bytes | None = None
     _openers = {}
 
     def opener(self):
@@ -81,7 +82,7 @@ class HttpFetcher:
         import urllib.error
         import urllib.request
 
-        asked = urllib.request.Request(url, headers={"User-Agent": self.user_agent, **self.headers})
+        asked = urllib.request.Request(url, self.data, {"User-Agent": self.user_agent, **self.headers})
         try:
             with self.opener().open(asked, timeout=timeout) as r:
                 body = r.read(limit + 1)
@@ -107,8 +108,8 @@ class _Domain(InputPartition):
 
 class WebPages(DataSource):
     """Options: ``urls`` (one a line), ``source``, ``max_per_second`` (5), ``max_attempts`` (3), ``base_delay`` (1 s),
-    ``max_delay`` (60 s), ``timeout`` (30 s), ``max_bytes`` (10 MiB), ``user_agent``, and ``header.NAME`` for further
-    headers.  A domain is read by one task, so its rate holds whatever the cluster."""
+    ``max_delay`` (60 s), ``timeout`` (30 s), ``max_bytes`` (10 MiB), ``user_agent``, ``header.NAME`` for further
+    headers, ``data`` to be posted.  A domain is read by one task, so its rate holds whatever the cluster."""
 
     fetcher: Callable[[str, float, int], Fetched] = staticmethod(http_fetch)
 
@@ -122,8 +123,9 @@ class WebPages(DataSource):
     def reader(self, schema) -> "WebReader":
         fetcher, options = type(self).fetcher, {k.lower(): v for k, v in dict(self.options).items()}
         own = {k.removeprefix("header."): v for k, v in options.items() if k.startswith("header.")}
-        if isinstance(fetcher, HttpFetcher) and (own or "user_agent" in options):
-            fetcher = HttpFetcher(options.get("user_agent", fetcher.user_agent), {**fetcher.headers, **own}, fetcher.redirects)
+        if isinstance(fetcher, HttpFetcher) and (own or {"user_agent", "data"} & set(options)):
+            data = options["data"].encode() if "data" in options else fetcher.data
+            fetcher = HttpFetcher(options.get("user_agent", fetcher.user_agent), {**fetcher.headers, **own}, fetcher.redirects, data)
         return WebReader(options, fetcher)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parents[1]))
 from millrace.functions import outline  # noqa: E402
-from millrace.operators import extraction, freshness, metrics, queues, records, resolution, storage  # noqa: E402
+from millrace.operators import enrichment, extraction, freshness, metrics, queues, records, resolution, storage  # noqa: E402
 from millrace.plans import catalogue, crawl  # noqa: E402
 from millrace.schemas import TABLES  # noqa: E402
 from millrace.sources import web  # noqa: E402
@@ -203,7 +203,9 @@ def test_export_and_tables(spark, tmp_path):
 
 
 # ---------------------------------------------------------------- sources, providers and the steps of a run
-def test_fetcher_limits_redirects_headers_and_bodies():
+def test_fetcher_limits_redirects_headers_and_bodies(spark):
+    import json
+    import re
     import threading
     from http.server import BaseHTTPRequestHandler, HTTPServer
 
@@ -224,6 +226,13 @@ def test_fetcher_limits_redirects_headers_and_bodies():
                 self.end_headers()
                 self.wfile.write(b"x" * 50)
 
+        def do_POST(self):
+            asked = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            self.send_response(200)
+            self.end_headers()
+            n = re.search(r"first: (\d+)", asked["query"])[1]
+            self.wfile.write(json.dumps({"data": {"posts": {"edges": [{"node": {"id": "1", "name": "n", "slug": f"s{n}"}}]}}}).encode())
+
         def log_message(self, *a):
             pass
 
@@ -237,6 +246,11 @@ def test_fetcher_limits_redirects_headers_and_bodies():
         assert fetch(f"{base}/none", 5, 50).status == 404
         reader = web.WebReader({"base_delay": "0"}, fetch)
         assert [reader.one(f"{base}{p}")[8] for p in ("/a", "/none", "/loop")] == [None, "HTTPError", "TooManyRedirectsError"]
+        asked = web.WebPages({"urls": f"{base}/q", "max_per_second": "1000000", **enrichment.posts_request(7)}).reader(None)
+        (row,) = asked.read(asked.partitions()[0])
+        assert row[2] == 200
+        replies = spark.createDataFrame([(row[4].decode(),)], "reply string")
+        assert replies.select(enrichment.reply_urls(F.col("reply"), "https://ph.example")).first()[0] == ["https://ph.example/posts/s7"]
         small = web.WebReader({"base_delay": "0", "max_bytes": "49"}, fetch)
         assert small.one(f"{base}/a")[7:9] == (0, "PayloadTooLargeError")
     finally:
