@@ -100,23 +100,16 @@ class Space:
     def grams(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """N-grams of a slice's texts in order, and the text of each."""
         codes, at = self.letters(data)
-        owner = np.searchsorted(offsets, at, "right") - 1
-        # A break in front of every text and one behind it.
         n = len(offsets) - 1
-        place = np.arange(len(codes)) + 2 * owner + 1
-        whole, text = np.full(len(codes) + 2 * n, _BREAK, np.int64), np.zeros(len(codes) + 2 * n, np.int64)
-        whole[place] = codes
-        text[1:] = np.cumsum(self._begins(owner, n, len(whole)))[1:]
-        again = np.zeros(len(whole), bool)
-        again[1:] = (whole[1:] == _BREAK) & (whole[:-1] == _BREAK) & (text[1:] == text[:-1])
-        return self._keys(whole[~again], text[~again])
-
-    @staticmethod
-    def _begins(owner: np.ndarray, n: int, size: int) -> np.ndarray:
-        out = np.zeros(size, np.int64)
-        length = np.bincount(owner, minlength=n) + 2 if n else np.zeros(0, np.int64)
-        out[np.cumsum(length)[:-1]] = 1
-        return out
+        size = np.diff(np.searchsorted(at, offsets))
+        # A break in front of every text and one behind it.
+        text = np.repeat(np.arange(n, dtype=np.int32), size + 2)
+        whole = np.full(len(text), _BREAK, np.uint8)
+        whole[np.arange(len(codes)) + np.repeat(2 * np.arange(n) + 1, size)] = codes
+        is_break = whole == _BREAK
+        keep = np.ones(len(whole), bool)
+        keep[1:] = ~(is_break[1:] & is_break[:-1] & (text[1:] == text[:-1]))
+        return self._keys(whole[keep].astype(np.int32), text[keep])
 
     @staticmethod
     def _keys(codes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
