@@ -16,7 +16,7 @@ share does not count.
 
 Defined results: ``und`` with score 0 for null text and text without letters; ties go to the language that
 sorts first; without training texts every text is ``und``; repeated rows count as often as they occur; bytes
-that are not UTF-8 are breaks or letters of their own, and never an error.
+that are not UTF-8 are breaks or letters of their own, and never an error; equal texts have equal scores.
 """
 
 from __future__ import annotations
@@ -136,19 +136,21 @@ class Space:
             carry, at = codes[-(GRAM - 1) :], end if end < len(data) else end + 1
         return total
 
-    def vectors(self, keys: np.ndarray) -> np.ndarray:
+    def vectors(self, keys: np.ndarray, kind=np.float32) -> np.ndarray:
         """The bound vector of each n-gram."""
         bound = None
         for i, place in enumerate(self.places):
             letter = place[keys // LETTERS ** (GRAM - 1 - i) % LETTERS]
             bound = letter if bound is None else bound * letter
-        return bound.astype(np.float32)
+        return bound.astype(kind)
 
     def bundle(self, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Sum of the vectors of ``keys``, each ``counts`` times; a row per row of ``counts``."""
+        """Sum of the vectors of ``keys``, each ``counts`` times; a row per row of ``counts``.  The sums are whole numbers
+        and exact: in single precision up to 2^24 n-grams, beyond in double precision (up to 2^53)."""
+        kind = np.float32 if not counts.size or counts.sum(axis=-1).max() < 1 << 24 else np.float64
         out = np.zeros((*counts.shape[:-1], self.dimensions), np.float64)
         for a in range(0, len(keys), 4096):
-            out += counts[..., a : a + 4096].astype(np.float32) @ self.vectors(keys[a : a + 4096])
+            out += counts[..., a : a + 4096].astype(kind) @ self.vectors(keys[a : a + 4096], kind)
         return out
 
     def texts(self, s) -> np.ndarray:
@@ -226,14 +228,16 @@ class Judge:
         self.centred = centred / np.maximum(np.linalg.norm(centred, axis=1, keepdims=True), 1e-12)
 
     def __call__(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Language and score of each row; ``und`` and 0 for a zero vector."""
+        """Language and score of each row; ``und`` and 0 for a zero vector.  Vectors are whole numbers and each row is summed by
+        itself, so equal texts have equal scores whatever lies beside them."""
         size = np.linalg.norm(vectors, axis=1, keepdims=True)
         known = (size[:, 0] > 0) & (len(self.langs) > 1)
         best, score = np.full(len(vectors), len(self.langs) - 1), np.zeros(len(vectors))
         if known.any():
             v = vectors[known] / size[known] - self.middle
-            cosine = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12) @ self.centred.T
-            best[known] = np.argmax(np.round(cosine, 12), axis=1)
+            v = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+            cosine = np.round(np.stack([(v * own).sum(axis=1) for own in self.centred], axis=1), 10)
+            best[known] = np.argmax(cosine, axis=1)
             score[known] = np.clip((1 + cosine.max(axis=1)) / 2, 0, 1)
         return self.langs[best], score
 

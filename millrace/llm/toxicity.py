@@ -100,8 +100,10 @@ class Model:
     bias: float
 
     def score(self, words: np.ndarray, begin: np.ndarray) -> np.ndarray:
-        total = np.concatenate([[0.0], np.cumsum(self.weights[words])])
-        return 1 / (1 + np.exp(-np.clip(self.bias + total[begin[1:]] - total[begin[:-1]], -40, 40)))
+        """Each document's weights are added up by themselves and in order: equal texts have equal scores."""
+        size = np.diff(begin)
+        total = np.bincount(np.repeat(np.arange(len(size)), size), weights=self.weights[words], minlength=len(size))
+        return 1 / (1 + np.exp(-np.clip(self.bias + total, -40, 40)))
 
 
 def telling(held: np.ndarray, seen: np.ndarray, n_positive: int, n_unlabelled: int) -> np.ndarray:
