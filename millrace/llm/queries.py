@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat_formatting, source_mixing, url_filter
+from . import chat_formatting, conversation_trie, source_mixing, url_filter
 from .chat_formatting import op6_chat_formatting
+from .conversation_trie import op13_conversation_trie
 from .decontamination import op1_decontamination
 from .language_id import op9_language_id
 from .lm_scoring import op7_lm_scoring
@@ -18,7 +19,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_url_filter, op3_ngram_jaccard, op4_toxicity, op5_source_mixing,
-        op6_chat_formatting, op7_lm_scoring, op8_substring_dedup, op9_language_id, op10_media_columns,
+        op6_chat_formatting, op7_lm_scoring, op8_substring_dedup, op9_language_id, op10_media_columns, op13_conversation_trie,
     )
 }
 
@@ -26,4 +27,5 @@ ORACLES = {
     "op2_url_filter": url_filter.ORACLE,
     "op5_source_mixing": source_mixing.ORACLE,
     "op6_chat_formatting": chat_formatting.ORACLE,
+    "op13_conversation_trie": conversation_trie.ORACLE,
 }
