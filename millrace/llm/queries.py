@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import chat_formatting, conversation_trie, source_mixing, url_filter
+from . import centroid_clustering, chat_formatting, conversation_trie, source_mixing, suffix_dedup, url_filter
+from .centroid_clustering import op12_centroid_clustering
 from .chat_formatting import op6_chat_formatting
 from .conversation_trie import op13_conversation_trie
 from .decontamination import op1_decontamination
@@ -12,6 +13,7 @@ from .media_columns import op10_media_columns
 from .ngram_jaccard import op3_ngram_jaccard
 from .source_mixing import op5_source_mixing
 from .substring_dedup import op8_substring_dedup
+from .suffix_dedup import op11_suffix_dedup
 from .toxicity import op4_toxicity
 from .url_filter import op2_url_filter
 
@@ -19,7 +21,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_url_filter, op3_ngram_jaccard, op4_toxicity, op5_source_mixing,
-        op6_chat_formatting, op7_lm_scoring, op8_substring_dedup, op9_language_id, op10_media_columns, op13_conversation_trie,
+        op6_chat_formatting, op7_lm_scoring, op8_substring_dedup, op9_language_id, op10_media_columns, op11_suffix_dedup, op12_centroid_clustering, op13_conversation_trie,
     )
 }
 
@@ -27,5 +29,7 @@ ORACLES = {
     "op2_url_filter": url_filter.ORACLE,
     "op5_source_mixing": source_mixing.ORACLE,
     "op6_chat_formatting": chat_formatting.ORACLE,
+    "op11_suffix_dedup": suffix_dedup.ORACLE,
+    "op12_centroid_clustering": centroid_clustering.ORACLE,
     "op13_conversation_trie": conversation_trie.ORACLE,
 }

@@ -111,3 +111,63 @@ def mixed_sizes(rows, weights=(3, 1, 2), budget=1.5, epochs=2):
             left -= target[s]
         open_ -= over
     return size, target
+
+
+def repeated_bytes(docs, width):
+    """Per document: bytes, removed bytes, removed runs, digest of the rest."""
+    texts = [(i, (t or "").encode()) for i, t in docs]
+    seen = Counter(b[j : j + width] for _, b in texts for j in range(len(b) - width + 1))
+    out = []
+    for i, b in texts:
+        gone = bytearray(len(b))
+        for j in range(len(b) - width + 1):
+            if seen[b[j : j + width]] > 1:
+                gone[j : j + width] = b"\1" * width
+        runs = sum(1 for j, g in enumerate(gone) if g and not (j and gone[j - 1]))
+        out.append((i, len(b), sum(gone), runs, hashlib.sha256(bytes(x for x, g in zip(b, gone, strict=True) if not g)).hexdigest()))
+    return out
+
+
+def clusters(rows, k=16, rounds=3, scale=64, size=64):
+    """Lloyd's rounds in whole numbers: vector id, cluster, distance, and the final centroids."""
+    kept = []
+    for i, v in rows:
+        if v is not None and len(v) == size and all(x is not None and math.isfinite(x) for x in v):
+            kept.append((i, [math.floor(scale * float(x)) for x in v]))
+    first = sorted(kept, key=lambda r: (hashlib.sha256(f"1:{'' if r[0] is None else r[0]}".encode()).hexdigest(), r[1]))
+    points = [v for _, v in first[:k]]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, p, strict=True)), j) for j, p in enumerate(points))
+
+    for _ in range(rounds):
+        own = defaultdict(list)
+        for _, v in kept:
+            own[nearest(v)[1]].append(v)
+        points = [[sum(c) // len(own[j]) for c in zip(*own[j], strict=True)] if own[j] else p for j, p in enumerate(points)]
+    return [(i, *nearest(v)[::-1]) for i, v in kept], points
+
+
+def trie(rows, borrowed=9, family=5):
+    """Nodes of the rebuilt conversations; turns of one number must be equal or not occur."""
+    turns = defaultdict(list)
+    for c, at, role, text in rows:
+        if c is not None:
+            turns[c].append(((at is not None, at or 0), role or "", text or ""))
+    own = {c: [(r, t) for _, r, t in sorted(x)] for c, x in turns.items()}
+    whole = {}
+    for c in own:
+        h = zlib.crc32(str(c).encode()) % borrowed
+        whole[c] = tuple(own.get(c - int(math.fmod(c, family)), [])[:h] + own[c][h:])
+    members = defaultdict(list)
+    for c, p in whole.items():
+        for d in range(len(p) + 1):
+            members[p[:d]].append(c)
+    out = []
+    for key, who in members.items():
+        below = [k for k in members if k[: len(key)] == key]
+        parents = {k[:-1] for k in members if k}
+        saved = sum((len(members[k]) - 1) * len(k[-1][1].encode()) for k in below if k)
+        ends = ",".join(str(c) for c in sorted(who) if len(whole[c]) == len(key))
+        out.append((min(who), len(key), min(members[key[:-1]]) if key else None, len(who), sum(len(k) == len(key) + 1 for k in below), sum(k not in parents for k in below), saved, hashlib.sha256(ends.encode()).hexdigest()))
+    return out
