@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import LEGAL_MORE, name_normalized
+from ..shared import kept
+from .fuzzy import close_texts, fuzzy_pairs, fuzzy_top, indel, score, token_set_ratio  # noqa: F401
 
 # Scores from which a match is taken, reviewed or, among embeddings, taken; and the fallback's confidence.
 ACCEPT, REVIEW, EMBEDDING, FALLBACK = 0.95, 0.80, 0.85, 0.7
@@ -32,146 +34,6 @@ def canonical_name(name: Column) -> Column:
     return name_normalized(F.when(ascii_only, name).otherwise(composed), LEGAL_MORE)
 
 
-def indel(a: str, b: str) -> int:
-    """Insertions and deletions that turn one string into the other (bit-parallel longest common subsequence)."""
-    if not a or not b:
-        return len(a) + len(b)
-    where: dict[str, int] = {}
-    for i, c in enumerate(a):
-        where[c] = where.get(c, 0) | 1 << i
-    full, row = (1 << len(a)) - 1, (1 << len(a)) - 1
-    for c in b:
-        hit = row & where.get(c, 0)
-        row = ((row + hit) | (row - hit)) & full
-    return len(a) + len(b) - 2 * (len(a) - row.bit_count())
-
-
-def token_set_ratio(a: str, b: str) -> float:
-    """0 to 100: best agreement of common tokens and what is left of either side."""
-    x, y = set(a.split()), set(b.split())
-    if not x or not y:
-        return 0.0
-    common = " ".join(sorted(x & y))
-    left, right = " ".join(sorted(x - y)), " ".join(sorted(y - x))
-    if common and (not left or not right):
-        return 100.0
-    s, gap = len(common), 1 if common else 0
-    la, lb = s + gap + len(left), s + gap + len(right)
-    scores = [1 - indel(left, right) / (la + lb)]
-    if common:
-        scores += [1 - (gap + len(left)) / (s + la), 1 - (gap + len(right)) / (s + lb)]
-    return 100 * max(scores)
-
-
-def _score(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([token_set_ratio(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype="float64")
-
-
-_score.__annotations__ = {"a": pd.Series, "b": pd.Series, "return": pd.Series}
-
-
-def score(a: Column, b: Column) -> Column:
-    return F.pandas_udf(_score, T.DoubleType())(a, b)
-
-
-# Parts that names and candidates are each dealt into, and cells of the tables that count characters and pairs of them.
-PARTS, CHARS, DOUBLES = 8, 64, 512
-#: Candidates that are looked at together.
-TOGETHER = 4096
-
-
-def _counts(texts: list[str], width: int, n: int) -> np.ndarray:
-    """How often each cell of a table occurs among the runs of ``width`` characters of each text."""
-    out = np.zeros((len(texts), n), np.uint32)
-    for row, t in zip(out, texts, strict=True):
-        codes = np.frombuffer(t.encode("utf-32-le"), np.uint32).astype(np.int64)
-        cells = codes if width == 1 else codes[:-1] * 31 + codes[1:]
-        row += np.bincount(cells % n, minlength=n).astype(np.uint32)
-    return out
-
-
-def _apart(cutoff: float):
-    """All pairs of one part of the names with one part of the candidates that have no token in common.
-
-    Such a pair scores ``200 c / (m + n)``: its sorted tokens, of lengths ``m`` and ``n``, have a common subsequence
-    of ``c``.  So ``c`` is at least ``cutoff (m + n) / 200``, the shorter text is as long, the texts share as many
-    characters, and, as a character left out breaks two pairs of neighbours and one put in breaks one,
-    ``3 c - m - n - 1`` pairs of neighbours.  Cells that meet by chance only raise what is shared: no pair is lost."""
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        names, cands = left.column("norm").to_pylist(), right.column("cnorm").to_pylist()
-        found: list[tuple[str, str, float]] = []
-        for start in range(0, len(cands), TOGETHER):
-            some = cands[start : start + TOGETHER]
-            texts = [" ".join(sorted(set(t.split()))) for t in some]
-            tokens, size = [set(t.split()) for t in texts], np.array([len(t) for t in texts], np.int64)
-            tables = [(1, _counts(texts, 1, CHARS)), (2, _counts(texts, 2, DOUBLES))]
-            for name in names:
-                own = set(name.split())
-                text = " ".join(sorted(own))
-                need = np.ceil(cutoff * (size + len(text)) / 200 - 1e-6).astype(np.int64)
-                at = np.flatnonzero(np.minimum(size, len(text)) >= need)
-                for width, table in tables:
-                    shared = np.minimum(table[at], _counts([text], width, table.shape[1])).sum(axis=1, dtype=np.int64)
-                    at = at[shared >= (need[at] if width == 1 else 3 * need[at] - size[at] - len(text) - 1)]
-                for k in at.tolist():
-                    if own.isdisjoint(tokens[k]) and (x := token_set_ratio(name, some[k])) >= cutoff:
-                        found.append((name, some[k], x))
-        columns = zip(*found, strict=True) if found else ((), (), ())
-        return pa.table([pa.array(x, t) for x, t in zip(columns, (pa.string(), pa.string(), pa.float64()), strict=True)], ["norm", "cnorm", "score"])
-
-    return run
-
-
-def _dealt(rows: DataFrame, column: str, own: str, other: str) -> DataFrame:
-    """Each row in one part of its own side and all parts of the other."""
-    parts = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))
-    return rows.select(column).where(F.col(column) != "").distinct().select(column, F.pmod(F.xxhash64(column), F.lit(PARTS)).cast("int").alias(own), parts.alias(other))
-
-
-#: Names that one task meets under a token that many have.
-SHARE = 4096
-
-
-def _by_token(rows: DataFrame, column: str, known: DataFrame, spread: Column) -> DataFrame:
-    """Each text with its tokens, rarest first, and a row for each of them and each of its ``salt``s."""
-    each = rows.select(column).where(F.col(column) != "").distinct().withColumn("token", F.explode(F.array_distinct(F.split(column, r"\s+"))))
-    each = each.join(known, "token")
-    tokens = each.groupBy(column).agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("tokens"))
-    return each.join(tokens, column).select(column, "token", "tokens", F.explode(spread).alias("salt"))
-
-
-def _meeting(names: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Pairs of texts with a common token, each once: under the rarest token that both have.  The names of a common
-    token are split over salts, to each of which its candidates go."""
-    both = names.select(F.col("norm").alias("x")).distinct().unionAll(candidates.select("cnorm").distinct())
-    counts = both.where("x <> ''").select(F.explode(F.array_distinct(F.split("x", r"\s+"))).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
-    known = counts.withColumn("salts", (1 + F.col("n") / SHARE).cast("int"))
-    left = _by_token(names, "norm", known, F.array(F.pmod(F.xxhash64("norm"), F.col("salts")).cast("int"))).withColumnRenamed("tokens", "mine")
-    right = _by_token(candidates, "cnorm", known, F.sequence(F.lit(0), F.col("salts") - 1))
-    met = left.join(right, ["token", "salt"])
-    return met.where(F.col("token") == F.get(F.array_intersect("mine", "tokens"), F.lit(0))["token"]).select("norm", "cnorm")
-
-
-def fuzzy_pairs(names: DataFrame, candidates: DataFrame, cutoff: float = 80.0) -> DataFrame:
-    """``names`` (name_id, norm) against ``candidates`` (candidate_id, candidate, cnorm): all pairs that score at
-    least ``cutoff``.
-
-    Pairs that share a token meet once, under the rarest token they share; all others are looked at part by part,
-    behind bounds that lose none.  Scores are computed once per pair of distinct names."""
-    scored = _meeting(names, candidates).withColumn("score", score(F.col("norm"), F.col("cnorm"))).where(F.col("score") >= cutoff)
-    one, two = _dealt(names, "norm", "i", "j"), _dealt(candidates, "cnorm", "j", "i")
-    apart = one.groupBy("i", "j").cogroup(two.groupBy("i", "j")).applyInArrow(_apart(cutoff), "norm string, cnorm string, score double")
-    # The second path tells tokens apart as Python does: what both find counts once.
-    scored = scored.unionByName(apart).groupBy("norm", "cnorm").agg(F.max("score").alias("score"))
-    return names.join(scored, "norm").join(candidates, "cnorm").select("name_id", "candidate_id", "candidate", "score")
-
-
-def fuzzy_top(names: DataFrame, candidates: DataFrame, limit: int = 5, cutoff: float = 80.0) -> DataFrame:
-    w = Window.partitionBy("name_id").orderBy(F.col("score").desc(), "candidate_id")
-    return fuzzy_pairs(names, candidates, cutoff).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
-
-
 def alias_table(pairs: DataFrame) -> DataFrame:
     """``pairs`` (raw, canonical, seq): both sides normalized, the last of each raw name."""
     named = pairs.select(canonical_name(F.col("raw")).alias("norm"), canonical_name(F.col("canonical")).alias("target"), "seq")
@@ -248,13 +110,15 @@ def resolved(
     """``names`` (name_id, raw): one row each with ``canonical``, ``method``, ``confidence`` and
     ``needs_review``.  Aliases come first, then equal names, close ones, embeddings (name_id, name, cosine),
     and last the normalized name itself.  Scores from which each step takes or flags a name can be given."""
-    rows = names.withColumn("norm", canonical_name(F.col("raw")))
-    cands = candidates.withColumn("cnorm", canonical_name(F.col("candidate")))
-    exact = cands.groupBy("cnorm").agg(F.min_by("candidate", "candidate_id").alias("same"))
-    left = rows.join(aliases, "norm", "left").join(exact.withColumnRenamed("cnorm", "norm"), "norm", "left")
-    open_names = left.where("target is null and same is null and norm <> ''").select("name_id", "norm")
-    best = fuzzy_pairs(open_names, cands, 100 * review).groupBy("name_id").agg(F.max_by(F.struct("candidate", "score"), F.struct("score", -F.col("candidate_id"))).alias("best"))
-    out = left.join(best, "name_id", "left")
+    # Written once with what is made of them, so that no plan below makes it again.
+    rows = kept(names.withColumn("norm", canonical_name(F.col("raw"))), "names")
+    cands = kept(candidates.withColumn("cnorm", canonical_name(F.col("candidate"))), "candidates")
+    exact = cands.groupBy(F.col("cnorm").alias("norm")).agg(F.min_by("candidate", "candidate_id").alias("same"), F.min("candidate_id").alias("first"))
+    left = rows.join(aliases, "norm", "left").join(exact.drop("first"), "norm", "left")
+    open_names = left.where("target is null and same is null and norm <> ''").select("norm")
+    scored = kept(close_texts(open_names, cands, 100 * review), "close").join(exact.withColumnsRenamed({"norm": "cnorm", "same": "candidate"}), "cnorm")
+    best = scored.groupBy("norm").agg(F.max_by(F.struct("candidate", "score"), F.struct("score", -F.col("first"))).alias("best"))
+    out = left.join(best, "norm", "left")
     near = F.lit(None).cast("struct<name:string,cosine:double>")
     if embedded is not None:
         top = embedded.groupBy("name_id").agg(F.max_by(F.struct("name", "cosine"), "cosine").alias("near"))
