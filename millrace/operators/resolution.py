@@ -1,19 +1,18 @@
-"""Entity resolution: aliases, exact names, token-set similarity of all pairs, embeddings, an audit log."""
+"""Entity resolution: aliases, exact names, close names (``fuzzy``), embeddings (``vectors``), an audit log."""
 
 from __future__ import annotations
 
 import unicodedata
 
-import numpy as np
 import pandas as pd
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import LEGAL_MORE, name_normalized
 from ..shared import kept
 from .fuzzy import close_texts, fuzzy_pairs, fuzzy_top, indel, score, token_set_ratio  # noqa: F401
+from .vectors import nearest  # noqa: F401
 
 # Scores from which a match is taken, reviewed or, among embeddings, taken; and the fallback's confidence.
 ACCEPT, REVIEW, EMBEDDING, FALLBACK = 0.95, 0.80, 0.85, 0.7
@@ -40,69 +39,6 @@ def alias_table(pairs: DataFrame) -> DataFrame:
     return named.groupBy("norm").agg(F.max_by("target", "seq").alias("target"))
 
 
-#: Most bytes of query vectors that are broadcast at once.
-QUERY_BYTES = 64 << 20
-
-
-def _unit(rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Vectors as unit rows, and the places of those that have a direction and the usual length."""
-    lists = rows.to_pylist()
-    size = max((len(x) for x in lists if x), default=0)
-    good = np.array([x is not None and len(x) == size > 0 and None not in x for x in lists], bool)
-    v = np.array([lists[i] for i in np.flatnonzero(good)], np.float64).reshape(int(good.sum()), size)
-    norm = np.linalg.norm(v, axis=1)
-    some = norm > 0
-    return v[some] / norm[some, None], np.flatnonzero(good)[some]
-
-
-def _best(shared, k: int):
-    """For every query the ``k`` best rows of a task: of equal ones those with the smallest ids."""
-
-    def run(batches):
-        ids, vectors = shared.value
-        top_id, top = np.zeros((len(ids), 0), np.int64), np.zeros((len(ids), 0))
-        for batch in batches:
-            for start in range(0, batch.num_rows, 4096):
-                part = batch.slice(start, 4096)
-                v, at = _unit(part.column("vec"))
-                if not len(v) or v.shape[1] != vectors.shape[1]:
-                    continue
-                own = part.column("vec_id").to_numpy(zero_copy_only=False)[at].astype(np.int64)
-                top = np.hstack([top, vectors @ v.T])
-                top_id = np.hstack([top_id, np.broadcast_to(own, (len(ids), len(own)))])
-                keep = np.lexsort((top_id, -top), axis=1)[:, :k]
-                top, top_id = np.take_along_axis(top, keep, 1), np.take_along_axis(top_id, keep, 1)
-        yield pa.record_batch({"query_id": pa.array(np.repeat(ids, top.shape[1])), "vec_id": pa.array(top_id.ravel()), "cosine": pa.array(top.ravel())})
-
-    return run
-
-
-def nearest(queries: DataFrame, store: DataFrame, k: int = 5, most: int = QUERY_BYTES) -> DataFrame:
-    """``queries`` (query_id, qvec) against ``store`` (vec_id, vec): the ``k`` of largest cosine each, with ``rank``.
-    Vectors that are null, zero or of another length have no cosine.
-
-    The stated query set meets every row: it is broadcast in blocks of at most ``most`` bytes, and each task keeps the
-    ``k`` best of its rows for each query, so no more than that is shuffled."""
-    spark = queries.sparkSession
-    out, held, size = None, [], 0
-
-    def block() -> DataFrame:
-        v, at = _unit(pa.array([r["qvec"] for r in held], pa.list_(pa.float64())))
-        shared = spark.sparkContext.broadcast((np.array([held[i]["query_id"] for i in at], np.int64), v))
-        return store.select(F.col("vec_id").cast("long").alias("vec_id"), "vec").mapInArrow(_best(shared, k), "query_id long, vec_id long, cosine double")
-
-    for r in queries.select("query_id", "qvec").toLocalIterator():
-        held.append(r)
-        size += 8 * len(r["qvec"] or ())
-        if size >= most:
-            out = block() if out is None else out.unionByName(block())
-            held, size = [], 0
-    if held or out is None:
-        out = block() if out is None else out.unionByName(block())
-    w = Window.partitionBy("query_id").orderBy(F.col("cosine").desc(), "vec_id")
-    return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
-
 def resolved(
     names: DataFrame, aliases: DataFrame, candidates: DataFrame, embedded: DataFrame | None = None,
     accept: float = ACCEPT, review: float = REVIEW, embedding: float = EMBEDDING, fallback: float = FALLBACK,

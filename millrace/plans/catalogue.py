@@ -17,7 +17,7 @@ from ..functions import html as P
 from ..functions import outline as O
 from ..functions import text as X
 from ..functions import url as U
-from ..operators import chunking, enrichment, extraction, freshness, metrics, queues, records, repositories, resolution, storage
+from ..operators import chunking, enrichment, extraction, freshness, metrics, queues, records, repositories, resolution, storage, vectors
 from ..schemas import CONTENT, RECORD_TYPES, violations
 from ..shared import numbered, shared_dir
 from ..sources import crawlers, web
@@ -623,7 +623,7 @@ def upsert_latest(spark, d):
 def get_record(spark, d):
     """A stored record by its key, read from the one part it can be in."""
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
-    t = storage.Table(spark, shared_dir(spark, "orders"), o.schema, ["o_orderkey"], ["o_custkey"], 4)
+    t = storage.Table(spark, shared_dir(spark, "orders"), o.schema, ["o_orderkey"], ["o_custkey"], 4_000)
     t.put(o)
     return t.get(o_orderkey=o.agg(F.max("o_orderkey")).first()[0])
 
@@ -725,24 +725,30 @@ def cosine_pairs(spark, d):
     return a.join(b, c("b") == c("a") + 1).select("a", "b", (F.round(H.cosine(c("x"), c("y")), 6) + 0.0).alias("cosine"))
 
 
-def _nearest(spark, d, k: int) -> DataFrame:
+def _nearest(spark, d, k: int, exact: bool = True) -> DataFrame:
     e = table(spark, d, "embeddings")
-    return resolution.nearest(e.where("vec_id % 100 = 0").select(c("vec_id").alias("query_id"), c("embedding").alias("qvec")), e.select("vec_id", c("embedding").alias("vec")), k)
+    return vectors.nearest(e.where("vec_id % 100 = 0").select(c("vec_id").alias("query_id"), c("embedding").alias("qvec")), e.select("vec_id", c("embedding").alias("vec")), k, exact=exact)
 
 
-TOP = f"SELECT q.vec_id AS query_id, v.vec_id, list_cosine_similarity(q.{_VEC}, v.{_VEC}) AS cosine, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_cosine_similarity(q.{_VEC}, v.{_VEC}) DESC, v.vec_id) AS rank FROM embeddings q, embeddings v WHERE q.vec_id % 100 = 0"
+TOP = f"SELECT q.vec_id AS query_id, v.vec_id, list_cosine_similarity(q.{_VEC}, v.{_VEC}) AS cosine, row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(q.{_VEC}, v.{_VEC}), 12) DESC, v.vec_id) AS rank FROM embeddings q, embeddings v WHERE q.vec_id % 100 = 0"
 
 
-@query(f"SELECT query_id, CAST(rank AS INTEGER) AS rank, round(cosine, 6) AS cosine FROM ({TOP}) WHERE rank <= 5")
+@query(f"SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, round(cosine, 6) AS cosine FROM ({TOP}) WHERE rank <= 5")
 def embed_topk(spark, d):
     """The queries are the vectors whose id is divisible by 100, against all vectors."""
-    return _nearest(spark, d, 5).select("query_id", "rank", (F.round("cosine", 6) + 0.0).alias("cosine"))
+    return _nearest(spark, d, 5).select("query_id", "rank", "vec_id", (F.round("cosine", 6) + 0.0).alias("cosine"))
 
 
-@query(f"SELECT query_id, round(cosine, 6) AS cosine, cosine >= 0.85 AS accepted FROM ({TOP.replace('% 100 = 0', '% 100 = 0 AND v.vec_id <> q.vec_id')}) WHERE rank = 1")
+@query()
+def embed_index(spark, d):
+    """As ``embed_topk``, but each query looks only into the cells nearest to it."""
+    return _nearest(spark, d, 5, exact=False).select("query_id", "rank", "vec_id", (F.round("cosine", 6) + 0.0).alias("cosine"))
+
+
+@query(f"SELECT query_id, vec_id, round(cosine, 6) AS cosine, cosine >= 0.85 AS accepted FROM ({TOP.replace('% 100 = 0', '% 100 = 0 AND v.vec_id <> q.vec_id')}) WHERE rank = 1")
 def embed_resolve(spark, d):
-    best = _nearest(spark, d, 2).where("vec_id <> query_id").groupBy("query_id").agg(F.max("cosine").alias("cosine"))
-    return best.select("query_id", (F.round("cosine", 6) + 0.0).alias("cosine"), (c("cosine") >= resolution.EMBEDDING).alias("accepted"))
+    best = _nearest(spark, d, 2).where("vec_id <> query_id").groupBy("query_id").agg(F.min_by(F.struct("vec_id", "cosine"), "rank").alias("b"))
+    return best.select("query_id", "b.vec_id", (F.round("b.cosine", 6) + 0.0).alias("cosine"), (c("b.cosine") >= resolution.EMBEDDING).alias("accepted"))
 
 
 # ------------------------------------------------------------------ replies and prompts

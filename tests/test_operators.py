@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import random
 import sys
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 sys.path.insert(0, str(Path(__file__).parents[1]))
 from millrace.functions import outline  # noqa: E402
-from millrace.operators import enrichment, extraction, freshness, metrics, queues, records, resolution, storage  # noqa: E402
+from millrace.operators import enrichment, extraction, freshness, metrics, queues, records, resolution, storage, vectors  # noqa: E402
 from millrace.plans import catalogue, crawl  # noqa: E402
 from millrace.schemas import TABLES  # noqa: E402
 from millrace.sources import web  # noqa: E402
@@ -40,21 +42,72 @@ def test_upsert_is_idempotent(spark):
     assert sorted(map(tuple, storage.upsert(one, new, ["k"], ["t"]).collect())) == sorted(map(tuple, one.collect()))
 
 
+def data_files(path):
+    return {x: x.stat().st_size for x in (path / "data").rglob("*.parquet")}
+
+
 def test_stored_table_keeps_what_it_does_not_touch(spark, tmp_path):
     rows = spark.createDataFrame([(i, "a", 1) for i in range(200)], "k long, v string, t int")
     t = storage.Table(spark, str(tmp_path / "t"), rows.schema, ["k"], ["t"], 16)
     assert t.read().count() == 0 and t.get(k=3).count() == 0
     t.put(rows)
-    t.put(spark.createDataFrame([(7, "b", 2), (300, "c", 1), (None, "n", 1)], rows.schema))
+    parts = t._known()["parts"]
+    assert sum(p["rows"] for p in parts.values()) == 200 and all(p["rows"] <= 32 for p in parts.values())
+    t.put(spark.createDataFrame([(7, "b", 2), (300, "c", 1), (None, "n", 1), (7, "a", 1)], rows.schema))
     t.put(spark.createDataFrame([(7, "old", 1)], rows.schema))
     again = storage.Table(spark, str(tmp_path / "t"), rows.schema, ["k"], ["t"], 16)
     assert again.read().count() == 202 and again.get(k=7).first()["v"] == "b" and again.get(k=None).first()["v"] == "n" and again.get(v="c").first()["k"] == 300
-    assert len([x for x in (tmp_path / "t" / "v=0000000003").iterdir() if x.name.startswith("part=")]) == 1
+    assert again._known()["parts"] == parts and len(again._known()["deltas"]) == 2
     again.put(spark.createDataFrame([(7, "z", 3)], rows.schema), 3)  # the same number again
     assert storage.latest_version(spark, str(tmp_path / "t")) == 3 and again.get(k=7).first()["v"] == "z"
-    (tmp_path / "t" / "v=0000000009" / "part=0").mkdir(parents=True)  # not written whole
-    assert again.read().count() == 202
-    assert again.tidy(0) >= 1 and again.tidy(0) == 0 and again.read().count() == 202
+    assert again.tidy(0) == 0 and storage.versions(spark, again.path) == [3] and again.read().count() == 202
+
+
+def test_stored_table_equals_a_dictionary_over_many_puts(spark, tmp_path, monkeypatch):
+    """Deltas are joined and merged, parts split at different depths; every version reads like what was put."""
+    monkeypatch.setattr(storage, "DELTAS", 2)
+    t = storage.Table(spark, str(tmp_path / "t"), T.StructType.fromDDL("k long, part string, t int"), ["k", "part"], ["t"], 40)
+    r, want = random.Random(5), {}
+    for n in range(9):
+        rows = [(r.choice([None, *range(150)]), r.choice(["x", None]), r.randint(0, 3)) for _ in range(r.choice([5, 80]))]
+        t.put(spark.createDataFrame(rows, t.schema))
+        for row in rows:
+            if row[:2] not in want or row[2] >= want[row[:2]]:
+                want[row[:2]] = row[2]
+        got = [tuple(x) for x in t.read().collect()]
+        assert len(got) == len(want) and {x[:2]: x[2] for x in got} == want
+    names = sorted(t._known()["parts"])
+    assert len(names) > 2 and all(not b.startswith(a) for a, b in zip(names, names[1:]))
+    assert len(storage.versions(spark, t.path)) == 1 + storage.KEEP
+
+
+def test_a_small_put_writes_little_and_leaves_the_parts_alone(spark, tmp_path):
+    rows = spark.range(200_000).selectExpr("id as k", "sha2(string(id), 256) as v", "1 as t")
+    t = storage.Table(spark, str(tmp_path / "t"), rows.schema, ["k"], ["t"], 20_000)
+    t.put(rows)
+    before, parts = data_files(tmp_path / "t"), t._known()["parts"]
+    t.put(spark.range(0, 200_000, 1000).selectExpr("id as k", "'new' as v", "2 as t"))
+    new = {f: n for f, n in data_files(tmp_path / "t").items() if f not in before}
+    assert sum(new.values()) < 0.01 * sum(before.values()) and t._known()["parts"] == parts and len(parts) >= 10
+    assert t.read().where("v = 'new'").count() == 200 and t.read().count() == 200_000
+    looked = {f.split("/data/")[1] for f in t.get(k=5000).inputFiles()}
+    assert t.get(k=5000).first()["v"] == "new" and len({f.split("/")[1] for f in looked if "__part=" in f}) == 1
+
+
+def test_a_put_that_ends_early_leaves_the_table(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([(i, 1) for i in range(30)], "k long, t int")
+    t = storage.Table(spark, str(tmp_path / "t"), rows.schema, ["k"], ["t"], 8)
+    t.put(rows)
+
+    def killed(self, number, known):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m, pytest.raises(KeyboardInterrupt):
+        m.setattr(storage.Table, "_commit", killed)
+        t.put(spark.createDataFrame([(i, 2) for i in range(30)], rows.schema))
+    assert t.read().agg(F.sum("t")).first()[0] == 30 and storage.latest_version(spark, t.path) == 1
+    t.put(spark.createDataFrame([(1, 2)], rows.schema))  # also clears away what the killed run wrote
+    assert t.read().agg(F.sum("t")).first()[0] == 31
 
 
 def test_stream_upsert_goes_on_after_a_restart(spark, tmp_path):
@@ -178,7 +231,7 @@ def test_crawl_stores_fresh_records_once_and_again(spark, tmp_path):
         got = {r["table"]: r["n"] for r in crawl.store(spark, pages, str(tmp_path), F.lit("2024-01-30 12:00:00").cast("timestamp")).collect()}
         assert got == want
     assert storage.latest_version(spark, str(tmp_path / "news")) == 2
-    assert [r["canonical_name"] for r in spark.read.parquet(str(tmp_path / "startups" / "v=0000000002" / "part=*")).collect()] == ["acme"]
+    assert [r["canonical_name"] for r in storage.Table(spark, str(tmp_path / "startups"), T.StructType.fromDDL(TABLES["startups"]), ["id"], ["id"]).read().collect()] == ["acme"]
 
 
 def test_queue_log(spark):
@@ -404,9 +457,33 @@ def test_nearest_against_all_pairs(spark):
     want = set()
     for q in [i for i in unit if i % 7 == 0]:
         best = sorted(unit, key=lambda i: (-round(float(unit[q] @ unit[i]), 12), i))[:3]
-        want |= {(q, round(float(unit[q] @ unit[i]), 9)) for i in best}
-    for most in (1 << 20, 40):  # one block, and a block for every query
-        assert {(x["query_id"], round(x["cosine"], 9)) for x in resolution.nearest(queries, store, 3, most).collect()} == want
+        want |= {(q, i, round(float(unit[q] @ unit[i]), 9)) for i in best}
+    for cells, together in ((None, 20_000), (1, 7), (9, 2)):  # parts of cells on both sides
+        found = vectors.Index.of(store, cells=cells, together=together).search(queries, 3, exact=True).collect()
+        assert {(x["query_id"], x["vec_id"], round(x["cosine"], 9)) for x in found} == want
+
+
+def test_index_recall_and_share_of_the_rows_it_looks_at(spark):
+    """Against the exact search on the largest test table that there is; the share of rows looked at is half of the cells."""
+    import numpy as np
+
+    d = next((x for x in ("/root/testdata/sf0.1", "/root/testdata/sf0.01", "/root/testdata/sf0.001") if Path(x).exists()), None)
+    if d is None:
+        pytest.skip("no test tables")
+    e = spark.read.parquet(f"{d}/embeddings.parquet")
+    store, queries = e.selectExpr("vec_id", "embedding as vec"), e.where("vec_id % 20 = 0").selectExpr("vec_id as query_id", "embedding as qvec")
+    index = vectors.Index.of(store)
+    exact, found = ({(r["query_id"], r["vec_id"]) for r in index.search(queries, 5, exact=x).collect()} for x in (True, False))
+    assert len(exact & found) / len(exact) >= 0.9
+    assert int(index.sizes.sum()) == store.count() and len(index.middles) == int(np.sqrt(store.count()))
+
+
+def test_index_of_nothing_and_of_equal_vectors(spark):
+    none = spark.createDataFrame([], "vec_id long, vec array<double>")
+    queries = spark.createDataFrame([(1, [1.0, 0.0])], "query_id long, qvec array<double>")
+    assert vectors.nearest(queries, none).count() == 0
+    same = spark.range(50).selectExpr("id as vec_id", "array(1d, 1d) as vec")
+    assert [r["vec_id"] for r in vectors.Index.of(same, together=6).search(queries, 3).orderBy("rank").collect()] == [0, 1, 2]
 
 
 def test_rows_are_numbered_without_one_task(spark):
