@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyarrow import fs as stores
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +21,8 @@ from ..functions.hashing import parsed_reply
 from ..functions.text import CHARS_PER_TOKEN
 from ..retry import HTTP, Retry
 from ..schemas import CONTENT, violations
+from ..shared import kept
+from .storage import Table
 
 ASK = {
     "STARTUP": "Name the company and say what it does, where, since when and with how many people.",
@@ -85,8 +92,6 @@ class Echo:
     name = "echo"
 
     def answer(self, prompts: list[str]) -> list[str | None]:
-        import json
-
         return [json.dumps({"title": (p.split("Text:\n", 1)[-1].strip().splitlines() or [""])[0][:80], "body": p.split("Text:\n", 1)[-1]}) for p in prompts]
 
 
@@ -138,8 +143,6 @@ class ChatService:
 
     def chat(self, messages: list[dict[str, str]], temperature: float = 0.0) -> str:
         """The reply to a conversation; an error of its own name after the last attempt."""
-        import json
-
         body = {"model": self.model, "messages": messages, "temperature": temperature, "max_tokens": self.output_tokens}
         status, headers, text = self.post(f"{self.url}/chat/completions", {"Authorization": f"Bearer {self.key}"}, body, self.timeout)
         if status == 429:
@@ -164,26 +167,117 @@ class ChatService:
         return [self.one(p) for p in prompts]
 
 
-def answers(rows: DataFrame, prompts: str, providers: list[Provider]) -> DataFrame:
+_REPLY = T.StructType([T.StructField(c, T.StringType()) for c in ("provider", "reply", "error")])
+
+
+def _asked(prompts: list[str], providers: list[Provider]) -> list[dict]:
+    """The first provider of the chain that answers each prompt; the last error if none does."""
+    out: list[dict] = [{"provider": None, "reply": None, "error": None} for _ in prompts]
+    for p in providers:
+        left = [i for i, o in enumerate(out) if o["reply"] is None]
+        if not left:
+            break
+        for i, reply in zip(left, p.answer([prompts[i] for i in left]), strict=True):
+            if reply is None or reply.startswith("!"):
+                out[i]["error"] = (reply or "!no answer")[1:]
+            else:
+                out[i] = {"provider": p.name, "reply": reply, "error": None}
+    return out
+
+
+def answers(rows: DataFrame, prompts: str, providers: list[Provider], replies: "Replies | None" = None) -> DataFrame:
     """Adds ``provider``, ``reply`` and ``error``: the first provider of the chain that answers; the last
-    error if none does."""
+    error if none does.  With ``replies`` each distinct prompt is asked once, whatever is run again."""
+    if replies is not None:
+        return replies.answered(rows, prompts, providers)
 
     def run(x: pd.Series) -> pd.DataFrame:
-        out = [{"provider": None, "reply": None, "error": None} for _ in x]
-        for p in providers:
-            left = [i for i, o in enumerate(out) if o["reply"] is None]
-            if not left:
-                break
-            for i, reply in zip(left, p.answer([x.iloc[i] for i in left]), strict=True):
-                if reply is None or reply.startswith("!"):
-                    out[i]["error"] = (reply or "!no answer")[1:]
-                else:
-                    out[i] = {"provider": p.name, "reply": reply, "error": None}
-        return pd.DataFrame(out, columns=["provider", "reply", "error"])
+        return pd.DataFrame(_asked(list(x), providers), columns=_REPLY.names)
 
     run.__annotations__ = {"x": pd.Series, "return": pd.DataFrame}
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("provider", "reply", "error")])
-    return rows.withColumn("a", F.pandas_udf(run, schema).asNondeterministic()(F.col(prompts))).select("*", "a.*").drop("a")
+    return rows.withColumn("a", F.pandas_udf(run, _REPLY).asNondeterministic()(F.col(prompts))).select("*", "a.*").drop("a")
+
+
+@dataclass
+class Replies:
+    """Replies kept by the hash of prompt, models and temperature, so that a prompt is asked, and paid for, once.
+
+    A task sends its prompts in groups of ``together`` and, after each group, gives what was answered to a ledger: a folder where one file
+    appears under its final name at once, named by the group's hash.  A task that runs again, or beside itself, finds the groups that are in the
+    ledger and asks only for the others; a group that was under way when a task ended is asked again, no more than that.  When all tasks
+    are through, the ledger is put into a stored table by key, against which later runs join before anything is asked, and is emptied.  Errors are not
+    kept: they are asked again by the next run.
+
+    ``path`` is in a folder that all executors share: a path, or an address of a store that Arrow's file systems reach."""
+
+    spark: SparkSession
+    path: str
+    temperature: float = 0.0
+    together: int = 16
+
+    @property
+    def table(self) -> Table:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in ("key", "provider", "reply")])
+        return Table(self.spark, f"{self.path}/table", schema, ["key"], ["provider"])
+
+    def _ledger(self) -> str:
+        return f"{self.path if '://' in self.path else 'file://' + self.path.removeprefix('file:')}/ledger"
+
+    def key(self, prompt: Column, providers: list[Provider]) -> Column:
+        models = json.dumps([[p.name, getattr(p, "model", "")] for p in providers])
+        return F.sha2(F.concat_ws("\x1f", F.lit(models), F.lit(str(self.temperature)), prompt), 256)
+
+    def _settle(self) -> None:
+        """What finished groups of earlier runs left in the ledger goes into the table."""
+        store, folder = stores.FileSystem.from_uri(self._ledger())
+        found = sorted(f.path for f in store.get_file_info(stores.FileSelector(folder, allow_not_found=True)) if f.path.endswith(".json"))
+        if found:
+            root = self._ledger()
+            self.table.put(self.spark.read.schema(self.table.schema).json([f"{root}/{f.rsplit('/', 1)[1]}" for f in found]))
+            for f in found:
+                store.delete_file(f)
+
+    def answered(self, rows: DataFrame, prompts: str, providers: list[Provider]) -> DataFrame:
+        self._settle()
+        store, folder = stores.FileSystem.from_uri(self._ledger())
+        store.create_dir(folder)
+        keyed = kept(rows.withColumn("__key", F.when(F.col(prompts).isNotNull(), self.key(F.col(prompts), providers))), "prompts")
+        open_ = keyed.where("__key is not null").groupBy(F.col("__key").alias("key")).agg(F.first(prompts).alias("prompt")).join(self.table.read(), "key", "left_anti")
+        # Written, so that the groups of a task are the same when it runs again.
+        open_ = kept(open_.repartition(_parts(self.spark), "key").sortWithinPartitions("key"), "asked")
+        made = kept(open_.mapInArrow(_through(self._ledger(), self.together, providers), "key string, provider string, reply string, error string"), "replies")
+        self._settle()
+        known = self.table.read().withColumn("error", F.lit(None).cast("string")).unionByName(made.where("reply is null"))
+        return keyed.join(known.withColumnRenamed("key", "__key"), "__key", "left").drop("__key")
+
+
+def _parts(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _through(ledger: str, together: int, providers: list[Provider]):
+    def run(batches):
+        store, folder = stores.FileSystem.from_uri(ledger)
+        for batch in batches:
+            keys, prompts = batch.column("key").to_pylist(), batch.column("prompt").to_pylist()
+            for a in range(0, len(keys), together):
+                group = keys[a : a + together]
+                name = f"{folder}/{hashlib.sha256(','.join(group).encode()).hexdigest()}.json"
+                if store.get_file_info(name).type != stores.FileType.NotFound:
+                    with store.open_input_stream(name) as f:
+                        said = [json.loads(x) for x in f.read().decode().splitlines()]
+                else:
+                    said = [{"key": k, **r} for k, r in zip(group, _asked(prompts[a : a + together], providers), strict=True)]
+                    good = [json.dumps({c: r[c] for c in ("key", "provider", "reply")}) for r in said if r["reply"] is not None]
+                    made = f"{folder}/.{uuid.uuid4().hex}"
+                    with store.open_output_stream(made) as f:
+                        f.write("\n".join(good).encode())
+                    store.move(made, name)
+                have = {r["key"]: r for r in said}
+                out = [have.get(k, {}) for k in group]
+                yield pa.record_batch({"key": pa.array(group), **{c: pa.array([r.get(c) for r in out], pa.string()) for c in ("provider", "reply", "error")}})
+
+    return run
 
 
 def validated(rows: DataFrame, reply: str, record_type: str) -> DataFrame:

@@ -39,7 +39,7 @@ def extract(spark: SparkSession, out: str, record_type: str, providers: list[ext
     texts = pages.select("url", F.concat_ws("\n", "page.title", "page.main").alias("text")).where("text <> ''")
     pieces = chunking.chunked(texts, "url", "text", settings.chunk_tokens, settings.chunk_overlap_tokens)
     asked = pieces.withColumn("prompt", extraction.prompt(F.lit(record_type), F.col("chunk"), template))
-    found = extraction.validated(extraction.answers(asked, "prompt", providers).drop("prompt", "chunk"), "reply", record_type)
+    found = extraction.validated(extraction.answers(asked, "prompt", providers, extraction.Replies(spark, f"{out}/replies")).drop("prompt", "chunk"), "reply", record_type)
     good, dead = extraction.settled(found)
     names = [f.strip().split(" ")[0] for f in CONTENT[record_type].split(", ")]
     kinds = dict(f.strip().split(" ") for f in CONTENT[record_type].split(", "))
