@@ -19,10 +19,18 @@ def _source(spark: SparkSession, d: str, name: str) -> DataFrame:
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(d)  # a stream reads folders, not single files
 
 
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
 def _run(stream: DataFrame, out: str) -> DataFrame:
     spark = stream.sparkSession
-    q = stream.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start()
-    q.awaitTermination()
+    before = spark.conf.get(_STORE)
+    spark.conf.set(_STORE, operators.ROCKS)  # read when the stream starts
+    try:
+        q = stream.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start()
+        q.awaitTermination()
+    finally:
+        spark.conf.set(_STORE, before)
     return spark.read.schema(stream.schema).parquet(f"{out}/rows")
 
 
@@ -32,9 +40,10 @@ def first_seen_events(spark: SparkSession, d: str) -> DataFrame:
     return _run(operators.first_seen(rows, F.col("body"), "ts").select("content_hash"), shared_dir(spark, "stream"))
 
 
-def marked_events(spark: SparkSession, d: str) -> DataFrame:
+def marked_events(spark: SparkSession, d: str, out: str | None = None) -> DataFrame:
+    """With the same ``out``, a later run reads only what is new and knows what was seen."""
     rows = _source(spark, d, "events").select("event_id", F.col("props").alias("body"), F.col("ts").cast("timestamp").alias("ts"))
-    return _run(operators.marked(rows, F.col("body"), "ts", ["event_id"]).select("event_id", "is_first"), shared_dir(spark, "stream"))
+    return _run(operators.marked(rows, F.col("body"), "ts", ["event_id"]).select("event_id", "is_first"), out or shared_dir(spark, "stream"))
 
 
 def fresh_events(spark: SparkSession, d: str, as_of: Column) -> DataFrame:
