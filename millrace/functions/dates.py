@@ -6,7 +6,7 @@ import calendar
 import re
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,14 +96,17 @@ def _lenient(texts: pd.Series, base: pd.Series) -> pd.Series:
     return pd.Series([None if xs is None else [None if x is None else one(x, day) for x in xs] for xs, day in zip(texts, days, strict=True)], dtype=object)
 
 
-def read_all(texts: Column, as_of: Column) -> Column:
-    """The whole cascade for each text of an array, as structs of ``ts`` and ``confidence``; the lenient parser takes
-    missing parts from the day of ``as_of`` and sees only what the other steps leave null."""
-    early = F.transform(texts, lambda x: cascade(x, as_of))
-    rest = F.zip_with(texts, early, lambda x, e: F.when(e["ts"].isNull() & (F.trim(x) != ""), F.trim(x)))
-    late = _lenient(F.when(F.exists(rest, lambda x: x.isNotNull()), rest), as_of)
-    read = F.zip_with(early, late, lambda e, t: F.when(t.isNull(), e).otherwise(_found(t, FUZZY)))
-    return F.when(late.isNull(), early).otherwise(read)
+def with_read(rows: DataFrame, texts: Column, as_of: Column, name: str) -> DataFrame:
+    """Adds ``name``: the whole cascade for each text of an array, as structs of ``ts`` and ``confidence``; the lenient parser takes
+    missing parts from the day of ``as_of`` and sees only what the other steps leave null.
+
+    What the first steps read becomes a column of its own, which is used by its name, so the plan holds the cascade once."""
+    rows = rows.withColumn("__texts", texts).withColumn("__early", F.transform("__texts", lambda x: cascade(x, as_of)))
+    rest = F.zip_with("__texts", "__early", lambda x, e: F.when(e["ts"].isNull() & (F.trim(x) != ""), F.trim(x)))
+    rows = rows.withColumn("__rest", rest)
+    rows = rows.withColumn("__late", _lenient(F.when(F.exists("__rest", lambda x: x.isNotNull()), F.col("__rest")), as_of))
+    read = F.zip_with("__early", "__late", lambda e, t: F.when(t.isNull(), e).otherwise(_found(t, FUZZY)))
+    return rows.withColumn(name, F.when(F.col("__late").isNull(), F.col("__early")).otherwise(read)).drop("__texts", "__early", "__rest", "__late")
 
 
 def _found(ts: Column, confidence: float) -> Column:

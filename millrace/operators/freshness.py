@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.dates import is_fresh, read_all
+from ..functions.dates import is_fresh, with_read
+from ..shared import shared_dir
 
 # Sources that add to a date's confidence, and the confidence of undated records.
 RELIABLE = ["json_ld", "meta", "time_element"]
@@ -17,14 +19,10 @@ def confidence(date_confidence: Column, source: Column) -> Column:
     return F.round(F.when(source.isin(RELIABLE), raised).otherwise(date_confidence), 4)
 
 
-def published_date(content: Column, provenance: Column, as_of: Column) -> Column:
-    """When a record was published: by its content, else by its provenance.  Dates may be timestamps or texts."""
-
-    def read(x: Column) -> Column:
-        text = x.cast("string")
-        return F.get(read_all(F.array(text), as_of), F.lit(0))["ts"]
-
-    return F.coalesce(read(content), read(provenance))
+def with_published_date(rows: DataFrame, content: Column, provenance: Column, as_of: Column, name: str) -> DataFrame:
+    """Adds ``name``: when a record was published, by its content, else by its provenance.  Dates may be timestamps or texts."""
+    rows = with_read(rows, F.array(content.cast("string"), provenance.cast("string")), as_of, "__said")
+    return rows.withColumn(name, F.coalesce(F.col("__said")[0]["ts"], F.col("__said")[1]["ts"])).drop("__said")
 
 
 def body_hash(body: Column) -> Column:
@@ -57,8 +55,11 @@ def annotated(
 
 
 def split(annotated_records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Fresh and stale records."""
-    return annotated_records.where("is_fresh"), annotated_records.where("not is_fresh")
+    """Fresh and stale records: judged once, written in two folders, of which each side reads its own."""
+    place = shared_dir(annotated_records.sparkSession, "split")
+    annotated_records.withColumn("__side", F.col("is_fresh")).write.partitionBy("__side").parquet(place)
+    rows = annotated_records.sparkSession.read.schema(T.StructType([*annotated_records.schema.fields, T.StructField("__side", T.BooleanType())])).parquet(place)
+    return rows.where("__side").drop("__side"), rows.where("not __side").drop("__side")
 
 
 def fresh_only(annotated_records: DataFrame, record_type: str | None = None) -> DataFrame:
@@ -68,6 +69,5 @@ def fresh_only(annotated_records: DataFrame, record_type: str | None = None) ->
 
 
 def first_seen(rows: DataFrame, value: Column, order: list[str]) -> DataFrame:
-    """The first row of each value."""
-    w = Window.partitionBy(value).orderBy(*order)
-    return rows.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    """The first row of each value: a minimum, summed up before rows are sent, so a value that many rows have gathers in no task."""
+    return rows.groupBy(value.alias("__value")).agg(F.min_by(F.struct(*rows.columns), F.struct(*order)).alias("__row")).select("__row.*")

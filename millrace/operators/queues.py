@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import QUEUES
+from ..shared import shared_dir
 
 #: Operations of the log.
 ENQUEUE, DEQUEUE, COMPLETE, FAIL, REQUEUE = "enqueue", "dequeue", "complete", "fail", "requeue"
@@ -24,9 +26,12 @@ def queue_of(step: Column, record_type: Column) -> Column:
 
 
 def queues_of(jobs: DataFrame, step: Column, record_type: Column) -> dict[str, DataFrame]:
-    """Every queue by name, each with its jobs."""
-    rows = jobs.withColumn("queue", queue_of(step, record_type))
-    return {q: rows.where(F.col("queue") == q) for q in QUEUES}
+    """Every queue by name, each with its jobs: dealt in one pass into a folder for each queue, of which a queue reads its own."""
+    place = shared_dir(jobs.sparkSession, "queues")
+    jobs.withColumn("__queue", queue_of(step, record_type)).withColumn("queue", F.col("__queue")).write.partitionBy("__queue").parquet(place)
+    schema = T.StructType([*jobs.schema.fields, T.StructField("queue", T.StringType()), T.StructField("__queue", T.StringType())])
+    rows = jobs.sparkSession.read.schema(schema).parquet(place)
+    return {q: rows.where(F.col("__queue") == q).drop("__queue") for q in QUEUES}
 
 
 def jobs(log: DataFrame) -> DataFrame:

@@ -40,11 +40,11 @@ def paper_date(x: Column) -> Column:
     return F.coalesce(*[F.try_to_timestamp(shown, F.lit(f)) for f in PAPER_DATES])
 
 
-def best_date(dates: Column, as_of: Column) -> Column:
-    """Struct of ``ts``, ``confidence`` and ``source``: of the dates that can be read the surest, then the first."""
-    said = D.read_all(F.transform(dates, lambda d: d["value"]), as_of)
-    read = F.transform(F.arrays_zip(dates.alias("date"), said.alias("said")), lambda x, i: F.struct((-x["date"]["confidence"]).alias("order"), i.alias("i"), x["said"]["ts"].alias("ts"), x["date"]["confidence"].alias("confidence"), x["date"]["source"].alias("source")))
-    return F.array_min(F.filter(read, lambda d: d["ts"].isNotNull()))
+def with_best_date(rows: DataFrame, dates: Column, as_of: Column, name: str = "__date") -> DataFrame:
+    """Adds ``name``, a struct of ``ts``, ``confidence`` and ``source``: of the dates that can be read the surest, then the first."""
+    rows = D.with_read(rows.withColumn("__dates", dates), F.transform("__dates", lambda d: d["value"]), as_of, "__said")
+    read = F.transform(F.arrays_zip(F.col("__dates").alias("date"), F.col("__said").alias("said")), lambda x, i: F.struct((-x["date"]["confidence"]).alias("order"), i.alias("i"), x["said"]["ts"].alias("ts"), x["date"]["confidence"].alias("confidence"), x["date"]["source"].alias("source")))
+    return rows.withColumn(name, F.array_min(F.filter(read, lambda d: d["ts"].isNotNull()))).drop("__dates", "__said")
 
 
 def _kept(pages: DataFrame, record_type: str, name: str, fields: dict[str, Column], source_url: Column | None = None, date: Column | None = None) -> DataFrame:
@@ -81,12 +81,12 @@ def job_content(p: Column) -> dict[str, Column]:
 
 
 def news(pages: DataFrame, as_of: Column) -> DataFrame:
-    pages = pages.withColumn("__date", best_date(F.col("page")["dates"], as_of))
+    pages = with_best_date(pages, F.col("page")["dates"], as_of)
     return _kept(pages, "NEWS", "title", {**news_content(F.col("page")), "published_date": F.col("__date")["ts"]}, date=F.col("__date"))
 
 
 def jobs(pages: DataFrame, as_of: Column) -> DataFrame:
-    pages = pages.withColumn("__date", best_date(F.col("page")["dates"], as_of))
+    pages = with_best_date(pages, F.col("page")["dates"], as_of)
     return _kept(pages, "JOB", "role", {**job_content(F.col("page")), "date": F.col("__date")["ts"]}, date=F.col("__date"))
 
 

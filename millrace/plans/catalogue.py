@@ -181,11 +181,13 @@ def split_paragraphs(spark, d):
     return table(spark, d, "documents").select("doc_id", X.paragraphs(marked).alias("parts"))
 
 
-@query("SELECT doc_id, list_transform(list_transform(string_split_regex(text, '\\n\\s*'), lambda p, i: CASE WHEN i > 1 THEN '## ' ELSE '' END || p), lambda p: trim(p, E' \\n\\t\\r')) AS parts FROM documents WHERE NOT regexp_matches(text, '^\\s|\\s$')")
+_ASCII_BLANK, _BLANK = r"[\s\x0b]", r"[\s\x0b\x{85}\p{Z}]"
+
+
+@query(f"SELECT doc_id, list_filter(list_transform(string_split_regex(regexp_replace(text, '{_ASCII_BLANK}+$', ''), '\\n{_ASCII_BLANK}*'), lambda p, i: regexp_replace(CASE WHEN i > 1 THEN '## ' ELSE '' END || p, '^{_BLANK}+|{_BLANK}+$', '', 'g')), lambda p: p <> '') AS parts FROM documents")
 def split_headings(spark, d):
     marked = F.regexp_replace("text", r"\n\s*(?=\S)", "\n## ")
-    whole = table(spark, d, "documents").where(~c("text").rlike(r"^\s|\s$"))  # what blanks at either end make of the first or last heading is a test's business
-    return whole.select("doc_id", X.heading_sections(marked).alias("parts"))
+    return table(spark, d, "documents").select("doc_id", X.heading_sections(marked).alias("parts"))
 
 
 # ------------------------------------------------------------------ classifiers
@@ -298,8 +300,7 @@ def html_meta(spark, d):
 def html_dates(spark, d):
     head = F.concat(F.lit('<html><time datetime="2024-01-'), F.lpad((c("page_id") % 28 + 1).cast("string"), 2, "0"), F.lit('"></time>'), c("html"))
     rows = table(spark, d, "pages").select("page_id", P.page(head, "dates").alias("page"))
-    found = rows.select("page_id", F.posexplode("page.dates").alias("pos", "date")).withColumn("ts", D.cascade(c("date.value"), as_of())["ts"])
-    return found.groupBy("page_id").agg(F.min_by("ts", F.struct(-c("date.confidence"), c("pos"))).cast("timestamp_ntz").alias("published"))
+    return records.with_best_date(rows, c("page.dates"), as_of(), "best").select("page_id", c("best.ts").cast("timestamp_ntz").alias("published"))
 
 
 def _processed(spark, d) -> DataFrame:
@@ -482,7 +483,7 @@ def date_cascade(spark, d):
     """All four steps; what only the lenient parser reads is the date of a mail header."""
     k, day = c("o_orderkey") % 5, c("o_orderdate").cast("date")
     said = F.when(k == 0, F.date_format(day, "yyyy-MM-dd")).when(k == 1, F.date_format(day, "MMMM d, yyyy")).when(k == 2, "3 days ago").when(k == 4, F.date_format(day, "EEE, dd MMM yyyy")).otherwise("soon")
-    rows = table(spark, d, "orders").select("o_orderkey", F.get(D.read_all(F.array(said), as_of()), F.lit(0)).alias("x"))
+    rows = D.with_read(table(spark, d, "orders"), F.array(said), as_of(), "read").select("o_orderkey", c("read")[0].alias("x"))
     return rows.select("o_orderkey", c("x.ts").cast("timestamp_ntz").alias("ts"), c("x.confidence").cast("double").alias("confidence"))
 
 
@@ -526,10 +527,12 @@ def freshness_filter(spark, d):
     return _annotated(spark, d).select("event_id", "is_fresh", c("freshness_confidence").cast("double").alias("freshness_confidence"), "freshness_source")
 
 
-@query(f"SELECT is_fresh, count(*) AS n FROM ({FRESH}) GROUP BY 1")
+@query(f"SELECT event_id, event_type, CASE WHEN is_fresh THEN 'fresh' ELSE 'stale' END AS side FROM ({FRESH})")
 def freshness_split(spark, d):
-    fresh, stale = freshness.split(_annotated(spark, d))
-    return fresh.groupBy("is_fresh").agg(F.count("*").alias("n")).unionByName(stale.groupBy("is_fresh").agg(F.count("*").alias("n")))
+    """Records judged once, each read from the side it was written to."""
+    sides = zip(freshness.split(_annotated(spark, d)), ("fresh", "stale"), strict=True)
+    fresh, stale = (rows.select("event_id", "event_type", F.lit(name).alias("side")) for rows, name in sides)
+    return fresh.unionByName(stale)
 
 
 @query("SELECT min(doc_id) AS doc_id FROM documents GROUP BY sha256(text)")
@@ -554,19 +557,18 @@ def route_records(spark, d):
     return _annotated(spark, d).select("event_id", queues.queue_of(step, kind).alias("queue"), "is_fresh")
 
 
-@query("SELECT count(*) FILTER (WHERE queue LIKE 'crawl:%') AS crawls, count(*) FILTER (WHERE queue = 'deadletter') AS dead, count(*) AS n FROM (SELECT CASE event_type WHEN 'click' THEN 'crawl:news' WHEN 'view' THEN 'crawl:job' WHEN 'purchase' THEN 'crawl:product' WHEN 'signup' THEN 'crawl:startup' ELSE 'deadletter' END AS queue FROM events)")
+@query("SELECT event_id, CASE event_type WHEN 'click' THEN 'crawl:news' WHEN 'view' THEN 'crawl:job' WHEN 'purchase' THEN 'crawl:product' WHEN 'signup' THEN 'crawl:startup' ELSE 'deadletter' END AS queue FROM events")
 def queue_split(spark, d):
-    """Jobs dealt into all ten queues and counted again."""
+    """Jobs dealt into all ten queues in one pass, and read from each."""
     kind = F.lit(None).cast("string")
     for k, v in _KIND.items():
         kind = F.when(c("event_type") == k, v).otherwise(kind)
     dealt = queues.queues_of(table(spark, d, "events").select("event_id", "event_type"), F.lit("crawl"), kind)
     out = None
     for name, rows in dealt.items():
-        one = rows.agg(F.lit(name).alias("queue"), F.count("*").alias("n"))
+        one = rows.select("event_id", F.lit(name).alias("queue"))
         out = one if out is None else out.unionByName(one)
-    n = F.sum("n")
-    return out.agg(F.sum(F.when(F.startswith("queue", F.lit("crawl:")), c("n")).otherwise(0)).alias("crawls"), F.sum(F.when(c("queue") == "deadletter", c("n")).otherwise(0)).alias("dead"), n.alias("n"))
+    return out
 
 
 @query(f"SELECT event_id, event_type FROM ({FRESH}) WHERE is_fresh AND event_type = 'click'")
@@ -581,7 +583,8 @@ def published_date(spark, d):
     day, k = c("o_orderdate").cast("date"), c("o_orderkey") % 3
     mine = F.when(k == 0, F.date_format(day, "MMMM d, yyyy"))
     prov = F.when(k == 0, "1999-01-01").when(k == 1, F.date_format(F.date_sub(day, 1), "yyyy-MM-dd"))
-    return table(spark, d, "orders").select("o_orderkey", freshness.published_date(mine, prov, as_of()).cast("timestamp_ntz").alias("published"))
+    rows = freshness.with_published_date(table(spark, d, "orders"), mine, prov, as_of(), "published")
+    return rows.select("o_orderkey", c("published").cast("timestamp_ntz").alias("published"))
 
 
 #: For each record type its fields in order, when each breaks a rule, and a value that does and one that does not.

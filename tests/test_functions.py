@@ -70,7 +70,8 @@ def test_dates(spark):
     }
     got = values(spark, list(cases), lambda x: dates.cascade(x, F.lit(AS_OF).cast("timestamp")))
     assert {k: (g["ts"], g["confidence"]) for k, g in zip(cases, got)} == cases
-    (fuzzy,) = values(spark, ["on the 5th of March 2023, they said"], lambda x: dates.read_all(F.array(x, F.lit("junk"), F.lit("2 hours ago")), F.lit(AS_OF).cast("timestamp")))
+    said = spark.createDataFrame([("on the 5th of March 2023, they said",)], "x string")
+    fuzzy = dates.with_read(said, F.array("x", F.lit("junk"), F.lit("2 hours ago")), F.lit(AS_OF).cast("timestamp"), "read").first()["read"]
     assert [(x["ts"], x["confidence"]) for x in fuzzy[:2]] == [(d(2023, 3, 5), 0.70), (None, 0.0)] and fuzzy[2]["confidence"] == 0.85
     said = ["1 second ago", "2 weeks  ago", "3y ago", "4 d ago", "5days ago", "6s ago"]
     ago = [x["ts"] and (d(2024, 1, 30) - x["ts"]).total_seconds() for x in values(spark, said, lambda x: F.struct(dates.relative(x, F.lit("2024-01-30").cast("timestamp")).alias("ts")))]

@@ -4,6 +4,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from millrace.functions import dates
 from millrace.operators import records
 
 
@@ -19,9 +20,19 @@ def test_best_date_reads_what_no_format_fits(spark):
         8: [("Tue, 02 Jan 2024 10:00:00 +0200", 0.8, "time")],
     }
     df = spark.createDataFrame(list(cases.items()), "id int, dates array<struct<value:string,confidence:double,source:string>>")
-    best = records.best_date(F.col("dates"), F.lit("2024-01-30 12:00:00").cast("timestamp"))
-    got = {r["id"]: r["d"] and (r["d"]["ts"], r["d"]["source"]) for r in df.select("id", best.alias("d")).collect()}
+    best = records.with_best_date(df, F.col("dates"), F.lit("2024-01-30 12:00:00").cast("timestamp"), "d")
+    got = {r["id"]: r["d"] and (r["d"]["ts"], r["d"]["source"]) for r in best.collect()}
     assert got == {
         1: (datetime(2024, 1, 2, 10), "meta"), 2: (datetime(2024, 1, 5), "time"), 3: (datetime(2024, 3, 7), "meta"), 4: None, 5: None, 6: None,
         7: (datetime(2023, 12, 31), "meta"), 8: (datetime(2024, 1, 2, 8), "time"),
     }
+
+
+def test_the_plan_holds_the_cascade_once(spark):
+    from millrace.plans import catalogue
+
+    one = spark.range(1).select(F.lit("x").alias("s"))
+    alone = one.repartition(1).select(dates.cascade(F.col("s"), F.lit("2024-01-30").cast("timestamp")))._jdf.queryExecution().optimizedPlan().toString().count("RLIKE")
+    for name in ("date_cascade", "published_date"):
+        plan = catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert 0 < plan.count("RLIKE") <= alone <= 42
