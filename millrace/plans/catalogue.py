@@ -20,7 +20,7 @@ from ..functions import url as U
 from ..operators import chunking, enrichment, extraction, freshness, metrics, queues, records, repositories, resolution, storage, vectors
 from ..schemas import CONTENT, RECORD_TYPES, violations
 from ..shared import numbered, shared_dir
-from ..sources import crawlers, web
+from ..sources import crawlers, frontier, web
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -615,6 +615,16 @@ def page_cap(spark, d):
     return storage.capped(table(spark, d, "documents").select("doc_id", "source"), "source", ["doc_id"], 20)
 
 
+@query("SELECT DISTINCT url_hash FROM (SELECT sha256(value) AS url_hash FROM pages JOIN (" + ORACLES["url_normalize"] + ") USING (page_id) WHERE trim(url) <> '')")
+def frontier_new(spark, d):
+    """Addresses of pages, added to a frontier in two overlapping lots: each is in it once."""
+    urls = table(spark, d, "pages").select("page_id", "url")
+    found = frontier.Frontier(spark, shared_dir(spark, "frontier"))
+    found.add(urls.where("page_id % 3 < 2"))
+    found.add(urls.where("page_id % 3 > 0"))
+    return found.addresses().select("url_hash")
+
+
 # ------------------------------------------------------------------ stored tables
 @query("SELECT o_custkey, max_by(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey FROM orders GROUP BY 1")
 def upsert_latest(spark, d):

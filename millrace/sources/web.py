@@ -186,10 +186,16 @@ def listings(spark: SparkSession) -> DataFrame:
 
 def read(spark: SparkSession, urls: list[str], settings, source: str | None = None) -> DataFrame:
     """Pages of some addresses, within the limits of the settings."""
-    register(spark)
-    reader = spark.read.format("webpages").option("urls", "\n".join(urls)).option("max_per_second", settings.requests_per_second)
-    reader = reader.option("max_attempts", settings.max_attempts).option("max_bytes", settings.max_response_bytes).option("timeout", settings.request_timeout)
-    return (reader.option("source", source) if source else reader).load()
+    from .frontier import fetched
+
+    addresses = spark.createDataFrame([(u, source) for u in urls], "url string, source_name string")
+    return fetched(addresses, limits(settings))
+
+
+def limits(settings) -> dict[str, str]:
+    """The settings' limits as options."""
+    named = {"max_per_second": settings.requests_per_second, "max_attempts": settings.max_attempts, "max_bytes": settings.max_response_bytes, "timeout": settings.request_timeout}
+    return {k: str(v) for k, v in named.items()}
 
 
 def rate_slots(requests: DataFrame, url: str, order: list[str], per_second: int = 5) -> DataFrame:
