@@ -676,6 +676,14 @@ def metrics_by_source(spark, d):
     return metrics.by(_metrics(spark, d), "source_name")
 
 
+@query(f"SELECT CASE WHEN source_name IN ('click', 'view', 'purchase', 'error') THEN source_name ELSE 'other' END AS source_name, count(*) AS total, count(*) FILTER (WHERE success) AS succeeded, round(coalesce(sum(duration) FILTER (WHERE success), 0), 4) AS seconds FROM {METRICS} GROUP BY 1")
+def stream_watched(spark, d):
+    """Totals that a stream reports while it runs."""
+    from ..streaming.batch import watched_events
+
+    return watched_events(spark, d).withColumn("seconds", F.round("seconds", 4) + 0.0)
+
+
 @query(f"SELECT domain, {TOTALS} FROM {METRICS} GROUP BY 1")
 def metrics_by_domain(spark, d):
     return metrics.by(_metrics(spark, d), "domain")

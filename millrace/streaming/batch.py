@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.storage import Table
 from ..shared import shared_dir
-from . import operators
+from . import counters, operators
 
 
 def _source(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -63,6 +63,22 @@ def hourly_events(spark: SparkSession, d: str) -> DataFrame:
     return table.read()
 
 
+def watched_events(spark: SparkSession, d: str) -> DataFrame:
+    """Totals of each source as a stream counts them while it writes its rows: the sums of what every batch reported."""
+    sources, out = ["click", "view", "purchase", "error"], shared_dir(spark, "stream")
+    counted = counters.Counters("events", sources)
+    rows = _source(spark, d, "events").select(F.col("event_type").alias("source_name"), (F.col("event_type") != "error").alias("success"), F.col("value").alias("duration"))
+    spark.streams.addListener(counted)
+    try:
+        q = counters.watched(rows, sources, "events").writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start()
+        q.awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)  # reports come after the batch
+    finally:
+        spark.streams.removeListener(counted)
+    found = [(s, x["total"], x["succeeded"], float(x["seconds"])) for s, x in counted.sums[str(q.id)].items()]
+    return spark.createDataFrame(found, "source_name string, total long, succeeded long, seconds double")
+
+
 def upserted_orders(spark: SparkSession, d: str, out: str | None = None) -> DataFrame:
     """The latest order of each customer.  With the same ``out``, a later run reads only what is new and keeps the rest."""
     out = out or shared_dir(spark, "stream")
