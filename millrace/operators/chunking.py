@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,33 +17,56 @@ def _tokens(x: str) -> int:
     return len(x) // CHARS_PER_TOKEN
 
 
-def _packed(pieces: list[str], glue: str, limit: int) -> list[str]:
-    """Greedy: pieces join while the whole stays in the limit."""
-    out, now = [], ""
+#: How texts are cut, and what joins the pieces again while they fit: markdown headings, HTML headings, paragraphs, sentences.
+WAYS = [(r"\n(?=\s*#{1,6}\s+\S)", None), (r"(?i)(?=<h[1-6][\s>])", None), (r"\n{2,}", "\n\n"), (r"(?<=[.!?])\s+", " ")]
+
+
+def _packed(pieces: Iterable[str], glue: str, limit: int) -> Iterator[str]:
+    """Greedy: pieces join while the whole stays in the limit.  Only lengths are added up until a chunk is whole."""
+    held, size = [], 0
     for p in pieces:
-        both = f"{now}{glue}{p}" if now else p
-        if now and _tokens(both) > limit:
-            out.append(now)
-            now = p
+        both = size + len(glue) + len(p)
+        if held and both // CHARS_PER_TOKEN > limit:
+            yield glue.join(held)
+            held, size = [p], len(p)
         else:
-            now = both
-    return [*out, now] if now else out
+            size = both if held else len(p)
+            held.append(p)
+    if held:
+        yield glue.join(held)
 
 
-def split_text(text: str, limit: int) -> list[str]:
-    """Pieces of at most ``limit`` tokens each."""
+def pieces(text: str, limit: int, way: int = 0) -> Iterator[str]:
+    """Pieces of at most ``limit`` tokens each, one after another.  A text is looked at once for each way of cutting."""
     if _tokens(text) <= limit:
-        return [text]
-    ways = [
-        (r"\n(?=\s*#{1,6}\s+\S)", None), (r"(?i)(?=<h[1-6][\s>])", None), (r"\n{2,}", "\n\n"), (r"(?<=[.!?])\s+", " "),
-    ]
-    for pattern, glue in ways:
-        pieces = [p.strip() for p in re.split(pattern, text) if p.strip()]
-        if len(pieces) > 1:
-            whole = [q for p in pieces for q in split_text(p, limit)]
-            return whole if glue is None else _packed(whole, glue, limit)
+        yield text
+        return
+    for i in range(way, len(WAYS)):
+        pattern, glue = WAYS[i]
+        cut = [p.strip() for p in re.split(pattern, text) if p.strip()]
+        if len(cut) > 1:
+            whole = (q for p in cut for q in pieces(p, limit, i))
+            yield from whole if glue is None else _packed(whole, glue, limit)
+            return
     size = limit * CHARS_PER_TOKEN
-    return [text[i : i + size] for i in range(0, len(text), size)]
+    yield from (text[i : i + size] for i in range(0, len(text), size))
+
+
+def split_text(text: str, limit: int) -> list[str]:
+    return list(pieces(text, limit))
+
+
+@F.udtf(returnType="chunk_no int, chunk string")
+class Chunks:
+    """A text's chunks as rows, each with the end of the one before in front; null has none.  Only the chunk that is being made is held beside the text."""
+
+    def eval(self, text: str, limit: int, overlap: int):
+        if text is None:
+            return
+        room, before = limit if _tokens(text) <= limit else limit - overlap, ""
+        for i, own in enumerate(pieces(text, room)):
+            yield i, before + own
+            before = own[-overlap * CHARS_PER_TOKEN :] if overlap else ""
 
 
 def chunks(text: Column, limit: int = 6000, overlap: int = 300) -> Column:
@@ -73,9 +97,14 @@ def reduced(pieces: Column, limit: int, overlap: int = 300) -> Column:
 
 def chunked(docs: DataFrame, key: str, text: str, limit: int = 6000, overlap: int = 300) -> DataFrame:
     """One row per chunk: key, ``chunk_no`` and ``chunk``, which begins with the end of the chunk before."""
-    arrays = docs.select(key, chunks(F.col(text), limit, overlap).alias("cs"))
-    before = F.when(F.col("chunk_no") > 0, F.right(F.element_at("cs", F.col("chunk_no")), F.lit(overlap * CHARS_PER_TOKEN))).otherwise(F.lit(""))
-    return arrays.select(key, "cs", F.posexplode("cs").alias("chunk_no", "own")).select(key, "chunk_no", F.concat(before, "own").alias("chunk"))
+    rows = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"))
+    made = rows.lateralJoin(Chunks(F.col("__text").outer(), F.lit(limit), F.lit(overlap)))
+    return made.select(F.col("__key").alias(key), "chunk_no", "chunk")
+
+
+def register(spark: SparkSession, name: str = "chunks") -> None:
+    """The chunker for SQL: ``SELECT ... FROM docs, LATERAL chunks(text, 6000, 300)``."""
+    spark.udtf.register(name, Chunks)
 
 
 def overlapped(pieces: DataFrame, key: str, order: str, text: str, overlap: int) -> DataFrame:

@@ -14,7 +14,8 @@ from millrace.plans import catalogue
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(DATA).exists(), reason="no test tables")
-LEGAL = set("inc incorporated llc ltd limited corp corporation company co gmbh ag sa srl plc pvt the".split())
+LEGAL = set("inc incorporated corp corporation llc limited ltd co company the group holdings llp plc gmbh sa as".split())
+
 
 
 def common(a: str, b: str) -> int:
@@ -94,34 +95,70 @@ def test_resolution_queries_against_all_pairs(spark):
     assert log == {i: (names[i], *want[i][:3], "STARTUP") for i in names}
 
 
-def test_chunk_query_loses_nothing_and_keeps_its_limits(spark):
-    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
-    rows = chunking.chunked(spark.read.parquet(f"{DATA}/documents.parquet"), "doc_id", "text", 200, 20).collect()
-    asked = {(r["doc_id"], r["chunk_no"]): (r["n_chars"], r["hash"]) for r in catalogue.chunk_documents(spark, DATA).collect()}
-    assert asked == {(r["doc_id"], r["chunk_no"]): (len(r["chunk"]), hashlib.sha256(r["chunk"].encode()).hexdigest()) for r in rows}
-    chunks = {}
-    for r in sorted(rows, key=lambda r: r["chunk_no"]):
-        chunks.setdefault(r["doc_id"], []).append(r["chunk"])
-    assert set(chunks) == {i for i, t in texts.items() if t is not None}
-    for i, own in chunks.items():
-        assert all(len(c) // 4 <= 200 for c in own)
-        if len(texts[i]) // 4 <= 200:
-            assert own == [texts[i]]
+def cut(text: str, room: int) -> list[str]:
+    """The chunks of a text by the rules as they are written down: each way in turn, all pieces first, joined afterwards."""
+    if len(text) // 4 <= room:
+        return [text]
+    marks = {"heading": r"\n(?=\s*#{1,6}\s+\S)", "tag": r"(?i)(?=<h[1-6][\s>])", "paragraph": r"\n{2,}", "sentence": r"(?<=[.!?])\s+"}
+    for kind, mark in marks.items():
+        parts = [p.strip() for p in re.split(mark, text) if p.strip()]
+        if len(parts) < 2:
             continue
-        plain = [own[0]]
-        for c in own[1:]:
-            before = plain[-1][-80:]
-            assert c.startswith(before)
-            plain.append(c[len(before) :])
-        assert re.sub(r"\s", "", "".join(plain)) == re.sub(r"\s", "", texts[i])
+        small = sum((cut(p, room) for p in parts), [])
+        if kind in ("heading", "tag"):
+            return small
+        out = small[:1]
+        for p in small[1:]:
+            whole = out[-1] + ("\n\n" if kind == "paragraph" else " ") + p
+            out = [*out[:-1], whole] if len(whole) // 4 <= room else [*out, p]
+        return out
+    return [text[i : i + 4 * room] for i in range(0, len(text), 4 * room)]
+
+
+def with_ends(own: list[str], chars: int) -> list[str]:
+    return own[:1] + [a[-chars:] + b for a, b in zip(own, own[1:])]
+
+
+def chunks_of(text: str, limit: int, overlap: int) -> list[str]:
+    return with_ends(cut(text, limit if len(text) // 4 <= limit else limit - overlap), 4 * overlap)
+
+
+def test_chunk_query_against_the_rules_written_out(spark):
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    got = {(r["doc_id"], r["chunk_no"]): (r["n_chars"], r["hash"]) for r in catalogue.chunk_documents(spark, DATA).collect()}
+    want = {(i, n): (len(c), hashlib.sha256(c.encode()).hexdigest()) for i, t in texts.items() if t is not None for n, c in enumerate(chunks_of(t, 200, 20))}
+    assert got == want and any(n > 3 for _, n in want)
+
+
+def test_chunks_of_texts_with_every_kind_of_cut(spark):
+    words = "one two three. four five! six seven? " * 6
+    odd = ["", " ", None, "x" * 5000, "# a\n" + words + "\n## b\n" + words, f"<h1>t</h1>{words}<H2 class='x'>u</H2>{words}", "\n\n".join([words] * 5), words * 9, f"{words}\n\n{'y' * 3000}\n\nz", "é. " * 2000]
+    rows = spark.createDataFrame(list(enumerate(odd)), "id int, text string")
+    chunking.register(spark)
+    rows.createOrReplaceTempView("odd_texts")
+    want = [(i, n, c) for i, t in enumerate(odd) if t is not None for n, c in enumerate(chunks_of(t, 60, 7))]
+    assert sorted(map(tuple, spark.sql("SELECT id, chunk_no, chunk FROM odd_texts, LATERAL chunks(text, 60, 7)").collect())) == sorted(want)
+    assert sorted(map(tuple, chunking.chunked(rows, "id", "text", 60, 7).collect())) == sorted(want)
+    assert "".join(split := chunking.split_text("a b. " * 500, 50)) and all(len(c) // 4 <= 50 for c in split)
+
+
+def test_long_texts_take_linear_time():
+    import time
+
+    took = []
+    for n in (20_000, 80_000):
+        text = " ".join(f"word{i % 97}." for i in range(n))
+        began = time.perf_counter()
+        assert sum(1 for _ in chunking.pieces(text, 6000)) > 1
+        took.append(time.perf_counter() - began)
+    assert took[1] < 12 * took[0] + 0.05
 
 
 def test_extraction_query_merges_what_the_chunks_said(spark):
-    rows = chunking.chunked(spark.read.parquet(f"{DATA}/documents.parquet"), "doc_id", "text", 2000, 100).collect()
     said = {}
-    for r in sorted(rows, key=lambda r: r["chunk_no"]):
-        title = (r["chunk"].strip().splitlines() or [""])[0][:80]
-        said.setdefault(r["doc_id"], []).append((title, len(r["chunk"])))
+    for r in spark.read.parquet(f"{DATA}/documents.parquet").collect():
+        for chunk in chunks_of(r["text"], 2000, 100) if r["text"] is not None else []:
+            said.setdefault(r["doc_id"], []).append(((chunk.strip().splitlines() or [""])[0][:80], len(chunk)))
     want = {i: (max((t for t, _ in x), key=len), x[-1][1]) for i, x in said.items()}
     got = {r["doc_id"]: (r["title"], r["body_chars"]) for r in catalogue.extract_records(spark, DATA).collect()}
     assert got == want
