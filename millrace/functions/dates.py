@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import calendar
+import functools
 import re
+from datetime import datetime
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -77,23 +79,27 @@ def relative(s: Column, as_of: Column) -> Column:
     said = F.create_map(*[F.lit(x) for kv in _AGO.items() for x in kv])
     each = F.try_element_at(said, F.concat(gap, F.regexp_extract(s, parts, 3)))
     named = F.when(s == "yesterday", 86400).when(s == "today", 0).when(s == "tomorrow", -86400)
-    seconds = F.coalesce(named.cast("long"), F.regexp_extract(s, parts, 1).try_cast("long") * each)
+    # What does not end in "ago" is told by a look at its end.
+    seconds = F.coalesce(named.cast("long"), F.when(F.endswith(s, F.lit("ago")), F.regexp_extract(s, parts, 1).try_cast("long") * each))
     return F.timestamp_micros(F.unix_micros(as_of) - seconds * F.lit(1_000_000))
 
 
-@F.pandas_udf(T.ArrayType(T.TimestampType()))
-def _lenient(texts: pd.Series, base: pd.Series) -> pd.Series:
+@functools.lru_cache(1 << 14)
+def _parsed(x: str, day: datetime) -> datetime | None:
+    """What the lenient parser reads; pages of one site say the same days again and again."""
     from dateutil import parser
 
-    def one(x, day):
-        try:
-            t = pd.Timestamp(parser.parse(x, fuzzy=True, default=day))
-            return (t.tz_convert("UTC").tz_localize(None) if t.tzinfo else t).to_pydatetime()
-        except Exception:  # whatever the parser makes of a page's text, it is no date
-            return None
+    try:
+        t = pd.Timestamp(parser.parse(x, fuzzy=True, default=day))
+        return (t.tz_convert("UTC").tz_localize(None) if t.tzinfo else t).to_pydatetime()
+    except Exception:  # whatever the parser makes of a page's text, it is no date
+        return None
+
 
+@F.pandas_udf(T.ArrayType(T.TimestampType()))
+def _lenient(texts: pd.Series, base: pd.Series) -> pd.Series:
     days = [pd.Timestamp(b).to_pydatetime().replace(hour=0, minute=0, second=0, microsecond=0, tzinfo=None) for b in base]
-    return pd.Series([None if xs is None else [None if x is None else one(x, day) for x in xs] for xs, day in zip(texts, days, strict=True)], dtype=object)
+    return pd.Series([None if xs is None else [None if x is None else _parsed(x, day) for x in xs] for xs, day in zip(texts, days, strict=True)], dtype=object)
 
 
 def with_read(rows: DataFrame, texts: Column, as_of: Column, name: str) -> DataFrame:
