@@ -213,3 +213,21 @@ def digest(found: DataFrame) -> DataFrame:
         F.col("row.doc_id").alias("doc_id"), "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
     )
+
+
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+ORACLE = f"""
+WITH items AS (SELECT item_id::VARCHAR AS item, {_WORDS} AS w FROM benchmark),
+windows AS MATERIALIZED (
+  SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(list_slice(w, i, i + least(len(w), 10) - 1), ' ') AS key
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM items WHERE len(w) > 0)),
+docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+starts AS (
+  SELECT r, i, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS key
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs JOIN (SELECT DISTINCT n FROM windows) ON len(w) >= n)),
+met AS MATERIALIZED (SELECT r, i, n, item FROM starts JOIN windows USING (n, key)),
+hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM met) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, item FROM met WHERE item IS NOT NULL) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+"""

@@ -373,3 +373,17 @@ def similar_components(
 
 def op3_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     return similar_components(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
+ORACLE = """
+WITH texts AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 2), ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM texts WHERE len(w) > 0)),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS MATERIALIZED (SELECT a, b FROM met JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+ends AS MATERIALIZED (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (WITH RECURSIVE r AS (SELECT a, b FROM ends UNION SELECT r.a, ends.b FROM r JOIN ends ON r.b = ends.a) SELECT * FROM r)
+SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, least(doc_id, min(b)) AS component_id FROM texts LEFT JOIN sizes USING (doc_id) LEFT JOIN reach ON a = doc_id GROUP BY doc_id
+"""

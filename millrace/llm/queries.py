@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import centroid_clustering, chat_formatting, conversation_trie, source_mixing, suffix_dedup, url_filter
+from . import centroid_clustering, chat_formatting, conversation_trie, decontamination, ngram_jaccard, source_mixing, substring_dedup, suffix_dedup, url_filter
 from .centroid_clustering import op12_centroid_clustering
 from .chat_formatting import op6_chat_formatting
 from .conversation_trie import op13_conversation_trie
@@ -26,9 +26,12 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_decontamination": decontamination.ORACLE,
     "op2_url_filter": url_filter.ORACLE,
+    "op3_ngram_jaccard": ngram_jaccard.ORACLE,
     "op5_source_mixing": source_mixing.ORACLE,
     "op6_chat_formatting": chat_formatting.ORACLE,
+    "op8_substring_dedup": substring_dedup.ORACLE,
     "op11_suffix_dedup": suffix_dedup.ORACLE,
     "op12_centroid_clustering": centroid_clustering.ORACLE,
     "op13_conversation_trie": conversation_trie.ORACLE,

@@ -251,3 +251,18 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = WINDOW
 def op8_substring_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return remove_repeats(docs, original=False).select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE = f"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents),
+starts AS MATERIALIZED (
+  SELECT r, i, md5_number(array_to_string(list_slice(w, i, i + {WINDOW - 1}), ' ')) AS h
+  FROM (SELECT r, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM texts WHERE len(w) >= {WINDOW})),
+gone AS MATERIALIZED (
+  SELECT DISTINCT r, unnest(range(i, i + {WINDOW})) AS p FROM starts SEMI JOIN (SELECT h FROM starts GROUP BY h HAVING count(*) > 1) USING (h)),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY p) AS k
+  FROM (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM texts) ANTI JOIN gone USING (r, p) GROUP BY r),
+lost AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(k, '')) AS kept_sha256 FROM texts LEFT JOIN kept USING (r) LEFT JOIN lost USING (r)
+"""
