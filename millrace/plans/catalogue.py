@@ -18,6 +18,7 @@ from ..functions import outline as O
 from ..functions import text as X
 from ..functions import url as U
 from ..operators import chunking, enrichment, extraction, freshness, metrics, queues, records, repositories, resolution, storage, vectors
+from ..operators.pages import Ordered
 from ..schemas import CONTENT, RECORD_TYPES, violations
 from ..shared import numbered, shared_dir
 from ..sources import crawlers, frontier, web
@@ -643,7 +644,9 @@ def get_record(spark, d):
 
 @query("SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 100 OFFSET 200")
 def list_page(spark, d):
-    return storage.page(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), [c("o_orderdate").desc(), c("o_orderkey")], 100, 200)
+    """From a copy in order, of which a page opens the ranges it falls in."""
+    o, order = table(spark, d, "orders").select("o_orderkey", "o_orderdate"), [c("o_orderdate").desc(), c("o_orderkey")]
+    return Ordered(spark, shared_dir(spark, "pages"), o.schema).write(o, order).page(order, 100, 200)
 
 
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")

@@ -54,16 +54,16 @@ def extract(spark: SparkSession, out: str, record_type: str, providers: list[ext
     return counts[0].unionByName(counts[1])
 
 
-def resolve(spark: SparkSession, out: str, now: Column, aliases: DataFrame | None = None) -> DataFrame:
+def resolve(spark: SparkSession, out: str, now: Column, aliases: DataFrame | None = None, providers: list[extraction.Provider] | None = None) -> DataFrame:
     """Names of stored products' makers against stored companies: a row for each in ``entity_mapping_logs``, and
     confident ones by other than their own name as ``entity_aliases``.  ``aliases`` (raw, canonical, seq) are known
-    beforehand.  Returns the log."""
+    beforehand; ``providers`` are asked about names that are close to a known one, but not close enough.  Returns the log."""
     companies = table(spark, out, "startups").select("id", "canonical_name")
     known = companies.groupBy("canonical_name").agg(F.min(F.xxhash64("id")).alias("candidate_id")).select("candidate_id", F.col("canonical_name").alias("candidate"))
     names = table(spark, out, "products").select(F.col("product_name").alias("raw"), "source_url").where("raw is not null")
     names = names.groupBy("raw").agg(F.min("source_url").alias("source_url")).withColumn("name_id", F.xxhash64("raw"))
     before = resolution.alias_table(aliases if aliases is not None else spark.createDataFrame([], "raw string, canonical string, seq long"))
-    found = resolution.resolved(names.select("name_id", "raw"), before, known)
+    found = resolution.resolved(names.select("name_id", "raw"), before, known, providers=providers, replies=extraction.Replies(spark, f"{out}/replies"))
     logged = resolution.mapping_log(found, "PRODUCT").join(names.select("name_id", "source_url"), "name_id")
     rows = logged.select(F.sha2(F.concat_ws(":", F.lit("PRODUCT"), "raw_name"), 256).alias("id"), "raw_name", "canonical_name", "entity_type", "method", "confidence", "source_url", now.alias("created_at"))
     schema = T.StructType.fromDDL(TABLES["entity_mapping_logs"])
@@ -81,6 +81,6 @@ def full(spark: SparkSession, pages: DataFrame, out: str, now: Column, settings:
     log.info("crawled", extra={"out": out})
     counts = counts.unionByName(extract(spark, out, record_type, providers_of(settings), settings))
     log.info("extracted", extra={"record_type": record_type})
-    found = resolve(spark, out, now)
+    found = resolve(spark, out, now, providers=providers_of(settings) if settings.provider_url else None)
     log.info("resolved")
     return counts.unionByName(found.agg(F.lit("entity_mapping_logs").alias("table"), F.count(F.lit(1)).alias("n")))

@@ -79,3 +79,41 @@ def test_errors_are_asked_again(spark, tmp_path):
 
 def test_replies_of_nothing(spark, tmp_path):
     assert extraction.answers(prompts(spark, 0), "prompt", [Counting(tmp_path)], replies(spark, tmp_path)).count() == 0
+
+
+class Judge:
+    """Answers which known name is meant, as a model would; notes what it was asked."""
+
+    name, model = "judge", "j"
+
+    def __init__(self, folder, says):
+        self.folder, self.says = str(folder), says
+
+    def answer(self, prompts):
+        import json
+
+        out = []
+        for p in prompts:
+            raw = p.split("Name:\n")[1].split("\nKnown names:")[0]
+            with open(f"{self.folder}/judged", "a") as f:
+                f.write(raw + "\n")
+            said = self.says.get(raw)
+            out.append("no idea" if said is None else "```json\n" + json.dumps({"canonical_name": said[0], "confidence": said[1], "reason": "r"}) + "\n```")
+        return out
+
+
+def test_names_between_review_and_acceptance_are_asked_about_once(spark, tmp_path):
+    from millrace.operators import resolution
+
+    aliases = resolution.alias_table(spark.createDataFrame([], "raw string, canonical string, seq int"))
+    names = spark.createDataFrame([(1, "Nvidea"), (2, "nvidea"), (3, "Microsaft Corp"), (4, "Gooogle"), (5, "Amzon"), (6, "Unlike"), (7, "Apple")], "name_id int, raw string")
+    known = spark.createDataFrame([(1, "Nvidia"), (2, "Nvidra"), (3, "Microsoft"), (4, "Google"), (5, "Amazon"), (6, "Apple Inc.")], "candidate_id int, candidate string")
+    judge = Judge(tmp_path, {"Nvidea": ("Nvidia", 0.9), "Microsaft Corp": ("Microsoft", 0.5), "Gooogle": ("Alphabet", 0.99), "Amzon": None})
+    for _ in range(2):
+        rows = resolution.resolved(names, aliases, known, providers=[judge], replies=replies(spark, tmp_path)).collect()
+        got = {r["name_id"]: (r["canonical"], r["method"], r["confidence"], r["needs_review"]) for r in rows}
+        assert got == {
+            1: ("Nvidia", "llm", 0.9, False), 2: ("Nvidia", "llm", 0.9, False), 3: ("microsaft", "exact", 0.7, False), 4: ("gooogle", "exact", 0.7, False),
+            5: ("amzon", "exact", 0.7, True), 6: ("unlike", "exact", 0.7, False), 7: ("Apple Inc.", "exact", 1.0, False),
+        }
+    assert sorted((tmp_path / "judged").read_text().splitlines()) == ["Amzon", "Gooogle", "Microsaft Corp", "Nvidea"]
