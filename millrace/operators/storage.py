@@ -30,7 +30,7 @@ class Table:
 
     A part holds the rows whose key's hash begins with the part's bits.  ``put`` writes its rows as one delta and a directory file of the new
     version, which names the parts and deltas that count; no part is read for that.  More than ``DELTAS`` deltas become one, and when deltas
-    have more than ``SHARE`` of the table's rows they are merged into the parts that they fall into; a part that grows past ``split`` rows is split by
+    have more than ``SHARE`` of the table's rows (and an eighth of a part's) they are merged into the parts that they fall into; a part that grows past ``split`` rows is split by
     further bits, the others stay as they are.  So what a put writes follows its rows, and what ``get`` reads is one part and the deltas.
 
     A version counts once its directory file has its name, which is the last thing to happen: a run that ends early leaves the
@@ -107,9 +107,12 @@ class Table:
         known = self._known(number)
         rows = rows.select(*self.schema.names).withColumns({"__h": F.xxhash64(*self.keys), "__seq": F.lit(number).cast("long")})
         place = self._write(self._latest(rows))
-        known["deltas"].append({"path": place, "rows": self._load([place]).count()})
+        delta = {"path": place, "rows": self._load([place]).count()}
+        known["deltas"].append(delta)
         held, waiting = (sum(x["rows"] for x in xs) for xs in (known["parts"].values(), known["deltas"]))
-        if waiting > SHARE * held:
+        if not known["parts"] and known["deltas"] == [delta] and waiting <= self.split:
+            known = {"parts": {"": delta}, "deltas": []}  # a table that begins small begins as one part
+        elif waiting > max(SHARE * held, self.split // 8):
             known = self._into_parts(known)
         elif len(known["deltas"]) > DELTAS:
             place = self._write(self._latest(self._load([x["path"] for x in known["deltas"]])).coalesce(1 + waiting // self.split))
