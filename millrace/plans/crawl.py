@@ -10,6 +10,7 @@ from ..functions import outline as O
 from ..functions.hashing import content_hash
 from ..functions.url import normalized
 from ..operators import freshness, records, storage
+from ..shared import kept
 
 # The date of each kind of record, and the text that undated ones are told apart by.
 DATE = {"NEWS": "published_date", "JOB": "date", "RESEARCH_PAPER": "published_date"}
@@ -56,7 +57,8 @@ def store(spark: SparkSession, pages: DataFrame, out: str, as_of: Column, hours:
         pages = storage.capped(pages, "source_name", ["url"], max_pages).drop("position")
     made = {"raw_documents": _put(spark, f"{out}/raw_documents", raw_documents(pages, as_of), ["normalized_url", "content_hash"], ["fetched_at", "url"])}
     for kind, name in records.TABLE_OF.items():
-        rows = records.as_rows(fresh(records_of(pages, kind, as_of), kind, as_of, hours), kind, as_of)
+        found = kept(records_of(pages, kind, as_of), name)  # freshness looks at them twice: pages are parsed once
+        rows = records.as_rows(fresh(found, kind, as_of, hours), kind, as_of)
         made[name] = _put(spark, f"{out}/{name}", rows, ["paper_url" if kind == "RESEARCH_PAPER" else "source_url"], ["collected_at", "provenance"])
     counts = [t.agg(F.lit(name).alias("table"), F.count(F.lit(1)).alias("n")) for name, t in made.items()]
     total = pages.agg(F.lit("failed").alias("table"), F.count_if(F.coalesce(F.col("status_code") != 200, F.lit(True))).alias("n"))
